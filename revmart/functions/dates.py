@@ -44,6 +44,21 @@ def year_month(col: Column | str) -> Column:
     return F.substring(_c(col).cast("string"), 1, 7)
 
 
+def month_start(df: DataFrame, col: str) -> tuple[Column, bool]:
+    """Grouping key for the month of ``col``: the first day of the month for
+    date/timestamp columns (integer work, no per-row text formatting), else
+    the ``yyyy-MM`` text itself. Returns (key, is_date)."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.trunc(F.col(col).cast("date"), "month"), True
+    return year_month(col), False
+
+
+def month_text(key: Column, is_date: bool) -> Column:
+    """``yyyy-MM`` text of a ``month_start`` key (formatted once per group)."""
+    return year_month(key) if is_date else key
+
+
 def _month_bounds(month: str) -> tuple[dt.date, dt.date]:
     year, mon = int(month[:4]), int(month[5:7])
     lo = dt.date(year, mon, 1)

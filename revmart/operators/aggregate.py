@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revmart.functions.dates import year_month
+from revmart.functions.dates import month_start, month_text
 
 
 def count_by(df: DataFrame, keys: Sequence[str | Column], name: str = "count") -> DataFrame:
@@ -37,19 +37,27 @@ def gold_mart(
     ``count_distinct`` is planned as a two-level aggregate: first on
     (month, version, id) - hashed by id too, so a hot (month, version) group
     spreads over all reducers - then a partial/final count per group.
+    Rows are grouped on the month's first day; its ``yyyy-MM`` text is
+    formatted once per group, after the aggregate.
     """
+    key, is_date = month_start(df, date)
     return (
-        df.groupBy(year_month(date).alias("pt_ano_mes"), F.col(version).alias("nu_versao_app"))
+        df.groupBy(key.alias("month_start"), F.col(version).alias("nu_versao_app"))
         .agg(
             mean_as_decimal(rating).alias("nu_media_reviews_app"),
             F.count_distinct(F.col(review_id)).alias("nu_quantidade_usuarios"),
         )
-        .select("nu_media_reviews_app", "nu_versao_app", "nu_quantidade_usuarios", "pt_ano_mes")
+        .select(
+            "nu_media_reviews_app",
+            "nu_versao_app",
+            "nu_quantidade_usuarios",
+            month_text(F.col("month_start"), is_date).alias("pt_ano_mes"),
+        )
     )
 
 
 def distinct_count_by_month(df: DataFrame, date: str = "dt_date") -> DataFrame:
     """Rows per year-month after whole-row de-duplication."""
-    return count_by(df.distinct(), [year_month(date).alias("data")], "total_registros").select(
-        "total_registros", "data"
-    )
+    key, is_date = month_start(df, date)
+    counted = count_by(df.distinct(), [key.alias("month_start")], "total_registros")
+    return counted.select("total_registros", month_text(F.col("month_start"), is_date).alias("data"))

@@ -148,8 +148,8 @@ def q_distinct_count_by_month(spark, sf_dir):
 def q_distinct_count_by_month_sql(spark, sf_dir):
     sql = (
         "WITH base AS (SELECT DISTINCT * FROM {view}) "
-        "SELECT count(*) AS total_registros, substr(CAST(o_orderdate AS STRING), 1, 7) AS data "
-        "FROM base GROUP BY substr(CAST(o_orderdate AS STRING), 1, 7)"
+        "SELECT count(*) AS total_registros, substr(CAST(trunc(CAST(o_orderdate AS DATE), 'MM') AS STRING), 1, 7) AS data "
+        "FROM base GROUP BY trunc(CAST(o_orderdate AS DATE), 'MM')"
     )
     orders = table(spark, sf_dir, "orders")
     return run_on(spark, sql, orders.unionAll(orders))

@@ -10,21 +10,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Grouped on the month's first day (integer work per row); the yyyy-MM text
+# is formatted once per group.
 GOLD_SQL = """
 SELECT
     CAST(avg(try_cast({rating} AS DOUBLE)) AS DECIMAL(18,1)) AS nu_media_reviews_app,
     {version} AS nu_versao_app,
     count(DISTINCT {review_id}) AS nu_quantidade_usuarios,
-    substr(CAST({date} AS STRING), 1, 7) AS pt_ano_mes
-FROM {view}
-GROUP BY substr(CAST({date} AS STRING), 1, 7), {version}
+    substr(CAST(month_start AS STRING), 1, 7) AS pt_ano_mes
+FROM (SELECT *, trunc(CAST({date} AS DATE), 'MM') AS month_start FROM {view})
+GROUP BY month_start, {version}
 """
 
 DISTINCT_COUNT_BY_MONTH_SQL = """
 WITH base AS (SELECT DISTINCT * FROM {view})
-SELECT count(*) AS total_registros, substr(CAST(dt_date AS STRING), 1, 7) AS data
+SELECT count(*) AS total_registros, substr(CAST(trunc(dt_date, 'MM') AS STRING), 1, 7) AS data
 FROM base
-GROUP BY substr(CAST(dt_date AS STRING), 1, 7)
+GROUP BY trunc(dt_date, 'MM')
 """
 
 COUNT_BY_VOTES_SQL = """

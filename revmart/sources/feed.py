@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revmart.functions.text import url_strip_query
-from revmart.schemas import FEED_PAGE_XML_SCHEMA, FEED_TEXT_TAGS, FEED_VOID_TAGS, PAGE_SCHEMA
+from revmart.schemas import FEED_PAGE_XML_SCHEMA, FEED_TEXT_TAGS, FEED_VOID_TAGS, LANDING_COLUMNS, PAGE_SCHEMA
 
 
 def _xml_options(mode: str) -> dict[str, str]:
@@ -63,17 +63,16 @@ def feed_entries(pages: DataFrame, mode: str = "FAILFAST", keep_page_url: bool =
         *([F.col("page_url")] if keep_page_url else []),
         F.explode(F.col("feed.entry")).alias("e"),
     )
-    cols = []
+    cols = {}
     for tag in FEED_TEXT_TAGS:
         if tag == "content":
             text_child = _last_where(F.col("e.content"), lambda c: c["_type"] == "text", "_VALUE")
-            cols.append(_text(text_child).alias("content"))
+            cols[tag] = _text(text_child)
         else:
-            cols.append(_text(F.col(f"e.{tag}")).alias(tag))
-    cols += [F.lit(None).alias(tag) for tag in FEED_VOID_TAGS]
-    if keep_page_url:
-        cols.insert(0, F.col("page_url"))
-    return exploded.select(*cols)
+            cols[tag] = _text(F.col(f"e.{tag}"))
+    cols.update({tag: F.lit(None) for tag in FEED_VOID_TAGS})
+    out = [cols[c].alias(c) for c in LANDING_COLUMNS]
+    return exploded.select(*([F.col("page_url")] if keep_page_url else []), *out)
 
 
 def feed_content_text(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
