@@ -18,6 +18,7 @@ from revmart.operators.quality import (
     distinct_subset,
     month_rows,
     preview_months,
+    preview_pandas,
     preview_rows,
     sort_multi_key,
 )
@@ -38,6 +39,7 @@ __all__ = [
     "month_rows",
     "normalise_columns",
     "preview_months",
+    "preview_pandas",
     "preview_rows",
     "rename_columns",
     "select_columns",

@@ -56,6 +56,11 @@ def preview_rows(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
+def preview_pandas(df: DataFrame, n: int, order_by: Sequence[str] | None = None):
+    """A bounded preview on the driver: at most ``n`` rows reach it."""
+    return preview_rows(df, n, order_by).toPandas()
+
+
 def preview_months(
     df: DataFrame,
     months: Sequence[str] = ("2022-06", "2022-07"),

@@ -1,4 +1,12 @@
-from revmart.plans.jobs import bronze_job, gold_job, landing_frame, landing_job, run_pipeline, silver_job
+from revmart.plans.jobs import (
+    bronze_job,
+    gold_job,
+    landing_frame,
+    landing_job,
+    quality_report,
+    run_pipeline,
+    silver_job,
+)
 from revmart.plans.sql import gold_sql, run_on
 
 __all__ = [
@@ -7,6 +15,7 @@ __all__ = [
     "gold_sql",
     "landing_frame",
     "landing_job",
+    "quality_report",
     "run_on",
     "run_pipeline",
     "silver_job",

@@ -45,7 +45,15 @@ from revmart.operators.quality import (
     sort_multi_key,
 )
 from revmart.plans.jobs import bronze_job, gold_job, landing_frame, landing_job, silver_job
-from revmart.plans.sql import GOLD_SQL, PREVIEW_MONTHS_SQL, run_on
+from revmart.plans.sql import (
+    COUNT_BY_RATING_SQL,
+    COUNT_BY_VERSION_SQL,
+    COUNT_BY_VOTES_SQL,
+    GOLD_SQL,
+    PREVIEW_MONTHS_SQL,
+    PREVIEW_ROWS_SQL,
+    run_on,
+)
 from revmart.schemas import (
     BRONZE_COLUMNS,
     BRONZE_PARTITIONS,
@@ -167,6 +175,18 @@ def q_count_by_version(spark, sf_dir):
     return count_by_version(rv_silver(spark, sf_dir))
 
 
+def q_count_by_votes_sql(spark, sf_dir):
+    return run_on(spark, COUNT_BY_VOTES_SQL, rv_silver(spark, sf_dir))
+
+
+def q_count_by_rating_sql(spark, sf_dir):
+    return run_on(spark, COUNT_BY_RATING_SQL, rv_silver(spark, sf_dir))
+
+
+def q_count_by_version_sql(spark, sf_dir):
+    return run_on(spark, COUNT_BY_VERSION_SQL, rv_silver(spark, sf_dir))
+
+
 def q_distinct_subset(spark, sf_dir):
     return distinct_subset(table(spark, sf_dir, "documents"), ["lang", "source"])
 
@@ -227,6 +247,10 @@ def q_preview_rows(spark, sf_dir):
     return preview_rows(rv_bronze(spark, sf_dir), 5, ["nu_id"])
 
 
+def q_preview_rows_sql(spark, sf_dir):
+    return run_on(spark, PREVIEW_ROWS_SQL, rv_bronze(spark, sf_dir))
+
+
 def q_preview_months(spark, sf_dir):
     return preview_months(rv_bronze(spark, sf_dir))
 
@@ -323,6 +347,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_by_votes": q_count_by_votes,
     "count_by_rating": q_count_by_rating,
     "count_by_version": q_count_by_version,
+    "count_by_votes_sql": q_count_by_votes_sql,
+    "count_by_rating_sql": q_count_by_rating_sql,
+    "count_by_version_sql": q_count_by_version_sql,
     "distinct_subset": q_distinct_subset,
     "null_column_check": q_null_column_check,
     "bronze_dedup": q_bronze_dedup,
@@ -335,6 +362,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "url_strip_query": q_url_strip_query,
     "silver_stamp": q_silver_stamp,
     "preview_rows": q_preview_rows,
+    "preview_rows_sql": q_preview_rows_sql,
     "preview_months": q_preview_months,
     "preview_months_sql": q_preview_months_sql,
     "filter_month_range": q_filter_month_range,
@@ -539,3 +567,6 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["distinct_count_by_month_sql"] = ORACLE["distinct_count_by_month"]
 ORACLE["preview_months_sql"] = ORACLE["preview_months"]
+ORACLE["preview_rows_sql"] = ORACLE["preview_rows"]
+for _name in ("count_by_votes", "count_by_rating", "count_by_version"):
+    ORACLE[f"{_name}_sql"] = ORACLE[_name]

@@ -12,7 +12,15 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from revmart.operators.conform import add_partition_keys, conform_bronze, stamp_load_time, void_to_string
-from revmart.plans.sql import gold_sql
+from revmart.plans.sql import (
+    COUNT_BY_RATING_SQL,
+    COUNT_BY_VERSION_SQL,
+    COUNT_BY_VOTES_SQL,
+    DISTINCT_COUNT_BY_MONTH_SQL,
+    PREVIEW_MONTHS_SQL,
+    PREVIEW_ROWS_SQL,
+    gold_sql,
+)
 from revmart.schemas import (
     BRONZE_FILE_ORDER,
     BRONZE_PARTITIONS,
@@ -67,6 +75,24 @@ def gold_job(spark: SparkSession, silver_path: str, out_path: str, view: str = S
     return read_zone(spark, out_path, GOLD_SCHEMA)
 
 
+def quality_report(spark: SparkSession, silver_path: str, view: str = SILVER_VIEW) -> dict[str, DataFrame]:
+    """J-5: the validation statements over the written silver zone (lazy).
+
+    They read the zone, not the plan that produced it, so no stage is
+    re-run and the load timestamp is the one stored.
+    """
+    read_zone(spark, silver_path, SILVER_SCHEMA).createOrReplaceTempView(view)
+    statements = {
+        "distinct_count_by_month": DISTINCT_COUNT_BY_MONTH_SQL,
+        "count_by_votes": COUNT_BY_VOTES_SQL,
+        "count_by_rating": COUNT_BY_RATING_SQL,
+        "count_by_version": COUNT_BY_VERSION_SQL,
+        "preview_months": PREVIEW_MONTHS_SQL,
+        "preview_rows": PREVIEW_ROWS_SQL,
+    }
+    return {name: spark.sql(sql.format(view=view)) for name, sql in statements.items()}
+
+
 def run_pipeline(spark: SparkSession, pages: DataFrame, root: str, load_ts=None) -> dict[str, str]:
     """All four stages under ``root``; returns the zone paths."""
     paths = {z: os.path.join(root, z) for z in ("landing", "bronze", "silver", "gold")}

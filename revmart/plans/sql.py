@@ -46,6 +46,8 @@ SELECT count(*) AS total, nu_version_app
 FROM {view} GROUP BY nu_version_app ORDER BY nu_version_app DESC
 """
 
+PREVIEW_ROWS_SQL = "SELECT * FROM {view} ORDER BY nu_id LIMIT 5"
+
 # Sample rows of two months. The month test is written as a date range so it
 # can reach the scan; each branch is ordered by the review id so the sample
 # is deterministic.

@@ -63,7 +63,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # local runs and tests only: a cluster always names a shared folder
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is invisible to executors on other hosts
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # local runs and tests only
         root = tempfile.mkdtemp(prefix="revmart-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

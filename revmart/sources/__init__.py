@@ -3,6 +3,7 @@ from revmart.sources.feed import (
     feed_entries,
     feed_last_page,
     feed_links,
+    frame_from_entries,
     parse_pages,
     read_pages,
     union_pages,
@@ -16,6 +17,7 @@ __all__ = [
     "feed_last_page",
     "feed_links",
     "feed_pages_from_documents",
+    "frame_from_entries",
     "layout_for_write",
     "parse_pages",
     "read_pages",

@@ -23,6 +23,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revmart.functions.text import url_strip_query
 from revmart.schemas import FEED_PAGE_XML_SCHEMA, FEED_TEXT_TAGS, FEED_VOID_TAGS, LANDING_COLUMNS, PAGE_SCHEMA
@@ -106,6 +107,21 @@ def union_pages(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def frame_from_entries(spark: SparkSession, entries: list[dict]) -> DataFrame:
+    """Small driver-side entry dicts (tests, fixtures) -> a DataFrame.
+
+    Keys may differ between entries: the columns are the union of keys in
+    first-seen order, all strings, absent keys NULL - the shape a stack of
+    per-page record frames had. Not for bulk data: pages go through
+    ``feed_entries`` on executors.
+    """
+    names: dict[str, None] = {}
+    for e in entries:
+        names.update(dict.fromkeys(e))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.createDataFrame([tuple(e.get(n) for n in names) for e in entries], schema)
+
+
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Landed pages: a ``(page_url, xml)`` table, or a folder of raw XML files.
 

@@ -97,3 +97,11 @@ def test_generated_feed_round_trip(spark, sf001):
     parsed = void_to_string(feed_entries(feed_pages_from_documents(docs).select("page_url", "xml")))
     assert parsed.exceptAll(reviews_from_documents(docs)).count() == 0
     assert reviews_from_documents(docs).exceptAll(parsed).count() == 0
+
+
+def test_frame_from_entries_unions_keys(spark):
+    from revmart.sources.feed import frame_from_entries
+
+    df = frame_from_entries(spark, [{"id": "1", "title": "a"}, {"id": "2", "rating": "5"}])
+    assert df.columns == ["id", "title", "rating"]
+    assert [tuple(r) for r in df.orderBy("id").collect()] == [("1", "a", None), ("2", None, "5")]

@@ -58,3 +58,18 @@ def test_stream_landing_is_incremental(spark, sf001):
     docs = spark.read.parquet(f"{sf001}/documents.parquet").count()
     assert 0 < n_first < docs
     assert total.count() == docs and total.select("id").distinct().count() == docs
+
+
+def test_quality_report_reads_the_silver_zone(spark, sf001):
+    from revmart.plans.jobs import quality_report
+
+    paths = run_pipeline(spark, catalog.pages(spark, sf001), scratch_path(spark, "t-pipe2"))
+    report = quality_report(spark, paths["silver"])
+    docs = spark.read.parquet(f"{sf001}/documents.parquet").count()
+    for name in ("count_by_votes", "count_by_rating", "count_by_version", "distinct_count_by_month"):
+        total = "total_registros" if name == "distinct_count_by_month" else "total"
+        assert report[name].agg(F.sum(total)).first()[0] == docs
+    assert report["preview_months"].count() == 6
+    assert report["preview_rows"].count() == 5
+    ratings = [r.nu_rating_review for r in report["count_by_rating"].collect()]
+    assert ratings == sorted(ratings, reverse=True)

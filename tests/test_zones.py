@@ -63,3 +63,14 @@ def test_month_filter_prunes_partitions(spark, sf001):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(pt_ano" in plan and "GreaterThanOrEqual(dt_date" in plan
     assert df.where(F.col("pt_mes") != 6).count() == 0
+
+
+def test_file_count_per_directory(spark, sf001):
+    bronze = catalog.rv_bronze(spark, sf001)
+    rebalanced = scratch_path(spark, "t-files")
+    write_zone(bronze, rebalanced, BRONZE_PARTITIONS, BRONZE_FILE_ORDER)
+    for d in glob.glob(f"{rebalanced}/pt_ano=*/pt_mes=*"):
+        assert len(glob.glob(f"{d}/*.parquet")) == 1  # small month: one writer
+    one = scratch_path(spark, "t-coalesce")
+    write_zone(bronze, one, BRONZE_PARTITIONS, files=1)
+    assert len(glob.glob(f"{one}/*/*/*.parquet")) == 2
