@@ -33,9 +33,8 @@ FEED_START_DATE = "2022-06-01"
 ENTRIES_PER_PAGE = 50
 
 
-def reviews_from_documents(docs: DataFrame) -> DataFrame:
-    """Landing-shaped review rows (all strings, NULL void columns)."""
-    doc_id = F.col("doc_id")
+def review_fields(doc_id: Column, text: Column, source: Column) -> dict[str, Column]:
+    """The RV review fields of one document, as column expressions."""
     day = F.date_add(F.lit(FEED_START_DATE).cast("date"), (doc_id % 61).cast("int"))
     updated = F.concat(
         F.date_format(day, "yyyy-MM-dd"),
@@ -44,19 +43,24 @@ def reviews_from_documents(docs: DataFrame) -> DataFrame:
         F.lit(":00:00-07:00"),
     )
     null_s = F.lit(None).cast("string")
-    cols = {
+    return {
         "id": doc_id.cast("string"),
-        "title": F.substring("text", 1, TITLE_CHARS),
-        "content": F.col("text"),
+        "title": F.substring(text, 1, TITLE_CHARS),
+        "content": text,
         "contentType": null_s,
         "voteSum": (doc_id % 3).cast("string"),
         "voteCount": (doc_id % 5).cast("string"),
         "rating": (doc_id % 5 + 1).cast("string"),
         "updated": updated,
-        "version": F.col("source"),
+        "version": source,
         "author": null_s,
         "link": null_s,
     }
+
+
+def reviews_from_documents(docs: DataFrame) -> DataFrame:
+    """Landing-shaped review rows (all strings, NULL void columns)."""
+    cols = review_fields(F.col("doc_id"), F.col("text"), F.col("source"))
     return docs.select(*[cols[c].alias(c) for c in LANDING_COLUMNS])
 
 
@@ -78,21 +82,21 @@ def _element(tag: str, value: Column) -> Column:
     return F.concat(F.lit(f"<{tag}>"), xml_escape(value), F.lit(f"</{tag}>"))
 
 
-def _entry_xml(r: DataFrame) -> Column:
+def _entry_xml(r: dict[str, Column]) -> Column:
     """One ``<entry>`` per review, shaped like an app-store feed entry."""
-    rid = xml_escape(F.col("id"))
+    rid = xml_escape(r["id"])
     return F.concat(
         F.lit("<entry>"),
-        _element("updated", F.col("updated")),
-        _element("id", F.col("id")),
-        _element("title", F.col("title")),
-        F.lit('<content type="text">'), xml_escape(F.col("content")), F.lit("</content>"),
+        _element("updated", r["updated"]),
+        _element("id", r["id"]),
+        _element("title", r["title"]),
+        F.lit('<content type="text">'), xml_escape(r["content"]), F.lit("</content>"),
         F.lit('<content type="html">&lt;p&gt;review '), rid, F.lit("&lt;/p&gt;</content>"),
         F.lit('<im:contentType term="Application" label="App"/>'),
-        _element("im:voteSum", F.col("voteSum")),
-        _element("im:voteCount", F.col("voteCount")),
-        _element("im:rating", F.col("rating")),
-        _element("im:version", F.col("version")),
+        _element("im:voteSum", r["voteSum"]),
+        _element("im:voteCount", r["voteCount"]),
+        _element("im:rating", r["rating"]),
+        _element("im:version", r["version"]),
         F.lit("<author><name>user "), rid, F.lit(f"</name><uri>{FEED_BASE}/user/"), rid,
         F.lit("</uri></author>"),
         F.lit(f'<link rel="related" href="{FEED_BASE}/review/'), rid, F.lit('"/>'),
@@ -108,13 +112,13 @@ def feed_pages_from_documents(docs: DataFrame, entries_per_page: int = ENTRIES_P
     ``entries_per_page`` entries (a bounded group). Every page links to the
     last page; all but the last link to the next one. The last page number
     is a scalar subquery (one value), not a join.
+
+    Only the raw columns cross the shuffle; the entry markup is built after
+    it, per page, with a higher-order ``transform`` (parallel over pages).
     """
-    rv = reviews_from_documents(docs).withColumn(
-        "page_no", F.floor(F.col("id").cast("long") / entries_per_page)
-    )
-    entries = rv.select("page_no", F.col("id").cast("long").alias("doc_id"), _entry_xml(rv).alias("entry_xml"))
-    pages = entries.groupBy("page_no").agg(
-        F.array_sort(F.collect_list(F.struct("doc_id", "entry_xml"))).alias("entries")
+    page_no = F.floor(F.col("doc_id") / entries_per_page).alias("page_no")
+    pages = docs.select(page_no, "doc_id", "text", "source").groupBy("page_no").agg(
+        F.array_sort(F.collect_list(F.struct("doc_id", "text", "source"))).alias("entries")
     )
     last_no = docs.select(F.max(F.floor(F.col("doc_id") / entries_per_page))).scalar()
     p = F.col("page_no")
@@ -131,7 +135,10 @@ def feed_pages_from_documents(docs: DataFrame, entries_per_page: int = ENTRIES_P
         F.lit('<link rel="last"'), _href(link_url(last_no)), F.lit("/>"),
         next_link,
         F.lit("\n"),
-        F.array_join(F.transform("entries", lambda e: e["entry_xml"]), "\n"),
+        F.array_join(
+            F.transform("entries", lambda e: _entry_xml(review_fields(e["doc_id"], e["text"], e["source"]))),
+            "\n",
+        ),
         F.lit("\n</feed>"),
     )
     return pages.select("page_no", page_url(p).alias("page_url"), xml.alias("xml"))
