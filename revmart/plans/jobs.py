@@ -42,9 +42,15 @@ def landing_frame(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     return add_partition_keys(void_to_string(feed_entries(pages, mode)))
 
 
-def landing_job(spark: SparkSession, pages: DataFrame, out_path: str, mode: str = "FAILFAST") -> DataFrame:
-    """J-1: landed feed pages -> landing zone, partitioned by ano/mes (text)."""
-    write_zone(landing_frame(pages, mode), out_path, LANDING_PARTITIONS)
+def landing_job(
+    spark: SparkSession, pages: DataFrame, out_path: str, mode: str = "FAILFAST", files: str | int = "rebalance"
+) -> DataFrame:
+    """J-1: landed feed pages -> landing zone, partitioned by ano/mes (text).
+
+    ``files="keep"`` skips the rebalance shuffle; right when pages arrive in
+    time order, so each task's pages span few months (few files per task).
+    """
+    write_zone(landing_frame(pages, mode), out_path, LANDING_PARTITIONS, files=files)
     return read_zone(spark, out_path, LANDING_SCHEMA)
 
 

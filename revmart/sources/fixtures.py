@@ -120,6 +120,11 @@ def feed_pages_from_documents(docs: DataFrame, entries_per_page: int = ENTRIES_P
     pages = docs.select(page_no, "doc_id", "text", "source").groupBy("page_no").agg(
         F.array_sort(F.collect_list(F.struct("doc_id", "text", "source"))).alias("entries")
     )
+    # the bound rests on doc_id being unique: fail loudly, never build a giant page
+    guard = F.when(
+        F.size("entries") > entries_per_page,
+        F.raise_error(F.lit(f"a feed page holds more than {entries_per_page} entries: doc_id is not unique")),
+    ).otherwise(F.lit(""))
     last_no = docs.select(F.max(F.floor(F.col("doc_id") / entries_per_page))).scalar()
     p = F.col("page_no")
     next_link = F.when(
@@ -128,6 +133,7 @@ def feed_pages_from_documents(docs: DataFrame, entries_per_page: int = ENTRIES_P
     ).otherwise(F.lit(""))
     xml = F.concat(
         F.lit(f'<feed xmlns:im="{STORE_NS}" xmlns="{ATOM_NS}">'),
+        guard,
         F.lit("<id>"), F.lit(FEED_BASE), F.lit("</id><title>App reviews</title>"),
         F.lit('<link rel="alternate" type="text/html"'), _href(F.lit(FEED_BASE)), F.lit("/>"),
         F.lit('<link rel="self"'), _href(page_url(p)), F.lit("/>"),

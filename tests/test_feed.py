@@ -105,3 +105,11 @@ def test_frame_from_entries_unions_keys(spark):
     df = frame_from_entries(spark, [{"id": "1", "title": "a"}, {"id": "2", "rating": "5"}])
     assert df.columns == ["id", "title", "rating"]
     assert [tuple(r) for r in df.orderBy("id").collect()] == [("1", "a", None), ("2", None, "5")]
+
+
+def test_feed_builder_refuses_oversized_pages(spark, sf001):
+    from revmart.sources.fixtures import feed_pages_from_documents
+
+    docs = spark.read.parquet(f"{sf001}/documents.parquet")
+    with pytest.raises(Exception, match="doc_id is not unique"):
+        feed_pages_from_documents(docs.unionAll(docs)).collect()
