@@ -4,7 +4,7 @@ from revmart.plans.jobs import (
     landing_frame,
     landing_job,
     quality_report,
-    run_pipeline,
+    run_stages,
     silver_job,
 )
 from revmart.plans.sql import gold_sql, run_on
@@ -17,6 +17,6 @@ __all__ = [
     "landing_job",
     "quality_report",
     "run_on",
-    "run_pipeline",
+    "run_stages",
     "silver_job",
 ]

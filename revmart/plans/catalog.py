@@ -280,12 +280,12 @@ def q_feed_last_page(spark, sf_dir):
 
 
 def q_feed_union_pages(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    fp = feed_pages_from_documents(docs)
-    # two crawl batches whose entries carry different tag sets
-    even = feed_entries(fp.where(F.col("page_no") % 2 == 0)).drop("version")
-    odd = feed_entries(fp.where(F.col("page_no") % 2 == 1)).drop("voteSum")
-    return void_to_string(union_pages(even, odd)).select(*LANDING_COLUMNS)
+    entries = feed_entries(pages(spark, sf_dir))
+    # two monthly crawl batches whose feeds carried different tag sets:
+    # June's lacked the version tag, July's the vote sum
+    june = entries.where(F.col("updated").startswith("2022-06")).drop("version")
+    july = entries.where(~F.col("updated").startswith("2022-06")).drop("voteSum")
+    return void_to_string(union_pages(june, july)).select(*LANDING_COLUMNS)
 
 
 def q_zone_roundtrip_gold(spark, sf_dir):
@@ -544,9 +544,9 @@ ORACLE: dict[str, str] = {
         FROM l""",
     "feed_union_pages": "WITH " + RV_CTE + """
         SELECT id, title, content, contentType,
-               CASE WHEN page_no % 2 = 1 THEN NULL ELSE voteSum END AS voteSum,
+               CASE WHEN starts_with(updated, '2022-06') THEN voteSum END AS voteSum,
                voteCount, rating, updated,
-               CASE WHEN page_no % 2 = 0 THEN NULL ELSE version END AS version,
+               CASE WHEN starts_with(updated, '2022-06') THEN NULL ELSE version END AS version,
                author, link
         FROM rv""",
     "zone_roundtrip_gold": LINEITEM_MART_SQL,

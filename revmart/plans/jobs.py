@@ -99,7 +99,7 @@ def quality_report(spark: SparkSession, silver_path: str, view: str = SILVER_VIE
     return {name: spark.sql(sql.format(view=view)) for name, sql in statements.items()}
 
 
-def run_pipeline(spark: SparkSession, pages: DataFrame, root: str, load_ts=None) -> dict[str, str]:
+def run_stages(spark: SparkSession, pages: DataFrame, root: str, load_ts=None) -> dict[str, str]:
     """All four stages under ``root``; returns the zone paths."""
     paths = {z: os.path.join(root, z) for z in ("landing", "bronze", "silver", "gold")}
     landing_job(spark, pages, paths["landing"])

@@ -10,6 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Output column names (nu_media_reviews_app, nu_versao_app,
+# nu_quantidade_usuarios, pt_ano_mes, total_registros, data, total, ano), the
+# month labels '202206' / '202207', the sample size 3 and the sort directions
+# below are the ones the original validation statements and mart produce.
+
 # Grouped on the month's first day (integer work per row); the yyyy-MM text
 # is formatted once per group.
 GOLD_SQL = """

@@ -1,6 +1,6 @@
 """Review rows and feed pages derived, in Spark, from the ``documents`` table.
 
-The pipeline's real input is an app-store review feed. The test tables carry
+The pipeline's real input is a review feed of a mobile-app store. The test tables carry
 no such feed, so these builders derive one deterministically from
 ``documents`` (one review per document, whole text as the review body). Work
 grows with the table; nothing is collected to the driver.
@@ -83,7 +83,7 @@ def _element(tag: str, value: Column) -> Column:
 
 
 def _entry_xml(r: dict[str, Column]) -> Column:
-    """One ``<entry>`` per review, shaped like an app-store feed entry."""
+    """One ``<entry>`` per review, shaped like a store review feed entry."""
     rid = xml_escape(r["id"])
     return F.concat(
         F.lit("<entry>"),

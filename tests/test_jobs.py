@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from revmart.operators.aggregate import gold_mart
 from revmart.operators.quality import count_by_year_month
 from revmart.plans import catalog
-from revmart.plans.jobs import run_pipeline
+from revmart.plans.jobs import run_stages
 from revmart.plans.sql import DISTINCT_COUNT_BY_MONTH_SQL, gold_sql, run_on
 from revmart.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, LANDING_SCHEMA, SILVER_SCHEMA
 from revmart.session import scratch_path
@@ -18,7 +18,7 @@ from revmart.streaming import start_landing_stream
 
 def test_pipeline_invariants(spark, sf001):
     load_ts = dt.datetime(2022, 8, 1, 3, 0, 0)
-    paths = run_pipeline(spark, catalog.pages(spark, sf001), scratch_path(spark, "t-pipe"), load_ts)
+    paths = run_stages(spark, catalog.pages(spark, sf001), scratch_path(spark, "t-pipe"), load_ts)
     landing = read_zone(spark, paths["landing"], LANDING_SCHEMA)
     bronze = read_zone(spark, paths["bronze"], BRONZE_SCHEMA)
     silver = read_zone(spark, paths["silver"], SILVER_SCHEMA)
@@ -63,7 +63,7 @@ def test_stream_landing_is_incremental(spark, sf001):
 def test_quality_report_reads_the_silver_zone(spark, sf001):
     from revmart.plans.jobs import quality_report
 
-    paths = run_pipeline(spark, catalog.pages(spark, sf001), scratch_path(spark, "t-pipe2"))
+    paths = run_stages(spark, catalog.pages(spark, sf001), scratch_path(spark, "t-pipe2"))
     report = quality_report(spark, paths["silver"])
     docs = spark.read.parquet(f"{sf001}/documents.parquet").count()
     for name in ("count_by_votes", "count_by_rating", "count_by_version", "distinct_count_by_month"):
