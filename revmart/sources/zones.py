@@ -52,10 +52,15 @@ def write_zone(
     sort_cols: Sequence[str] = (),
     files: str | int = "rebalance",
     mode: str = "overwrite",
+    compression: str = "zstd",
 ) -> str:
-    """Write ``df`` as partitioned parquet at ``path`` (static overwrite)."""
+    """Write ``df`` as partitioned parquet at ``path`` (static overwrite).
+
+    zstd by default: zones carry whole review texts, which it packs tighter
+    than snappy, and the bytes read back are what later stages pay for.
+    """
     arranged = layout_for_write(df, partition_cols, sort_cols, files)
-    writer = arranged.write.mode(mode)
+    writer = arranged.write.mode(mode).option("compression", compression)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)

@@ -113,3 +113,15 @@ def test_feed_builder_refuses_oversized_pages(spark, sf001):
     docs = spark.read.parquet(f"{sf001}/documents.parquet")
     with pytest.raises(Exception, match="doc_id is not unique"):
         feed_pages_from_documents(docs.unionAll(docs)).collect()
+
+
+def test_read_raw_xml_page_files(spark, tmp_path):
+    from revmart.sources.feed import read_pages
+
+    for i, body in enumerate([HEAD + LINKS + ENTRY_FULL + "</feed>", HEAD + ENTRY_SPARSE + "</feed>"]):
+        (tmp_path / f"page{i}.xml").write_text(body, encoding="utf-8")
+    pages = read_pages(spark, str(tmp_path), fmt="xml")
+    urls = [r.page_url for r in pages.collect()]
+    assert "https://x/p=1/xml?cc=br" in urls  # taken from the rel="self" link
+    assert any(u.endswith("page1.xml") for u in urls)  # no self link: the file path
+    assert sorted(r.id for r in feed_entries(pages).collect()) == ["11", "12"]

@@ -55,3 +55,22 @@ def test_url_strip_query(spark):
 def test_xml_escape(spark):
     df = spark.createDataFrame([('a & <b> "c"\r',)], "s string")
     assert df.select(xml_escape("s")).first()[0] == "a &amp; &lt;b&gt; &quot;c&quot;&#13;"
+
+
+def test_strip_accents_matches_python_on_random_unicode(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    texts = st.lists(st.one_of(st.none(), st.text(max_size=40)), min_size=1, max_size=60)
+
+    @settings(max_examples=15, deadline=None)
+    @given(texts)
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+        got = dict(df.select("i", strip_accents("s").alias("o")).collect())
+        for i, v in enumerate(values):
+            if v is not None and any(0xD800 <= ord(c) <= 0xDFFF for c in v):
+                continue  # lone surrogates are not valid UTF-8 text
+            assert got[i] == _python_reference(v), (v, got[i])
+
+    check()
