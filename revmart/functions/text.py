@@ -42,15 +42,27 @@ def normalise_text(col: Column | str) -> Column:
     return F.upper(strip_accents(col))
 
 
+# Fixed value: XML escapes for element text and quoted attributes; "&" comes
+# first so the entities added after it are not escaped again.
+XML_ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("\r", "&#13;"))
+
+
 def xml_escape(col: Column | str) -> Column:
     """Escape a string for XML element text or a quoted attribute (JVM-side)."""
     c = F.col(col) if isinstance(col, str) else col
-    # "&" first so the entities added below are not escaped again
-    for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("\r", "&#13;")):
+    for raw, entity in XML_ESCAPES:
         c = F.replace(c, F.lit(raw), F.lit(entity))
     return c
 
 
+def xml_escape_sql(expr: str) -> str:
+    """The same escape as SQL text around the SQL expression ``expr``."""
+    for raw, entity in XML_ESCAPES:
+        raw_sql = "\\r" if raw == "\r" else raw.replace("'", "\\'")
+        expr = f"replace({expr}, '{raw_sql}', '{entity}')"
+    return expr
+
+
 def url_strip_query(col: Column | str) -> Column:
     """Remove the query string (from the first ``?``) of a URL."""
     return F.regexp_replace(F.col(col) if isinstance(col, str) else col, URL_QUERY_PATTERN, "")

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,14 +42,26 @@ def parse_pages(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     return pages.withColumn("feed", F.from_xml(F.col("xml"), FEED_PAGE_XML_SCHEMA, _xml_options(mode)))
 
 
-def _last_where(arr: Column, pred, field: str) -> Column:
-    """``field`` of the last array element satisfying ``pred`` (NULL if none)."""
-    return F.try_element_at(F.filter(arr, pred), F.lit(-1))[field]
+def _last_where_sql(arr: str, pred: str, field: str) -> str:
+    """``field`` of the last element of ``arr`` satisfying ``pred`` (NULL if none)."""
+    return f"try_element_at(filter({arr}, x -> {pred}), -1).{field}"
 
 
-def _text(col: Column) -> Column:
+def _text_sql(expr: str) -> str:
     # an empty element has no text in the original parser; from_xml gives ''
-    return F.nullif(col, F.lit(""))
+    return f"nullif({expr}, '')"
+
+
+def _entry_field_sql(tag: str) -> str:
+    if tag == "content":
+        return _text_sql(_last_where_sql("e.content", "x._type = 'text'", "_VALUE"))
+    if tag in FEED_VOID_TAGS:
+        return "NULL"
+    return _text_sql(f"e.{tag}")
+
+
+ENTRY_FIELDS_SQL = [f"{_entry_field_sql(c)} AS {c}" for c in LANDING_COLUMNS]
+assert all(t in LANDING_COLUMNS for t in FEED_TEXT_TAGS)
 
 
 def feed_entries(pages: DataFrame, mode: str = "FAILFAST", keep_page_url: bool = False) -> DataFrame:
@@ -59,21 +71,9 @@ def feed_entries(pages: DataFrame, mode: str = "FAILFAST", keep_page_url: bool =
     an all-empty column of the original accumulated frame; ``void_to_string``
     repairs them before the sink.
     """
-    parsed = parse_pages(pages, mode)
-    exploded = parsed.select(
-        *([F.col("page_url")] if keep_page_url else []),
-        F.explode(F.col("feed.entry")).alias("e"),
-    )
-    cols = {}
-    for tag in FEED_TEXT_TAGS:
-        if tag == "content":
-            text_child = _last_where(F.col("e.content"), lambda c: c["_type"] == "text", "_VALUE")
-            cols[tag] = _text(text_child)
-        else:
-            cols[tag] = _text(F.col(f"e.{tag}"))
-    cols.update({tag: F.lit(None) for tag in FEED_VOID_TAGS})
-    out = [cols[c].alias(c) for c in LANDING_COLUMNS]
-    return exploded.select(*([F.col("page_url")] if keep_page_url else []), *out)
+    keep = ["page_url"] if keep_page_url else []
+    exploded = parse_pages(pages, mode).selectExpr(*keep, "explode(feed.entry) AS e")
+    return exploded.selectExpr(*keep, *ENTRY_FIELDS_SQL)
 
 
 def feed_content_text(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
@@ -83,12 +83,10 @@ def feed_content_text(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
 
 def feed_links(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """Per page: ``href`` of the last ``rel='next'`` and ``rel='last'`` links."""
-    parsed = parse_pages(pages, mode)
-    links = F.col("feed.link")
-    return parsed.select(
+    return parse_pages(pages, mode).selectExpr(
         "page_url",
-        _last_where(links, lambda l: l["_rel"] == "next", "_href").alias("link_next"),
-        _last_where(links, lambda l: l["_rel"] == "last", "_href").alias("link_last"),
+        _last_where_sql("feed.link", "x._rel = 'next'", "_href") + " AS link_next",
+        _last_where_sql("feed.link", "x._rel = 'last'", "_href") + " AS link_last",
     )
 
 
