@@ -125,3 +125,18 @@ def test_read_raw_xml_page_files(spark, tmp_path):
     assert "https://x/p=1/xml?cc=br" in urls  # taken from the rel="self" link
     assert any(u.endswith("page1.xml") for u in urls)  # no self link: the file path
     assert sorted(r.id for r in feed_entries(pages).collect()) == ["11", "12"]
+
+
+def test_pretty_printed_page_with_declaration_and_cdata(spark):
+    xml = (
+        '<?xml version="1.0" encoding="utf-8"?>\n' + HEAD
+        + "\n  <author><name>Store</name></author>\n  <updated>2022-07-01T00:00:00-07:00</updated>"
+        + '\n  <link rel="last" href="https://x/p=2/xml?a=1"/>'
+        + "\n  <entry>\n    <id>1</id>\n    <title>  spaced  </title>"
+        + '\n    <content type="text"><![CDATA[a <b> & c]]></content>\n    <im:rating>4</im:rating>\n  </entry>'
+        + "\n  <entry>\n    <id>2</id>\n    <title/>\n  </entry>\n</feed>\n"
+    )
+    rows = {r.id: r for r in feed_entries(_pages(spark, ("u", xml))).collect()}
+    assert set(rows) == {"1", "2"}
+    assert (rows["1"].title, rows["1"].content, rows["1"].rating) == ("  spaced  ", "a <b> & c", "4")
+    assert rows["2"].title is None
