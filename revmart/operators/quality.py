@@ -46,9 +46,19 @@ def distinct_subset(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns).distinct()
 
 
-def sort_multi_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Global ascending sort (NULLs first) on several keys."""
-    return df.orderBy(*keys)
+def sort_multi_key(df: DataFrame, keys: Sequence[str], split_ties: bool = True) -> DataFrame:
+    """Global ascending sort (NULLs first) on several keys.
+
+    A range shuffle sends every row of one key value to one partition, so a
+    key holding a third of all rows would make one huge sort task. With
+    ``split_ties`` a row id is appended as the last sort key: the order on
+    ``keys`` is unchanged (ties have no defined order anyway) but the range
+    partitioner can now cut a hot key across partitions.
+    """
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    if split_ties:
+        order.append(F.monotonically_increasing_id())
+    return df.orderBy(*order)
 
 
 def preview_rows(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:

@@ -77,3 +77,20 @@ def test_month_filter_equals_substring_form(spark, sf001):
         a = month_filter(orders, "o_orderdate", month)
         b = orders.where(F.substring(F.col("o_orderdate").cast("string"), 1, 7) == month)
         assert a.count() == b.count()
+
+
+def test_sort_splits_a_hot_key_across_partitions(spark):
+    from revmart.operators.quality import sort_multi_key
+
+    hot = spark.range(0, 40000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), "id"
+    )
+    out = sort_multi_key(hot, ["k"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = out.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(r["count"] for r in sizes) < 0.34 * 40000 * 0.75  # the hot third is cut up
+    keys = [r.k for r in out.select("k").collect()]
+    assert keys == sorted(keys)
