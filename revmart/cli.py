@@ -13,6 +13,7 @@ validation result (bounded: aggregates and samples only).
 from __future__ import annotations
 
 import argparse
+import logging
 
 from revmart.plans.jobs import bronze_job, gold_job, landing_job, quality_report, silver_job
 from revmart.session import get_session
@@ -29,6 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(message)s")
 
     spark = get_session(master=args.master)
     if args.stage == "landing":

@@ -10,11 +10,21 @@ global range sort.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger(__name__)
+
+
+class ZoneWrite(NamedTuple):
+    path: str
+    rows: int
+
 
 def layout_for_write(
     df: DataFrame,
@@ -53,18 +63,24 @@ def write_zone(
     files: str | int = "rebalance",
     mode: str = "overwrite",
     compression: str = "zstd",
-) -> str:
+) -> ZoneWrite:
     """Write ``df`` as partitioned parquet at ``path`` (static overwrite).
 
     zstd by default: zones carry whole review texts, which it packs tighter
     than snappy, and the bytes read back are what later stages pay for.
+    The row count is observed during the write itself (no second pass over
+    the lineage to count what was written).
     """
-    arranged = layout_for_write(df, partition_cols, sort_cols, files)
+    observation = Observation("zone_write")
+    observed = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+    arranged = layout_for_write(observed, partition_cols, sort_cols, files)
     writer = arranged.write.mode(mode).option("compression", compression)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
-    return path
+    rows = int(observation.get["rows"])
+    log.info("zone written: %s (%d rows)", path, rows)
+    return ZoneWrite(path, rows)
 
 
 def read_zone(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

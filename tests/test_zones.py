@@ -74,3 +74,10 @@ def test_file_count_per_directory(spark, sf001):
     one = scratch_path(spark, "t-coalesce")
     write_zone(bronze, one, BRONZE_PARTITIONS, files=1)
     assert len(glob.glob(f"{one}/*/*/*.parquet")) == 2
+
+
+def test_write_reports_rows_without_a_second_pass(spark, sf001):
+    bronze = catalog.rv_bronze(spark, sf001)
+    written = write_zone(bronze, scratch_path(spark, "t-observe"), BRONZE_PARTITIONS, BRONZE_FILE_ORDER)
+    assert written.rows == spark.read.parquet(f"{sf001}/documents.parquet").count()
+    assert os.path.isdir(written.path)
