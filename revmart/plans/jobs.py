@@ -54,10 +54,14 @@ def landing_job(
     return read_zone(spark, out_path, LANDING_SCHEMA)
 
 
-def bronze_job(spark: SparkSession, landing_path: str, out_path: str) -> DataFrame:
-    """J-2: landing zone -> bronze zone (conformed, de-duplicated, sorted in file)."""
+def bronze_job(spark: SparkSession, landing_path: str, out_path: str, files: str | int = "rebalance") -> DataFrame:
+    """J-2: landing zone -> bronze zone (conformed, de-duplicated, sorted in file).
+
+    ``files="keep"`` writes straight from the de-duplication reducers (one
+    shuffle instead of two; up to one file per reducer and month).
+    """
     bronze = conform_bronze(read_zone(spark, landing_path, LANDING_SCHEMA))
-    write_zone(bronze, out_path, BRONZE_PARTITIONS, BRONZE_FILE_ORDER)
+    write_zone(bronze, out_path, BRONZE_PARTITIONS, BRONZE_FILE_ORDER, files=files)
     return read_zone(spark, out_path, BRONZE_SCHEMA)
 
 

@@ -105,7 +105,7 @@ def entry_xml_sql(doc_id: str, text: str, source: str) -> str:
 def feed_pages_sql(entries_per_page: int = ENTRIES_PER_PAGE) -> str:
     """SQL over ``{docs}``: one Atom page per ``doc_id div entries_per_page``."""
     k = int(entries_per_page)
-    last = f"(SELECT max(floor(doc_id / {k})) FROM {{docs}})"
+    last = f"(SELECT max(doc_id div {k}) FROM {{docs}})"
     header = ", ".join([
         f"'<feed xmlns:im=\"{STORE_NS}\" xmlns=\"{ATOM_NS}\">'",
         # the bound rests on doc_id being unique: fail loudly, never build a giant page
@@ -123,10 +123,10 @@ def feed_pages_sql(entries_per_page: int = ENTRIES_PER_PAGE) -> str:
         SELECT page_no, {page_url_sql('page_no')} AS page_url,
                concat({header}, '\\n', {body}, '\\n</feed>') AS xml
         FROM (
-            SELECT floor(doc_id / {k}) AS page_no,
+            SELECT doc_id div {k} AS page_no,
                    array_sort(collect_list(struct(doc_id, text, source))) AS entries
             FROM {{docs}}
-            GROUP BY floor(doc_id / {k})
+            GROUP BY doc_id div {k}
         )
     """
 
