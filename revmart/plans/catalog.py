@@ -65,6 +65,7 @@ from revmart.schemas import (
     LANDING_COLUMNS,
     LANDING_SCHEMA,
     PAGE_SCHEMA,
+    SILVER_SCHEMA,
     SILVER_STAMP,
 )
 from revmart.session import scratch_path
@@ -294,6 +295,21 @@ def q_zone_roundtrip_gold(spark, sf_dir):
     return read_zone(spark, path, GOLD_SCHEMA)
 
 
+def q_zone_roundtrip_landing(spark, sf_dir):
+    path = scratch_path(spark, "landing-rv")
+    write_zone(add_partition_keys(rv(spark, sf_dir)), path, ["ano", "mes"])
+    return read_zone(spark, path, LANDING_SCHEMA)
+
+
+def q_zone_roundtrip_silver(spark, sf_dir):
+    bronze = scratch_path(spark, "bronze-rv")
+    write_zone(rv_bronze(spark, sf_dir), bronze, BRONZE_PARTITIONS, ["dt_date", "hr_review"])
+    silver = scratch_path(spark, "silver-rv")
+    stamped = stamp_load_time(read_zone(spark, bronze, BRONZE_SCHEMA), LOAD_TS)
+    write_zone(stamped, silver, BRONZE_PARTITIONS, ["dt_date", "hr_review"], files="keep")
+    return _stamped(read_zone(spark, silver, SILVER_SCHEMA))
+
+
 def q_zone_roundtrip_bronze(spark, sf_dir):
     path = scratch_path(spark, "bronze-rv")
     write_zone(rv_bronze(spark, sf_dir), path, BRONZE_PARTITIONS, ["dt_date", "hr_review"])
@@ -373,6 +389,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_union_pages": q_feed_union_pages,
     "zone_roundtrip_gold": q_zone_roundtrip_gold,
     "zone_roundtrip_bronze": q_zone_roundtrip_bronze,
+    "zone_roundtrip_landing": q_zone_roundtrip_landing,
+    "zone_roundtrip_silver": q_zone_roundtrip_silver,
     "job_landing": q_job_landing,
     "job_bronze": q_job_bronze,
     "job_silver": q_job_silver,
@@ -568,5 +586,7 @@ ORACLE: dict[str, str] = {
 ORACLE["distinct_count_by_month_sql"] = ORACLE["distinct_count_by_month"]
 ORACLE["preview_months_sql"] = ORACLE["preview_months"]
 ORACLE["preview_rows_sql"] = ORACLE["preview_rows"]
+ORACLE["zone_roundtrip_landing"] = ORACLE["job_landing"]
+ORACLE["zone_roundtrip_silver"] = ORACLE["job_silver"]
 for _name in ("count_by_votes", "count_by_rating", "count_by_version"):
     ORACLE[f"{_name}_sql"] = ORACLE[_name]
