@@ -18,7 +18,7 @@ def _c(col: Column | str) -> Column:
 
 
 def date_from_iso(col: Column | str) -> Column:
-    """Calendar date of ``yyyy-MM-ddTHH:mm:ss±hh:mm``; the offset is ignored.
+    """Calendar date of ``yyyy-MM-ddTHH:mm:ss±hh:mm``; the offset is ignored. [O-25]
 
     ``try_cast`` keeps a malformed value NULL instead of failing the job
     (ANSI mode is on by default in Spark 4).
@@ -27,7 +27,7 @@ def date_from_iso(col: Column | str) -> Column:
 
 
 def time_of_day(col: Column | str) -> Column:
-    """Characters 12-19 of the ISO string: ``HH:mm:ss``."""
+    """Characters 12-19 of the ISO string: ``HH:mm:ss``. [O-23]"""
     return _c(col).substr(12, 8)
 
 
@@ -40,7 +40,7 @@ def month_key(col: Column | str) -> Column:
 
 
 def year_month(col: Column | str) -> Column:
-    """``yyyy-MM`` of a date or timestamp column (first 7 characters of its text)."""
+    """``yyyy-MM`` of a date or timestamp column (first 7 characters of its text). [O-22, O-23]"""
     return F.substring(_c(col).cast("string"), 1, 7)
 
 
@@ -72,7 +72,7 @@ def month_filter(
     month: str,
     partition_cols: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Rows whose ``date_col`` falls in ``month`` (``yyyy-MM``).
+    """Rows whose ``date_col`` falls in ``month`` (``yyyy-MM``). [O-28]
 
     Same rows as ``substr(date_col, 1, 7) = month`` but written as a range
     so the parquet scan can push it down, plus equality on the year/month

@@ -28,7 +28,7 @@ URL_QUERY_PATTERN = r"\?.*"
 
 @F.arrow_udf(T.StringType())
 def strip_accents(text: pa.Array) -> pa.Array:
-    """NFKD-decompose, then drop every non-ASCII code point (NULL stays NULL).
+    """NFKD-decompose, then drop every non-ASCII code point (NULL stays NULL). [O-49]
 
     Accents fold to their base letter, compatibility forms expand
     (``½`` -> ``12``, ``ﬁ`` -> ``fi``) and emoji vanish.
@@ -38,7 +38,7 @@ def strip_accents(text: pa.Array) -> pa.Array:
 
 
 def normalise_text(col: Column | str) -> Column:
-    """Accent/emoji strip followed by upper-casing (idempotent)."""
+    """Accent/emoji strip followed by upper-casing (idempotent). [O-24, O-49]"""
     return F.upper(strip_accents(col))
 
 
@@ -64,5 +64,5 @@ def xml_escape_sql(expr: str) -> str:
 
 
 def url_strip_query(col: Column | str) -> Column:
-    """Remove the query string (from the first ``?``) of a URL."""
+    """Remove the query string (from the first ``?``) of a URL. [O-27]"""
     return F.regexp_replace(F.col(col) if isinstance(col, str) else col, URL_QUERY_PATTERN, "")

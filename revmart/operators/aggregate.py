@@ -11,13 +11,15 @@ from revmart.functions.dates import month_start, month_text
 
 
 def count_by(df: DataFrame, keys: Sequence[str | Column], name: str = "count") -> DataFrame:
-    """Rows per key; partial counts are combined map-side before the shuffle,
-    so a hot key costs one row per map task, not its row count."""
+    """Rows per key. [O-29..O-33]
+
+    Partial counts are combined map-side before the shuffle, so a hot key
+    costs one row per map task, not its row count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
 def mean_as_decimal(col: str | Column, precision: int = 18, scale: int = 1) -> Column:
-    """Mean of a (possibly textual) numeric column as ``decimal(p, s)``, half-up.
+    """Mean of a (possibly textual) numeric column as ``decimal(p, s)``, half-up. [O-21, O-22, O-34]
 
     Text that is not a number counts as NULL instead of aborting the job.
     """
@@ -32,7 +34,7 @@ def gold_mart(
     review_id: str = "nu_id",
     date: str = "dt_date",
 ) -> DataFrame:
-    """Mean rating and distinct reviews per (year-month, app version).
+    """Mean rating and distinct reviews per (year-month, app version). [O-34, O-35, O-36]
 
     ``count_distinct`` is planned as a two-level aggregate: first on
     (month, version, id) - hashed by id too, so a hot (month, version) group
@@ -57,7 +59,7 @@ def gold_mart(
 
 
 def distinct_count_by_month(df: DataFrame, date: str = "dt_date") -> DataFrame:
-    """Rows per year-month after whole-row de-duplication."""
+    """Rows per year-month after whole-row de-duplication. [O-30, O-37]"""
     key, is_date = month_start(df, date)
     counted = count_by(df.distinct(), [key.alias("month_start")], "total_registros")
     return counted.select("total_registros", month_text(F.col("month_start"), is_date).alias("data"))

@@ -45,7 +45,7 @@ def landing_frame(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
 def landing_job(
     spark: SparkSession, pages: DataFrame, out_path: str, mode: str = "FAILFAST", files: str | int = "rebalance"
 ) -> DataFrame:
-    """J-1: landed feed pages -> landing zone, partitioned by ano/mes (text).
+    """J-1: landed feed pages -> landing zone, partitioned by ano/mes (text). [J-1]
 
     ``files="keep"`` skips the rebalance shuffle; right when pages arrive in
     time order, so each task's pages span few months (few files per task).
@@ -55,7 +55,7 @@ def landing_job(
 
 
 def bronze_job(spark: SparkSession, landing_path: str, out_path: str, files: str | int = "rebalance") -> DataFrame:
-    """J-2: landing zone -> bronze zone (conformed, de-duplicated, sorted in file).
+    """J-2: landing zone -> bronze zone (conformed, de-duplicated, sorted in file). [J-2]
 
     ``files="keep"`` writes straight from the de-duplication reducers (one
     shuffle instead of two; up to one file per reducer and month).
@@ -66,7 +66,7 @@ def bronze_job(spark: SparkSession, landing_path: str, out_path: str, files: str
 
 
 def silver_job(spark: SparkSession, bronze_path: str, out_path: str, load_ts=None) -> DataFrame:
-    """J-3: bronze zone + load timestamp -> silver zone.
+    """J-3: bronze zone + load timestamp -> silver zone. [J-3]
 
     No shuffle: each bronze split belongs to one partition directory, so every
     task writes straight into the matching silver directory; a local sort
@@ -78,7 +78,7 @@ def silver_job(spark: SparkSession, bronze_path: str, out_path: str, load_ts=Non
 
 
 def gold_job(spark: SparkSession, silver_path: str, out_path: str, view: str = SILVER_VIEW) -> DataFrame:
-    """J-4: silver zone -> monthly mart per app version, partitioned by pt_ano_mes."""
+    """J-4: silver zone -> monthly mart per app version, partitioned by pt_ano_mes. [J-4, O-12, O-48]"""
     read_zone(spark, silver_path, SILVER_SCHEMA).createOrReplaceTempView(view)
     gold = spark.sql(gold_sql(view))
     write_zone(gold, out_path, GOLD_PARTITIONS)
@@ -86,7 +86,7 @@ def gold_job(spark: SparkSession, silver_path: str, out_path: str, view: str = S
 
 
 def quality_report(spark: SparkSession, silver_path: str, view: str = SILVER_VIEW) -> dict[str, DataFrame]:
-    """J-5: the validation statements over the written silver zone (lazy).
+    """J-5: the validation statements over the written silver zone (lazy). [J-5, O-19, O-47, O-48]
 
     They read the zone, not the plan that produced it, so no stage is
     re-run and the load timestamp is the one stored.

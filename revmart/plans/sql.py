@@ -70,5 +70,5 @@ def gold_sql(view: str, rating="nu_rating_review", version="nu_version_app", rev
 
 
 def run_on(spark: SparkSession, sql_text: str, df: DataFrame) -> DataFrame:
-    """Run a ``{view}`` SQL template against a DataFrame without a named view."""
+    """Run a ``{view}`` SQL template against a DataFrame without a named view. [O-48]"""
     return spark.sql(sql_text.replace("{view}", "{src_view}"), src_view=df)

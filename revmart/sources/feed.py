@@ -38,7 +38,7 @@ def _xml_options(mode: str) -> dict[str, str]:
 
 
 def parse_pages(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
-    """Add a parsed ``feed`` struct (``link`` and ``entry`` arrays) to each page."""
+    """Add a parsed ``feed`` struct (``link`` and ``entry`` arrays) to each page. [O-01]"""
     return pages.withColumn("feed", F.from_xml(F.col("xml"), FEED_PAGE_XML_SCHEMA, _xml_options(mode)))
 
 
@@ -65,7 +65,7 @@ assert all(t in LANDING_COLUMNS for t in FEED_TEXT_TAGS)
 
 
 def feed_entries(pages: DataFrame, mode: str = "FAILFAST", keep_page_url: bool = False) -> DataFrame:
-    """One row per ``entry`` of every page, landing-zone columns, all strings.
+    """One row per ``entry`` of every page, landing-zone columns, all strings. [O-01]
 
     The attribute-only tags come out as typed-less NULL columns, exactly like
     an all-empty column of the original accumulated frame; ``void_to_string``
@@ -77,12 +77,12 @@ def feed_entries(pages: DataFrame, mode: str = "FAILFAST", keep_page_url: bool =
 
 
 def feed_content_text(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
-    """Entry id with its text-typed ``content`` child (html children skipped)."""
+    """Entry id with its text-typed ``content`` child (html children skipped). [O-02]"""
     return feed_entries(pages, mode).select("id", "content")
 
 
 def feed_links(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
-    """Per page: ``href`` of the last ``rel='next'`` and ``rel='last'`` links."""
+    """Per page: ``href`` of the last ``rel='next'`` and ``rel='last'`` links. [O-03]"""
     return parse_pages(pages, mode).selectExpr(
         "page_url",
         _last_where_sql("feed.link", "x._rel = 'next'", "_href") + " AS link_next",
@@ -91,7 +91,7 @@ def feed_links(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
 
 
 def feed_last_page(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
-    """Per page: is it the last page (URLs compared without their query string)?"""
+    """Per page: is it the last page (URLs compared without their query string)? [O-04, O-27]"""
     return feed_links(pages, mode).select(
         "page_url",
         "link_next",
@@ -101,12 +101,12 @@ def feed_last_page(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
 
 
 def union_pages(*frames: DataFrame) -> DataFrame:
-    """Stack batches of entries by column name; a column missing in a batch is NULL."""
+    """Stack batches of entries by column name; a column missing in a batch is NULL. [O-05]"""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def frame_from_entries(spark: SparkSession, entries: list[dict]) -> DataFrame:
-    """Small driver-side entry dicts (tests, fixtures) -> a DataFrame.
+    """Small driver-side entry dicts (tests, fixtures) -> a DataFrame. [O-06]
 
     Keys may differ between entries: the columns are the union of keys in
     first-seen order, all strings, absent keys NULL - the shape a stack of

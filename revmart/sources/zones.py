@@ -32,7 +32,7 @@ def layout_for_write(
     sort_cols: Sequence[str] = (),
     files: str | int = "rebalance",
 ) -> DataFrame:
-    """Arrange rows for a partitioned write.
+    """Arrange rows for a partitioned write. [O-11, O-40]
 
     ``files``:
       * ``"rebalance"`` - AQE-sized writers keyed by the partition columns
@@ -64,7 +64,7 @@ def write_zone(
     mode: str = "overwrite",
     compression: str = "zstd",
 ) -> ZoneWrite:
-    """Write ``df`` as partitioned parquet at ``path`` (static overwrite).
+    """Write ``df`` as partitioned parquet at ``path`` (static overwrite). [O-08, O-09, O-10]
 
     zstd by default: zones carry whole review texts, which it packs tighter
     than snappy, and the bytes read back are what later stages pay for.
@@ -84,8 +84,10 @@ def write_zone(
 
 
 def read_zone(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a zone back. With ``schema`` the partition columns get the declared
-    types instead of whatever partition-value inference would pick."""
+    """Read a zone back. [O-07]
+
+    With ``schema`` the partition columns get the declared types instead of
+    whatever partition-value inference would pick."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
