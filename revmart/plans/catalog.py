@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -339,7 +340,9 @@ def q_job_gold(spark, sf_dir):
     bronze, _ = _through_bronze(spark, sf_dir)
     silver = scratch_path(spark, "silver")
     silver_job(spark, bronze, silver)
-    return gold_job(spark, silver, scratch_path(spark, "gold"))
+    # a view name of its own, so concurrent calls in one session never clash
+    view = f"vw_reviews_silver_{uuid.uuid4().hex}"
+    return gold_job(spark, silver, scratch_path(spark, "gold"), view=view)
 
 
 def q_stream_landing(spark, sf_dir):
