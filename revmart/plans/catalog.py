@@ -79,8 +79,19 @@ LOAD_TS = dt.datetime(2022, 8, 1, 3, 0, 0)
 FILTER_MONTH = "1996-03"
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A test table. Its footer schema is inferred once per path (the files are
+    immutable) and declared on later reads, which skips the inference job."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def rv(spark: SparkSession, sf_dir: str) -> DataFrame:
