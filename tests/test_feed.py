@@ -140,3 +140,15 @@ def test_pretty_printed_page_with_declaration_and_cdata(spark):
     assert set(rows) == {"1", "2"}
     assert (rows["1"].title, rows["1"].content, rows["1"].rating) == ("  spaced  ", "a <b> & c", "4")
     assert rows["2"].title is None
+
+
+def test_read_page_table(spark, sf001):
+    from revmart.plans import catalog
+    from revmart.session import scratch_path
+    from revmart.sources.feed import read_pages
+
+    path = scratch_path(spark, "t-pages")
+    catalog.pages(spark, sf001).write.parquet(path)
+    pages = read_pages(spark, path)
+    assert pages.columns == ["page_url", "xml"]
+    assert feed_entries(pages).count() == spark.read.parquet(f"{sf001}/documents.parquet").count()
