@@ -1,7 +1,7 @@
 """Run one stage as a batch job, e.g. with spark-submit:
 
     python -m revmart.cli landing --pages /lake/pages --out /lake/landing
-    python -m revmart.cli bronze --in /lake/landing --out /lake/bronze
+    python -m revmart.cli bronze --in /lake/landing --out /lake/bronze [--months 2022-07]
     python -m revmart.cli silver --in /lake/bronze --out /lake/silver
     python -m revmart.cli gold   --in /lake/silver --out /lake/gold
     python -m revmart.cli report --in /lake/silver
@@ -28,17 +28,19 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--pages-format", default="parquet", choices=["parquet", "xml"])
     ap.add_argument("--out", help="output zone")
     ap.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
+    ap.add_argument("--months", default=None, help="bronze/silver: comma list of yyyy-MM to rebuild")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(message)s")
 
     spark = get_session(master=args.master)
+    months = [m.strip() for m in args.months.split(",")] if args.months else None
     if args.stage == "landing":
         landing_job(spark, read_pages(spark, args.pages, args.pages_format), args.out, args.mode)
     elif args.stage == "bronze":
-        bronze_job(spark, args.src, args.out)
+        bronze_job(spark, args.src, args.out, months=months)
     elif args.stage == "silver":
-        silver_job(spark, args.src, args.out)
+        silver_job(spark, args.src, args.out, months=months)
     elif args.stage == "gold":
         gold_job(spark, args.src, args.out)
     else:

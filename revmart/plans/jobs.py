@@ -8,8 +8,11 @@ forces a re-run of earlier stages, and every check runs on what was written.
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revmart.operators.conform import add_partition_keys, conform_bronze, stamp_load_time, void_to_string
 from revmart.plans.sql import (
@@ -54,26 +57,69 @@ def landing_job(
     return read_zone(spark, out_path, LANDING_SCHEMA)
 
 
-def bronze_job(spark: SparkSession, landing_path: str, out_path: str, files: str | int = "rebalance") -> DataFrame:
+def only_months(df: DataFrame, year: str, month: str, months: Sequence[str]) -> DataFrame:
+    """Rows of the given ``yyyy-MM`` months, by partition-column equality, so
+    the scan reads only those partition directories."""
+    conds = [(F.col(year) == int(m[:4])) & (F.col(month) == int(m[5:7])) for m in months]
+    return df.where(reduce(lambda a, b: a | b, conds))
+
+
+def _require_months(df: DataFrame, year: str, month: str, months: Sequence[str]) -> None:
+    """Every requested month must have input rows: a month without any would
+    keep its old output directory under a dynamic overwrite. Reads partition
+    values only; at most ``len(months)`` rows reach the driver."""
+    found = {f"{r[0]:04d}-{r[1]:02d}" for r in df.select(year, month).distinct().collect()}
+    missing = sorted(set(months) - found)
+    if missing:
+        raise ValueError(f"no input rows for months {missing}")
+
+
+def bronze_job(
+    spark: SparkSession,
+    landing_path: str,
+    out_path: str,
+    files: str | int = "rebalance",
+    months: Sequence[str] | None = None,
+) -> DataFrame:
     """J-2: landing zone -> bronze zone (conformed, de-duplicated, sorted in file). [J-2]
 
     ``files="keep"`` writes straight from the de-duplication reducers (one
     shuffle instead of two; up to one file per reducer and month).
+
+    ``months`` (``yyyy-MM`` list) recomputes only those partitions and leaves
+    the others in place (dynamic overwrite). Exact: the year/month keys are
+    part of every row, so duplicates never span months and a bronze month
+    depends on its landing month alone.
     """
-    bronze = conform_bronze(read_zone(spark, landing_path, LANDING_SCHEMA))
-    write_zone(bronze, out_path, BRONZE_PARTITIONS, BRONZE_FILE_ORDER, files=files)
+    landing = read_zone(spark, landing_path, LANDING_SCHEMA)
+    if months:
+        landing = only_months(landing, "ano", "mes", months)
+        _require_months(landing, "ano", "mes", months)
+    write_zone(
+        conform_bronze(landing), out_path, BRONZE_PARTITIONS, BRONZE_FILE_ORDER, files=files,
+        overwrite="dynamic" if months else "static",
+    )
     return read_zone(spark, out_path, BRONZE_SCHEMA)
 
 
-def silver_job(spark: SparkSession, bronze_path: str, out_path: str, load_ts=None) -> DataFrame:
+def silver_job(
+    spark: SparkSession, bronze_path: str, out_path: str, load_ts=None, months: Sequence[str] | None = None
+) -> DataFrame:
     """J-3: bronze zone + load timestamp -> silver zone. [J-3]
 
     No shuffle: each bronze split belongs to one partition directory, so every
     task writes straight into the matching silver directory; a local sort
-    keeps the in-file order.
+    keeps the in-file order. ``months`` restamps only those partitions.
     """
-    silver = stamp_load_time(read_zone(spark, bronze_path, BRONZE_SCHEMA), load_ts)
-    write_zone(silver, out_path, BRONZE_PARTITIONS, BRONZE_FILE_ORDER, files="keep")
+    bronze = read_zone(spark, bronze_path, BRONZE_SCHEMA)
+    if months:
+        bronze = only_months(bronze, "pt_ano", "pt_mes", months)
+        _require_months(bronze, "pt_ano", "pt_mes", months)
+    silver = stamp_load_time(bronze, load_ts)
+    write_zone(
+        silver, out_path, BRONZE_PARTITIONS, BRONZE_FILE_ORDER, files="keep",
+        overwrite="dynamic" if months else "static",
+    )
     return read_zone(spark, out_path, SILVER_SCHEMA)
 
 

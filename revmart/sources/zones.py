@@ -63,18 +63,22 @@ def write_zone(
     files: str | int = "rebalance",
     mode: str = "overwrite",
     compression: str = "zstd",
+    overwrite: str = "static",
 ) -> ZoneWrite:
     """Write ``df`` as partitioned parquet at ``path`` (static overwrite). [O-08, O-09, O-10]
 
     zstd by default: zones carry whole review texts, which it packs tighter
     than snappy, and the bytes read back are what later stages pay for.
     The row count is observed during the write itself (no second pass over
-    the lineage to count what was written).
+    the lineage to count what was written). ``overwrite="dynamic"`` replaces
+    only the partition directories present in ``df`` and keeps the others.
     """
     observation = Observation("zone_write")
     observed = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     arranged = layout_for_write(observed, partition_cols, sort_cols, files)
     writer = arranged.write.mode(mode).option("compression", compression)
+    if mode == "overwrite":
+        writer = writer.option("partitionOverwriteMode", overwrite)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)

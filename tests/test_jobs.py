@@ -73,3 +73,45 @@ def test_quality_report_reads_the_silver_zone(spark, sf001):
     assert report["preview_rows"].count() == 5
     ratings = [r.nu_rating_review for r in report["count_by_rating"].collect()]
     assert ratings == sorted(ratings, reverse=True)
+
+
+def test_month_scoped_rebuild_equals_full_rebuild(spark, sf001):
+    from revmart.plans.jobs import bronze_job, landing_job, silver_job
+
+    root = scratch_path(spark, "t-incr")
+    landing, bronze, silver = (os.path.join(root, z) for z in ("landing", "bronze", "silver"))
+    pages = catalog.pages(spark, sf001)
+    landing_job(spark, pages, landing)
+    bronze_job(spark, landing, bronze)
+    silver_job(spark, bronze, silver, dt.datetime(2022, 8, 1))
+    june_before = read_zone(spark, silver, SILVER_SCHEMA).where("pt_mes = 6").count()
+
+    # July's landing month is replaced by a re-crawl holding each July review twice
+    july = read_zone(spark, landing, LANDING_SCHEMA).where("mes = 7")
+    extra = july.unionAll(july).withColumn("ano", F.col("ano").cast("string")).withColumn(
+        "mes", F.lpad(F.col("mes").cast("string"), 2, "0"))
+    from revmart.sources.zones import write_zone
+    write_zone(extra, landing, ["ano", "mes"], overwrite="dynamic")
+
+    bronze_job(spark, landing, bronze, months=["2022-07"])
+    silver_job(spark, bronze, silver, dt.datetime(2022, 9, 1), months=["2022-07"])
+    got = read_zone(spark, silver, SILVER_SCHEMA)
+    assert got.where("pt_mes = 6").count() == june_before  # June untouched
+    assert got.where("pt_mes = 6").where(F.col("ts_gravado_em") != F.lit(dt.datetime(2022, 8, 1))).count() == 0
+    assert got.where("pt_mes = 7").where(F.col("ts_gravado_em") != F.lit(dt.datetime(2022, 9, 1))).count() == 0
+
+    full = scratch_path(spark, "t-incr-full")
+    bronze_job(spark, landing, full)
+    assert got.drop("ts_gravado_em").exceptAll(read_zone(spark, full, BRONZE_SCHEMA)).count() == 0
+    assert read_zone(spark, full, BRONZE_SCHEMA).exceptAll(got.drop("ts_gravado_em")).count() == 0
+
+
+def test_month_scoped_rebuild_refuses_empty_month(spark, sf001):
+    import pytest
+
+    from revmart.plans.jobs import bronze_job, landing_job
+
+    root = scratch_path(spark, "t-incr2")
+    landing_job(spark, catalog.pages(spark, sf001), os.path.join(root, "landing"))
+    with pytest.raises(ValueError, match="2022-09"):
+        bronze_job(spark, os.path.join(root, "landing"), os.path.join(root, "bronze"), months=["2022-09"])
