@@ -115,3 +115,14 @@ def test_month_scoped_rebuild_refuses_empty_month(spark, sf001):
     landing_job(spark, catalog.pages(spark, sf001), os.path.join(root, "landing"))
     with pytest.raises(ValueError, match="2022-09"):
         bronze_job(spark, os.path.join(root, "landing"), os.path.join(root, "bronze"), months=["2022-09"])
+
+
+def test_rerunning_a_stage_is_idempotent(spark, sf001):
+    from revmart.plans.jobs import bronze_job, landing_job
+
+    root = scratch_path(spark, "t-rerun")
+    landing, bronze = os.path.join(root, "landing"), os.path.join(root, "bronze")
+    landing_job(spark, catalog.pages(spark, sf001), landing)
+    first = [tuple(r) for r in bronze_job(spark, landing, bronze).orderBy("nu_id").collect()]
+    again = [tuple(r) for r in bronze_job(spark, landing, bronze).orderBy("nu_id").collect()]
+    assert first == again and len(first) == spark.read.parquet(f"{sf001}/documents.parquet").count()
