@@ -94,3 +94,21 @@ def test_sort_splits_a_hot_key_across_partitions(spark):
     assert max(r["count"] for r in sizes) < 0.34 * 40000 * 0.75  # the hot third is cut up
     keys = [r.k for r in out.select("k").collect()]
     assert keys == sorted(keys)
+
+
+def test_version_text_sorts_lexicographically(spark):
+    from revmart.operators.quality import count_by_version
+
+    df = spark.createDataFrame([("1.10.0",), ("1.9.0",), ("1.9.0",), ("2.0",)], "nu_version_app string")
+    got = [(r.nu_version_app, r.total) for r in count_by_version(df).collect()]
+    assert got == [("2.0", 1), ("1.9.0", 2), ("1.10.0", 1)]
+
+
+def test_mean_as_decimal_half_up_and_tolerant(spark):
+    from revmart.operators.aggregate import mean_as_decimal
+
+    rows = [("a", "1.1"), ("a", "1.2"), ("b", "2.2"), ("b", "2.3"), ("c", "-2.2"), ("c", "-2.3"),
+            ("d", "4"), ("d", "not a number")]
+    df = spark.createDataFrame(rows, "g string, r string")
+    got = {r.g: str(r.m) for r in df.groupBy("g").agg(mean_as_decimal("r").alias("m")).collect()}
+    assert got == {"a": "1.2", "b": "2.3", "c": "-2.3", "d": "4.0"}
