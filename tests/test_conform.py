@@ -112,3 +112,22 @@ def test_mean_as_decimal_half_up_and_tolerant(spark):
     df = spark.createDataFrame(rows, "g string, r string")
     got = {r.g: str(r.m) for r in df.groupBy("g").agg(mean_as_decimal("r").alias("m")).collect()}
     assert got == {"a": "1.2", "b": "2.3", "c": "-2.3", "d": "4.0"}
+
+
+def test_month_filter_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    stamps = st.lists(st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2030, 12, 31)),
+                      min_size=1, max_size=50)
+
+    @settings(max_examples=10, deadline=None)
+    @given(stamps, st.sampled_from(["1999-12", "2000-01", "2000-02", "2024-02", "2030-12"]))
+    def check(values, month):
+        df = spark.createDataFrame([(v, v.date()) for v in values], "ts timestamp_ntz, d date")
+        for col in ("ts", "d"):
+            ranged = month_filter(df, col, month).count()
+            literal = df.where(F.substring(F.col(col).cast("string"), 1, 7) == month).count()
+            assert ranged == literal
+
+    check()
