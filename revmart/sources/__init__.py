@@ -1,4 +1,5 @@
 from revmart.sources.feed import (
+    entries_from_xml_files,
     feed_content_text,
     feed_entries,
     feed_last_page,
@@ -12,6 +13,7 @@ from revmart.sources.fixtures import feed_pages_from_documents, reviews_from_doc
 from revmart.sources.zones import layout_for_write, read_zone, write_zone
 
 __all__ = [
+    "entries_from_xml_files",
     "feed_content_text",
     "feed_entries",
     "feed_last_page",

@@ -152,3 +152,16 @@ def test_read_page_table(spark, sf001):
     pages = read_pages(spark, path)
     assert pages.columns == ["page_url", "xml"]
     assert feed_entries(pages).count() == spark.read.parquet(f"{sf001}/documents.parquet").count()
+
+
+def test_entries_from_xml_files_match_page_parsing(spark, sf001, tmp_path):
+    from revmart.plans import catalog
+    from revmart.sources.feed import entries_from_xml_files
+
+    pages = catalog.pages(spark, sf001)
+    for i, r in enumerate(pages.limit(3).collect()):
+        (tmp_path / f"p{i}.xml").write_text(r.xml, encoding="utf-8")
+    from_files = void_to_string(entries_from_xml_files(spark, str(tmp_path)))
+    from_pages = void_to_string(feed_entries(spark.createDataFrame(pages.limit(3).collect())))
+    assert from_files.count() == from_pages.count() > 0
+    assert from_files.exceptAll(from_pages).count() == 0
