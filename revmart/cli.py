@@ -15,7 +15,14 @@ from __future__ import annotations
 import argparse
 import logging
 
-from revmart.plans.jobs import bronze_job, gold_job, landing_job, quality_report, silver_job
+from revmart.plans.jobs import (
+    bronze_job,
+    gold_job,
+    landing_job,
+    landing_job_from_xml_files,
+    quality_report,
+    silver_job,
+)
 from revmart.session import get_session
 from revmart.sources.feed import read_pages
 
@@ -25,7 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("stage", choices=["landing", "bronze", "silver", "gold", "report"])
     ap.add_argument("--in", dest="src", help="input zone (bronze, silver, gold, report)")
     ap.add_argument("--pages", help="landed pages (landing)")
-    ap.add_argument("--pages-format", default="parquet", choices=["parquet", "xml"])
+    ap.add_argument("--pages-format", default="parquet", choices=["parquet", "xml", "xml-entries"])
     ap.add_argument("--out", help="output zone")
     ap.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
     ap.add_argument("--months", default=None, help="bronze/silver: comma list of yyyy-MM to rebuild")
@@ -35,7 +42,9 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session(master=args.master)
     months = [m.strip() for m in args.months.split(",")] if args.months else None
-    if args.stage == "landing":
+    if args.stage == "landing" and args.pages_format == "xml-entries":
+        landing_job_from_xml_files(spark, args.pages, args.out, args.mode)
+    elif args.stage == "landing":
         landing_job(spark, read_pages(spark, args.pages, args.pages_format), args.out, args.mode)
     elif args.stage == "bronze":
         bronze_job(spark, args.src, args.out, months=months)

@@ -34,15 +34,20 @@ from revmart.schemas import (
     LANDING_SCHEMA,
     SILVER_SCHEMA,
 )
-from revmart.sources.feed import feed_entries
+from revmart.sources.feed import entries_from_xml_files, feed_entries
 from revmart.sources.zones import read_zone, write_zone
 
 SILVER_VIEW = "vw_reviews_silver"
 
 
+def landing_rows(entries: DataFrame) -> DataFrame:
+    """Entries -> landing rows: void columns typed, year/month keys added."""
+    return add_partition_keys(void_to_string(entries))
+
+
 def landing_frame(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
-    """Pages -> landing rows: entries, void columns typed, year/month keys."""
-    return add_partition_keys(void_to_string(feed_entries(pages, mode)))
+    """Pages -> landing rows."""
+    return landing_rows(feed_entries(pages, mode))
 
 
 def landing_job(
@@ -57,6 +62,13 @@ def landing_job(
     return read_zone(spark, out_path, LANDING_SCHEMA)
 
 
+def landing_job_from_xml_files(spark: SparkSession, path: str, out_path: str, mode: str = "FAILFAST") -> DataFrame:
+    """J-1 variant: landed raw XML files read by the XML data source (entries
+    streamed record by record) -> landing zone. [J-1]"""
+    write_zone(landing_rows(entries_from_xml_files(spark, path, mode)), out_path, LANDING_PARTITIONS)
+    return read_zone(spark, out_path, LANDING_SCHEMA)
+
+
 def only_months(df: DataFrame, year: str, month: str, months: Sequence[str]) -> DataFrame:
     """Rows of the given ``yyyy-MM`` months, by partition-column equality, so
     the scan reads only those partition directories."""

@@ -25,3 +25,14 @@ def test_cli_runs_every_stage(spark, sf001, capsys):
     main(["report", "--in", z["silver"]])
     out = capsys.readouterr().out
     assert "-- count_by_rating" in out and "-- preview_months" in out
+
+
+def test_cli_landing_from_raw_xml_files(spark, sf001, tmp_path):
+    pages = catalog.pages(spark, sf001).limit(2).collect()
+    for i, r in enumerate(pages):
+        (tmp_path / f"p{i}.xml").write_text(r.xml, encoding="utf-8")
+    out = scratch_path(spark, "t-cli-xml")
+    main(["landing", "--pages", str(tmp_path), "--pages-format", "xml-entries", "--out", out])
+    from revmart.schemas import LANDING_SCHEMA
+
+    assert read_zone(spark, out, LANDING_SCHEMA).count() == 100  # two pages of 50 entries
