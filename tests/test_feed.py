@@ -165,3 +165,31 @@ def test_entries_from_xml_files_match_page_parsing(spark, sf001, tmp_path):
     from_pages = void_to_string(feed_entries(spark.createDataFrame(pages.limit(3).collect())))
     assert from_files.count() == from_pages.count() > 0
     assert from_files.exceptAll(from_pages).count() == 0
+
+
+def test_feed_round_trip_preserves_arbitrary_text(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from revmart.sources.fixtures import feed_pages_from_documents
+
+    # characters XML 1.0 can carry (no other C0 controls, surrogates or U+FFFE/FFFF)
+    xml_char = st.characters(
+        blacklist_categories=("Cs",),
+        blacklist_characters=[chr(c) for c in range(0x20) if c not in (9, 10, 13)] + ["￾", "￿"],
+    )
+    texts = st.lists(st.text(xml_char, max_size=60), min_size=1, max_size=40)
+
+    @settings(max_examples=12, deadline=None)
+    @given(texts)
+    def check(values):
+        docs = spark.createDataFrame(
+            [(i, v, "src") for i, v in enumerate(values)], "doc_id long, text string, source string"
+        )
+        pages = feed_pages_from_documents(docs).select("page_url", "xml")
+        got = {int(r.id): r.content for r in feed_entries(pages).collect()}
+        assert len(got) == len(values)
+        for i, v in enumerate(values):
+            assert got[i] == (v if v != "" else None), (v, got[i])
+
+    check()
