@@ -44,6 +44,8 @@ def layout_for_write(
         (only sensible for small outputs).
     """
     if files == "rebalance":
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() != "true":
+            log.warning("AQE is off: REBALANCE cannot split a hot partition directory over writers")
         arranged = df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
     elif files == "keep":
         arranged = df
