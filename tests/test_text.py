@@ -74,3 +74,24 @@ def test_strip_accents_matches_python_on_random_unicode(spark):
             assert got[i] == _nfkd_ascii(v), (v, got[i])
 
     check()
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark, sf001):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    @F.arrow_udf(T.LongType())
+    def batch_rows(s: pa.Array) -> pa.Array:
+        return pa.array([len(s)] * len(s), pa.int64())
+
+    docs = spark.read.parquet(f"{sf001}/documents.parquet")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch",
+                                            "spark.sql.execution.arrow.maxBytesPerBatch")}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024))
+    try:
+        biggest = docs.select(batch_rows("text").alias("n")).agg(F.max("n")).first()[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert biggest < docs.count()  # whole texts never build one unbounded batch
