@@ -13,7 +13,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Defaults tuned for the pipeline; any value already set on the cluster wins.
+# Defaults tuned for the pipeline. A key the cluster already configures
+# (spark-defaults, --conf) keeps the cluster's value.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,7 +29,8 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     # bound the size of any single output file in a zone
     "spark.sql.files.maxRecordsPerFile": "5000000",
-    # zones are rewritten per run: only touched partition directories change
+    # a run replaces the whole zone, as the original does; month-scoped
+    # rebuilds pass overwrite="dynamic" per write
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
@@ -37,20 +39,20 @@ def get_session(master: str | None = None, app_name: str = "revmart", **conf: st
     """Build (or reuse) a session with the pipeline defaults.
 
     ``master`` is only applied when given; on a cluster the launcher decides.
-    Keyword ``conf`` entries (dots written as ``__``) override the defaults.
+    Keyword ``conf`` entries (dots written as ``__``) are applied as given;
+    the ``DEFAULT_CONF`` values only fill keys nobody configured. The web UI
+    stays off.
     """
-    builder = SparkSession.builder.appName(app_name)
+    overrides = {k.replace("__", "."): v for k, v in conf.items()}
+    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    merged = dict(DEFAULT_CONF)
-    merged.setdefault("spark.ui.enabled", "false")
-    merged.update({k.replace("__", "."): v for k, v in conf.items()})
-    for key, value in merged.items():
+    for key, value in overrides.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    configured = spark.sparkContext.getConf()
     for key, value in DEFAULT_CONF.items():
-        # a reused session keeps its own settings; only fill in what is missing
-        if key.startswith("spark.sql.") and spark.conf.get(key, None) is None:
+        if key not in overrides and not configured.contains(key):
             spark.conf.set(key, value)
     return spark
 
