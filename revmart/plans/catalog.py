@@ -64,14 +64,13 @@ from revmart.schemas import (
     GOLD_PARTITIONS,
     GOLD_SCHEMA,
     LANDING_COLUMNS,
-    LANDING_SCHEMA,
     SILVER_SCHEMA,
     SILVER_STAMP,
 )
 from revmart.session import scratch_path
 from revmart.sources.feed import feed_content_text, feed_entries, feed_last_page, feed_links, union_pages
 from revmart.sources.fixtures import ENTRIES_PER_PAGE, feed_pages_from_documents, reviews_from_documents
-from revmart.sources.zones import read_zone, write_zone
+from revmart.sources.zones import read_landing, read_zone, write_zone
 from revmart.streaming.landing_stream import start_landing_stream
 
 # Fixed load time for repeatable silver rows.
@@ -309,7 +308,7 @@ def q_zone_roundtrip_gold(spark, sf_dir):
 def q_zone_roundtrip_landing(spark, sf_dir):
     path = scratch_path(spark, "landing-rv")
     write_zone(add_partition_keys(rv(spark, sf_dir)), path, ["ano", "mes"])
-    return read_zone(spark, path, LANDING_SCHEMA)
+    return read_landing(spark, path)
 
 
 def q_zone_roundtrip_silver(spark, sf_dir):
@@ -362,7 +361,7 @@ def q_stream_landing(spark, sf_dir):
     out = scratch_path(spark, "landing-stream")
     query = start_landing_stream(spark, landed, out, scratch_path(spark, "landing-stream-ckpt"))
     query.awaitTermination()
-    return read_zone(spark, out, LANDING_SCHEMA)
+    return read_landing(spark, out)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

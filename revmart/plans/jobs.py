@@ -31,11 +31,10 @@ from revmart.schemas import (
     GOLD_PARTITIONS,
     GOLD_SCHEMA,
     LANDING_PARTITIONS,
-    LANDING_SCHEMA,
     SILVER_SCHEMA,
 )
 from revmart.sources.feed import entries_from_xml_files, feed_entries
-from revmart.sources.zones import read_zone, write_zone
+from revmart.sources.zones import read_landing, read_zone, write_zone
 
 SILVER_VIEW = "vw_reviews_silver"
 
@@ -59,14 +58,14 @@ def landing_job(
     time order, so each task's pages span few months (few files per task).
     """
     write_zone(landing_frame(pages, mode), out_path, LANDING_PARTITIONS, files=files)
-    return read_zone(spark, out_path, LANDING_SCHEMA)
+    return read_landing(spark, out_path)
 
 
 def landing_job_from_xml_files(spark: SparkSession, path: str, out_path: str, mode: str = "FAILFAST") -> DataFrame:
     """J-1 variant: landed raw XML files read by the XML data source (entries
     streamed record by record) -> landing zone. [J-1]"""
     write_zone(landing_rows(entries_from_xml_files(spark, path, mode)), out_path, LANDING_PARTITIONS)
-    return read_zone(spark, out_path, LANDING_SCHEMA)
+    return read_landing(spark, out_path)
 
 
 def only_months(df: DataFrame, year: str, month: str, months: Sequence[str]) -> DataFrame:
@@ -103,7 +102,7 @@ def bronze_job(
     part of every row, so duplicates never span months and a bronze month
     depends on its landing month alone.
     """
-    landing = read_zone(spark, landing_path, LANDING_SCHEMA)
+    landing = read_landing(spark, landing_path)
     if months:
         landing = only_months(landing, "ano", "mes", months)
         _require_months(landing, "ano", "mes", months)

@@ -62,6 +62,11 @@ LANDING_SCHEMA = T.StructType(
     [T.StructField(c, S) for c in LANDING_COLUMNS]
     + [T.StructField("ano", T.IntegerType()), T.StructField("mes", T.IntegerType())]
 )
+# On disk the landing keys are text (``mes=06``); a malformed timestamp can
+# leave a non-numeric key, so they are read as text and converted leniently.
+LANDING_FILE_SCHEMA = T.StructType(
+    [T.StructField(c, S) for c in LANDING_COLUMNS + LANDING_PARTITIONS]
+)
 
 BRONZE_SCHEMA = T.StructType([
     T.StructField("nu_id", S),

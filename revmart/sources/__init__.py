@@ -10,7 +10,7 @@ from revmart.sources.feed import (
     union_pages,
 )
 from revmart.sources.fixtures import feed_pages_from_documents, reviews_from_documents
-from revmart.sources.zones import layout_for_write, read_zone, write_zone
+from revmart.sources.zones import layout_for_write, read_landing, read_zone, write_zone
 
 __all__ = [
     "entries_from_xml_files",
@@ -22,6 +22,7 @@ __all__ = [
     "frame_from_entries",
     "layout_for_write",
     "parse_pages",
+    "read_landing",
     "read_pages",
     "read_zone",
     "reviews_from_documents",

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revmart.schemas import LANDING_COLUMNS, LANDING_FILE_SCHEMA, LANDING_PARTITIONS
+
 log = logging.getLogger(__name__)
 
 
@@ -89,6 +91,19 @@ def write_zone(
     return ZoneWrite(path, rows)
 
 
+def read_landing(spark: SparkSession, path: str) -> DataFrame:
+    """Read the landing zone with int year/month keys. [O-07]
+
+    The keys are read as text and converted with ``try_cast``: a key cut
+    from a malformed timestamp (``ano=garb``) becomes NULL instead of failing
+    the scan, while well-formed ones (``mes=06``) become ints. Filters on the
+    converted keys still prune partition directories.
+    """
+    raw = spark.read.schema(LANDING_FILE_SCHEMA).parquet(path)
+    keys = [F.col(k).try_cast("int").alias(k) for k in LANDING_PARTITIONS]
+    return raw.select(*LANDING_COLUMNS, *keys)
+
+
 def read_zone(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a zone back. [O-07]
 

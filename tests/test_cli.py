@@ -6,7 +6,7 @@ from revmart.cli import main
 from revmart.plans import catalog
 from revmart.schemas import GOLD_SCHEMA, SILVER_SCHEMA
 from revmart.session import scratch_path
-from revmart.sources.zones import read_zone
+from revmart.sources.zones import read_landing, read_zone
 
 
 def test_cli_runs_every_stage(spark, sf001, capsys):
@@ -33,6 +33,4 @@ def test_cli_landing_from_raw_xml_files(spark, sf001, tmp_path):
         (tmp_path / f"p{i}.xml").write_text(r.xml, encoding="utf-8")
     out = scratch_path(spark, "t-cli-xml")
     main(["landing", "--pages", str(tmp_path), "--pages-format", "xml-entries", "--out", out])
-    from revmart.schemas import LANDING_SCHEMA
-
-    assert read_zone(spark, out, LANDING_SCHEMA).count() == 100  # two pages of 50 entries
+    assert read_landing(spark, out).count() == 100  # two pages of 50 entries

@@ -10,7 +10,7 @@ from revmart.operators.conform import add_partition_keys
 from revmart.plans import catalog
 from revmart.schemas import BRONZE_FILE_ORDER, BRONZE_PARTITIONS, BRONZE_SCHEMA, LANDING_SCHEMA
 from revmart.session import scratch_path
-from revmart.sources.zones import layout_for_write, read_zone, write_zone
+from revmart.sources.zones import layout_for_write, read_landing, read_zone, write_zone
 
 
 def test_landing_keys_written_as_text_read_as_int(spark, sf001):
@@ -18,7 +18,7 @@ def test_landing_keys_written_as_text_read_as_int(spark, sf001):
     write_zone(add_partition_keys(catalog.rv(spark, sf001)), path, ["ano", "mes"])
     dirs = sorted(os.path.relpath(d, path) for d in glob.glob(f"{path}/ano=*/mes=*"))
     assert dirs == ["ano=2022/mes=06", "ano=2022/mes=07"]
-    back = read_zone(spark, path, LANDING_SCHEMA)
+    back = read_landing(spark, path)
     assert dict(back.dtypes)["mes"] == "int"
     assert sorted(r.mes for r in back.select("mes").distinct().collect()) == [6, 7]
 
