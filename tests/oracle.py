@@ -47,14 +47,27 @@ def _key(row):
     return tuple((x is None, repr(x)) for x in row)
 
 
+# Spark type -> DuckDB type of an equal column
+TYPE_MAP = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "decimal(18,1)": "DECIMAL(18,1)",
+}
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     cols = spark_df.columns
+    stypes = dict(spark_df.dtypes)
     srows = [tuple(r) for r in spark_df.collect()]
+    rel = con.sql(sql)
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     if sorted(cols) != sorted(ocols):
         return False, f"columns differ: spark={sorted(cols)} oracle={sorted(ocols)}"
+    bad_types = {c: (stypes[c], otypes[c]) for c in cols if TYPE_MAP.get(stypes[c], stypes[c]) != otypes[c]}
+    if bad_types:
+        return False, f"types differ: {bad_types}"
     if len(srows) != len(orows):
         return False, f"row count differs: spark={len(srows)} oracle={len(orows)}"
     order = sorted(cols)
