@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--pages", help="landed pages (landing)")
     ap.add_argument("--pages-format", default="parquet", choices=["parquet", "xml", "xml-entries"])
     ap.add_argument("--out", help="output zone")
+    ap.add_argument("--quarantine", default=None, help="landing, PERMISSIVE: zone for malformed pages")
     ap.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
     ap.add_argument("--months", default=None, help="bronze/silver: comma list of yyyy-MM to rebuild")
     ap.add_argument("--master", default=None)
@@ -45,7 +46,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.stage == "landing" and args.pages_format == "xml-entries":
         landing_job_from_xml_files(spark, args.pages, args.out, args.mode)
     elif args.stage == "landing":
-        landing_job(spark, read_pages(spark, args.pages, args.pages_format), args.out, args.mode)
+        pages = read_pages(spark, args.pages, args.pages_format)
+        landing_job(spark, pages, args.out, args.mode, quarantine_path=args.quarantine)
     elif args.stage == "bronze":
         bronze_job(spark, args.src, args.out, months=months)
     elif args.stage == "silver":

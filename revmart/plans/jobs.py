@@ -7,11 +7,12 @@ forces a re-run of earlier stages, and every check runs on what was written.
 
 from __future__ import annotations
 
+import logging
 import os
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from revmart.operators.conform import add_partition_keys, conform_bronze, stamp_load_time, void_to_string
@@ -33,10 +34,11 @@ from revmart.schemas import (
     LANDING_PARTITIONS,
     SILVER_SCHEMA,
 )
-from revmart.sources.feed import entries_from_xml_files, feed_entries
+from revmart.sources.feed import CORRUPT, bad_pages, entries_from_xml_files, entries_of_parsed, feed_entries, parse_pages
 from revmart.sources.zones import read_landing, read_zone, write_zone
 
 SILVER_VIEW = "vw_reviews_silver"
+log = logging.getLogger(__name__)
 
 
 def landing_rows(entries: DataFrame) -> DataFrame:
@@ -50,14 +52,34 @@ def landing_frame(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
 
 
 def landing_job(
-    spark: SparkSession, pages: DataFrame, out_path: str, mode: str = "FAILFAST", files: str | int = "rebalance"
+    spark: SparkSession,
+    pages: DataFrame,
+    out_path: str,
+    mode: str = "FAILFAST",
+    files: str | int = "rebalance",
+    quarantine_path: str | None = None,
 ) -> DataFrame:
     """J-1: landed feed pages -> landing zone, partitioned by ano/mes (text). [J-1]
 
     ``files="keep"`` skips the rebalance shuffle; right when pages arrive in
     time order, so each task's pages span few months (few files per task).
+
+    ``mode="FAILFAST"`` (the original behaviour) fails the run on a malformed
+    page. With ``mode="PERMISSIVE"`` and a ``quarantine_path`` the good pages
+    land and the malformed ones are written, raw, to the quarantine zone:
+    their count is observed during the landing write, and only when it is
+    non-zero is a second pass made to pick them out.
     """
-    write_zone(landing_frame(pages, mode), out_path, LANDING_PARTITIONS, files=files)
+    parsed = parse_pages(pages, mode)
+    observation = None
+    if mode == "PERMISSIVE" and quarantine_path:
+        observation = Observation("bad_pages")
+        bad = F.sum(F.col(f"feed.{CORRUPT}").isNotNull().cast("long"))
+        parsed = parsed.observe(observation, F.coalesce(bad, F.lit(0)).alias("bad"))
+    write_zone(landing_rows(entries_of_parsed(parsed)), out_path, LANDING_PARTITIONS, files=files)
+    if observation is not None and observation.get["bad"]:
+        log.warning("%d malformed feed pages quarantined at %s", observation.get["bad"], quarantine_path)
+        bad_pages(pages).write.mode("overwrite").parquet(quarantine_path)
     return read_landing(spark, out_path)
 
 

@@ -1,4 +1,5 @@
 from revmart.sources.feed import (
+    bad_pages,
     entries_from_xml_files,
     feed_content_text,
     feed_entries,
@@ -13,6 +14,7 @@ from revmart.sources.fixtures import feed_pages_from_documents, reviews_from_doc
 from revmart.sources.zones import layout_for_write, read_landing, read_zone, write_zone
 
 __all__ = [
+    "bad_pages",
     "entries_from_xml_files",
     "feed_content_text",
     "feed_entries",

@@ -29,17 +29,36 @@ from revmart.functions.text import url_strip_query
 from revmart.schemas import FEED_PAGE_XML_SCHEMA, FEED_TEXT_TAGS, FEED_VOID_TAGS, LANDING_COLUMNS, PAGE_SCHEMA
 
 
+CORRUPT = "_corrupt_record"
+
+
 def _xml_options(mode: str) -> dict[str, str]:
-    return {
+    opts = {
         "ignoreNamespace": "true",
         "ignoreSurroundingSpaces": "false",
         "mode": mode,
     }
+    if mode == "PERMISSIVE":
+        opts["columnNameOfCorruptRecord"] = CORRUPT
+    return opts
 
 
 def parse_pages(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
-    """Add a parsed ``feed`` struct (``link`` and ``entry`` arrays) to each page. [O-01]"""
-    return pages.withColumn("feed", F.from_xml(F.col("xml"), FEED_PAGE_XML_SCHEMA, _xml_options(mode)))
+    """Add a parsed ``feed`` struct (``link`` and ``entry`` arrays) to each page. [O-01]
+
+    In ``PERMISSIVE`` mode the struct also carries ``_corrupt_record``: the
+    raw text of a page that failed to parse (NULL for good pages).
+    """
+    schema = FEED_PAGE_XML_SCHEMA
+    if mode == "PERMISSIVE":
+        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    return pages.withColumn("feed", F.from_xml(F.col("xml"), schema, _xml_options(mode)))
+
+
+def bad_pages(pages: DataFrame) -> DataFrame:
+    """Pages whose XML does not parse, as landed (``page_url``, ``xml``)."""
+    parsed = parse_pages(pages, "PERMISSIVE")
+    return parsed.where(F.col(f"feed.{CORRUPT}").isNotNull()).select("page_url", "xml")
 
 
 def _last_where_sql(arr: str, pred: str, field: str) -> str:
@@ -71,8 +90,13 @@ def feed_entries(pages: DataFrame, mode: str = "FAILFAST", keep_page_url: bool =
     an all-empty column of the original accumulated frame; ``void_to_string``
     repairs them before the sink.
     """
+    return entries_of_parsed(parse_pages(pages, mode), keep_page_url)
+
+
+def entries_of_parsed(parsed: DataFrame, keep_page_url: bool = False) -> DataFrame:
+    """``feed_entries`` on pages already passed through ``parse_pages``."""
     keep = ["page_url"] if keep_page_url else []
-    exploded = parse_pages(pages, mode).selectExpr(*keep, "explode(feed.entry) AS e")
+    exploded = parsed.selectExpr(*keep, "explode(feed.entry) AS e")
     return exploded.selectExpr(*keep, *ENTRY_FIELDS_SQL)
 
 

@@ -149,3 +149,29 @@ def test_malformed_timestamp_flows_through_with_null_keys(spark):
     june = only_months(read_landing(spark, landing), "ano", "mes", ["2022-06"])
     assert "(try_cast(ano" in june._jdf.queryExecution().executedPlan().toString()  # directories pruned
     assert [r.id for r in june.collect()] == ["1"]
+
+
+def test_permissive_landing_quarantines_malformed_pages(spark, sf001):
+    import pytest
+
+    from revmart.plans.jobs import landing_job
+
+    good = catalog.pages(spark, sf001)
+    broken = spark.createDataFrame(
+        [("https://x/broken?p=1", "<feed xmlns='http://www.w3.org/2005/Atom'><entry><id>1</id></feed>")],
+        "page_url string, xml string",
+    )
+    pages = good.unionByName(broken)
+    root = scratch_path(spark, "t-quarantine")
+    with pytest.raises(Exception):
+        landing_job(spark, pages, os.path.join(root, "strict"))
+    landed = landing_job(spark, pages, os.path.join(root, "landing"), mode="PERMISSIVE",
+                         quarantine_path=os.path.join(root, "quarantine"))
+    docs = spark.read.parquet(f"{sf001}/documents.parquet").count()
+    assert landed.count() == docs
+    q = spark.read.parquet(os.path.join(root, "quarantine")).collect()
+    assert [r.page_url for r in q] == ["https://x/broken?p=1"]
+    # all pages good: no quarantine written
+    clean_q = os.path.join(root, "quarantine-clean")
+    landing_job(spark, good, os.path.join(root, "landing2"), mode="PERMISSIVE", quarantine_path=clean_q)
+    assert not os.path.exists(clean_q)
