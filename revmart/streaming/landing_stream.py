@@ -27,7 +27,14 @@ def start_landing_stream(
     available_now: bool = True,
     mode: str = "FAILFAST",
 ) -> StreamingQuery:
-    """Start the stream; call ``awaitTermination()`` / ``processAllAvailable()``."""
+    """Start the stream; call ``awaitTermination()`` / ``processAllAvailable()``.
+
+    Only ``FAILFAST``: a permissive stream would drop the entries of a
+    malformed page without a trace. Pages that need quarantining go through
+    ``landing_job(..., mode="PERMISSIVE", quarantine_path=...)``.
+    """
+    if mode != "FAILFAST":
+        raise ValueError("the landing stream parses FAILFAST; quarantine bad pages with landing_job")
     pages = (
         spark.readStream.schema(PAGE_SCHEMA)
         .option("maxFilesPerTrigger", max_files_per_trigger)

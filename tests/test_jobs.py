@@ -175,3 +175,10 @@ def test_permissive_landing_quarantines_malformed_pages(spark, sf001):
     clean_q = os.path.join(root, "quarantine-clean")
     landing_job(spark, good, os.path.join(root, "landing2"), mode="PERMISSIVE", quarantine_path=clean_q)
     assert not os.path.exists(clean_q)
+
+
+def test_stream_refuses_permissive_mode(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        start_landing_stream(spark, "/nonexistent", "/nonexistent-out", "/nonexistent-ckpt", mode="PERMISSIVE")
