@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_session(master=args.master)
     months = [m.strip() for m in args.months.split(",")] if args.months else None
     if args.stage == "landing" and args.pages_format == "xml-entries":
-        landing_job_from_xml_files(spark, args.pages, args.out, args.mode)
+        landing_job_from_xml_files(spark, args.pages, args.out)
     elif args.stage == "landing":
         pages = read_pages(spark, args.pages, args.pages_format)
         landing_job(spark, pages, args.out, args.mode, quarantine_path=args.quarantine)

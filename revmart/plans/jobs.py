@@ -70,9 +70,11 @@ def landing_job(
     their count is observed during the landing write, and only when it is
     non-zero is a second pass made to pick them out.
     """
+    if mode != "FAILFAST" and not quarantine_path:
+        raise ValueError("PERMISSIVE landing needs a quarantine_path: malformed pages are never dropped")
     parsed = parse_pages(pages, mode)
     observation = None
-    if mode == "PERMISSIVE" and quarantine_path:
+    if mode == "PERMISSIVE":
         observation = Observation("bad_pages")
         bad = F.sum(F.col(f"feed.{CORRUPT}").isNotNull().cast("long"))
         parsed = parsed.observe(observation, F.coalesce(bad, F.lit(0)).alias("bad"))
@@ -83,10 +85,14 @@ def landing_job(
     return read_landing(spark, out_path)
 
 
-def landing_job_from_xml_files(spark: SparkSession, path: str, out_path: str, mode: str = "FAILFAST") -> DataFrame:
+def landing_job_from_xml_files(spark: SparkSession, path: str, out_path: str) -> DataFrame:
     """J-1 variant: landed raw XML files read by the XML data source (entries
-    streamed record by record) -> landing zone. [J-1]"""
-    write_zone(landing_rows(entries_from_xml_files(spark, path, mode)), out_path, LANDING_PARTITIONS)
+    streamed record by record) -> landing zone. [J-1]
+
+    Parses FAILFAST: a malformed record fails the run rather than landing as
+    an empty row.
+    """
+    write_zone(landing_rows(entries_from_xml_files(spark, path, "FAILFAST")), out_path, LANDING_PARTITIONS)
     return read_landing(spark, out_path)
 
 

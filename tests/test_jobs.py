@@ -182,3 +182,12 @@ def test_stream_refuses_permissive_mode(spark):
 
     with pytest.raises(ValueError):
         start_landing_stream(spark, "/nonexistent", "/nonexistent-out", "/nonexistent-ckpt", mode="PERMISSIVE")
+
+
+def test_permissive_landing_requires_quarantine(spark, sf001):
+    import pytest
+
+    from revmart.plans.jobs import landing_job
+
+    with pytest.raises(ValueError, match="quarantine"):
+        landing_job(spark, catalog.pages(spark, sf001), scratch_path(spark, "t-noq"), mode="PERMISSIVE")
