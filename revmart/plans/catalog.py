@@ -41,6 +41,7 @@ from revmart.operators.quality import (
     count_by_votes,
     count_by_year_month,
     distinct_subset,
+    month_rows,
     preview_months,
     preview_rows,
     sort_multi_key,
@@ -274,6 +275,10 @@ def q_filter_month_range(spark, sf_dir):
     return month_filter(table(spark, sf_dir, "orders"), "o_orderdate", FILTER_MONTH)
 
 
+def q_filter_month_literal(spark, sf_dir):
+    return month_rows(table(spark, sf_dir, "orders"), "o_orderdate", FILTER_MONTH)
+
+
 def q_feed_entries(spark, sf_dir):
     return void_to_string(feed_entries(pages(spark, sf_dir)))
 
@@ -394,6 +399,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preview_months": q_preview_months,
     "preview_months_sql": q_preview_months_sql,
     "filter_month_range": q_filter_month_range,
+    "filter_month_literal": q_filter_month_literal,
     "feed_entries": q_feed_entries,
     "feed_content_text": q_feed_content_text,
     "feed_links": q_feed_links,
@@ -599,6 +605,7 @@ ORACLE["distinct_count_by_month_sql"] = ORACLE["distinct_count_by_month"]
 ORACLE["preview_months_sql"] = ORACLE["preview_months"]
 ORACLE["preview_rows_sql"] = ORACLE["preview_rows"]
 ORACLE["zone_roundtrip_landing"] = ORACLE["job_landing"]
+ORACLE["filter_month_literal"] = ORACLE["filter_month_range"]
 ORACLE["zone_roundtrip_silver"] = ORACLE["job_silver"]
 for _name in ("count_by_votes", "count_by_rating", "count_by_version"):
     ORACLE[f"{_name}_sql"] = ORACLE[_name]
