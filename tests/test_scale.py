@@ -1,6 +1,7 @@
 """Scale properties of the plans: skew-safe aggregates and writers."""
 
 import glob
+import re
 
 from pyspark.sql import functions as F
 
@@ -53,3 +54,16 @@ def test_hot_month_is_split_over_writers(spark, sf001):
     assert len(june_files) > 1  # the hot directory got several writers
     assert len(july_files) >= 1
     assert written.rows == hot.count()
+
+
+def test_no_scale_red_flags_in_any_registered_plan(spark, sf001):
+    import __spark_entry__ as entry
+
+    never = ["BroadcastExchange", "BroadcastHashJoin", "Cartesian", "BatchEvalPython", "Window", "CollectLimit"]
+    for name, fn in entry.queries().items():
+        plan = _plan(fn(spark, sf001))
+        assert not [f for f in never if f in plan], name
+        if "SinglePartition" in plan:
+            # only the derived feed's scalar max(doc_id div 50): one partial row per map task
+            assert name.startswith("feed_") or name == "landing_count_by_year_month", name
+            assert re.search(r"max\(+doc_id div 50\)+", plan), name
