@@ -131,3 +131,13 @@ def test_month_filter_property(spark):
             assert ranged == literal
 
     check()
+
+
+def test_preview_pandas_is_bounded_and_ordered(spark, sf001):
+    from revmart.operators.quality import preview_pandas
+    from revmart.plans import catalog
+
+    pdf = preview_pandas(catalog.rv_bronze(spark, sf001), 5, ["nu_id"])
+    assert len(pdf) == 5
+    assert list(pdf["nu_id"]) == sorted(pdf["nu_id"])
+    assert list(pdf.columns) == BRONZE_COLUMNS
