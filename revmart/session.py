@@ -27,6 +27,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # zones are read by other engines too: standard parquet timestamps, not INT96
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # bound the size of any single output file in a zone
     "spark.sql.files.maxRecordsPerFile": "5000000",
     # a run replaces the whole zone, as the original does; month-scoped

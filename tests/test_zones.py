@@ -81,3 +81,13 @@ def test_write_reports_rows_without_a_second_pass(spark, sf001):
     written = write_zone(bronze, scratch_path(spark, "t-observe"), BRONZE_PARTITIONS, BRONZE_FILE_ORDER)
     assert written.rows == spark.read.parquet(f"{sf001}/documents.parquet").count()
     assert os.path.isdir(written.path)
+
+
+def test_silver_stamp_is_a_standard_parquet_timestamp(spark, sf001):
+    from revmart.operators.conform import stamp_load_time
+
+    path = scratch_path(spark, "t-ts")
+    write_zone(stamp_load_time(catalog.rv_bronze(spark, sf001)), path, BRONZE_PARTITIONS)
+    f = glob.glob(f"{path}/*/*/*.parquet")[0]
+    col = pq.ParquetFile(f).schema.column(pq.ParquetFile(f).schema_arrow.get_field_index("ts_gravado_em"))
+    assert col.physical_type == "INT64"  # TIMESTAMP_MICROS, not legacy INT96
