@@ -1,5 +1,7 @@
 """Every registered query equals its DuckDB oracle on sf0.001 (the driver
-runs the same check at sf0.01)."""
+runs the same check at sf0.01: ``REVMART_ORACLE_SF=sf0.01 pytest tests/test_oracle.py``)."""
+
+import os
 
 import pytest
 
@@ -11,8 +13,13 @@ ORACLE = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def con(sf001):
-    return duckdb_con(sf001)
+def sf_dir():
+    return os.path.join("/root/testdata", os.environ.get("REVMART_ORACLE_SF", "sf0.001"))
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return duckdb_con(sf_dir)
 
 
 def test_every_query_has_oracle():
@@ -20,8 +27,8 @@ def test_every_query_has_oracle():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_oracle(spark, sf001, con, name):
-    ok, msg = compare(QUERIES[name](spark, sf001), con, ORACLE[name])
+def test_query_matches_oracle(spark, sf_dir, con, name):
+    ok, msg = compare(QUERIES[name](spark, sf_dir), con, ORACLE[name])
     assert ok, f"{name}: {msg}"
 
 
