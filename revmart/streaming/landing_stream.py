@@ -7,6 +7,11 @@ picks up newly landed page files, ``from_xml`` + ``explode`` run on
 executors, and the file sink appends to the partitioned landing zone with
 exactly-once commits recorded under the checkpoint location. Stateless, so
 no watermark is needed; ``availableNow`` processes what has landed and stops.
+
+Readers list the sink's files through its ``_spark_metadata`` log, so the
+stream's output folder must be its own: files written there by batch jobs
+would be ignored. Each micro-batch adds small files; the bronze job reads
+and rewrites them into sized files.
 """
 
 from __future__ import annotations
