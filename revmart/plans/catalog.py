@@ -133,39 +133,39 @@ def _lineitem_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- queries --
 
-def q_gold_reviews_by_version_month(spark, sf_dir):
+def q_gold_reviews_by_version_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineitem_mart(spark, sf_dir)
 
 
-def q_gold_reviews_sql(spark, sf_dir):
+def q_gold_reviews_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql = GOLD_SQL.format(
         view="{view}", rating="l_quantity", version="l_returnflag", review_id="l_partkey", date="l_shipdate"
     )
     return run_on(spark, sql, table(spark, sf_dir, "lineitem"))
 
 
-def q_gold_sorted(spark, sf_dir):
+def q_gold_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineitem_mart(spark, sf_dir).sort(*GOLD_DISPLAY_ORDER)
 
 
-def q_count_by_year_month(spark, sf_dir):
+def q_count_by_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("o_date_text", F.col("o_orderdate").cast("string"))
     keyed = add_partition_keys(orders, "o_date_text")
     keyed = keyed.withColumns({"ano": F.col("ano").cast("int"), "mes": F.col("mes").cast("int")})
     return count_by_year_month(keyed)
 
 
-def q_landing_count_by_year_month(spark, sf_dir):
+def q_landing_count_by_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by_year_month(landing_frame(pages(spark, sf_dir)))
 
 
-def q_distinct_count_by_month(spark, sf_dir):
+def q_distinct_count_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     # every order delivered twice: the distinct must remove the copies
     return distinct_count_by_month(orders.unionAll(orders), "o_orderdate")
 
 
-def q_distinct_count_by_month_sql(spark, sf_dir):
+def q_distinct_count_by_month_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql = (
         "WITH base AS (SELECT DISTINCT * FROM {view}) "
         "SELECT count(*) AS total_registros, substr(CAST(trunc(CAST(o_orderdate AS DATE), 'MM') AS STRING), 1, 7) AS data "
@@ -175,127 +175,127 @@ def q_distinct_count_by_month_sql(spark, sf_dir):
     return run_on(spark, sql, orders.unionAll(orders))
 
 
-def q_count_by_votes(spark, sf_dir):
+def q_count_by_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by_votes(rv_silver(spark, sf_dir))
 
 
-def q_count_by_rating(spark, sf_dir):
+def q_count_by_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by_rating(rv_silver(spark, sf_dir))
 
 
-def q_count_by_version(spark, sf_dir):
+def q_count_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by_version(rv_silver(spark, sf_dir))
 
 
-def q_count_by_votes_sql(spark, sf_dir):
+def q_count_by_votes_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_on(spark, COUNT_BY_VOTES_SQL, rv_silver(spark, sf_dir))
 
 
-def q_count_by_rating_sql(spark, sf_dir):
+def q_count_by_rating_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_on(spark, COUNT_BY_RATING_SQL, rv_silver(spark, sf_dir))
 
 
-def q_count_by_version_sql(spark, sf_dir):
+def q_count_by_version_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_on(spark, COUNT_BY_VERSION_SQL, rv_silver(spark, sf_dir))
 
 
-def q_distinct_subset(spark, sf_dir):
+def q_distinct_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_subset(table(spark, sf_dir, "documents"), ["lang", "source"])
 
 
-def q_null_column_check(spark, sf_dir):
+def q_null_column_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = rename_columns(rv_landing(spark, sf_dir))
     return distinct_subset(renamed, ["ds_link", "ds_desc_author", "contentType"])
 
 
-def q_bronze_dedup(spark, sf_dir):
+def q_bronze_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = rv_landing(spark, sf_dir)
     # the same page landed twice: every review arrives as two identical rows
     return conform_bronze(landing.unionAll(landing))
 
 
-def q_sort_multi_key(spark, sf_dir):
+def q_sort_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("o_date_text", F.col("o_orderdate").cast("string"))
     keyed = add_partition_keys(orders, "o_date_text").drop("o_date_text")
     keyed = keyed.withColumns({"ano": F.col("ano").cast("int"), "mes": F.col("mes").cast("int")})
     return sort_multi_key(keyed, ["ano", "mes", "o_orderpriority", "o_orderstatus"])
 
 
-def q_conform_columns(spark, sf_dir):
+def q_conform_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = rename_columns(rv_landing(spark, sf_dir)).withColumn("ds_reviews", F.col("content"))
     return select_columns(renamed, BRONZE_PRE_DEDUP)
 
 
-def q_void_to_string(spark, sf_dir):
+def q_void_to_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     raw = docs.select("doc_id", "lang", *[F.lit(None).alias(c) for c in ("contentType", "author", "link")])
     return void_to_string(raw)
 
 
-def q_partition_keys(spark, sf_dir):
+def q_partition_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_partition_keys(rv(spark, sf_dir)).select("id", "updated", "ano", "mes")
 
 
-def q_date_time_split(spark, sf_dir):
+def q_date_time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = rename_columns(rv(spark, sf_dir))
     return split_review_timestamp(renamed).select("nu_id", "ts_review", "dt_date", "hr_review")
 
 
-def q_text_normalise(spark, sf_dir):
+def q_text_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", normalise_text("text").alias("text_norm"))
 
 
-def q_url_strip_query(spark, sf_dir):
+def q_url_strip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", "url", url_strip_query("url").alias("url_base"))
 
 
-def q_silver_stamp(spark, sf_dir):
+def q_silver_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = stamp_load_time(rv_bronze(spark, sf_dir))
     return _stamped(silver).select("nu_id", "pt_ano", "pt_mes", SILVER_STAMP)
 
 
-def q_preview_rows(spark, sf_dir):
+def q_preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview_rows(rv_bronze(spark, sf_dir), 5, ["nu_id"])
 
 
-def q_preview_rows_sql(spark, sf_dir):
+def q_preview_rows_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_on(spark, PREVIEW_ROWS_SQL, rv_bronze(spark, sf_dir))
 
 
-def q_preview_months(spark, sf_dir):
+def q_preview_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview_months(rv_bronze(spark, sf_dir))
 
 
-def q_preview_months_sql(spark, sf_dir):
+def q_preview_months_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_on(spark, PREVIEW_MONTHS_SQL, rv_bronze(spark, sf_dir))
 
 
-def q_filter_month_range(spark, sf_dir):
+def q_filter_month_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month_filter(table(spark, sf_dir, "orders"), "o_orderdate", FILTER_MONTH)
 
 
-def q_filter_month_literal(spark, sf_dir):
+def q_filter_month_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month_rows(table(spark, sf_dir, "orders"), "o_orderdate", FILTER_MONTH)
 
 
-def q_feed_entries(spark, sf_dir):
+def q_feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return void_to_string(feed_entries(pages(spark, sf_dir)))
 
 
-def q_feed_content_text(spark, sf_dir):
+def q_feed_content_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_content_text(pages(spark, sf_dir))
 
 
-def q_feed_links(spark, sf_dir):
+def q_feed_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_links(pages(spark, sf_dir))
 
 
-def q_feed_last_page(spark, sf_dir):
+def q_feed_last_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_last_page(pages(spark, sf_dir))
 
 
-def q_feed_union_pages(spark, sf_dir):
+def q_feed_union_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = feed_entries(pages(spark, sf_dir))
     # two monthly crawl batches whose feeds carried different tag sets:
     # June's lacked the version tag, July's the vote sum
@@ -304,19 +304,19 @@ def q_feed_union_pages(spark, sf_dir):
     return void_to_string(union_pages(june, july)).select(*LANDING_COLUMNS)
 
 
-def q_zone_roundtrip_gold(spark, sf_dir):
+def q_zone_roundtrip_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "gold-lineitem")
     write_zone(_lineitem_mart(spark, sf_dir), path, GOLD_PARTITIONS)
     return read_zone(spark, path, GOLD_SCHEMA)
 
 
-def q_zone_roundtrip_landing(spark, sf_dir):
+def q_zone_roundtrip_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landing-rv")
     write_zone(add_partition_keys(rv(spark, sf_dir)), path, ["ano", "mes"])
     return read_landing(spark, path)
 
 
-def q_zone_roundtrip_silver(spark, sf_dir):
+def q_zone_roundtrip_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = scratch_path(spark, "bronze-rv")
     write_zone(rv_bronze(spark, sf_dir), bronze, BRONZE_PARTITIONS, ["dt_date", "hr_review"])
     silver = scratch_path(spark, "silver-rv")
@@ -325,33 +325,33 @@ def q_zone_roundtrip_silver(spark, sf_dir):
     return _stamped(read_zone(spark, silver, SILVER_SCHEMA))
 
 
-def q_zone_roundtrip_bronze(spark, sf_dir):
+def q_zone_roundtrip_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "bronze-rv")
     write_zone(rv_bronze(spark, sf_dir), path, BRONZE_PARTITIONS, ["dt_date", "hr_review"])
     return read_zone(spark, path, BRONZE_SCHEMA)
 
 
-def q_job_landing(spark, sf_dir):
+def q_job_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing_job(spark, pages(spark, sf_dir), scratch_path(spark, "landing"))
 
 
-def _through_bronze(spark, sf_dir):
+def _through_bronze(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     landing = scratch_path(spark, "landing")
     landing_job(spark, pages(spark, sf_dir), landing)
     bronze = scratch_path(spark, "bronze")
     return bronze, bronze_job(spark, landing, bronze)
 
 
-def q_job_bronze(spark, sf_dir):
+def q_job_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through_bronze(spark, sf_dir)[1]
 
 
-def q_job_silver(spark, sf_dir):
+def q_job_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, _ = _through_bronze(spark, sf_dir)
     return _stamped(silver_job(spark, bronze, scratch_path(spark, "silver"), LOAD_TS))
 
 
-def q_job_gold(spark, sf_dir):
+def q_job_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, _ = _through_bronze(spark, sf_dir)
     silver = scratch_path(spark, "silver")
     silver_job(spark, bronze, silver)
@@ -360,7 +360,7 @@ def q_job_gold(spark, sf_dir):
     return gold_job(spark, silver, scratch_path(spark, "gold"), view=view)
 
 
-def q_stream_landing(spark, sf_dir):
+def q_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = scratch_path(spark, "landed-pages")
     pages(spark, sf_dir).write.mode("overwrite").parquet(landed)
     out = scratch_path(spark, "landing-stream")
