@@ -8,7 +8,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revmart.llm.common import read_table
+from revmart.llm.formatting import conversation_digests, expand_conversations
 from revmart.llm.mixing import mix_sources
+from revmart.llm.sharding import shard_documents
+
+#: A conversation whose turns hold the template's own control strings.
+HARD_TURN = "\\### Assistant: </turn> ok"
+
+
+def op1_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and the hard one, expanded per reply and read back."""
+    hard = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(HARD_TURN).alias("text"),
+    )
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_digests(expand_conversations(turns.unionByName(hard)))
+
+
+ORACLE_OP1 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), escaped AS (
+  SELECT *,
+    replace(replace(replace(text, '\', '\s'), '###', '\h'), '</turn>', '\e') AS body,
+    replace(replace(replace(replace(replace(role, '\', '\s'), '###', '\h'), '</turn>', '\e'), ':', '\c'), chr(10), '\n') AS head
+  FROM turns
+), placed AS (
+  SELECT *, row_number() OVER w AS number, count(*) OVER (PARTITION BY conv_id) AS n,
+    sum(length(head) + length(body) + 14) OVER w AS upto
+  FROM escaped
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, body ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, max(n)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY number)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY number) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(upto) FILTER (role = 'assistant' OR number = n)::BIGINT AS formatted_chars,
+  count(*) FILTER (role = 'assistant' OR number = n)::BIGINT AS n_examples
+FROM placed GROUP BY conv_id
+"""
+
+
+def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near equal bytes."""
+    sharded = shard_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=24)
+    return sharded.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
 
 
 def op2_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +75,9 @@ def op2_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_prefix_target_chat": op1_prefix_target_chat,
     "op2_weighted_fair_mix": op2_weighted_fair_mix,
+    "op4_histogram_shards": op4_histogram_shards,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_prefix_target_chat": ORACLE_OP1}
