@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from revmart.llm.common import read_table
 from revmart.llm.formatting import conversation_digests, expand_conversations
 from revmart.llm.mixing import mix_sources
+from revmart.llm.quality import COUNTS, fit_quality, judge_quality
 from revmart.llm.sharding import shard_documents
 
 #: A conversation whose turns hold the template's own control strings.
@@ -74,10 +75,18 @@ def op2_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_isolation_forest_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their rule statistics and the verdict on them."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, read_table(spark, sf_dir, "labels"))
+    return judge_quality(docs, model).select("doc_id", *COUNTS, "base_failed", "anomaly_score", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_prefix_target_chat": op1_prefix_target_chat,
     "op2_weighted_fair_mix": op2_weighted_fair_mix,
     "op4_histogram_shards": op4_histogram_shards,
+    "op6_isolation_forest_quality": op6_isolation_forest_quality,
 }
 
 ORACLE: dict[str, str] = {"op1_prefix_target_chat": ORACLE_OP1}
