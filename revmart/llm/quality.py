@@ -29,20 +29,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.llm.common import checkpointed, require_columns
+from revmart.llm.common import buckets_for, checkpointed, require_columns
 from revmart.llm.words import Words, gram_hashes, words_of
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 TREES = 100
-TREE_SAMPLE = 256
+#: Small, so that a kind of junk that makes up some hundredths of a corpus is still rare in a tree.
+TREE_SAMPLE = 64
 #: Share of the labelled good documents that the threshold must keep.
 KEEP_GOOD = 0.995
 SCORE_BINS = 2000
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-RATES = ["mean_word_chars", "symbol_rate", "dup_line_rate", "repeat_rate", "upper_rate", "mark_rate"]
+#: What the forest splits on, as logarithms: symbols, ASCII punctuation marks and ASCII capitals, each per word.
+#: (Repeated words and lines have a rule of their own; here they only hid the rest.)
+RATES = ["symbol_rate", "mark_rate", "capital_rate"]
+RATE_FLOOR = 0.01
 
 
 class Statistics(NamedTuple):
@@ -50,10 +54,10 @@ class Statistics(NamedTuple):
     rates: np.ndarray  # texts x RATES
 
 
-def _duplicate_lines(text: bytes) -> tuple[int, int]:
-    """Lines with a word, and those of them equal to an earlier one."""
+def _duplicate_lines(text: bytes) -> int:
+    """Lines with a word that are equal to an earlier one."""
     lines = [x for x in text.split(b"\n") if x.strip()]
-    return len(lines), len(lines) - len(set(lines))
+    return len(lines) - len(set(lines))
 
 
 def _repeat_words(grams: np.ndarray) -> int:
@@ -70,19 +74,17 @@ def _repeat_words(grams: np.ndarray) -> int:
 
 def _chunk_statistics(words: Words) -> Statistics:
     n = len(words.rows)
-    counts, lines, rates = np.zeros((n, len(COUNTS)), np.int64), np.ones(n), np.zeros((n, len(RATES)))
+    counts, other = np.zeros((n, len(COUNTS)), np.int64), np.zeros((n, 2))
     if not len(words.starts):
-        return Statistics(counts, rates)
+        return Statistics(counts, np.full((n, len(RATES)), np.log(RATE_FLOOR)))
     data = words.data
-    # letters: ASCII ones and the lead byte of the common accented ones
     # running counts over bytes; a text's count is a difference of two
     lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    is_symbol, is_upper, is_letter, is_mark = np.zeros((4, 256), dtype=bool)
+    is_symbol, is_mark, is_capital = np.zeros((3, 256), dtype=bool)
     is_symbol[list(SYMBOLS)] = True
-    is_upper[65:91] = True
-    is_letter[65:91] = is_letter[97:123] = is_letter[0xC3] = True
     is_mark[33:48] = is_mark[58:65] = is_mark[91:97] = is_mark[123:127] = True
-    sums = [np.concatenate([[0], np.cumsum(table[data])]) for table in (is_symbol, is_upper, is_letter, is_mark)]
+    is_capital[65:91] = True
+    symbols, *others = (np.concatenate([[0], np.cumsum(table[data])]) for table in (is_symbol, is_mark, is_capital))
     word_chars = np.concatenate([[0], np.cumsum(lead[words.ends] - lead[words.starts])])
     grams = gram_hashes(words.hashes, 3)
     raw = data.tobytes()
@@ -91,15 +93,12 @@ def _chunk_statistics(words: Words) -> Statistics:
         if a == b:
             continue
         lo, hi = words.starts[a], words.ends[b - 1]
-        symbols, upper, letters, marks = (s[hi] - s[lo] for s in sums)
-        lines[i], dup = _duplicate_lines(raw[words.offsets[i] : words.offsets[i + 1]])
+        dup = _duplicate_lines(raw[words.offsets[i] : words.offsets[i + 1]])
         repeats = _repeat_words(grams[a : b - 2]) if b - a >= 4 else 0
-        counts[i] = b - a, word_chars[b] - word_chars[a], symbols, dup, repeats
-        rates[i, 4], rates[i, 5] = upper / max(letters, 1), marks / (b - a)
-    total = np.maximum(counts[:, 0], 1)
-    rates[:, 0], rates[:, 1] = counts[:, 1] / total, counts[:, 2] / total
-    rates[:, 2], rates[:, 3] = counts[:, 3] / lines, counts[:, 4] / total
-    return Statistics(counts, rates)
+        counts[i] = b - a, word_chars[b] - word_chars[a], symbols[hi] - symbols[lo], dup, repeats
+        other[i] = [s[hi] - s[lo] for s in others]
+    shares = np.column_stack([counts[:, 2], other]) / np.maximum(counts[:, :1], 1)
+    return Statistics(counts, np.log(shares + RATE_FLOOR))
 
 
 def text_statistics(texts: pa.Array) -> Statistics:
@@ -223,10 +222,13 @@ def fit_quality(
     rated = checkpointed(
         texts.select("__text", "__label").mapInArrow(_rate_rows, schema).where(~F.col("__failed")).drop("__failed")
     )
-    # each tree's sample: the rows with the smallest hashes among the hash's tree
-    tree = F.pmod(F.xxhash64(F.lit("tree"), *RATES), F.lit(trees)).cast("int")
+    # a row is offered to one tree by its hash (to several where there are few
+    # rows), and a tree takes the rows with the smallest hashes
+    offers = min(trees, buckets_for(2 * trees * sample, max(1, rated.count())))
+    offered = rated.withColumn("offer", F.explode(F.sequence(F.lit(0), F.lit(offers - 1))))
+    tree = F.pmod(F.xxhash64(F.lit("tree"), "offer", *RATES), F.lit(trees)).cast("int")
     place = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit("row"), *RATES), *RATES)
-    sampled = rated.withColumn("tree", tree).withColumn("row", F.row_number().over(place)).where(F.col("row") <= sample)
+    sampled = offered.withColumn("tree", tree).withColumn("row", F.row_number().over(place)).where(F.col("row") <= sample)
 
     def grow(key, rows):
         nodes = grow_tree(rows[RATES].to_numpy(), int(key[0]))
