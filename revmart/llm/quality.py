@@ -6,14 +6,14 @@ the rules' statistics: a document that random splits separate after few
 steps is unlike the others. How short a path is too short is read from
 labelled rows.
 
-Fitting. Statistics are computed for every labelled document. The trees see
+Fitting. The trees see
 a bounded sample of them (``trees * sample`` rows, each tree its own
 ``sample``, chosen by hash), which is how isolation forests are grown; the
 threshold is set on counts over *all* labelled documents. The forest (at most
 ``trees * (2 * sample - 1)`` nodes) is small enough to ship with the tasks.
 
-Scale. One pass over the labelled texts, one over all texts, no shuffle of
-text; the labels' join carries statistics, not text, to the label side.
+Scale. Two passes over the texts, neither of which shuffles them: the labels
+are joined to statistics.
 """
 
 from __future__ import annotations
@@ -186,8 +186,8 @@ def _rate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = text_statistics(batch.column("__text"))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("__label"), pa.array(base_failed(found.counts)), *[pa.array(x) for x in found.rates.T]],
-            names=["__label", "__failed", *RATES],
+            [batch.column("__id"), pa.array(base_failed(found.counts)), *[pa.array(x) for x in found.rates.T]],
+            names=["__id", "__failed", *RATES],
         )
 
 
@@ -214,14 +214,14 @@ def fit_quality(
     known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(
         F.min(label_col).cast("int").alias("__label")
     )
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(known, "__id")
     schema = T.StructType(
-        [T.StructField("__label", T.IntegerType()), T.StructField("__failed", T.BooleanType())]
+        [T.StructField("__id", docs.schema[id_col].dataType), T.StructField("__failed", T.BooleanType())]
         + [T.StructField(r, T.DoubleType()) for r in RATES]
     )
-    rated = checkpointed(
-        texts.select("__text", "__label").mapInArrow(_rate_rows, schema).where(~F.col("__failed")).drop("__failed")
-    )
+    # statistics first: the join then moves a few numbers per document, and no text
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    passed = texts.mapInArrow(_rate_rows, schema).where(~F.col("__failed"))
+    rated = checkpointed(passed.join(known, "__id").select("__label", *RATES))
     # a row is offered to one tree by its hash (to several where there are few
     # rows), and a tree takes the rows with the smallest hashes
     offers = min(trees, buckets_for(2 * trees * sample, max(1, rated.count())))
