@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from revmart.llm.common import read_table
 from revmart.llm.formatting import conversation_digests, expand_conversations
 from revmart.llm.mixing import mix_sources
+from revmart.llm.neardup import near_duplicates
 from revmart.llm.quality import COUNTS, fit_quality, judge_quality
 from revmart.llm.sharding import shard_documents
 
@@ -82,11 +83,18 @@ def op6_isolation_forest_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(docs, model).select("doc_id", *COUNTS, "base_failed", "anomaly_score", "kept")
 
 
+def op9_superminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the near-duplicate group that each belongs to."""
+    found = near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, threshold=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_prefix_target_chat": op1_prefix_target_chat,
     "op2_weighted_fair_mix": op2_weighted_fair_mix,
     "op4_histogram_shards": op4_histogram_shards,
     "op6_isolation_forest_quality": op6_isolation_forest_quality,
+    "op9_superminhash_near_duplicates": op9_superminhash_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {"op1_prefix_target_chat": ORACLE_OP1}
