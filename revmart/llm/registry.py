@@ -13,6 +13,7 @@ from revmart.llm.mixing import mix_sources
 from revmart.llm.neardup import near_duplicates
 from revmart.llm.quality import COUNTS, fit_quality, judge_quality
 from revmart.llm.sharding import shard_documents
+from revmart.llm.substrings import remove_repeats
 
 #: A conversation whose turns hold the template's own control strings.
 HARD_TURN = "\\### Assistant: </turn> ok"
@@ -89,12 +90,19 @@ def op9_superminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFr
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_suffix_automata_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 20-word windows that they repeat."""
+    cleaned = remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_prefix_target_chat": op1_prefix_target_chat,
     "op2_weighted_fair_mix": op2_weighted_fair_mix,
     "op4_histogram_shards": op4_histogram_shards,
     "op6_isolation_forest_quality": op6_isolation_forest_quality,
     "op9_superminhash_near_duplicates": op9_superminhash_near_duplicates,
+    "op10_suffix_automata_substrings": op10_suffix_automata_substrings,
 }
 
 ORACLE: dict[str, str] = {"op1_prefix_target_chat": ORACLE_OP1}
