@@ -11,6 +11,7 @@ from revmart.llm.common import read_table
 from revmart.llm.formatting import conversation_digests, expand_conversations
 from revmart.llm.mixing import mix_sources
 from revmart.llm.neardup import near_duplicates
+from revmart.llm.packing import pack_documents
 from revmart.llm.quality import COUNTS, fit_quality, judge_quality
 from revmart.llm.sharding import shard_documents
 from revmart.llm.substrings import remove_repeats
@@ -84,6 +85,12 @@ def op6_isolation_forest_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(docs, model).select("doc_id", *COUNTS, "base_failed", "anomaly_score", "kept")
 
 
+def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op9_superminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the near-duplicate group that each belongs to."""
     found = near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, threshold=85)
@@ -101,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_weighted_fair_mix": op2_weighted_fair_mix,
     "op4_histogram_shards": op4_histogram_shards,
     "op6_isolation_forest_quality": op6_isolation_forest_quality,
+    "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
     "op9_superminhash_near_duplicates": op9_superminhash_near_duplicates,
     "op10_suffix_automata_substrings": op10_suffix_automata_substrings,
 }
