@@ -11,6 +11,7 @@ from revmart.llm.common import read_table
 from revmart.llm.formatting import conversation_digests, expand_conversations
 from revmart.llm.mixing import mix_sources
 from revmart.llm.neardup import near_duplicates
+from revmart.llm.neighbours import nearest_neighbours
 from revmart.llm.packing import pack_documents
 from revmart.llm.quality import COUNTS, fit_quality, judge_quality
 from revmart.llm.sharding import shard_documents
@@ -91,6 +92,12 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_pruned_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every 20th embedding, by inner product."""
+    embeddings = read_table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(embeddings, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op9_superminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the near-duplicate group that each belongs to."""
     found = near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, threshold=85)
@@ -109,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_histogram_shards": op4_histogram_shards,
     "op6_isolation_forest_quality": op6_isolation_forest_quality,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
+    "op8_pruned_graph_neighbours": op8_pruned_graph_neighbours,
     "op9_superminhash_near_duplicates": op9_superminhash_near_duplicates,
     "op10_suffix_automata_substrings": op10_suffix_automata_substrings,
 }
