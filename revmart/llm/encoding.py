@@ -35,10 +35,16 @@ class ByteEncoder:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
             self._fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def ids(self, text: str) -> np.ndarray:
+    def _encode(self, text: str) -> list[int]:
         if self._fast is not None and len(text) <= _FAST_CHARS and not _PLAIN.search(text):
-            return np.asarray(self._fast.encode_ordinary(text), dtype="<u4")
-        return np.asarray(self._slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            return self._fast.encode_ordinary(text)
+        return self._slow.encode(text, add_special_tokens=False).ids
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.asarray(self._encode(text), dtype="<u4")
+
+    def count(self, text: str) -> int:
+        return len(self._encode(text))
 
 
 @lru_cache(maxsize=2)

@@ -136,7 +136,7 @@ def pack_pieces(pieces: DataFrame, groups: int, sequence: int = SEQUENCE, key_co
         [pieces.schema[c] for c in columns] + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     )
 
-    def pack(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(list(key_cols), kind="stable", ignore_index=True)
         where, offset = pack_lengths(rows["length"].to_numpy(), sequence)
         return rows[columns].assign(sequence_id=(int(key[0]) << 32) + where, offset=offset)

@@ -230,7 +230,7 @@ def fit_quality(
     place = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit("row"), *RATES), *RATES)
     sampled = offered.withColumn("tree", tree).withColumn("row", F.row_number().over(place)).where(F.col("row") <= sample)
 
-    def grow(key, rows):
+    def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         nodes = grow_tree(rows[RATES].to_numpy(), int(key[0]))
         out = {"tree": [int(key[0])] * len(nodes), "node": list(range(len(nodes)))}
         for i, name in enumerate(("feature", "value", "left_node", "right_node")):

@@ -16,6 +16,8 @@ from revmart.llm.packing import pack_documents
 from revmart.llm.quality import COUNTS, fit_quality, judge_quality
 from revmart.llm.sharding import shard_documents
 from revmart.llm.substrings import remove_repeats
+from revmart.llm.token_counts import count_documents, edit_documents
+from revmart.llm.toxicity import Category, fit_chain, judge_toxicity
 
 #: A conversation whose turns hold the template's own control strings.
 HARD_TURN = "\\### Assistant: </turn> ok"
@@ -79,6 +81,40 @@ def op2_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents counted, then edited in three places each and brought up to date.
+
+    The edits follow from the text's length: at a quarter of it 12 characters
+    give way to a phrase, from its middle 40 characters go, and the text's
+    own first 25 characters are added at its end.
+    """
+    size = F.length(F.coalesce(F.col("text"), F.lit("")))
+    place = lambda c: F.floor(c).cast("int")
+    edits = F.array(
+        F.struct(place(size / 4).alias("start"), F.lit(12).alias("removed"), F.lit("an edit, isn't it?").alias("inserted")),
+        F.struct(place(size / 2).alias("start"), F.lit(40).alias("removed"), F.lit("").alias("inserted")),
+        F.struct((size + 1000).alias("start"), F.lit(0).alias("removed"), F.substring(F.coalesce(F.col("text"), F.lit("")), 1, 25).alias("inserted")),
+    )
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = count_documents(docs).withColumns({"edits": edits, "n_tokens_before": F.col("n_tokens"), "n_chars_before": size.cast("long")})
+    return edit_documents(counted).select(
+        "doc_id", "n_chars_before", "n_tokens_before",
+        F.length("text").cast("long").alias("n_chars"),
+        "n_tokens", "reencoded_chars",
+        F.size("leaf_chars").alias("n_leaves"),
+    )
+
+
+CATEGORIES = [Category("low_quality", "quality", 0), Category("toxic", "toxic", 1)]
+
+
+def op5_classifier_chain_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the chain's scores and the verdict of its last category."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = fit_chain(docs, read_table(spark, sf_dir, "labels"), CATEGORIES)
+    return judge_toxicity(docs, chain).select("doc_id", "low_quality_score", "toxic_score", "toxic")
+
+
 def op6_isolation_forest_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their rule statistics and the verdict on them."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -113,7 +149,9 @@ def op10_suffix_automata_substrings(spark: SparkSession, sf_dir: str) -> DataFra
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_prefix_target_chat": op1_prefix_target_chat,
     "op2_weighted_fair_mix": op2_weighted_fair_mix,
+    "op3_edit_aware_counts": op3_edit_aware_counts,
     "op4_histogram_shards": op4_histogram_shards,
+    "op5_classifier_chain_toxicity": op5_classifier_chain_toxicity,
     "op6_isolation_forest_quality": op6_isolation_forest_quality,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
     "op8_pruned_graph_neighbours": op8_pruned_graph_neighbours,

@@ -38,10 +38,14 @@ def _byte_values(lower: bool) -> np.ndarray:
     return values
 
 
-@lru_cache(maxsize=1)
-def _is_blank() -> np.ndarray:
+@lru_cache(maxsize=2)
+def _is_blank(letters: bool) -> np.ndarray:
+    """Bytes between words: the blanks, or all of ASCII but the letters."""
     table = np.zeros(256, dtype=bool)
     table[list(BLANKS)] = True
+    if letters:
+        table[:128] = True
+        table[65:91] = table[97:123] = False
     return table
 
 
@@ -79,12 +83,12 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
 
 
-def _words(data: np.ndarray, offsets: np.ndarray, rows: range, lower: bool) -> Words:
+def _words(data: np.ndarray, offsets: np.ndarray, rows: range, lower: bool, letters: bool) -> Words:
     size = len(data)
     if not size:
         none = np.zeros(0, np.int64)
         return Words(data, none, none, none.astype(np.uint64), np.zeros(len(rows) + 1, np.int64), offsets, rows)
-    inside = ~_is_blank()[data]
+    inside = ~_is_blank(letters)[data]
     begins, finishes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     finishes[:-1] &= ~inside[1:]
@@ -100,8 +104,11 @@ def _words(data: np.ndarray, offsets: np.ndarray, rows: range, lower: bool) -> W
     return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets), offsets, rows)
 
 
-def words_of(texts: pa.Array, lower: bool = False, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Words]:
-    """The texts' words, chunk by chunk; every text is in one chunk."""
+def words_of(texts: pa.Array, lower: bool = False, letters: bool = False, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Words]:
+    """The texts' words, chunk by chunk; every text is in one chunk.
+
+    ``lower``: ASCII letters as lower case. ``letters``: words are runs of
+    letters (ASCII ones and all bytes above) instead of non-blanks."""
     if len(texts) == 0:
         return
     offsets, data = _buffers(texts)
@@ -109,7 +116,7 @@ def words_of(texts: pa.Array, lower: bool = False, chunk_bytes: int = CHUNK_BYTE
     while at < len(texts):
         stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + chunk_bytes, side="right")) - 1)
         lo, hi = int(offsets[at]), int(offsets[stop])
-        yield _words(data[lo:hi], offsets[at : stop + 1] - lo, range(at, stop), lower)
+        yield _words(data[lo:hi], offsets[at : stop + 1] - lo, range(at, stop), lower, letters)
         at = stop
 
 
