@@ -13,27 +13,31 @@
    band of its signature. Two sets of the threshold's similarity or more share
    none of the buckets with probability ``(1 - s**rows)**bands`` at most
    (2e-8 for 0.85, 3e-6 for 0.8, with the defaults).
-4. *Verification.* Links are confirmed on full sets. Pairs of a bucket are
-   never all emitted: every document is first compared with the smallest
-   document it meets, and buckets whose documents are then in one component
-   are done. In the others a few documents at a time (4, 16, 64, ...) of all
-   but the largest component there are compared with the rest of the bucket
-   and leave it, until each bucket is of one component. That decides every
-   candidate pair, by comparison or because the two are connected already.
+4. *Verification.* Links are confirmed on full sets, and pairs of a bucket
+   are never all emitted. Every document is first compared with the smallest
+   document it meets; buckets whose documents are then in one component are
+   done, which settles groups of close copies at one comparison each. In any
+   other bucket the documents outside its largest component are compared
+   with all of other components: pair by pair in small buckets, and in larger
+   ones by blocks of sets inside a task, which returns links only. That
+   decides every candidate pair, by comparison or because both ends are
+   connected already.
 5. *Grouping.* Confirmed links are grouped by union-find.
 
-Scale. Buckets shuffle 32 bytes per class and band. Texts move once, for
-classes that met another one; sets of those move with their pairs. A bucket
-that holds a third of all rows costs one comparison per row when its
-documents are alike.
+Scale. Buckets shuffle 32 bytes per class and band. Texts move once, to make
+the sets of classes that met another one; sets move with their pairs and
+blocks. A bucket that holds a third of all rows costs one comparison per row
+as far as its documents are alike; documents in it that resemble none have to
+be compared with all (nothing short of that proves that no link is lost), by
+tasks of two blocks each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,8 +50,9 @@ SHINGLE_WORDS = 5
 THRESHOLD = 80
 BANDS = 24
 ROWS = 4
-FIRST_CENTRES = 4
-CENTRE_GROWTH = 4
+#: Up to so many documents a bucket is compared pair by pair, above in blocks of so many.
+SMALL_BUCKET = 16
+BLOCK = 512
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL = np.uint64(48)  # a value is its level and 48 random bits
@@ -206,26 +211,72 @@ def _first_pairs(members: DataFrame, threshold: int) -> DataFrame:
 
 
 def _unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with ``label``."""
-    labelled = (
+    """Members of the buckets that hold several components, with ``label``,
+    ``odd`` (not of the bucket's largest component), the bucket's size
+    ``held`` and how many of it are ``odd_held``."""
+    labelled = checkpointed(
         members.select("key", "id", "f1", "n")
         .join(components.select(F.col("node").alias("id"), "component"), "id", "left")
         .withColumn("label", F.coalesce("component", "id"))
         .drop("component")
     )
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    return checkpointed(labelled.join(open_keys, "key"))
-
-
-def _centres(members: DataFrame, count: int) -> DataFrame:
-    """Per bucket the next documents to compare: of its smallest components
-    first, none of its largest."""
-    sizes = members.groupBy("key", "label").agg(F.count("*").alias("held"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("held", "label")).alias("top"))
-    sizes = sizes.join(largest, "key").where(F.col("label") != F.col("top.label")).select("key", "label", "held")
-    order = Window.partitionBy("key").orderBy("held", "label", "id", "f1")
-    ranked = members.join(sizes, ["key", "label"]).withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= count).select("key", "id", "f1", "n", "label")
+    sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("c"))
+    open_keys = sizes.groupBy("key").agg(
+        F.count("*").alias("labels"), F.sum("c").alias("held"), F.max(F.struct("c", "label")).alias("top")
+    ).where("labels > 1").select("key", "held", (F.col("held") - F.col("top.c")).alias("odd_held"), F.col("top.label").alias("top"))
+    marked = labelled.join(open_keys, "key").withColumn("odd", F.col("label") != F.col("top")).drop("top")
+    return checkpointed(marked)
+
+
+def _small_links(small: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links between components in small buckets, pair by pair."""
+    o = small.where("odd").select(
+        "key", F.col("id").alias("o_id"), F.col("f1").alias("o_f"), F.col("n").alias("o_n"), F.col("label").alias("o_label")
+    )
+    met = small.join(o, "key").where((F.col("label") != F.col("o_label")) & _alike("n", "o_n", threshold))
+    x, y = F.struct(F.col("id").alias("i"), F.col("f1").alias("f")), F.struct(F.col("o_id").alias("i"), F.col("o_f").alias("f"))
+    pairs = met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()
+    pairs = pairs.select(F.col("x.i").alias("a"), F.col("x.f").alias("a_f"), F.col("y.i").alias("b"), F.col("y.f").alias("b_f"))
+    return _verified(pairs, sets, threshold)
+
+
+def _block_links(threshold: int):
+    """Links between components among the sets of one or two blocks."""
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
+        sizes = np.array([len(p) for p in parts])
+        vocabulary, shingles = np.unique(np.concatenate(parts), return_inverse=True)
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        label, ids, mark = rows["label"].to_numpy(), rows["id"].to_numpy(), np.zeros(len(vocabulary), dtype=np.int64)
+        found = []
+        for i in np.flatnonzero(rows["odd"].to_numpy()):
+            own = shingles[first[i] : first[i + 1]]
+            mark[own] = 1
+            shared = np.add.reduceat(mark[shingles], first[:-1])
+            mark[own] = 0
+            alike = (100 * shared >= threshold * (sizes + sizes[i] - shared)) & (label != label[i])
+            # one link to each component is enough
+            _, at = np.unique(label[alike], return_index=True)
+            found += [(int(ids[i]), int(v)) for v in ids[alike][at]]
+        return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
+
+    return links
+
+
+def _large_links(large: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links between components in large buckets: every block that holds odd
+    documents with every other block. Odd documents fill the first blocks."""
+    order = Window.partitionBy("key").orderBy(F.col("odd").desc(), "id", "f1")
+    block = F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int")
+    blocks, odd_blocks = (F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("held", "odd_held"))
+    placed = large.select("key", "id", "f1", "label", "odd", block.alias("block"), blocks.alias("blocks"), odd_blocks.alias("odd_blocks"))
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    pairs = F.transform(others, lambda k: F.struct(F.least(k, "block").alias("p"), F.greatest(k, "block").alias("q")))
+    useful = F.filter(pairs, lambda x: x["p"] < F.col("odd_blocks"))
+    sent = placed.select("key", "id", "f1", "label", "odd", F.explode(useful).alias("pair"))
+    full = sent.join(sets, ["id", "f1"]).select("key", "pair", "id", "label", "odd", "shingles")
+    return checkpointed(full.groupBy("key", "pair").applyInPandas(lambda r: _block_links(threshold)(r), "u long, v long").distinct())
 
 
 def near_duplicates(
@@ -279,24 +330,11 @@ def _components(texts: DataFrame, members: DataFrame, shingle_words: int, thresh
     """Components of the links among ``members`` of the buckets."""
     chosen = texts.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "text"])
     sets = checkpointed(chosen.mapInArrow(_sets(shingle_words), "id long, f1 long, shingles binary"))
-    links = [_verified(_first_pairs(members, threshold), sets, threshold)]
-    components = checkpointed(connected_components(links[0]))
-    centres = FIRST_CENTRES
-    while True:
-        members = _unsettled(members, components)
-        if not members.limit(1).count():
-            return components
-        chosen_centres = checkpointed(_centres(members, centres))
-        c = chosen_centres.select(
-            "key", F.col("id").alias("c_id"), F.col("f1").alias("c_f"), F.col("n").alias("c_n"), F.col("label").alias("c_label")
-        )
-        met = members.join(c, "key").where((F.col("label") != F.col("c_label")) & _alike("n", "c_n", threshold))
-        a, b = F.struct(F.col("id").alias("i"), F.col("f1").alias("f")), F.struct(F.col("c_id").alias("i"), F.col("c_f").alias("f"))
-        pairs = met.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")).distinct()
-        pairs = pairs.select(
-            F.col("x.i").alias("a"), F.col("x.f").alias("a_f"), F.col("y.i").alias("b"), F.col("y.f").alias("b_f")
-        )
-        links.append(_verified(pairs, sets, threshold))
-        components = checkpointed(connected_components(reduce(DataFrame.unionByName, links)))
-        members = members.join(chosen_centres.select("key", "id", "f1"), ["key", "id", "f1"], "left_anti")
-        centres *= CENTRE_GROWTH
+    links = _verified(_first_pairs(members, threshold), sets, threshold)
+    components = checkpointed(connected_components(links))
+    unsettled = _unsettled(members, components)
+    links = (
+        links.unionByName(_small_links(unsettled.where(F.col("held") <= SMALL_BUCKET), sets, threshold))
+        .unionByName(_large_links(unsettled.where(F.col("held") > SMALL_BUCKET), sets, threshold))
+    )
+    return checkpointed(connected_components(links))
