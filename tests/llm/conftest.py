@@ -15,7 +15,3 @@ def make_docs(spark):
 
     return make
 
-
-def prose(seed: int, n: int) -> str:
-    """``n`` words that no other seed has."""
-    return " ".join(f"w{seed}x{i}" for i in range(n))

@@ -1,0 +1,103 @@
+"""Near-duplicates against a brute-force comparison of all documents."""
+
+import random
+import re
+
+import pytest
+
+from conftest_llm import prose
+from revmart.llm import neardup, registry
+from revmart.llm.components import connected_components
+from revmart.llm.neardup import near_duplicates
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(rows, size, threshold):
+    """{id: (shingles, component)} by comparing every pair that shares a shingle."""
+    sets = {}
+    for i, text in rows:
+        words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        grams = {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
+        sets.setdefault(i, []).append(grams or ({tuple(words)} if words else set()))
+    holders, parent = {}, {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, own in sets.items():
+        for s in own:
+            for g in s:
+                holders.setdefault(g, set()).add(i)
+    pairs = {(a, b) for h in holders.values() for a in h for b in h if a < b}
+    for a, b in pairs:
+        if any(x and y and 100 * len(x & y) >= threshold * len(x | y) for x in sets[a] for y in sets[b]):
+            ra, rb = find(a), find(b)
+            parent[max(ra, rb)] = min(ra, rb)
+    return {i: (len(sets[i][0]), find(i)) for i in sets}
+
+
+def found_of(df):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
+
+
+def family(seed, copies, words, most_edits):
+    """A document and copies of it with more and more words changed."""
+    rng = random.Random(seed)
+    base = prose(seed, words).split()
+    out = [" ".join(base)]
+    for k in range(copies):
+        own = list(base)
+        for _ in range(1 + k * most_edits // copies):
+            own[rng.randrange(words)] = f"e{seed}x{rng.random()}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_query_equals_brute_force(spark, sf01):
+    docs = spark.read.parquet(f"{sf01}/documents.parquet")
+    rows = registry.QUERIES["op9_superminhash_near_duplicates"](spark, sf01).collect()
+    want = brute([(r.doc_id, r.text) for r in docs.collect()], 3, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+
+
+@pytest.mark.parametrize("small,block", [(16, 512), (2, 8)])
+def test_families_equal_brute_force(spark, make_docs, monkeypatch, small, block):
+    monkeypatch.setattr(neardup, "SMALL_BUCKET", small)
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    texts = family(1, 60, 120, 12) + family(2, 8, 40, 6) + family(3, 30, 300, 25) + [prose(9, 50)] * 20
+    rows = [(1000 - i, t) for i, t in enumerate(texts)]
+    assert found_of(near_duplicates(make_docs(rows), shingle_words=3, threshold=85)) == brute(rows, 3, 85)
+
+
+def test_chains_group_documents_that_are_not_alike_themselves(spark, make_docs):
+    words = prose(5, 200).split()
+    rows = [(i, " ".join(words[i * 6 : i * 6 + 100])) for i in range(16)]
+    found = found_of(near_duplicates(make_docs(rows), shingle_words=5, threshold=80))
+    assert found == brute(rows, 5, 80) and {c for _, c in found.values()} == {0}
+
+
+def test_edge_cases(spark, make_docs):
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One Two"), (5, "one two"), (6, "one"), (7, "one two three"), (7, "one two three"),
+            (8, prose(8, 30_000)), (9, prose(8, 30_000) + " more")]
+    assert found_of(near_duplicates(make_docs(rows), shingle_words=3, threshold=85)) == brute(rows, 3, 85)
+    assert near_duplicates(make_docs([])).count() == 0
+    assert near_duplicates(make_docs([(1, None)])).collect()[0].kept
+    unnamed = near_duplicates(make_docs([(None, prose(1, 30)), (None, prose(2, 30)), (3, prose(1, 30))])).collect()
+    assert sorted((r.doc_id is None, r.component_id, r.kept) for r in unnamed if r.component_id) == [(False, 3, True), (True, 3, False)]
+    assert [r.kept for r in unnamed if r.component_id is None] == [True]
+
+
+def test_clashing_columns_are_not_read(spark, make_docs):
+    docs = make_docs([(1, prose(1, 30)), (2, prose(1, 30))]).selectExpr("*", "1 as id", "'x' as key", "0 as n_shingles", "'b' as bands")
+    assert {r.doc_id: r.component_id for r in near_duplicates(docs).collect()} == {1: 1, 2: 1}
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 150), (150, 101), (None, 3)]
+    found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long").repartition(5)).collect()}
+    assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys((100, 101, 150, 200), 100)}
+    assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
