@@ -131,8 +131,8 @@ def nearest_neighbours(
     ``vec_id``, ``score`` (in double precision). Ties go to the smaller id.
 
     Vectors that are NULL, empty, zero, or hold a NULL, NaN or infinity take
-    no part, nor do rows without an id. Rows that share an id are one row's
-    copies: a query finds none of them. With fewer than ``k`` other rows a
+    no part, nor do rows without an id. Repeated rows are found as often as
+    they occur, but a query finds no row with its own id. With fewer than ``k`` other rows a
     query finds all. An empty table gives no rows.
     """
     require_columns(embeddings, id_col, vector_col)

@@ -7,8 +7,9 @@ earlier probabilities come from models that did not see the row (out-of-fold
 predictions), so a later model learns how far they can be trusted on new
 documents.
 
-Words are runs of letters, ASCII lower-cased, known by a 64-bit hash. Each
-fit chooses its own words, from its training rows alone: those whose
+Words are runs of letters, ASCII lower-cased, known by a 64-bit hash; their
+first four and five bytes count as words too, so that the forms of a word
+that inflects are known by its stem. Each fit chooses its own words, from its training rows alone: those whose
 documents carry the category far more or less often than chance allows.
 
 Fitting uses at most ``sample_docs`` labelled documents, those with the
@@ -34,11 +35,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.llm.common import checkpointed, require_columns
-from revmart.llm.words import words_of
+from revmart.llm.words import Words, stem_hashes, words_of
 
 SAMPLE_DOCS = 16_000
 FOLDS = 3
-MIN_DOCS = 5
+STEMS = (4, 5)
+MIN_DOCS = 3
 MIN_SCORE = 5.0
 STEPS = 150
 RATE = 0.5
@@ -67,7 +69,8 @@ class ChainLink(NamedTuple):
 
 
 class WordCounts(NamedTuple):
-    """Entries of a sparse documents x words matrix, and words per document."""
+    """Entries of a sparse documents x words matrix (stems are words too), and
+    words per document."""
 
     doc: np.ndarray
     word: np.ndarray
@@ -141,18 +144,30 @@ def best_threshold(p: np.ndarray, yes: np.ndarray) -> float:
     return float((p[order][k] + after) / 2)
 
 
+def _entries(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Document and hash of every word and stem."""
+    doc = np.repeat(np.arange(len(words.rows)), np.diff(words.first))
+    stems = [stem_hashes(words, n) for n in STEMS]
+    return np.concatenate([doc, *[doc[at] for at, _ in stems]]), np.concatenate([words.hashes, *[h for _, h in stems]])
+
+
 def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for words in words_of(batch.column("text"), lower=True, letters=True):
-            unique = [np.unique(words.hashes[a:b], return_counts=True) for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+            doc, hashes = _entries(words)
+            order = np.argsort(doc, kind="stable")
+            first = np.searchsorted(doc[order], np.arange(len(words.rows) + 1))
+            unique = [np.unique(hashes[order[a:b]], return_counts=True) for a, b in zip(first[:-1], first[1:], strict=True)]
             rows = batch.slice(words.rows.start, len(words.rows))
+            others = [name for name in rows.schema.names if name != "text"]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[c for c, name in zip(rows.columns, rows.schema.names, strict=True) if name != "text"],
+                    *[rows.column(name) for name in others],
+                    pa.array(np.diff(words.first), pa.int32()),
                     pa.array([u.view(np.int64) for u, _ in unique], pa.list_(pa.int64())),
                     pa.array([c for _, c in unique], pa.list_(pa.int32())),
                 ],
-                names=[*[name for name in rows.schema.names if name != "text"], "words", "times"],
+                names=[*others, "total", "words", "times"],
             )
 
 
@@ -167,7 +182,7 @@ def _sample(docs: DataFrame, labels: DataFrame, categories: list[Category], id_c
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     picked = texts.join(F.broadcast(chosen), "id")
     names = [f"y{i}" for i in range(len(categories))]
-    schema = "id long, " + ", ".join(f"{n} int" for n in names) + ", words array<long>, times array<int>"
+    schema = "id long, " + ", ".join(f"{n} int" for n in names) + ", total int, words array<long>, times array<int>"
     counted = picked.select(F.col("id").cast("long").alias("id"), *names, "text").mapInArrow(_counted_words, schema)
     # repeated ids must not exceed the bound: one document of each
     return checkpointed(counted.dropDuplicates(["id"]).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)).cast("int")))
@@ -179,7 +194,7 @@ def _matrix(rows: pd.DataFrame) -> WordCounts:
     words = np.concatenate([empty, *rows["words"]]).astype(np.int64).view(np.uint64)
     times = np.concatenate([empty, *rows["times"]]).astype(float)
     doc = np.repeat(np.arange(len(rows)), held)
-    return WordCounts(doc, words, times, np.bincount(doc, times, len(rows)))
+    return WordCounts(doc, words, times, rows["total"].to_numpy().astype(float))
 
 
 _FITTED = "id long, p double, words binary, weights binary, earlier binary, bias double"
@@ -259,8 +274,8 @@ def judge_toxicity(docs: DataFrame, chain: list[ChainLink], text_col: str = "tex
         for batch in batches:
             for words in words_of(batch.column(text_col), lower=True, letters=True):
                 n = len(words.rows)
-                doc = np.repeat(np.arange(n), np.diff(words.first))
-                counts = WordCounts(doc, words.hashes, np.ones(len(doc)), np.diff(words.first).astype(float))
+                doc, hashes = _entries(words)
+                counts = WordCounts(doc, hashes, np.ones(len(doc)), np.diff(words.first).astype(float))
                 scores = np.zeros((n, 0))
                 for link in chain:
                     p = predict_linear(link.model, counts, _log_odds(scores))

@@ -64,6 +64,7 @@ class Words(NamedTuple):
     ``hashes``: one per word. ``starts``, ``ends``: byte spans in ``data``.
     ``first``: index of each text's first word, and the end of the last's.
     ``offsets``: byte spans of the texts. ``rows``: their places in the batch.
+    ``sums``: running sums of the bytes' hash terms, for hashes of parts.
     """
 
     data: np.ndarray
@@ -73,6 +74,7 @@ class Words(NamedTuple):
     first: np.ndarray
     offsets: np.ndarray
     rows: range
+    sums: np.ndarray
 
 
 def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +89,7 @@ def _words(data: np.ndarray, offsets: np.ndarray, rows: range, lower: bool, lett
     size = len(data)
     if not size:
         none = np.zeros(0, np.int64)
-        return Words(data, none, none, none.astype(np.uint64), np.zeros(len(rows) + 1, np.int64), offsets, rows)
+        return Words(data, none, none, none.astype(np.uint64), np.zeros(len(rows) + 1, np.int64), offsets, rows, np.zeros(1, np.uint64))
     inside = ~_is_blank(letters)[data]
     begins, finishes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -101,7 +103,7 @@ def _words(data: np.ndarray, offsets: np.ndarray, rows: range, lower: bool, lett
     sums = np.zeros(size + 1, dtype=np.uint64)
     np.cumsum(_byte_values(lower)[data] * up[:size], out=sums[1:])
     hashes = mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets), offsets, rows)
+    return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets), offsets, rows, sums)
 
 
 def words_of(texts: pa.Array, lower: bool = False, letters: bool = False, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Words]:
@@ -120,6 +122,15 @@ def words_of(texts: pa.Array, lower: bool = False, letters: bool = False, chunk_
         at = stop
 
 
+def stem_hashes(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the words of more than ``length`` bytes, and hashes of their
+    first ``length`` bytes (other than those of whole words)."""
+    at = np.flatnonzero(words.ends - words.starts > length)
+    starts = words.starts[at]
+    _, down = _powers(1 << max(21, len(words.data).bit_length()))
+    return at, mix64((words.sums[starts + length] - words.sums[starts]) * down[starts] + _GOLD + np.uint64(length))
+
+
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the ``n`` words from each word on; ``len(hashes) - n + 1`` of
     them, those that cross texts included."""

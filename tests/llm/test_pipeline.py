@@ -1,0 +1,86 @@
+"""The corpus pipeline, stage by stage, against brute force."""
+
+import pytest
+
+import corpus_pipeline as pipeline
+from conftest_llm import prose
+from test_neardup import brute as brute_groups
+from test_packing import check_layout
+from test_substrings import brute as brute_passages
+
+
+def test_stages_in_order():
+    assert [n for n, _ in pipeline.STAGES] == ["quality_rules", "near_dedup", "substring_dedup", "source_mix", "packed_sequences"]
+
+
+@pytest.fixture(scope="module")
+def results(spark, sf001, tmp_path_factory):
+    """Every stage's input and output on sf0.001."""
+    docs, out = spark.read.parquet(f"{sf001}/documents.parquet"), {}
+    for name, stage in pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp(name) / "t")
+        stage(spark, docs, sf001).write.parquet(path)
+        out[name] = (docs, docs := spark.read.parquet(path))
+    return out
+
+
+def texts(df):
+    return [(r.doc_id, r.text) for r in df.collect()]
+
+
+def test_all_stages_but_the_last_keep_the_columns(results):
+    for name, (before, after) in results.items():
+        assert (after.columns == before.columns) == (name != "packed_sequences")
+
+
+def test_quality_keeps_documents_as_they_are(spark, sf001, results):
+    before, after = results["quality_rules"]
+    kept = dict(texts(after))
+    assert kept.items() <= dict(texts(before)).items()
+    good = {r.doc_id for r in spark.read.parquet(f"{sf001}/labels.parquet").where("quality = 1").collect()}
+    long_good = [i for i, t in texts(before) if i in good and len(t.split()) >= 50]
+    assert sum(i in kept for i in long_good) >= 0.95 * len(long_good)
+
+
+def test_one_document_of_each_group_stays(results):
+    before, after = results["near_dedup"]
+    want = brute_groups(texts(before), 5, 80)
+    assert {i for i, _ in texts(after)} == {c for _, c in want.values()} and after.count() == len({c for _, c in want.values()})
+
+
+def test_passages_go(results):
+    before, after = results["substring_dedup"]
+    want = {i: t if not removed else kept for (i, t), (_, removed, kept) in brute_passages(texts(before)).items()}
+    assert dict(texts(after)) == want
+    assert all(r.n_chars == len(r.text) for r in after.collect())
+
+
+def test_mix_repeats_whole_documents(results):
+    before, after = results["source_mix"]
+    own = dict(texts(before))
+    assert all(own[i] == t for i, t in texts(after))
+    counts = [r["count"] for r in after.groupBy("doc_id").count().collect()]
+    assert max(counts) <= 3
+
+
+def test_packing_takes_every_row(results):
+    before, after = results["packed_sequences"]
+    rows = after.collect()
+    check_layout(rows)
+    assert after.where("start = 0").count() == before.count()
+
+
+def test_run_chains_the_stages(spark, sf001, results):
+    assert sorted(pipeline.run(spark, sf001).drop("sequence_id", "offset").collect()) == sorted(
+        results["packed_sequences"][1].drop("sequence_id", "offset").collect()
+    )
+
+
+def test_edge_cases(spark, make_docs, sf001):
+    rows = [(1, None), (2, ""), (2, ""), (None, prose(1, 80)), (4, prose(1, 80)), (5, prose(5, 80) + " " + prose(6, 60)), (6, prose(6, 60)), (6, prose(6, 60)), (7, prose(8, 9000))]
+    docs = make_docs(rows)
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, make_docs([]), sf001).count() == 0, name
+        stage(spark, docs, sf001).count()
+    stayed = pipeline.near_dedup(spark, docs, sf001).collect()
+    assert sorted((r.doc_id or 0) for r in stayed) == [0, 1, 2, 4, 5, 6, 7]

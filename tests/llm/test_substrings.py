@@ -49,8 +49,7 @@ def test_query_equals_brute_force(spark, sf01):
 
 
 @pytest.mark.parametrize("heavy", [1000, 2])
-@pytest.mark.parametrize("broadcast", [32 << 20, 0])
-def test_overlapping_passages_equal_brute_force(spark, make_docs, heavy, broadcast):
+def test_overlapping_passages_equal_brute_force(spark, make_docs, heavy):
     rng = random.Random(heavy)
     passages = [prose(k, n).split() for k, n in enumerate((21, 60, 35, 24, 200))]
     rows = []
@@ -62,7 +61,7 @@ def test_overlapping_passages_equal_brute_force(spark, make_docs, heavy, broadca
             words += prose(1000 * i + len(words), rng.randint(0, 12)).split() + p[a : a + rng.randint(5, 60)]
         rows.append((500 - i, " ".join(words)))
     rows += [(900 + i, "again and " * 30) for i in range(3)]
-    assert found_of(remove_repeats(make_docs(rows), shard_passages=heavy, broadcast_bytes=broadcast)) == brute(rows)
+    assert found_of(remove_repeats(make_docs(rows), shard_passages=heavy)) == brute(rows)
 
 
 def test_edge_cases(spark, make_docs):
