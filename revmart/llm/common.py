@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Free the disk of finished phases.
+
+    Spark deletes a job's shuffle files once the driver has collected what
+    refers to them, which can be long after the job. A job of several large
+    phases asks for it in between, behind a checkpoint.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def word_count(text: Column) -> Column:
     """Words of a text as a long; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

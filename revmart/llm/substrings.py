@@ -22,8 +22,9 @@ document and earlier start) goes.
 4. *Removal.* Repeated spans are merged per document and cut out.
 
 Scale. What is shuffled: anchors twice (8 and 28 bytes each), then only
-repeated ones. Texts are joined to positions by broadcast while those are
-small (``broadcast_bytes``, checked), else by a shuffle on the document.
+repeated ones, and the texts twice, to their wanted places and to their
+spans. Every phase ends in a checkpoint and gives its shuffle files back, so
+the disk in use is that of one phase.
 """
 
 from __future__ import annotations
@@ -38,13 +39,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.llm.automaton import SuffixAutomaton
-from revmart.llm.common import buckets_for, checkpointed, require_columns
+from revmart.llm.common import buckets_for, checkpointed, release_shuffles, require_columns
 from revmart.llm.words import Words, gram_hashes, mix64, words_of
 
 WINDOW = 20
 GRAM = 5
 SHARD_PASSAGES = 1000
-BROADCAST_BYTES = 32 << 20
 LAST_ID = (1 << 63) - 1
 
 _GOLD = 0x9E3779B97F4A7C15  # odd
@@ -188,12 +188,6 @@ def _by_window_hash(passages: DataFrame, window: int) -> DataFrame:
     return repeated.select("id", "tag", "lo", (F.col("lo") + window).cast("int").alias("hi"))
 
 
-def _sized(df: DataFrame, size, broadcast_bytes: int) -> DataFrame:
-    """``df`` (checkpointed), marked for broadcast where its counted bytes allow it."""
-    counted = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    return F.broadcast(df) if counted <= broadcast_bytes else df
-
-
 def _merge_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         merged = []
@@ -211,7 +205,7 @@ def _merge_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(
-    texts: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_passages: int = SHARD_PASSAGES, broadcast_bytes: int = BROADCAST_BYTES
+    texts: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_passages: int = SHARD_PASSAGES
 ) -> DataFrame:
     """``texts`` (``id``, ``tag``, ``text``) to merged word spans that are
     repeated: ``id``, ``tag``, ``spans`` (starts and ends in turn)."""
@@ -219,6 +213,7 @@ def repeated_spans(
     anchors = texts.mapInArrow(_anchors(window, gram), schema)
     twice = anchors.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
     repeated = checkpointed(anchors.join(twice, "fp"))
+    release_shuffles(texts.sparkSession)
 
     contexts = checkpointed(
         repeated.groupBy("fp", "context").agg(F.min(F.struct("id", "pos")).alias("first"), F.count("*").alias("n"))
@@ -238,12 +233,13 @@ def repeated_spans(
         .agg(F.collect_list(F.struct("pos", "fp", (F.col("held") > shard_passages).alias("heavy"))).alias("wanted"))
     )
     wanted = checkpointed(wanted)
-    asked = _sized(wanted, F.lit(48) + F.size("wanted") * 40, broadcast_bytes)
+    release_shuffles(texts.sparkSession)
     passages = checkpointed(
-        texts.join(asked, ["id", "tag"])
+        texts.join(wanted, ["id", "tag"])
         .select("id", "tag", "text", "wanted")
         .mapInArrow(_passages(window, gram), "fp long, heavy boolean, id long, tag int, start int, words array<long>")
     )
+    release_shuffles(texts.sparkSession)
     light = passages.where("not heavy")
     shards = buckets_for(light.count(), shard_passages)
     matched = (
@@ -255,7 +251,9 @@ def repeated_spans(
     heavy = _by_window_hash(passages.where("heavy"), window)
     spans = copies.unionByName(matched).unionByName(heavy)
     per_text = spans.groupBy("id", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    return checkpointed(per_text.mapInArrow(_merge_spans, "id long, tag int, spans array<int>"))
+    merged = checkpointed(per_text.mapInArrow(_merge_spans, "id long, tag int, spans array<int>"))
+    release_shuffles(texts.sparkSession)
+    return merged
 
 
 def _cut_text(raw: bytes, words: Words, i: int, spans: list[int] | None) -> tuple[int, int, str]:
@@ -279,7 +277,6 @@ def remove_repeats(
     window: int = WINDOW,
     gram: int = GRAM,
     shard_passages: int = SHARD_PASSAGES,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every row of ``docs`` plus ``n_words``, ``n_removed`` and ``kept_text``
     (the kept words, joined by one blank).
@@ -295,8 +292,7 @@ def remove_repeats(
     kept = [c for c in docs.columns if c not in made or c in (id_col, text_col)]
     key = [F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), F.hash(F.col(text_col))]
     texts = docs.select(key[0].alias("id"), key[1].alias("tag"), F.col(text_col).alias("text"))
-    spans = repeated_spans(texts, window, gram, shard_passages, broadcast_bytes)
-    spans = _sized(spans, F.lit(48) + F.size("spans") * 4, broadcast_bytes)
+    spans = repeated_spans(texts, window, gram, shard_passages)
     own = docs.select(*[F.col(f"`{c}`") for c in kept], key[0].alias("__id"), key[1].alias("__tag"))
     joined = own.join(
         spans.select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), F.col("spans").alias("__spans")), ["__id", "__tag"], "left"
