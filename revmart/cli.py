@@ -4,10 +4,11 @@
     python -m revmart.cli bronze --in /lake/landing --out /lake/bronze [--months 2022-07]
     python -m revmart.cli silver --in /lake/bronze --out /lake/silver
     python -m revmart.cli gold   --in /lake/silver --out /lake/gold
-    python -m revmart.cli report --in /lake/silver
+    python -m revmart.cli report --in /lake/silver [--landing /lake/landing] --out /lake/report
 
-Paths are whatever the cluster's file system accepts. ``report`` prints each
-validation result (bounded: aggregates and samples only).
+Paths are whatever the cluster's file system accepts. ``report`` writes every
+validation result whole, as Parquet under its name, and prints where and how
+many rows.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 import argparse
 import logging
 
+from pyspark.sql import functions as F
+
 from revmart.plans.jobs import (
     bronze_job,
     gold_job,
@@ -33,7 +36,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--in", dest="src", help="input zone (bronze, silver, gold, report)")
     ap.add_argument("--pages", help="landed pages (landing)")
     ap.add_argument("--pages-format", default="parquet", choices=["parquet", "xml", "xml-entries"])
-    ap.add_argument("--out", help="output zone")
+    ap.add_argument("--out", help="output zone or report folder")
+    ap.add_argument("--landing", default=None, help="report: landing zone, for its two checks")
+    ap.add_argument("--files", default=None, help="bronze/silver/gold: keep, rebalance, compact or a number of files")
     ap.add_argument("--quarantine", default=None, help="landing, PERMISSIVE: zone for malformed pages")
     ap.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
     ap.add_argument("--months", default=None, help="bronze/silver: comma list of yyyy-MM to rebuild")
@@ -43,21 +48,27 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session(master=args.master)
     months = [m.strip() for m in args.months.split(",")] if args.months else None
+    files = {} if args.files is None else {"files": int(args.files) if args.files.isdigit() else args.files}
     if args.stage == "landing" and args.pages_format == "xml-entries":
         landing_job_from_xml_files(spark, args.pages, args.out)
     elif args.stage == "landing":
         pages = read_pages(spark, args.pages, args.pages_format)
         landing_job(spark, pages, args.out, args.mode, quarantine_path=args.quarantine)
     elif args.stage == "bronze":
-        bronze_job(spark, args.src, args.out, months=months)
+        bronze_job(spark, args.src, args.out, months=months, **files)
     elif args.stage == "silver":
-        silver_job(spark, args.src, args.out, months=months)
+        silver_job(spark, args.src, args.out, months=months, **files)
     elif args.stage == "gold":
-        gold_job(spark, args.src, args.out)
+        gold_job(spark, args.src, args.out, **files)
     else:
-        for name, df in quality_report(spark, args.src).items():
-            print(f"-- {name}")
-            df.show(50, truncate=80)
+        if not args.out:
+            ap.error("report needs --out")
+        for name, df in quality_report(spark, args.src, landing_path=args.landing).items():
+            path = f"{args.out.rstrip('/')}/{name}"
+            # typed: a check of empty columns has no value to take a type from
+            typed = [F.col(c).cast("string").alias(c) if t == "void" else F.col(c) for c, t in df.dtypes]
+            df.select(*typed).write.mode("overwrite").parquet(path)
+            print(f"-- {name}: {spark.read.parquet(path).count()} rows in {path}")
 
 
 if __name__ == "__main__":

@@ -66,6 +66,18 @@ def _month_bounds(month: str) -> tuple[dt.date, dt.date]:
     return lo, hi
 
 
+def is_month(year_col: str, month_col: str, month: str) -> Column:
+    """Whether int year/month keys name ``month`` (``yyyy-MM``)."""
+    lo, _ = _month_bounds(month)
+    return (F.col(year_col) == lo.year) & (F.col(month_col) == lo.month)
+
+
+def odd_month_keys(year_col: str, month_col: str) -> Column:
+    """Whether int year/month keys are NULL or name no month of a four-digit year."""
+    y, m = F.col(year_col), F.col(month_col)
+    return y.isNull() | m.isNull() | (y < 1000) | (y > 9999) | (m < 1) | (m > 12)
+
+
 def month_filter(
     df: DataFrame,
     date_col: str,
@@ -75,8 +87,10 @@ def month_filter(
     """Rows whose ``date_col`` falls in ``month`` (``yyyy-MM``). [O-28]
 
     Same rows as ``substr(date_col, 1, 7) = month`` but written as a range
-    so the parquet scan can push it down, plus equality on the year/month
-    partition columns (when given) so whole directories are pruned.
+    so the parquet scan can push it down, plus a test of the year/month
+    partition columns (when given) so whole directories are pruned. Keys cut
+    from an oddly written timestamp can be NULL or no month at all; rows with
+    such keys are kept for the date itself to decide.
     """
     lo, hi = _month_bounds(month)
     dtype = df.schema[date_col].dataType
@@ -87,6 +101,5 @@ def month_filter(
         lo_c, hi_c = F.lit(lo), F.lit(hi)
     cond = (F.col(date_col) >= lo_c) & (F.col(date_col) < hi_c)
     if partition_cols:
-        y_col, m_col = partition_cols
-        cond = cond & (F.col(y_col) == lo.year) & (F.col(m_col) == lo.month)
+        cond = cond & (is_month(*partition_cols, month) | odd_month_keys(*partition_cols))
     return df.where(cond)

@@ -51,13 +51,15 @@ def sort_multi_key(df: DataFrame, keys: Sequence[str], split_ties: bool = True)
 
     A range shuffle sends every row of one key value to one partition, so a
     key holding a third of all rows would make one huge sort task. With
-    ``split_ties`` a row id is appended as the last sort key: the order on
-    ``keys`` is unchanged (ties have no defined order anyway) but the range
-    partitioner can now cut a hot key across partitions.
+    ``split_ties`` a hash of the whole row is appended as the last sort key:
+    the order on ``keys`` is unchanged (ties have no defined order anyway) but
+    the range partitioner can now cut a hot key across partitions. The hash
+    follows from the row alone, so a task run again after a lost executor
+    sends every row to the same partition.
     """
     order = [F.col(k).asc_nulls_first() for k in keys]
     if split_ties:
-        order.append(F.monotonically_increasing_id())
+        order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     return df.orderBy(*order)
 
 

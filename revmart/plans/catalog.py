@@ -46,7 +46,7 @@ from revmart.operators.quality import (
     preview_rows,
     sort_multi_key,
 )
-from revmart.plans.jobs import bronze_job, gold_job, landing_frame, landing_job, silver_job
+from revmart.plans.jobs import bronze_job, gold_job, landing_frame, landing_job, quality_report, report_table, silver_job
 from revmart.plans.sql import (
     COUNT_BY_RATING_SQL,
     COUNT_BY_VERSION_SQL,
@@ -54,6 +54,7 @@ from revmart.plans.sql import (
     GOLD_SQL,
     PREVIEW_MONTHS_SQL,
     PREVIEW_ROWS_SQL,
+    distinct_count_sql,
     run_on,
 )
 from revmart.schemas import (
@@ -79,19 +80,9 @@ LOAD_TS = dt.datetime(2022, 8, 1, 3, 0, 0)
 FILTER_MONTH = "1996-03"
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. Its footer schema is inferred once per path (the files are
-    immutable) and declared on later reads, which skips the inference job."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """A test table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def rv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,13 +157,8 @@ def q_distinct_count_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_distinct_count_by_month_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sql = (
-        "WITH base AS (SELECT DISTINCT * FROM {view}) "
-        "SELECT count(*) AS total_registros, substr(CAST(trunc(CAST(o_orderdate AS DATE), 'MM') AS STRING), 1, 7) AS data "
-        "FROM base GROUP BY trunc(CAST(o_orderdate AS DATE), 'MM')"
-    )
     orders = table(spark, sf_dir, "orders")
-    return run_on(spark, sql, orders.unionAll(orders))
+    return run_on(spark, distinct_count_sql("o_orderdate"), orders.unionAll(orders))
 
 
 def q_count_by_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,8 +285,10 @@ def q_feed_union_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = feed_entries(pages(spark, sf_dir))
     # two monthly crawl batches whose feeds carried different tag sets:
     # June's lacked the version tag, July's the vote sum
-    june = entries.where(F.col("updated").startswith("2022-06")).drop("version")
-    july = entries.where(~F.col("updated").startswith("2022-06")).drop("voteSum")
+    # (an entry without a date belongs to the second)
+    in_june = F.coalesce(F.col("updated").startswith("2022-06"), F.lit(False))
+    june = entries.where(in_june).drop("version")
+    july = entries.where(~in_june).drop("voteSum")
     return void_to_string(union_pages(june, july)).select(*LANDING_COLUMNS)
 
 
@@ -360,6 +348,37 @@ def q_job_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_job(spark, silver, scratch_path(spark, "gold"), view=view)
 
 
+def odd_timestamps(reviews: DataFrame) -> DataFrame:
+    """Reviews whose timestamps are partly written oddly: a one-digit month, a
+    leading blank, or none at all."""
+    odd = (
+        F.when(F.col("id").cast("long") % 4 == 1, F.regexp_replace("updated", "-0", "-"))
+        .when(F.col("id").cast("long") % 4 == 2, F.concat(F.lit(" "), F.col("updated")))
+        .when(F.col("id").cast("long") % 16 == 3, F.lit(None).cast("string"))
+        .otherwise(F.col("updated"))
+    )
+    return reviews.withColumn("updated", odd)
+
+
+def q_filter_month_odd_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month filter with partition keys over a zone of odd timestamps."""
+    landing, bronze = scratch_path(spark, "landing-odd"), scratch_path(spark, "bronze-odd")
+    write_zone(add_partition_keys(odd_timestamps(rv(spark, sf_dir))), landing, ["ano", "mes"])
+    zone = bronze_job(spark, landing, bronze)
+    return month_filter(zone, "dt_date", "2022-06", ("pt_ano", "pt_mes")).select("nu_id", "ts_review", "dt_date")
+
+
+def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = scratch_path(spark, "landing")
+    landing_job(spark, pages(spark, sf_dir), landing)
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    bronze_job(spark, landing, bronze)
+    silver_job(spark, bronze, silver, LOAD_TS)
+    # view names of their own, so concurrent calls in one session never clash
+    own = uuid.uuid4().hex
+    return report_table(quality_report(spark, silver, f"silver_{own}", landing, f"landing_{own}"))
+
+
 def q_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = scratch_path(spark, "landed-pages")
     pages(spark, sf_dir).write.mode("overwrite").parquet(landed)
@@ -414,6 +433,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_silver": q_job_silver,
     "job_gold": q_job_gold,
     "stream_landing": q_stream_landing,
+    "filter_month_odd_keys": q_filter_month_odd_keys,
+    "quality_report": q_quality_report,
 }
 
 
@@ -430,7 +451,7 @@ RV_CTE = f"""
 rv AS (
   SELECT
     CAST(doc_id AS VARCHAR) AS id,
-    substr(text, 1, 40) AS title,
+    'Review ' || CAST(doc_id AS VARCHAR) || ' of ' || source AS title,
     text AS content,
     CAST(NULL AS VARCHAR) AS contentType,
     CAST(doc_id % 3 AS VARCHAR) AS voteSum,
@@ -600,6 +621,29 @@ ORACLE: dict[str, str] = {
                substr(CAST(dt_date AS VARCHAR), 1, 7) AS pt_ano_mes
         FROM bronze GROUP BY substr(CAST(dt_date AS VARCHAR), 1, 7), nu_version_app""",
     "stream_landing": "WITH " + RV_LANDING_CTE + " SELECT * FROM rv_landing",
+    "filter_month_odd_keys": "WITH " + RV_CTE + """
+        SELECT nu_id, ts_review, dt_date FROM (
+          SELECT id AS nu_id, CAST(substr(updated, 1, 10) AS DATE) AS dt_date,
+            CASE WHEN doc_id % 4 = 1 THEN replace(updated, '-0', '-')
+                 WHEN doc_id % 4 = 2 THEN ' ' || updated
+                 WHEN doc_id % 16 = 3 THEN NULL ELSE updated END AS ts_review
+          FROM rv)
+        WHERE ts_review IS NOT NULL AND substr(CAST(dt_date AS VARCHAR), 1, 7) = '2022-06'""",
+    "quality_report": BRONZE_WITH + """
+        , counted AS (
+          SELECT 'distinct_count_by_month' AS c, substr(CAST(dt_date AS VARCHAR), 1, 7) AS k FROM (SELECT DISTINCT * FROM bronze)
+          UNION ALL SELECT 'count_by_votes', nu_sum_votes_reviews || '|' || ds_count_votes_reviews FROM bronze
+          UNION ALL SELECT 'count_by_rating', nu_rating_review FROM bronze
+          UNION ALL SELECT 'count_by_version', nu_version_app FROM bronze
+          UNION ALL SELECT 'count_by_year_month', CAST(ano AS VARCHAR) || '|' || CAST(mes AS VARCHAR) FROM rv_landing)
+        SELECT c AS "check", k AS "key", count(*) AS "value" FROM counted GROUP BY c, k
+        UNION ALL SELECT DISTINCT 'null_columns', '-|-|-', CAST(NULL AS BIGINT) FROM rv_landing
+        UNION ALL (SELECT 'preview_rows', nu_id || '|' || CAST(dt_date AS VARCHAR) || '|' || hr_review, NULL
+                   FROM bronze ORDER BY nu_id LIMIT 5)
+        UNION ALL (SELECT 'preview_months', '202206|' || ds_title || '|' || ds_reviews, NULL
+                   FROM bronze WHERE substr(CAST(dt_date AS VARCHAR), 1, 7) = '2022-06' ORDER BY nu_id LIMIT 3)
+        UNION ALL (SELECT 'preview_months', '202207|' || ds_title || '|' || ds_reviews, NULL
+                   FROM bronze WHERE substr(CAST(dt_date AS VARCHAR), 1, 7) = '2022-07' ORDER BY nu_id LIMIT 3)""",
 }
 ORACLE["distinct_count_by_month_sql"] = ORACLE["distinct_count_by_month"]
 ORACLE["preview_months_sql"] = ORACLE["preview_months"]

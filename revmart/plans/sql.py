@@ -27,44 +27,58 @@ FROM (SELECT *, trunc(CAST({date} AS DATE), 'MM') AS month_start FROM {view})
 GROUP BY month_start, {version}
 """
 
-DISTINCT_COUNT_BY_MONTH_SQL = """
-WITH base AS (SELECT DISTINCT * FROM {view})
-SELECT count(*) AS total_registros, substr(CAST(trunc(dt_date, 'MM') AS STRING), 1, 7) AS data
-FROM base
-GROUP BY trunc(dt_date, 'MM')
-"""
 
-COUNT_BY_VOTES_SQL = """
-SELECT count(*) AS total, nu_sum_votes_reviews, ds_count_votes_reviews
-FROM {view}
-GROUP BY nu_sum_votes_reviews, ds_count_votes_reviews
-ORDER BY nu_sum_votes_reviews, ds_count_votes_reviews DESC
+def distinct_count_sql(date: str = "dt_date") -> str:
+    """A ``{view}`` template: distinct rows per month of ``date``."""
+    return f"""
+WITH base AS (SELECT DISTINCT * FROM {{view}})
+SELECT count(*) AS total_registros, substr(CAST(month_start AS STRING), 1, 7) AS data
+FROM (SELECT trunc(CAST({date} AS DATE), 'MM') AS month_start FROM base)
+GROUP BY month_start
 """
 
-COUNT_BY_RATING_SQL = """
-SELECT count(*) AS total, nu_rating_review
-FROM {view} GROUP BY nu_rating_review ORDER BY nu_rating_review DESC
-"""
 
-COUNT_BY_VERSION_SQL = """
-SELECT count(*) AS total, nu_version_app
-FROM {view} GROUP BY nu_version_app ORDER BY nu_version_app DESC
-"""
+DISTINCT_COUNT_BY_MONTH_SQL = distinct_count_sql()
+
+COUNT_SQL = "SELECT count(*) AS {total}, {keys} FROM {{view}} GROUP BY {keys}"
+
+
+def count_sql(*keys: str, order: str = "", total: str = "total") -> str:
+    """A ``{view}`` template that counts rows per ``keys``."""
+    return COUNT_SQL.format(total=total, keys=", ".join(keys)) + (f" ORDER BY {order}" if order else "")
+
+
+COUNT_BY_VOTES_SQL = count_sql(
+    "nu_sum_votes_reviews", "ds_count_votes_reviews", order="nu_sum_votes_reviews, ds_count_votes_reviews DESC"
+)
+COUNT_BY_RATING_SQL = count_sql("nu_rating_review", order="nu_rating_review DESC")
+COUNT_BY_VERSION_SQL = count_sql("nu_version_app", order="nu_version_app DESC")
 
 PREVIEW_ROWS_SQL = "SELECT * FROM {view} ORDER BY nu_id LIMIT 5"
+NULL_COLUMNS_SQL = "SELECT DISTINCT link AS ds_link, author AS ds_desc_author, contentType FROM {view}"
+
 
-# Sample rows of two months. The month test is written as a date range so it
-# can reach the scan; each branch is ordered by the review id so the sample
-# is deterministic.
-PREVIEW_MONTHS_SQL = """
-(SELECT ds_title, ds_reviews, '202206' AS ano FROM {view}
-  WHERE dt_date >= DATE'2022-06-01' AND dt_date < DATE'2022-07-01' ORDER BY nu_id LIMIT 3)
-UNION ALL
-(SELECT ds_title, ds_reviews, '202207' AS ano FROM {view}
-  WHERE dt_date >= DATE'2022-07-01' AND dt_date < DATE'2022-08-01' ORDER BY nu_id LIMIT 3)
+def month_sample_sql(month: str, n: int = 3) -> str:
+    """A ``{view}`` template: sample rows of one month (``yyyy-MM``).
+
+    The month is a date range, which reaches the scan, plus a test of the
+    partition keys, which prunes directories; keys that are NULL or no month
+    stay in (``functions.dates.odd_month_keys``). Ordered by the review id, so
+    the sample is the same in every run.
+    """
+    year, number = int(month[:4]), int(month[5:7])
+    return f"""
+(SELECT ds_title, ds_reviews, '{year}{number:02d}' AS ano FROM {{view}}
+  WHERE dt_date >= DATE'{month}-01' AND dt_date < add_months(DATE'{month}-01', 1)
+    AND ((pt_ano = {year} AND pt_mes = {number}) OR pt_ano IS NULL OR pt_mes IS NULL
+         OR pt_ano < 1000 OR pt_ano > 9999 OR pt_mes < 1 OR pt_mes > 12)
+  ORDER BY nu_id LIMIT {n})
 """
 
 
+PREVIEW_MONTHS_SQL = "UNION ALL".join(month_sample_sql(m) for m in ("2022-06", "2022-07"))
+
+
 def gold_sql(view: str, rating="nu_rating_review", version="nu_version_app", review_id="nu_id", date="dt_date") -> str:
     return GOLD_SQL.format(view=view, rating=rating, version=version, review_id=review_id, date=date)
 

@@ -20,12 +20,10 @@ LANDING_COLUMNS = [
 ]
 LANDING_PARTITIONS = ["ano", "mes"]
 
-# Bronze renames, old name -> new name. "contextType" never matches a column
-# (the feed tag is "contentType"), so that rename is a no-op by design.
+# Bronze renames, old name -> new name.
 BRONZE_RENAMES = {
     "id": "nu_id",
     "title": "ds_title",
-    "contextType": "ds_type_review",
     "voteSum": "nu_sum_votes_reviews",
     "voteCount": "ds_count_votes_reviews",
     "rating": "nu_rating_review",

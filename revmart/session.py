@@ -76,6 +76,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Names the folder that a run's scratch zones go to; whoever sets it owns it.
+SCRATCH_CONF = "spark.revmart.scratch.dir"
+_scratch_made: dict[int, list[str]] = {}  # by Spark context
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under the shared checkpoint root."""
-    return os.path.join(checkpoint_root(spark), "revmart", f"{name}-{uuid.uuid4().hex}")
+    """A fresh, never reused folder under ``spark.revmart.scratch.dir``, else
+    under the shared checkpoint root. Results read from it are lazy, so it
+    stays until its owner calls ``remove_scratch``."""
+    root = spark.conf.get(SCRATCH_CONF, None) or os.path.join(checkpoint_root(spark), "revmart")
+    path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    _scratch_made.setdefault(id(spark.sparkContext), []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders made in this process for this Spark context,
+    on whatever file system they are."""
+    for made in _scratch_made.pop(id(spark.sparkContext), []):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(made)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,7 +2,8 @@
 
 A page table has one row per landed feed page: ``page_url`` and ``xml``.
 Parsing is ``from_xml`` on executors (one JVM parse per page, no Python), so
-pages spread over tasks like any other rows.
+pages spread over tasks like any other rows. Entries and links are read with
+schemas of their own, so reading two links builds no review.
 
 Semantics kept from the original per-page parser:
 
@@ -13,8 +14,10 @@ Semantics kept from the original per-page parser:
   ``link`` (attributes / nested children only) land as NULL, as does any
   empty element;
 * surrounding whitespace is kept;
-* a malformed page fails the job (``FAILFAST``) unless ``mode="PERMISSIVE"``
-  is passed, in which case its fields come back NULL.
+* a malformed page fails the job (``FAILFAST``). Readers of links and
+  ``parse_pages`` also take ``mode="PERMISSIVE"``, which gives NULL fields for
+  it; readers of entries refuse that mode, since they would lose the page
+  (``landing_job`` puts such pages in quarantine).
 """
 
 from __future__ import annotations
@@ -43,13 +46,21 @@ def _xml_options(mode: str) -> dict[str, str]:
     return opts
 
 
-def parse_pages(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
+def _only(field: str) -> T.StructType:
+    return T.StructType([FEED_PAGE_XML_SCHEMA[field]])
+
+
+def _refuse_permissive(mode: str) -> None:
+    if mode != "FAILFAST":
+        raise ValueError("a permissive reader of entries would drop malformed pages; use landing_job with a quarantine zone")
+
+
+def parse_pages(pages: DataFrame, mode: str = "FAILFAST", schema: T.StructType = FEED_PAGE_XML_SCHEMA) -> DataFrame:
     """Add a parsed ``feed`` struct (``link`` and ``entry`` arrays) to each page. [O-01]
 
     In ``PERMISSIVE`` mode the struct also carries ``_corrupt_record``: the
     raw text of a page that failed to parse (NULL for good pages).
     """
-    schema = FEED_PAGE_XML_SCHEMA
     if mode == "PERMISSIVE":
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     return pages.withColumn("feed", F.from_xml(F.col("xml"), schema, _xml_options(mode)))
@@ -90,13 +101,15 @@ def feed_entries(pages: DataFrame, mode: str = "FAILFAST", keep_page_url: bool =
     an all-empty column of the original accumulated frame; ``void_to_string``
     repairs them before the sink.
     """
-    return entries_of_parsed(parse_pages(pages, mode), keep_page_url)
+    _refuse_permissive(mode)
+    return entries_of_parsed(parse_pages(pages, mode, _only("entry")), keep_page_url)
 
 
 def entries_of_parsed(parsed: DataFrame, keep_page_url: bool = False) -> DataFrame:
     """``feed_entries`` on pages already passed through ``parse_pages``."""
     keep = ["page_url"] if keep_page_url else []
-    exploded = parsed.selectExpr(*keep, "explode(feed.entry) AS e")
+    # the outer form: explode() alone makes the optimizer test the array first, which parses the page again
+    exploded = parsed.selectExpr(*keep, "explode_outer(feed.entry) AS e").where("e IS NOT NULL")
     return exploded.selectExpr(*keep, *ENTRY_FIELDS_SQL)
 
 
@@ -111,6 +124,7 @@ def entries_from_xml_files(spark: SparkSession, path: str, mode: str = "FAILFAST
     parallelism. Same field semantics as ``feed_entries``; page-level links
     are not read (use ``read_pages`` + ``feed_links`` for those).
     """
+    _refuse_permissive(mode)
     entry_schema = FEED_PAGE_XML_SCHEMA["entry"].dataType.elementType
     records = (
         spark.read.format("xml")
@@ -129,7 +143,7 @@ def feed_content_text(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
 
 def feed_links(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """Per page: ``href`` of the last ``rel='next'`` and ``rel='last'`` links. [O-03]"""
-    return parse_pages(pages, mode).selectExpr(
+    return parse_pages(pages, mode, _only("link")).selectExpr(
         "page_url",
         _last_where_sql("feed.link", "x._rel = 'next'", "_href") + " AS link_next",
         _last_where_sql("feed.link", "x._rel = 'last'", "_href") + " AS link_last",
@@ -170,16 +184,14 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     """Landed pages: a ``(page_url, xml)`` table, or a folder of raw XML files.
 
     For raw files each file is one page and its URL is the feed's own
-    ``rel='self'`` link (the file path when there is none).
+    ``rel='self'`` link (the file path when there is none, or when the page
+    does not parse: whoever reads its entries decides about that).
     """
     if fmt == "parquet":
         return spark.read.schema(PAGE_SCHEMA).parquet(path)
     raw = spark.read.text(path, wholetext=True).select(
         F.col("value").alias("xml"), F.col("_metadata.file_path").alias("file_path")
     )
-    self_href = F.regexp_extract(
-        F.col("xml"), r"<link\b[^>]*\brel=\"self\"[^>]*\bhref=\"([^\"]*)\"", 1
-    )
-    return raw.select(
-        F.coalesce(F.nullif(self_href, F.lit("")), F.col("file_path")).alias("page_url"), "xml"
-    )
+    links = parse_pages(raw, "PERMISSIVE", _only("link"))
+    own = F.expr(_text_sql(_last_where_sql("feed.link", "x._rel = 'self'", "_href")))
+    return links.select(F.coalesce(own, F.col("file_path")).alias("page_url"), "xml")

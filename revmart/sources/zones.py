@@ -33,6 +33,7 @@ def layout_for_write(
     partition_cols: Sequence[str],
     sort_cols: Sequence[str] = (),
     files: str | int = "rebalance",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Arrange rows for a partitioned write. [O-11, O-40]
 
@@ -41,7 +42,9 @@ def layout_for_write(
         (one shuffle; skew-split; the default for zones built by a shuffle);
       * ``"keep"`` - no shuffle: keep the input partitioning (right when the
         input is already a zone partitioned the same way, e.g. silver from
-        bronze: every input split belongs to one directory);
+        bronze: an input split holds one directory, or a few small ones);
+      * ``"compact"`` - one writer, so one file, per directory, all
+        directories in parallel (right when a directory is small);
       * an int ``n`` - ``coalesce(n)``, the original single-file compaction
         (only sensible for small outputs).
     """
@@ -51,10 +54,15 @@ def layout_for_write(
         arranged = df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
     elif files == "keep":
         arranged = df
+    elif files == "compact":
+        arranged = df.repartition(*partition_cols) if partition_cols else df.repartition(1)
     elif isinstance(files, int):
         arranged = df.coalesce(files)
     else:
         raise ValueError(f"unknown file layout: {files!r}")
+    if observation is not None:
+        # above the shuffle: AQE replaces an empty input, and would lose a count taken below it
+        arranged = arranged.observe(observation, F.count(F.lit(1)).alias("rows"))
     order = [*partition_cols, *sort_cols]
     return arranged.sortWithinPartitions(*order) if order else arranged
 
@@ -78,8 +86,7 @@ def write_zone(
     only the partition directories present in ``df`` and keeps the others.
     """
     observation = Observation("zone_write")
-    observed = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    arranged = layout_for_write(observed, partition_cols, sort_cols, files)
+    arranged = layout_for_write(df, partition_cols, sort_cols, files, observation)
     writer = arranged.write.mode(mode).option("compression", compression)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", overwrite)

@@ -28,6 +28,9 @@ def spark():
     if not session.sparkContext.getCheckpointDir():
         session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="revmart-test-ckpt-"))
     yield session
+    from revmart.session import remove_scratch
+
+    remove_scratch(session)
     session.stop()
 
 

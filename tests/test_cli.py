@@ -1,7 +1,11 @@
 """The stage CLI, run in-process against the test session."""
 
+import glob
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from revmart.cli import main
 from revmart.plans import catalog
 from revmart.schemas import GOLD_SCHEMA, SILVER_SCHEMA
@@ -22,9 +26,25 @@ def test_cli_runs_every_stage(spark, sf001, capsys):
     docs = spark.read.parquet(f"{sf001}/documents.parquet").count()
     assert read_zone(spark, z["silver"], SILVER_SCHEMA).count() == docs
     assert read_zone(spark, z["gold"], GOLD_SCHEMA).count() > 0
-    main(["report", "--in", z["silver"]])
+    report = os.path.join(root, "report")
+    main(["report", "--in", z["silver"], "--landing", z["landing"], "--out", report])
     out = capsys.readouterr().out
-    assert "-- count_by_rating" in out and "-- preview_months" in out
+    assert "-- count_by_rating" in out and "-- null_columns" in out
+    # results are written whole: no rows or characters cut
+    assert spark.read.parquet(os.path.join(report, "count_by_version")).agg(F.sum("total")).first()[0] == docs
+    texts = {r.ds_reviews for r in read_zone(spark, z["silver"], SILVER_SCHEMA).collect()}
+    assert {r.ds_reviews for r in spark.read.parquet(os.path.join(report, "preview_months")).collect()} <= texts
+    with pytest.raises(SystemExit):
+        main(["report", "--in", z["silver"]])
+
+
+def test_cli_compacts(spark, sf001):
+    root = scratch_path(spark, "t-cli-files")
+    pages, landing, bronze = (os.path.join(root, n) for n in ("pages", "landing", "bronze"))
+    catalog.pages(spark, sf001).write.parquet(pages)
+    main(["landing", "--pages", pages, "--out", landing])
+    main(["bronze", "--in", landing, "--out", bronze, "--files", "compact"])
+    assert {len(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{bronze}/*/*")} == {1}
 
 
 def test_cli_landing_from_raw_xml_files(spark, sf001, tmp_path):

@@ -24,10 +24,11 @@ def _row(i, title="Título", content="Ótimo app 😀", updated="2022-06-30T23:3
 
 
 def test_rename_ignores_unknown_names(spark):
+    from revmart.schemas import BRONZE_RENAMES
+
     df = _landing(spark, [_row(1)])
-    renamed = rename_columns(df)
-    assert "contentType" in renamed.columns  # the "contextType" rename matches nothing
-    assert "ds_type_review" not in renamed.columns
+    renamed = df.withColumnsRenamed({**BRONZE_RENAMES, "noSuchColumn": "ds_never"})
+    assert renamed.columns == rename_columns(df).columns and "contentType" in renamed.columns
     assert {"nu_id", "ds_title", "pt_ano", "pt_mes", "ds_link"} <= set(renamed.columns)
 
 

@@ -4,7 +4,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from revmart.operators.conform import void_to_string
-from revmart.sources.feed import feed_entries, feed_last_page, feed_links, union_pages
+from revmart.sources.feed import (
+    entries_from_xml_files,
+    feed_content_text,
+    feed_entries,
+    feed_last_page,
+    feed_links,
+    read_pages,
+    union_pages,
+)
 
 HEAD = '<feed xmlns:im="https://x/ns/store" xmlns="http://www.w3.org/2005/Atom">'
 LINKS = (
@@ -77,7 +85,12 @@ def test_broken_page_fails_fast_or_nulls(spark):
     with pytest.raises(Exception):
         feed_entries(pages).collect()
     assert feed_links(pages, mode="PERMISSIVE").first().link_last is None
-    assert feed_entries(pages, mode="PERMISSIVE").count() == 0
+    # readers of entries would lose the page: they refuse the mode
+    for read in (feed_entries, feed_content_text):
+        with pytest.raises(ValueError):
+            read(pages, mode="PERMISSIVE")
+    with pytest.raises(ValueError):
+        entries_from_xml_files(spark, "/nonexistent", "PERMISSIVE")
 
 
 def test_union_pages_fills_missing_columns(spark):
@@ -107,12 +120,49 @@ def test_frame_from_entries_unions_keys(spark):
     assert [tuple(r) for r in df.orderBy("id").collect()] == [("1", "a", None), ("2", None, "5")]
 
 
-def test_feed_builder_refuses_oversized_pages(spark, sf001):
+def test_feed_builder_splits_pages_of_repeated_ids(spark, sf001):
     from revmart.sources.fixtures import feed_pages_from_documents
 
     docs = spark.read.parquet(f"{sf001}/documents.parquet")
-    with pytest.raises(Exception, match="doc_id is not unique"):
-        feed_pages_from_documents(docs.unionAll(docs)).collect()
+    pages = feed_pages_from_documents(docs.unionAll(docs)).select("page_url", "xml")
+    assert pages.select("page_url").distinct().count() == pages.count()
+    per_page = [r["count"] for r in feed_entries(pages, keep_page_url=True).groupBy("page_url").count().collect()]
+    assert max(per_page) == 50 and sum(per_page) == 2 * docs.count()
+
+
+def _parses(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("from_xml(")
+
+
+def test_a_page_is_parsed_once(spark, tmp_path):
+    from revmart.plans.jobs import landing_frame
+
+    spark.createDataFrame([("u", HEAD + LINKS + ENTRY_FULL + "</feed>")], "page_url string, xml string").write.parquet(str(tmp_path / "p"))
+    pages = spark.read.parquet(str(tmp_path / "p"))
+    for read in (feed_entries, feed_content_text, feed_links, feed_last_page, landing_frame):
+        assert _parses(read(pages)) == 1, read
+    # a reader of links builds no entry
+    assert "rating" not in feed_links(pages)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_page_url_from_any_self_link(spark, tmp_path):
+    links = [
+        '<link href="https://x/p=1/xml?a=1&amp;b=2" rel="self"/>',
+        "<link rel='self' href='https://x/p=2/xml'/>",
+        '<link type="t"\n rel="self"\n href="https://x/p=3/xml?cc=br"/>',
+    ]
+    for i, link in enumerate(links):
+        last = '<link rel="last" href="https://x/p=3/xml?urlDesc=/a"/>'
+        (tmp_path / f"p{i}.xml").write_text(HEAD + link + last + ENTRY_SPARSE + "</feed>", encoding="utf-8")
+    (tmp_path / "broken.xml").write_text(HEAD + "<entry>", encoding="utf-8")
+    pages = read_pages(spark, str(tmp_path), fmt="xml")
+    urls = {r.page_url for r in pages.collect()}
+    assert {"https://x/p=1/xml?a=1&b=2", "https://x/p=2/xml", "https://x/p=3/xml?cc=br"} < urls
+    assert any(u.endswith("broken.xml") for u in urls)
+    good = feed_last_page(pages.where("page_url like 'https%'")).collect()
+    assert {r.page_url: r.is_last_page for r in good} == {
+        "https://x/p=1/xml?a=1&b=2": False, "https://x/p=2/xml": False, "https://x/p=3/xml?cc=br": True,
+    }
 
 
 def test_read_raw_xml_page_files(spark, tmp_path):

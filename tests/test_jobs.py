@@ -1,8 +1,10 @@
 """The four stages chained over scratch zones, checked with invariants."""
 
 import datetime as dt
+import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from revmart.operators.aggregate import gold_mart
@@ -191,3 +193,126 @@ def test_permissive_landing_requires_quarantine(spark, sf001):
 
     with pytest.raises(ValueError, match="quarantine"):
         landing_job(spark, catalog.pages(spark, sf001), scratch_path(spark, "t-noq"), mode="PERMISSIVE")
+
+
+def _empty_pages(spark):
+    return spark.createDataFrame([], "page_url string, xml string")
+
+
+@pytest.mark.parametrize("files", ["rebalance", "keep", "compact", 1])
+def test_stages_over_zero_rows(spark, sf001, files, tmp_path):
+    from revmart.plans.jobs import bronze_job, gold_job, landing_job, silver_job
+
+    # empty only when the query runs: the optimizer cannot see it
+    catalog.pages(spark, sf001).write.parquet(str(tmp_path / "pages"))
+    pages = spark.read.parquet(str(tmp_path / "pages")).where("length(xml) < 0")
+    z = {n: str(tmp_path / n) for n in ("landing", "bronze", "silver", "gold")}
+    assert landing_job(spark, pages, z["landing"], files=files).count() == 0
+    assert bronze_job(spark, z["landing"], z["bronze"], files=files).count() == 0
+    assert silver_job(spark, z["bronze"], z["silver"], files=files).count() == 0
+    assert gold_job(spark, z["silver"], z["gold"], view="vw_zero", files=files).count() == 0
+    assert landing_job(spark, _empty_pages(spark), z["landing"], files=files).count() == 0
+
+
+def test_compaction_through_the_jobs(spark, sf001):
+    from revmart.plans.jobs import bronze_job, gold_job, landing_job, silver_job
+
+    root = scratch_path(spark, "t-compact")
+    z = {n: os.path.join(root, n) for n in ("landing", "bronze", "silver", "gold")}
+    landing_job(spark, catalog.pages(spark, sf001), z["landing"])
+    bronze_job(spark, z["landing"], z["bronze"])
+    silver_job(spark, z["bronze"], z["silver"], files="compact")
+    gold_job(spark, z["silver"], z["gold"], view="vw_compact", files="compact")
+    for zone, depth in (("silver", "*/*"), ("gold", "*")):
+        found = glob.glob(f"{z[zone]}/{depth}/*.parquet")
+        assert len(found) == len(glob.glob(f"{z[zone]}/{depth}/")) == len({os.path.dirname(f) for f in found}) > 1
+
+
+def test_bronze_moves_whole_texts_once(spark, sf001):
+    from revmart.sources.zones import layout_for_write
+
+    bronze = catalog.rv_bronze(spark, sf001)
+    plan = layout_for_write(bronze, ["pt_ano", "pt_mes"], ["dt_date"], files="keep")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+ODD = [("2022-06-30T23:30:11-07:00",), ("2022-6-30T23:30:11-07:00",), (" 2022-06-30T23:30:11-07:00",)]
+
+
+def _odd_landing(spark, path):
+    from revmart.operators.conform import add_partition_keys
+    from revmart.schemas import LANDING_COLUMNS
+    from revmart.sources.zones import write_zone
+
+    rows = spark.createDataFrame([(str(i), t) for i, (t,) in enumerate(ODD)], "id string, updated string")
+    full = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in LANDING_COLUMNS])
+    write_zone(add_partition_keys(full), path, ["ano", "mes"])
+
+
+def test_partition_form_of_the_month_filter_keeps_odd_keys(spark):
+    from revmart.functions.dates import month_filter
+    from revmart.plans.jobs import bronze_job
+
+    root = scratch_path(spark, "t-odd")
+    _odd_landing(spark, os.path.join(root, "landing"))
+    zone = bronze_job(spark, os.path.join(root, "landing"), os.path.join(root, "bronze"))
+    assert zone.where("dt_date = DATE'2022-06-30'").count() == 3
+    filtered = month_filter(zone, "dt_date", "2022-06", ("pt_ano", "pt_mes"))
+    assert filtered.count() == month_filter(zone, "dt_date", "2022-06").count() == 3
+    assert "PartitionFilters: [(((" in filtered._jdf.queryExecution().executedPlan().toString()
+
+
+def test_month_rebuild_takes_rows_with_odd_keys_along(spark):
+    from revmart.plans.jobs import bronze_job, silver_job
+
+    root = scratch_path(spark, "t-odd-rebuild")
+    landing, bronze, silver = (os.path.join(root, n) for n in ("landing", "bronze", "silver"))
+    _odd_landing(spark, landing)
+    bronze_job(spark, landing, bronze)
+    silver_job(spark, bronze, silver, dt.datetime(2022, 8, 1))
+    bronze_job(spark, landing, bronze, months=["2022-06"])
+    again = silver_job(spark, bronze, silver, dt.datetime(2022, 9, 1), months=["2022-06"])
+    assert [(r.ts_gravado_em, r["count"]) for r in again.groupBy("ts_gravado_em").count().collect()] == [(dt.datetime(2022, 9, 1), 3)]
+
+
+def test_month_sample_prunes_directories(spark, sf001):
+    from revmart.plans.sql import PREVIEW_MONTHS_SQL
+
+    paths = run_stages(spark, catalog.pages(spark, sf001), scratch_path(spark, "t-prune"))
+    sample = run_on(spark, PREVIEW_MONTHS_SQL, read_zone(spark, paths["silver"], SILVER_SCHEMA))
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [((((") == 2 and "PartitionFilters: []" not in plan
+    assert sample.count() == 6
+
+
+def test_report_holds_every_check(spark, sf001):
+    from revmart.plans.jobs import REPORT_KEYS, quality_report, report_table
+
+    paths = run_stages(spark, catalog.pages(spark, sf001), scratch_path(spark, "t-report"))
+    report = quality_report(spark, paths["silver"], landing_path=paths["landing"])
+    assert set(report) == set(REPORT_KEYS)
+    docs = spark.read.parquet(f"{sf001}/documents.parquet").count()
+    totals = {r["check"]: r.n for r in report_table(report).groupBy("check").agg(F.sum("value").alias("n")).collect()}
+    assert totals["count_by_year_month"] == totals["count_by_votes"] == docs
+    assert [tuple(r) for r in report["null_columns"].collect()] == [(None, None, None)]
+
+
+def test_sort_key_is_repeatable(spark):
+    from revmart.operators.quality import sort_multi_key
+
+    plan = sort_multi_key(spark.range(10).selectExpr("id % 2 AS k", "id"), ["k"])._jdf.queryExecution().analyzed().toString()
+    assert "monotonically_increasing_id" not in plan and "xxhash64" in plan
+
+
+def test_scratch_is_removed_by_its_owner(spark, tmp_path):
+    from revmart.session import SCRATCH_CONF, remove_scratch
+
+    spark.conf.set(SCRATCH_CONF, str(tmp_path / "own"))
+    try:
+        path = scratch_path(spark, "z")
+        spark.range(3).write.parquet(path)
+        assert path.startswith(str(tmp_path)) and os.path.isdir(path)
+        remove_scratch(spark)
+        assert not os.path.exists(path)
+    finally:
+        spark.conf.unset(SCRATCH_CONF)

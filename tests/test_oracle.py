@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import compare, duckdb_con
+from revmart.plans import catalog
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLE = catalog.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,8 @@ def con(sf_dir):
 
 def test_every_query_has_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

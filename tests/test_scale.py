@@ -57,10 +57,8 @@ def test_hot_month_is_split_over_writers(spark, sf001):
 
 
 def test_no_scale_red_flags_in_any_registered_plan(spark, sf001):
-    import __spark_entry__ as entry
-
     never = ["BroadcastExchange", "BroadcastHashJoin", "Cartesian", "BatchEvalPython", "Window", "CollectLimit"]
-    for name, fn in entry.queries().items():
+    for name, fn in catalog.QUERIES.items():
         plan = _plan(fn(spark, sf001))
         assert not [f for f in never if f in plan], name
         if "SinglePartition" in plan:
