@@ -146,6 +146,55 @@ def op10_suffix_automata_substrings(spark: SparkSession, sf_dir: str) -> DataFra
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+#: Words of a text, as a list.
+SQL_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+
+ORACLE_OP9 = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {SQL_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s + 1 : s + 3], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 2, 1))) AS s FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), edges AS (
+  SELECT a AS u, b AS v FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS u, doc_id AS v FROM documents
+  UNION SELECT r.u, e.v FROM reach r JOIN edges e ON e.u = r.v
+), components AS (
+  SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLE_OP10 = f"""
+WITH words AS (
+  SELECT doc_id, {SQL_WORDS.format(text="coalesce(text, '')")} AS w FROM documents
+), windows AS (
+  SELECT doc_id, s, array_to_string(w[s + 1 : s + 20], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 19)) AS s FROM words WHERE len(w) >= 20)
+), repeated AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS place FROM windows) WHERE place > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM repeated
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS p FROM words) ANTI JOIN gone USING (doc_id, p)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_prefix_target_chat": op1_prefix_target_chat,
     "op2_weighted_fair_mix": op2_weighted_fair_mix,
@@ -159,4 +208,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_automata_substrings": op10_suffix_automata_substrings,
 }
 
-ORACLE: dict[str, str] = {"op1_prefix_target_chat": ORACLE_OP1}
+ORACLE: dict[str, str] = {
+    "op1_prefix_target_chat": ORACLE_OP1,
+    "op9_superminhash_near_duplicates": ORACLE_OP9,
+    "op10_suffix_automata_substrings": ORACLE_OP10,
+}
