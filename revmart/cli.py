@@ -27,7 +27,7 @@ from revmart.plans.jobs import (
     silver_job,
 )
 from revmart.session import get_session
-from revmart.sources.feed import read_pages
+from revmart.sources.feed import read_pages, unknown_tags
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--pages-format", default="parquet", choices=["parquet", "xml", "xml-entries"])
     ap.add_argument("--out", help="output zone or report folder")
     ap.add_argument("--landing", default=None, help="report: landing zone, for its two checks")
+    ap.add_argument("--log-unknown-tags", action="store_true", help="landing: count feed tags that are not kept (one more pass)")
     ap.add_argument("--files", default=None, help="bronze/silver/gold: keep, rebalance, compact or a number of files")
     ap.add_argument("--quarantine", default=None, help="landing, PERMISSIVE: zone for malformed pages")
     ap.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
@@ -54,6 +55,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.stage == "landing":
         pages = read_pages(spark, args.pages, args.pages_format)
         landing_job(spark, pages, args.out, args.mode, quarantine_path=args.quarantine)
+        if args.log_unknown_tags:
+            for tag, count in sorted(unknown_tags(pages).collect()):  # one row per tag name
+                logging.info("feed tag not kept: %s (%d times)", tag, count)
     elif args.stage == "bronze":
         bronze_job(spark, args.src, args.out, months=months, **files)
     elif args.stage == "silver":

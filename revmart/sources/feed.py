@@ -141,6 +141,23 @@ def feed_content_text(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     return feed_entries(pages, mode).select("id", "content")
 
 
+#: Tags of a feed page that the pipeline reads or knows to be without direct text.
+KNOWN_TAGS = {"feed", "entry", "name", "uri", *FEED_TEXT_TAGS, *FEED_VOID_TAGS}
+
+
+def unknown_tags(pages: DataFrame) -> DataFrame:
+    """``tag`` and ``count`` of elements that landing does not keep, so that a
+    feed's new tags are noticed. [O-01]
+
+    Names are read off the markup (comments and CDATA aside; text cannot hold
+    a raw ``<``), without prefixes and whatever their depth.
+    """
+    markup = F.regexp_replace("xml", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+    names = F.regexp_extract_all(markup, F.lit(r"<(?:[\w.-]+:)?([\w.-]+)"), 1)
+    found = pages.select(F.explode(F.filter(names, lambda n: ~n.isin(*sorted(KNOWN_TAGS)))).alias("tag"))
+    return found.groupBy("tag").agg(F.count("*").alias("count"))
+
+
 def feed_links(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """Per page: ``href`` of the last ``rel='next'`` and ``rel='last'`` links. [O-03]"""
     return parse_pages(pages, mode, _only("link")).selectExpr(

@@ -52,6 +52,14 @@ def test_entry_semantics(spark):
     assert sparse.content is None and sparse.title is None  # html only / missing tag
 
 
+def test_unknown_tags_are_counted(spark):
+    from revmart.sources.feed import unknown_tags
+
+    extra = '<entry><id>1</id><im:price a="1">2</im:price><!-- <no/> --><title><![CDATA[<not>]]></title><im:price/><new/></entry>'
+    pages = _pages(spark, ("u", HEAD + LINKS + ENTRY_FULL + extra + "</feed>"), ("v", HEAD + ENTRY_FULL + "</feed>"))
+    assert {tuple(r) for r in unknown_tags(pages).collect()} == {("price", 2), ("new", 1)}
+
+
 def test_void_columns_become_string(spark):
     pages = _pages(spark, ("u", HEAD + ENTRY_FULL + "</feed>"))
     raw = feed_entries(pages)
