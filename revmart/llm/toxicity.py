@@ -15,11 +15,11 @@ documents carry the category far more or less often than chance allows.
 Fitting uses at most ``sample_docs`` labelled documents, those with the
 smallest hashes (a stated bound: a few tens of thousands fix the weights of
 words frequent enough to be chosen). Their word counts are made by Spark; the
-fits of one category's folds run as tasks beside each other, each on the
-bounded sample. A model is a few thousand weights.
+chain is fitted on them in one task, whose memory the bound limits. A model
+is a few thousand weights.
 
 Scale. Scoring is one pass over the texts without a shuffle. Fitting reads
-the texts once more and shuffles word counts of the sample alone.
+the texts once more and moves word counts of the sample alone.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.llm.common import checkpointed, require_columns
+from revmart.llm.common import require_columns
 from revmart.llm.words import Words, stem_hashes, words_of
 
 SAMPLE_DOCS = 16_000
@@ -185,39 +185,42 @@ def _sample(docs: DataFrame, labels: DataFrame, categories: list[Category], id_c
     schema = "id long, " + ", ".join(f"{n} int" for n in names) + ", total int, words array<long>, times array<int>"
     counted = picked.select(F.col("id").cast("long").alias("id"), *names, "text").mapInArrow(_counted_words, schema)
     # repeated ids must not exceed the bound: one document of each
-    return checkpointed(counted.dropDuplicates(["id"]).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)).cast("int")))
+    return counted.dropDuplicates(["id"]).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)).cast("int"))
 
 
 def _matrix(rows: pd.DataFrame) -> WordCounts:
+    """The sample's matrix without the words of fewer than ``MIN_DOCS``
+    documents, which no fit could choose."""
     held = rows["words"].map(len).to_numpy()
     empty = np.zeros(0, np.int64)
-    words = np.concatenate([empty, *rows["words"]]).astype(np.int64).view(np.uint64)
-    times = np.concatenate([empty, *rows["times"]]).astype(float)
-    doc = np.repeat(np.arange(len(rows)), held)
-    return WordCounts(doc, words, times, rows["total"].to_numpy().astype(float))
+    words = np.concatenate([empty, *rows["words"]]).astype(np.int64, copy=False).view(np.uint64)
+    times = np.concatenate([empty, *rows["times"]]).astype(np.float32)
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), held)
+    _, back, docs = np.unique(words, return_inverse=True, return_counts=True)
+    known = docs[back] >= MIN_DOCS
+    return WordCounts(doc[known], words[known], times[known], rows["total"].to_numpy().astype(float))
 
 
-_FITTED = "id long, p double, words binary, weights binary, earlier binary, bias double"
+_FITTED = "category int, words binary, weights binary, earlier binary, bias double, threshold double"
 
 
-def _fit(i: int, fold_count: int):
-    """All rows of the sample come with a number ``leave``: the fold left out and
-    predicted, or ``fold_count`` for the model on all rows."""
-
-    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _fit_categories(count: int):
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", ignore_index=True)
-        leave = int(key[0])
-        counts, yes = _matrix(rows), rows[f"y{i}"].to_numpy().astype(float)
-        earlier = np.array(rows["earlier"].tolist(), dtype=float).reshape(len(rows), i)
-        train = rows["fold"].to_numpy() != leave
-        model = fit_linear(counts, _log_odds(earlier), yes, train)
-        if leave == fold_count:
-            return pd.DataFrame({
-                "id": [None], "p": [None], "words": [model.words.tobytes()], "weights": [model.weights.tobytes()],
-                "earlier": [model.earlier.tobytes()], "bias": [model.bias],
-            })
-        p = predict_linear(model, counts, _log_odds(earlier))
-        return pd.DataFrame({"id": rows["id"][~train], "p": p[~train], "words": None, "weights": None, "earlier": None, "bias": None})
+        counts, fold = _matrix(rows), rows["fold"].to_numpy()
+        earlier = np.zeros((len(rows), 0))  # out-of-fold probabilities of the categories so far
+        out = []
+        for i in range(count):
+            yes, odds, unseen = rows[f"y{i}"].to_numpy().astype(float), _log_odds(earlier), np.zeros(len(rows))
+            for k in range(FOLDS):
+                left_out = fold == k
+                model = fit_linear(counts, odds, yes, ~left_out)
+                unseen[left_out] = predict_linear(model, counts, odds)[left_out]
+            model = fit_linear(counts, odds, yes, np.ones(len(rows), dtype=bool))
+            arrays = (x.tobytes() for x in (model.words, model.weights, model.earlier))
+            out.append((i, *arrays, model.bias, best_threshold(unseen, yes > 0)))
+            earlier = np.column_stack([earlier, unseen])
+        return pd.DataFrame(out, columns=["category", "words", "weights", "earlier", "bias", "threshold"])
 
     return fit
 
@@ -236,23 +239,11 @@ def fit_chain(
     require_columns(docs, id_col, text_col)
     require_columns(labels, id_col, *[c.label_col for c in categories])
     sample = _sample(docs, labels, categories, id_col, text_col, sample_docs)
-    if not sample.limit(1).count():
-        return []
-    sample = sample.withColumn("earlier", F.array().cast("array<double>"))
+    fitted = sample.groupBy().applyInPandas(_fit_categories(len(categories)), _FITTED)  # one group: the bounded sample
     chain = []
-    for i, category in enumerate(categories):
-        leave = F.explode(F.sequence(F.lit(0), F.lit(FOLDS))).alias("leave")
-        dealt = sample.select("*", leave).repartition(4 * (FOLDS + 1), "leave")
-        fitted = checkpointed(dealt.groupBy("leave").applyInPandas(_fit(i, FOLDS), _FITTED))
-        final = fitted.where("words is not null").first()
-        model = LinearModel(
-            np.frombuffer(final["words"], np.uint64), np.frombuffer(final["weights"]), np.frombuffer(final["earlier"]), final["bias"]
-        )
-        unseen = fitted.where("p is not null").select("id", "p")
-        judged = sample.join(unseen, "id")
-        pairs = judged.select("p", f"y{i}").toPandas()  # sample_docs rows at most
-        chain.append(ChainLink(category.name, model, best_threshold(pairs["p"].to_numpy(), pairs[f"y{i}"].to_numpy() > 0)))
-        sample = judged.withColumn("earlier", F.concat("earlier", F.array("p"))).drop("p")
+    for row in sorted(fitted.collect()):  # one row per category
+        arrays = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["weights"]), np.frombuffer(row["earlier"])
+        chain.append(ChainLink(categories[row["category"]].name, LinearModel(*arrays, row["bias"]), row["threshold"]))
     return chain
 
 

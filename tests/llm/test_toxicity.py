@@ -36,9 +36,9 @@ def test_query_returns_all_documents(spark, sf001):
 
 
 def test_edge_cases(spark, make_docs):
-    rows = [(i, "bad words here" if i % 2 else "good words here") for i in range(49)] + [(50, None), (51, ""), (51, ""), (None, "bad"), (53, "bad " * 50_000)]
+    rows = [(i, "bad words here" if i % 2 else "good words here") for i in range(200)] + [(950, None), (951, ""), (951, ""), (None, "bad"), (953, "bad " * 50_000)]
     docs = make_docs(rows).selectExpr("*", "'x' as toxic", "1 as words", "2 as id")
-    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(49)] + [(0, None, 1), (None, 1, 1), (50, 1, 0), (53, 1, 1)], LABELS)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)] + [(0, None, 1), (None, 1, 1), (950, 1, 0), (953, 1, 1)], LABELS)
     only = [Category("toxic", "toxic", 1)]
     judged = judge_toxicity(docs, fit_chain(docs, labels, only))
     assert len(judged.columns) == len(set(judged.columns)) and judged.count() == len(rows)
