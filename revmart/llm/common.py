@@ -26,6 +26,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keyed_table(df: DataFrame) -> DataFrame:
+    """An aggregate that is to be joined back by its own key, materialised.
+
+    Joined straight from the aggregate, the other side would have to meet it
+    in the aggregate's partitions. From a table of its own, both sides get a
+    shuffle that AQE can cut where one key holds many rows.
+    """
+    return checkpointed(df)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Free the disk of finished phases.
 

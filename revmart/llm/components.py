@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revmart.llm.common import checkpointed
+from revmart.llm.common import checkpointed, keyed_table
 
 EDGE = "u long, v long"
 
@@ -52,12 +52,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     no edges give no rows.
     """
     stars = edges.where("u is not null and v is not null and u <> v").select("u", "v")
+    # edges come in many small partitions; a tree grown over more of them leaves fewer rows
+    stars = stars.coalesce(2 * edges.sparkSession.sparkContext.defaultParallelism)
     stars = checkpointed(stars.mapInArrow(_local_stars, EDGE))  # v < u from here on
     moved = stars.limit(1).count()
     while moved:
         # large star: every larger neighbour of a node to the node's smallest peer
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        smallest = keyed_table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: a node and its smaller neighbours to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))

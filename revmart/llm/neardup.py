@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revmart.llm.common import checkpointed, require_columns
+from revmart.llm.common import checkpointed, keyed_table, require_columns
 from revmart.llm.components import connected_components
 from revmart.llm.words import Words, gram_hashes, mix64, words_of
 
@@ -202,7 +202,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 def _first_pairs(members: DataFrame, threshold: int) -> DataFrame:
     """Every document with the smallest one that it shares a bucket with."""
-    smallest = members.groupBy("key").agg(F.min(F.struct("id", "f1", "n")).alias("c"))
+    smallest = keyed_table(members.groupBy("key").agg(F.min(F.struct("id", "f1", "n")).alias("c")))
     met = members.join(smallest, "key").groupBy("id", "f1", "n").agg(F.min("c").alias("c"))
     return (
         met.where((F.col("id") != F.col("c.id")) & _alike("n", "c.n", threshold))
@@ -224,7 +224,7 @@ def _unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
     open_keys = sizes.groupBy("key").agg(
         F.count("*").alias("labels"), F.sum("c").alias("held"), F.max(F.struct("c", "label")).alias("top")
     ).where("labels > 1").select("key", "held", (F.col("held") - F.col("top.c")).alias("odd_held"), F.col("top.label").alias("top"))
-    marked = labelled.join(open_keys, "key").withColumn("odd", F.col("label") != F.col("top")).drop("top")
+    marked = labelled.join(keyed_table(open_keys), "key").withColumn("odd", F.col("label") != F.col("top")).drop("top")
     return checkpointed(marked)
 
 
@@ -308,7 +308,7 @@ def near_duplicates(
     classes = checkpointed(classes)
 
     banded = classes.where("id is not null").select(F.explode("bands").alias("key"), "id", "f1", "n")
-    shared = banded.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key")
+    shared = keyed_table(banded.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key"))
     members = checkpointed(banded.join(shared, "key"))
     components = _components(texts, members, shingle_words, threshold)
 
