@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.llm.automaton import SuffixAutomaton
-from revmart.llm.common import buckets_for, checkpointed, release_shuffles, require_columns
+from revmart.llm.common import buckets_for, checkpointed, keyed_table, release_shuffles, require_columns
 from revmart.llm.words import Words, gram_hashes, mix64, words_of
 
 WINDOW = 20
@@ -184,7 +184,8 @@ def _by_window_hash(passages: DataFrame, window: int) -> DataFrame:
         "fp", F.xxhash64(F.slice("words", F.col("at") + 1, window)).alias("window"), "id", "tag", (F.col("start") + F.col("at")).alias("lo")
     )
     first = windows.groupBy("fp", "window").agg(F.min(F.struct("id", "lo")).alias("first"), F.count("*").alias("n"))
-    repeated = windows.join(first.where("n > 1"), ["fp", "window"]).where(F.struct("id", "lo") > F.col("first"))
+    first = keyed_table(first.where("n > 1"))
+    repeated = windows.join(first, ["fp", "window"]).where(F.struct("id", "lo") > F.col("first"))
     return repeated.select("id", "tag", "lo", (F.col("lo") + window).cast("int").alias("hi"))
 
 
@@ -211,7 +212,7 @@ def repeated_spans(
     repeated: ``id``, ``tag``, ``spans`` (starts and ends in turn)."""
     schema = "fp long, context long, id long, tag int, pos int"
     anchors = texts.mapInArrow(_anchors(window, gram), schema)
-    twice = anchors.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    twice = keyed_table(anchors.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
     repeated = checkpointed(anchors.join(twice, "fp"))
     release_shuffles(texts.sparkSession)
 
