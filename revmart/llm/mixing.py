@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from revmart.llm.common import buckets_for, checkpointed, require_columns, word_count
 
 SEED = 20260202
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 5_000
 
 
 def source_targets(
