@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import base64
 import re
-from functools import lru_cache
 
 import numpy as np
 
+from revmart.llm.workers import once
+
 #: Characters whose classes (letter, digit, blank, other) every engine agrees on.
 _PLAIN = re.compile("[^\t\n\r\x20-\x7e¡-ɏ‐-‧‰-⁞]")
 _FAST_CHARS = 400_000
@@ -47,7 +48,6 @@ class ByteEncoder:
         return len(self._encode(text))
 
 
-@lru_cache(maxsize=2)
 def byte_encoder(tokenizer_path: str | None = None, ranks_path: str | None = None) -> ByteEncoder:
     """The encoder of a vocabulary, loaded once per worker; by default the
     installed public 50k byte-level BPE."""
@@ -56,4 +56,6 @@ def byte_encoder(tokenizer_path: str | None = None, ranks_path: str | None = Non
     if tokenizer_path is None:
         tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
         ranks_path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return ByteEncoder(tokenizer_path, ranks_path, public_tokenizers.PATTERN)
+    return once(
+        ("encoder", tokenizer_path, ranks_path), lambda: ByteEncoder(tokenizer_path, ranks_path, public_tokenizers.PATTERN)
+    )

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,9 +33,8 @@ LEAF_CHARS = 256
 _STATE = ["n_tokens", "leaf_chars", "leaf_tokens"]
 
 
-@lru_cache(maxsize=4)
 def _cut_pattern(leaf_chars: int) -> re.Pattern[str]:
-    # the longest first part is fixed, so the search never backs up
+    # the longest first part is fixed, so the search never backs up (compiled once: re keeps it)
     return re.compile(r"(?s:.){%d}(?s:.)*?(?=(?<=\S) \S)" % leaf_chars)
 
 

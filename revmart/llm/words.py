@@ -8,12 +8,13 @@ longest text), not by the batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
+from revmart.llm.workers import once
+
 CHUNK_BYTES = 1 << 20
 BLANKS = b" \t\n\x0b\x0c\r"
 
@@ -29,7 +30,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=4)
 def _byte_values(lower: bool) -> np.ndarray:
     """A random 64-bit value per byte; upper-case ASCII as its lower case if asked."""
     values = mix64((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _GOLD)
@@ -38,7 +38,6 @@ def _byte_values(lower: bool) -> np.ndarray:
     return values
 
 
-@lru_cache(maxsize=2)
 def _is_blank(letters: bool) -> np.ndarray:
     """Bytes between words: the blanks, or all of ASCII but the letters."""
     table = np.zeros(256, dtype=bool)
@@ -49,15 +48,20 @@ def _is_blank(letters: bool) -> np.ndarray:
     return table
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The base's first ``n`` powers and their inverses, modulo 2^64."""
+def _make_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(_BASE, -1, 1 << 64)
     up, down = np.full(n, _BASE, dtype=np.uint64), np.full(n, inverse, dtype=np.uint64)
     up[0] = down[0] = 1
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The base's powers and their inverses modulo 2^64, for ``size`` bytes at least."""
+    if size < 1 << 21:
+        return once("powers", lambda: _make_powers(1 << 21))
+    return _make_powers(size + 1)  # a very long text: for this chunk alone
+
+
 class Words(NamedTuple):
     """Words of consecutive texts.
 
@@ -99,7 +103,7 @@ def _words(data: np.ndarray, offsets: np.ndarray, rows: range, lower: bool, lett
     begins[edges] = inside[edges]
     finishes[edges - 1] = inside[edges - 1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
-    up, down = _powers(1 << max(21, int(size).bit_length()))
+    up, down = _powers(size)
     sums = np.zeros(size + 1, dtype=np.uint64)
     np.cumsum(_byte_values(lower)[data] * up[:size], out=sums[1:])
     hashes = mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
@@ -127,7 +131,7 @@ def stem_hashes(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
     first ``length`` bytes (other than those of whole words)."""
     at = np.flatnonzero(words.ends - words.starts > length)
     starts = words.starts[at]
-    _, down = _powers(1 << max(21, len(words.data).bit_length()))
+    _, down = _powers(len(words.data))
     return at, mix64((words.sums[starts + length] - words.sums[starts]) * down[starts] + _GOLD + np.uint64(length))
 
 
