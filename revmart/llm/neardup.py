@@ -39,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revmart.llm.common import checkpointed, keyed_table, require_columns
@@ -266,11 +266,16 @@ def _block_links(threshold: int):
 
 def _large_links(large: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Links between components in large buckets: every block that holds odd
-    documents with every other block. Odd documents fill the first blocks."""
-    order = Window.partitionBy("key").orderBy(F.col("odd").desc(), "id", "f1")
-    block = F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int")
-    blocks, odd_blocks = (F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("held", "odd_held"))
-    placed = large.select("key", "id", "f1", "label", "odd", block.alias("block"), blocks.alias("blocks"), odd_blocks.alias("odd_blocks"))
+    documents with every other block. A bucket's odd documents are dealt by
+    hash to its first blocks, the others to the rest, ``BLOCK`` to a block."""
+    odd_blocks = F.ceil(F.col("odd_held") / F.lit(BLOCK))
+    other_blocks = F.ceil((F.col("held") - F.col("odd_held")) / F.lit(BLOCK))
+    place = F.xxhash64(F.lit("block"), "id", "f1")
+    block = F.when(F.col("odd"), F.pmod(place, odd_blocks)).otherwise(odd_blocks + F.pmod(place, other_blocks))
+    placed = large.select(
+        "key", "id", "f1", "label", "odd", block.cast("int").alias("block"),
+        (odd_blocks + other_blocks).cast("int").alias("blocks"), odd_blocks.cast("int").alias("odd_blocks"),
+    )
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     pairs = F.transform(others, lambda k: F.struct(F.least(k, "block").alias("p"), F.greatest(k, "block").alias("q")))
     useful = F.filter(pairs, lambda x: x["p"] < F.col("odd_blocks"))
