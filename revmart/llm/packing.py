@@ -34,7 +34,7 @@ SEQUENCE = 2048
 END_ID = 0
 DOCS_PER_GROUP = 8192
 #: Ids sent to the JVM at a time.
-BATCH_IDS = 4 << 20
+BATCH_IDS = 1 << 20
 
 
 def piece_starts(n: int, sequence: int) -> list[int]:

@@ -121,32 +121,38 @@ def _anchors(window: int, gram: int):
     return anchors
 
 
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """A list column's values and where each row's begin."""
+    offsets = column.offsets.to_numpy()
+    return column.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
+
+
 def _passages(window: int, gram: int):
     """The contexts' words around the wanted anchors of each text."""
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column("wanted").to_pylist()
-            ids, tags = batch.column("id").to_pylist(), batch.column("tag").to_pylist()
+            wanted, ends = _lists(batch.column("wanted"))
+            ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "tag"))
             for words in words_of(batch.column("text")):
-                out: list[tuple] = []
-                signed = words.hashes.view(np.int64)
-                for i, row in enumerate(words.rows):
-                    at = np.array([w["pos"] for w in wanted[row]]) + words.first[i]
-                    lo, hi = _reach(words, at, np.full(len(at), i), window, gram)
-                    for w, a, b in zip(wanted[row], lo, hi, strict=True):
-                        out.append((w["fp"], w["heavy"], ids[row], tags[row], int(a - words.first[i]), signed[a:b]))
-                if out:
-                    fp, heavy, own, tag, start, hashes = zip(*out, strict=True)
-                    offsets = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(fp, pa.int64()), pa.array(heavy, pa.bool_()), pa.array(own, pa.int64()),
-                            pa.array(tag, pa.int32()), pa.array(start, pa.int32()),
-                            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(hashes))),
-                        ],
-                        names=["fp", "heavy", "id", "tag", "start", "words"],
-                    )
+                rows = words.rows
+                own = wanted[ends[rows.start] : ends[rows.stop]]
+                text = np.repeat(np.arange(len(rows)), np.diff(ends[rows.start : rows.stop + 1]))
+                at = (own >> 1) + words.first[text]
+                lo, hi = _reach(words, at, text, window, gram)
+                first = np.concatenate([[0], np.cumsum(hi - lo)])
+                index = np.repeat(lo - first[:-1], hi - lo) + np.arange(first[-1])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(gram_hashes(words.hashes, gram)[at].view(np.int64)),
+                        pa.array((own & 1).astype(bool)),
+                        pa.array(ids[rows.start + text]),
+                        pa.array(tags[rows.start + text]),
+                        pa.array((lo - words.first[text]).astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(words.hashes[index].view(np.int64))),
+                    ],
+                    names=["fp", "heavy", "id", "tag", "start", "words"],
+                )
 
     return passages
 
@@ -190,18 +196,23 @@ def _by_window_hash(passages: DataFrame, window: int) -> DataFrame:
 
 
 def _merge_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans (start and end in one long) of each text merged where they touch."""
     for batch in batches:
-        merged = []
-        for spans in batch.column("spans").to_pylist():
-            own: list[list[int]] = []
-            for s in sorted(spans, key=lambda s: s["lo"]):
-                if own and s["lo"] <= own[-1][1]:
-                    own[-1][1] = max(own[-1][1], s["hi"])
-                else:
-                    own.append([s["lo"], s["hi"]])
-            merged.append([x for pair in own for x in pair])
+        packed, ends = _lists(batch.column("spans"))
+        row = np.repeat(np.arange(len(batch)), np.diff(ends))
+        order = np.lexsort((packed, row))
+        row, packed = row[order], packed[order]
+        base = row.astype(np.int64) << 40  # texts one after the other on one line
+        lo, hi = base + (packed >> 32), base + (packed & 0xFFFFFFFF)
+        reached = np.maximum.accumulate(hi)
+        opens = np.concatenate([[True], lo[1:] > reached[:-1]]) if len(lo) else np.zeros(0, dtype=bool)
+        start = np.flatnonzero(opens)
+        end = np.append(start[1:], len(lo)) - 1
+        pairs = np.column_stack([lo[start] - base[start], reached[end] - base[start]]).astype(np.int32).reshape(-1)
+        first = 2 * np.searchsorted(row[start], np.arange(len(batch) + 1))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("tag"), pa.array(merged, pa.list_(pa.int32()))], names=["id", "tag", "spans"]
+            [batch.column("id"), batch.column("tag"), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(pairs))],
+            names=["id", "tag", "spans"],
         )
 
 
@@ -231,7 +242,8 @@ def repeated_spans(
         repeated.join(contexts.select("fp", "context", "first").join(several, "fp"), ["fp", "context"])
         .where(F.struct("id", "pos") == F.col("first"))
         .groupBy("id", "tag")
-        .agg(F.collect_list(F.struct("pos", "fp", (F.col("held") > shard_passages).alias("heavy"))).alias("wanted"))
+        # an anchor's place, and in the last bit whether it is a heavy one
+        .agg(F.collect_list(F.col("pos") * 2 + (F.col("held") > shard_passages).cast("int")).alias("wanted"))
     )
     wanted = checkpointed(wanted)
     release_shuffles(texts.sparkSession)
@@ -251,7 +263,8 @@ def repeated_spans(
     )
     heavy = _by_window_hash(passages.where("heavy"), window)
     spans = copies.unionByName(matched).unionByName(heavy)
-    per_text = spans.groupBy("id", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    span = F.shiftleft(F.col("lo").cast("long"), 32) + F.col("hi")
+    per_text = spans.groupBy("id", "tag").agg(F.collect_list(span).alias("spans"))
     merged = checkpointed(per_text.mapInArrow(_merge_spans, "id long, tag int, spans array<int>"))
     release_shuffles(texts.sparkSession)
     return merged

@@ -1,7 +1,7 @@
 """Words of whole texts as numpy arrays, straight from Arrow's UTF-8 buffers.
 
 Used inside Arrow batches by the operators on words. A batch is cut into
-chunks of about a megabyte, so memory is bounded by the chunk (or by the one
+chunks of about a quarter of a megabyte, so memory is bounded by the chunk (or by the one
 longest text), not by the batch.
 """
 
@@ -15,7 +15,7 @@ import pyarrow as pa
 
 from revmart.llm.workers import once
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 BLANKS = b" \t\n\x0b\x0c\r"
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -57,8 +57,8 @@ def _make_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """The base's powers and their inverses modulo 2^64, for ``size`` bytes at least."""
-    if size < 1 << 21:
-        return once("powers", lambda: _make_powers(1 << 21))
+    if size <= 1 << 19:
+        return once("powers", lambda: _make_powers((1 << 19) + 1))
     return _make_powers(size + 1)  # a very long text: for this chunk alone
 
 
