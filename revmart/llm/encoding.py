@@ -24,10 +24,7 @@ _FAST_CHARS = 400_000
 
 class ByteEncoder:
     def __init__(self, tokenizer_path: str, ranks_path: str | None, pattern: str | None) -> None:
-        from tokenizers import Tokenizer
-
-        self._slow = Tokenizer.from_file(tokenizer_path)
-        self._slow.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer_path, self._tokenizer = tokenizer_path, None
         self._fast = None
         if ranks_path and pattern:
             import tiktoken
@@ -36,6 +33,16 @@ class ByteEncoder:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
             self._fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
+    @property
+    def _slow(self):
+        """The tokenizer itself, loaded when a text first needs it."""
+        if self._tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self._tokenizer_path)
+            self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        return self._tokenizer
+
     def _encode(self, text: str) -> list[int]:
         if self._fast is not None and len(text) <= _FAST_CHARS and not _PLAIN.search(text):
             return self._fast.encode_ordinary(text)
