@@ -1,15 +1,19 @@
-"""Quality rules: an isolation forest on rule statistics.
+"""Quality rules: isolation forests on rule statistics.
 
 Rules of thumb (short documents, documents that mostly repeat themselves)
-reject outright. What they let through is scored by an isolation forest over
+reject outright. What they let through is scored by isolation forests over
 the rules' statistics: a document that random splits separate after few
 steps is unlike the others. How short a path is too short is read from
 labelled rows.
 
+One forest splits on what words are made of, one on how much lines and words
+repeat. Ordinary documents repeat some lines or none, so in one forest for
+all statistics those splits single out good documents and hide the junk.
+
 Fitting. The trees see
 a bounded sample of them (``trees * sample`` rows, each tree its own
 ``sample``, chosen by hash), which is how isolation forests are grown; the
-threshold is set on counts over *all* labelled documents. The forest (at most
+thresholds are set on counts over *all* labelled documents. A forest (at most
 ``trees * (2 * sample - 1)`` nodes) is small enough to ship with the tasks.
 
 Scale. Two passes over the texts, neither of which shuffles them: the labels
@@ -43,9 +47,11 @@ KEEP_GOOD = 0.995
 SCORE_BINS = 2000
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: What the forest splits on, as logarithms: symbols, ASCII punctuation marks and ASCII capitals, each per word.
-#: (Repeated words and lines have a rule of their own; here they only hid the rest.)
-RATES = ["symbol_rate", "mark_rate", "capital_rate"]
+#: What the first forest splits on, as logarithms: symbols, punctuation marks, ASCII capitals and characters, each per word.
+WORD_RATES = ["symbol_rate", "mark_rate", "capital_rate", "mean_word_chars"]
+#: What the second one splits on, as logarithms: duplicates among the lines and words in repeated windows among the words.
+REPEAT_RATES = ["dup_line_rate", "repeat_rate"]
+RATES = WORD_RATES + REPEAT_RATES
 RATE_FLOOR = 0.01
 
 
@@ -54,10 +60,33 @@ class Statistics(NamedTuple):
     rates: np.ndarray  # texts x RATES
 
 
-def _duplicate_lines(text: bytes) -> int:
-    """Lines with a word that are equal to an earlier one."""
+def _duplicate_lines(text: bytes) -> tuple[int, int]:
+    """Lines with a word, and those of them equal to an earlier one."""
     lines = [x for x in text.split(b"\n") if x.strip()]
-    return len(lines) - len(set(lines))
+    return len(lines), len(lines) - len(set(lines))
+
+
+def _marks(data: np.ndarray) -> np.ndarray:
+    """The bytes that begin a mark: ASCII punctuation, signs of Latin-1, U+2000
+    to U+2BFF (dashes, quotes, arrows, shapes), CJK and full-width punctuation
+    and pictographs (U+1F000 to U+1FFFF)."""
+    is_mark, latin, full = np.zeros((3, 256), dtype=bool)
+    is_mark[33:48] = is_mark[58:65] = is_mark[91:97] = is_mark[123:127] = True
+    latin[0xA1:0xC0] = True
+    latin[[0xAA, 0xB5, 0xBA]] = False  # letters
+    full[0x81:0x90] = full[0x9A:0xA1] = True
+    marks = is_mark[data]
+    # beyond ASCII: few bytes in most texts
+    at = np.flatnonzero(data[:-1] >= 0xC2)
+    lead, second, third = data[at], data[at + 1], data[np.minimum(at + 2, len(data) - 1)]
+    marks[at] = (
+        ((lead == 0xC2) & latin[second])
+        | ((lead == 0xE2) & (second <= 0xAF))
+        | ((lead == 0xE3) & (second == 0x80))
+        | ((lead == 0xEF) & (second == 0xBC) & full[third])
+        | ((lead == 0xF0) & (second == 0x9F))
+    )
+    return marks
 
 
 def _repeat_words(grams: np.ndarray) -> int:
@@ -74,17 +103,16 @@ def _repeat_words(grams: np.ndarray) -> int:
 
 def _chunk_statistics(words: Words) -> Statistics:
     n = len(words.rows)
-    counts, other = np.zeros((n, len(COUNTS)), np.int64), np.zeros((n, 2))
+    counts, other, lines = np.zeros((n, len(COUNTS)), np.int64), np.zeros((n, 2)), np.ones(n)
     if not len(words.starts):
         return Statistics(counts, np.full((n, len(RATES)), np.log(RATE_FLOOR)))
     data = words.data
     # running counts over bytes; a text's count is a difference of two
     lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    is_symbol, is_mark, is_capital = np.zeros((3, 256), dtype=bool)
+    is_symbol, is_capital = np.zeros((2, 256), dtype=bool)
     is_symbol[list(SYMBOLS)] = True
-    is_mark[33:48] = is_mark[58:65] = is_mark[91:97] = is_mark[123:127] = True
     is_capital[65:91] = True
-    symbols, *others = (np.concatenate([[0], np.cumsum(table[data])]) for table in (is_symbol, is_mark, is_capital))
+    symbols, *others = (np.concatenate([[0], np.cumsum(x)]) for x in (is_symbol[data], _marks(data), is_capital[data]))
     word_chars = np.concatenate([[0], np.cumsum(lead[words.ends] - lead[words.starts])])
     grams = gram_hashes(words.hashes, 3)
     raw = data.tobytes()
@@ -93,11 +121,13 @@ def _chunk_statistics(words: Words) -> Statistics:
         if a == b:
             continue
         lo, hi = words.starts[a], words.ends[b - 1]
-        dup = _duplicate_lines(raw[words.offsets[i] : words.offsets[i + 1]])
+        lines[i], dup = _duplicate_lines(raw[words.offsets[i] : words.offsets[i + 1]])
         repeats = _repeat_words(grams[a : b - 2]) if b - a >= 4 else 0
         counts[i] = b - a, word_chars[b] - word_chars[a], symbols[hi] - symbols[lo], dup, repeats
         other[i] = [s[hi] - s[lo] for s in others]
-    shares = np.column_stack([counts[:, 2], other]) / np.maximum(counts[:, :1], 1)
+    total = np.maximum(counts[:, 0], 1)
+    per_word = np.column_stack([counts[:, 2], other, counts[:, 1]]) / total[:, None]
+    shares = np.column_stack([per_word, counts[:, 3] / lines, counts[:, 4] / total])
     return Statistics(counts, np.log(shares + RATE_FLOOR))
 
 
@@ -176,10 +206,14 @@ def forest_scores(forest: Forest, rates: np.ndarray) -> np.ndarray:
 
 
 class QualityModel(NamedTuple):
-    """``forest`` None: nothing was labelled, only the base rules hold."""
+    """A forest over ``WORD_RATES`` and one over ``REPEAT_RATES``, and the
+    lowest score that each rejects. ``forest`` None: nothing was labelled,
+    only the base rules hold."""
 
     forest: Forest | None
     threshold: float
+    repeat_forest: Forest | None = None
+    repeat_threshold: float = 1.0
 
 
 def _rate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,13 +235,14 @@ def fit_quality(
     sample: int = TREE_SAMPLE,
     keep_good: float = KEEP_GOOD,
 ) -> QualityModel:
-    """Grow the forest on, and calibrate the threshold with, labelled documents.
+    """Grow the forests on, and calibrate their thresholds with, labelled documents.
 
-    ``label_col``: 1 good, 0 bad, NULL skipped. The threshold is the one that
+    ``label_col``: 1 good, 0 bad, NULL skipped. A threshold is the one that
     separates good from bad best (largest gap between the shares rejected)
     among those that keep at least ``keep_good`` of the good documents which
-    the base rules pass. No labelled document: base rules only. No bad one:
-    nothing is rejected beyond the base rules.
+    the base rules pass. That of the repeats is set on what the first forest
+    keeps, and both together keep that share. No labelled document: base
+    rules only. No bad one: nothing is rejected beyond the base rules.
     """
     require_columns(docs, id_col, text_col)
     require_columns(labels, id_col, label_col)
@@ -230,29 +265,43 @@ def fit_quality(
     place = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit("row"), *RATES), *RATES)
     sampled = offered.withColumn("tree", tree).withColumn("row", F.row_number().over(place)).where(F.col("row") <= sample)
 
+    parts = [WORD_RATES, REPEAT_RATES]
+
     def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        nodes = grow_tree(rows[RATES].to_numpy(), int(key[0]))
-        out = {"tree": [int(key[0])] * len(nodes), "node": list(range(len(nodes)))}
-        for i, name in enumerate(("feature", "value", "left_node", "right_node")):
-            out[name] = [x[i] for x in nodes]
-        return pd.DataFrame(out)
+        out = []
+        for part, names in enumerate(parts):
+            out += [(part, int(key[0]), i, *x) for i, x in enumerate(grow_tree(rows[names].to_numpy(), int(key[0])))]
+        return pd.DataFrame(out, columns=["part", "tree", "node", "feature", "value", "left_node", "right_node"])
 
     grown = sampled.groupBy("tree").applyInPandas(
-        grow, "tree int, node int, feature int, value double, left_node int, right_node int"
+        grow, "part int, tree int, node int, feature int, value double, left_node int, right_node int"
     )
-    nodes = sorted(tuple(r) for r in grown.collect())  # trees * (2 * sample - 1) rows at most
+    nodes = sorted(tuple(r) for r in grown.collect())  # 2 * trees * (2 * sample - 1) rows at most
     if not nodes:
         return QualityModel(None, 1.0)
-    forest = _assemble(nodes, sample)
+    words, repeats = (_assemble([x[1:] for x in nodes if x[0] == part], sample) for part in range(len(parts)))
 
-    def score(batches):
-        for batch in batches:
-            rates = np.column_stack([batch.column(r).to_numpy(zero_copy_only=False) for r in RATES])
-            bins = np.minimum((forest_scores(forest, rates) * SCORE_BINS).astype(np.int64), SCORE_BINS - 1)
-            yield pa.RecordBatch.from_arrays([batch.column("__label"), pa.array(bins)], names=["label", "bin"])
+    def counted(model: QualityModel, scored: Forest, names: list[str]) -> dict[tuple[int, int], int]:
+        """Labelled rows that ``model`` keeps, by label and bin of their score."""
+
+        def score(batches):
+            for batch in batches:
+                rates = np.column_stack([batch.column(r).to_numpy(zero_copy_only=False) for r in RATES])
+                rows = np.flatnonzero(_accepted(_scores(model, rates), model))
+                own = rates[rows][:, [RATES.index(r) for r in names]]
+                bins = np.minimum((forest_scores(scored, own) * SCORE_BINS).astype(np.int64), SCORE_BINS - 1)
+                yield pa.RecordBatch.from_arrays([batch.column("__label").take(pa.array(rows)), pa.array(bins)], names=["label", "bin"])
 
-    counted = rated.mapInArrow(score, "label int, bin long").groupBy("label", "bin").count().collect()
-    return QualityModel(forest, _threshold({(r["label"], r["bin"]): r["count"] for r in counted}, keep_good))
+        found = rated.mapInArrow(score, "label int, bin long").groupBy("label", "bin").count().collect()
+        return {(r["label"], r["bin"]): r["count"] for r in found}
+
+    every = counted(QualityModel(None, 1.0), words, WORD_RATES)
+    model = QualityModel(words, _threshold(every, keep_good))
+    left = counted(model, repeats, REPEAT_RATES)
+    good, good_left = (sum(n for (label, _), n in c.items() if label == 1) for c in (every, left))
+    # of what is left, so that of all good documents keep_good stay
+    keep_left = min(1.0, keep_good * good / good_left) if good_left else keep_good
+    return model._replace(repeat_forest=repeats, repeat_threshold=_threshold(left, keep_left))
 
 
 def _assemble(nodes: list[tuple], sample: int) -> Forest:
@@ -276,30 +325,44 @@ def _threshold(counts: dict[tuple[int, int], int], keep_good: float) -> float:
     return float(gap.argmax()) / SCORE_BINS if gap.max() > 0 else 1.0
 
 
+def _scores(model: QualityModel, rates: np.ndarray) -> np.ndarray:
+    """Rows x 2: what each forest says; 0 where there is none."""
+    k = len(WORD_RATES)
+    parts = (model.forest, rates[:, :k]), (model.repeat_forest, rates[:, k:])
+    return np.column_stack([forest_scores(f, x) if f else np.zeros(len(x)) for f, x in parts])
+
+
+def _accepted(scores: np.ndarray, model: QualityModel) -> np.ndarray:
+    return (scores < [model.threshold, model.repeat_threshold]).all(axis=1)
+
+
 def judge_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` plus its counts, ``base_failed``,
-    ``anomaly_score`` (0 without a forest) and ``kept``.
+    ``anomaly_score`` and ``repeat_score`` (of the two forests; 0 without
+    one) and ``kept``.
 
     NULL or empty text: all counts 0, base_failed. Repeated rows are judged
     alike. Columns of ``docs`` with the made names are replaced.
     """
     require_columns(docs, text_col)
-    made = [*COUNTS, "base_failed", "anomaly_score", "kept"]
+    made = [*COUNTS, "base_failed", "anomaly_score", "repeat_score", "kept"]
     kept_cols = [c for c in docs.columns if c not in made or c == text_col]
     docs = docs.select(*[F.col(f"`{c}`") for c in kept_cols])
     schema = T.StructType(
         [*docs.schema.fields]
         + [T.StructField(c, T.LongType()) for c in COUNTS]
-        + [T.StructField("base_failed", T.BooleanType()), T.StructField("anomaly_score", T.DoubleType()), T.StructField("kept", T.BooleanType())]
+        + [T.StructField("base_failed", T.BooleanType())]
+        + [T.StructField(c, T.DoubleType()) for c in ("anomaly_score", "repeat_score")]
+        + [T.StructField("kept", T.BooleanType())]
     )
 
     def judge(batches):
         for batch in batches:
             found = text_statistics(batch.column(text_col))
             failed = base_failed(found.counts)
-            scores = forest_scores(model.forest, found.rates) if model.forest else np.zeros(len(failed))
-            kept = ~failed & (scores < model.threshold)
-            made_cols = [*[pa.array(c) for c in found.counts.T], pa.array(failed), pa.array(scores), pa.array(kept)]
+            scores = _scores(model, found.rates)
+            kept = ~failed & _accepted(scores, model)
+            made_cols = [*[pa.array(c) for c in found.counts.T], pa.array(failed), *[pa.array(c) for c in scores.T], pa.array(kept)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made_cols], names=schema.names)
 
     return docs.mapInArrow(judge, schema)

@@ -1,5 +1,6 @@
 """Quality rules: counts against brute force, verdicts, edge cases."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -72,3 +73,32 @@ def test_forest_scores_outliers_higher():
     scores = forest_scores(_assemble(nodes, 128), rows)
     assert scores[400:].min() > np.quantile(scores[:400], 0.99)
     assert len(grow_tree(np.ones((5, 2)), 0)) == 1
+
+
+def _junk(rng, kind):
+    """A text whose symbols, ASCII marks and ASCII capitals are ordinary."""
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    sizes = {"long words": (14, 22), "short words": (1, 2)}.get(kind, (2, 9))
+    line = lambda: (" ".join(word(rng.randint(*sizes)) for _ in range(12)) + ".").capitalize()
+    lines = [line() for _ in range(30)]
+    if kind == "lines":
+        lines += [line()] * 25
+        rng.shuffle(lines)
+    if kind == "marks":
+        lines = [x.replace(" ", " … ☎ ", 8) for x in lines]
+    return "\n".join(lines)
+
+
+def test_every_statistic_singles_out_its_junk(spark, sf01):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality")
+    rng, kinds = random.Random(4), ["lines", "long words", "short words", "marks"]
+    junk = [(10_000_000 + i, _junk(rng, kinds[i // 2 % 4])) for i in range(240)]
+    docs = docs.unionByName(spark.createDataFrame(junk, "doc_id long, text string"))
+    labels = labels.unionByName(spark.createDataFrame([(i, 0) for i, _ in junk], "doc_id long, quality int"))
+    judged = judge_quality(docs, fit_quality(docs, labels.where("doc_id % 2 = 0")))
+    rows = judged.join(labels.where("doc_id % 2 = 1"), "doc_id").where("not base_failed").collect()
+    kept = {k: [r.kept for r in rows if r.doc_id >= 10_000_000 and kinds[(r.doc_id - 10_000_000) // 2 % 4] == k] for k in kinds}
+    assert {k: len(v) for k, v in kept.items()} == dict.fromkeys(kinds, 30)
+    assert all(np.mean(v) <= 0.1 for v in kept.values()), {k: np.mean(v) for k, v in kept.items()}
+    assert np.mean([r.kept for r in rows if r.quality == 1]) >= 0.98
