@@ -58,19 +58,23 @@ def _anchor_places(words: Words, window: int, gram: int) -> tuple[np.ndarray, np
     sizes = np.diff(words.first)
     if not (sizes >= window).any():
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    # (hash, place) in one integer: its minimum is the leftmost smallest gram
-    places = np.arange(len(grams), dtype=np.uint64)
-    if len(grams) >> int(_PLACE_BITS):
-        raise ValueError("a text of more than 16 million words")
-    best = (grams >> _PLACE_BITS << _PLACE_BITS) | places
-    reach = 1
-    while reach < spread:
-        step = min(reach, spread - reach)
-        best = np.minimum(best[:-step], best[step:])
-        reach += step
     starts = np.concatenate([np.arange(a, b - window + 1) for a, b in zip(words.first[:-1], words.first[1:], strict=True)])
-    chosen = np.unique((best[starts] & np.uint64((1 << int(_PLACE_BITS)) - 1)).astype(np.int64))
-    return grams[chosen], chosen
+    # stretches of as many grams as places can be told apart, each with the whole windows of its starts
+    most = 1 << int(_PLACE_BITS)
+    chosen = []
+    for lo in range(0, len(grams) - spread + 1, most - spread + 1):
+        # (hash, place) in one integer: its minimum is the leftmost smallest gram
+        part = grams[lo : lo + most]
+        best = (part >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(part), dtype=np.uint64)
+        reach = 1
+        while reach < spread:
+            step = min(reach, spread - reach)
+            best = np.minimum(best[:-step], best[step:])
+            reach += step
+        own = starts[np.searchsorted(starts, lo) : np.searchsorted(starts, lo + len(best))] - lo
+        chosen.append((best[own] & np.uint64(most - 1)).astype(np.int64) + lo)
+    places = np.unique(np.concatenate(chosen))
+    return grams[places], places
 
 
 def _span_hashes(words: Words, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:

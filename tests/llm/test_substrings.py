@@ -4,14 +4,17 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest_llm import prose
-from revmart.llm import registry
+from revmart.llm import registry, substrings
 from revmart.llm.automaton import SuffixAutomaton
 from revmart.llm.substrings import remove_repeats
+from revmart.llm.words import gram_hashes, words_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -73,6 +76,20 @@ def test_edge_cases(spark, make_docs):
     assert found_of(remove_repeats(make_docs([(1, None)]))) == {(1, None): (0, 0, "")}
 
 
+@pytest.mark.parametrize("bits", [5, 6, 24])
+def test_anchors_of_texts_longer_than_places_can_be_told_apart(monkeypatch, bits):
+    monkeypatch.setattr(substrings, "_PLACE_BITS", np.uint64(bits))
+    for texts in ([prose(1, 1000)], ["a b " * 300], [prose(k, n) for k, n in enumerate((45, 3, 20, 400, 19, 64))]):
+        (words,) = words_of(pa.array(texts))
+        grams = gram_hashes(words.hashes, 5)
+        cut = [int(g) >> bits for g in grams]
+        want = set()
+        for a, b in zip(words.first[:-1], words.first[1:], strict=True):
+            want |= {min(range(s, s + 16), key=lambda g: (cut[g], g)) for s in range(a, b - 19)}
+        found, places = substrings._anchor_places(words, 20, 5)
+        assert places.tolist() == sorted(want) and found.tolist() == grams[places].tolist()
+
+
 def test_clashing_columns(spark, make_docs):
     docs = make_docs([(1, prose(1, 25)), (2, prose(1, 25))]).selectExpr("*", "'a' as id", "2 as tag", "'s' as spans", "9 as n_words")
     rows = remove_repeats(docs)
