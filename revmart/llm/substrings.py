@@ -2,7 +2,8 @@
 
 A window is ``window`` consecutive words of one document. Every word covered
 by a window that also starts earlier in the corpus (smaller id, or same
-document and earlier start) goes.
+document and earlier start) goes. A row without an id is a document of its own,
+after all that have one.
 
 1. *Anchors.* Of every window's 5-grams the one with the smallest hash is its
    anchor. Equal windows have equal anchors at equal places, so only anchors
@@ -21,7 +22,7 @@ document and earlier start) goes.
    (grouped with map-side pre-aggregation), which decides the same.
 4. *Removal.* Repeated spans are merged per document and cut out.
 
-Scale. What is shuffled: anchors twice (8 and 28 bytes each), then only
+Scale. What is shuffled: anchors twice (8 and 36 bytes each), then only
 repeated ones, and the texts twice, to their wanted places and to their
 spans. Every phase ends in a checkpoint and gives its shuffle files back, so
 the disk in use is that of one phase.
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +47,8 @@ WINDOW = 20
 GRAM = 5
 SHARD_PASSAGES = 1000
 LAST_ID = (1 << 63) - 1
+#: Tags of rows without an id begin here: above those of texts, which are 32-bit hashes.
+FIRST_TURN = 1 << 32
 
 _GOLD = 0x9E3779B97F4A7C15  # odd
 _PLACE_BITS = np.uint64(24)
@@ -166,8 +169,10 @@ def _through_automaton(window: int):
 
     def match(passages: pd.DataFrame) -> pd.DataFrame:
         automaton = SuffixAutomaton()
-        order = {x: i for i, x in enumerate(sorted(passages["id"].unique()))}
-        places = [(order[i] << 40) + s for i, s in zip(passages["id"], passages["start"], strict=True)]
+        # rows that share an id are one document, those without an id are not
+        own = [(i, t if t >= FIRST_TURN else 0) for i, t in zip(passages["id"], passages["tag"], strict=True)]
+        order = {x: i for i, x in enumerate(sorted(set(own)))}
+        places = [(order[x] << 40) + s for x, s in zip(own, passages["start"], strict=True)]
         texts = [w.tolist() for w in passages["words"]]
         for words, place in zip(texts, places, strict=True):
             automaton.add(words, place)
@@ -182,20 +187,26 @@ def _through_automaton(window: int):
                     open_span = [end - window + 1, end + 1]
                     spans.append((i, tag, start, open_span))
         rows = [(i, tag, start + lo, start + hi) for i, tag, start, (lo, hi) in spans]
-        return pd.DataFrame(rows, columns=["id", "tag", "lo", "hi"]).astype({"id": "int64", "tag": "int32", "lo": "int32", "hi": "int32"})
+        return pd.DataFrame(rows, columns=["id", "tag", "lo", "hi"]).astype({"id": "int64", "tag": "int64", "lo": "int32", "hi": "int32"})
 
     return match
 
 
+def _place(at: str) -> Column:
+    """Where a word stands in the order of the corpus."""
+    turn = F.greatest(F.col("tag"), F.lit(FIRST_TURN))  # 32-bit tags do not order rows
+    return F.struct(F.col("id").alias("id"), turn.alias("turn"), F.col(at).alias("at"))
+
+
 def _by_window_hash(passages: DataFrame, window: int) -> DataFrame:
     """Repeated windows of the passages around heavy anchors, by hash."""
     at = F.explode(F.sequence(F.lit(0), F.size("words") - window)).alias("at")
     windows = passages.select("fp", "id", "tag", "start", "words", at).select(
         "fp", F.xxhash64(F.slice("words", F.col("at") + 1, window)).alias("window"), "id", "tag", (F.col("start") + F.col("at")).alias("lo")
     )
-    first = windows.groupBy("fp", "window").agg(F.min(F.struct("id", "lo")).alias("first"), F.count("*").alias("n"))
+    first = windows.groupBy("fp", "window").agg(F.min(_place("lo")).alias("first"), F.count("*").alias("n"))
     first = keyed_table(first.where("n > 1"))
-    repeated = windows.join(first, ["fp", "window"]).where(F.struct("id", "lo") > F.col("first"))
+    repeated = windows.join(first, ["fp", "window"]).where(_place("lo") > F.col("first"))
     return repeated.select("id", "tag", "lo", (F.col("lo") + window).cast("int").alias("hi"))
 
 
@@ -225,26 +236,26 @@ def repeated_spans(
 ) -> DataFrame:
     """``texts`` (``id``, ``tag``, ``text``) to merged word spans that are
     repeated: ``id``, ``tag``, ``spans`` (starts and ends in turn)."""
-    schema = "fp long, context long, id long, tag int, pos int"
+    schema = "fp long, context long, id long, tag long, pos int"
     anchors = texts.mapInArrow(_anchors(window, gram), schema)
     twice = keyed_table(anchors.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
     repeated = checkpointed(anchors.join(twice, "fp"))
     release_shuffles(texts.sparkSession)
 
     contexts = checkpointed(
-        repeated.groupBy("fp", "context").agg(F.min(F.struct("id", "pos")).alias("first"), F.count("*").alias("n"))
+        repeated.groupBy("fp", "context").agg(F.min(_place("pos")).alias("first"), F.count("*").alias("n"))
     )
     reach = F.struct(
         F.greatest(F.col("pos") - (window - gram), F.lit(0)).alias("lo"), (F.col("pos") + window).alias("hi")
     )
     copies = repeated.join(contexts.where("n > 1").select("fp", "context", "first"), ["fp", "context"]).where(
-        F.struct("id", "pos") > F.col("first")
+        _place("pos") > F.col("first")
     ).select("id", "tag", reach.alias("s")).select("id", "tag", "s.lo", "s.hi")
 
     several = contexts.groupBy("fp").agg(F.count("*").alias("held")).where("held > 1")
     wanted = (
         repeated.join(contexts.select("fp", "context", "first").join(several, "fp"), ["fp", "context"])
-        .where(F.struct("id", "pos") == F.col("first"))
+        .where(_place("pos") == F.col("first"))
         .groupBy("id", "tag")
         # an anchor's place, and in the last bit whether it is a heavy one
         .agg(F.collect_list(F.col("pos") * 2 + (F.col("held") > shard_passages).cast("int")).alias("wanted"))
@@ -254,7 +265,7 @@ def repeated_spans(
     passages = checkpointed(
         texts.join(wanted, ["id", "tag"])
         .select("id", "tag", "text", "wanted")
-        .mapInArrow(_passages(window, gram), "fp long, heavy boolean, id long, tag int, start int, words array<long>")
+        .mapInArrow(_passages(window, gram), "fp long, heavy boolean, id long, tag long, start int, words array<long>")
     )
     release_shuffles(texts.sparkSession)
     light = passages.where("not heavy")
@@ -263,13 +274,13 @@ def repeated_spans(
         light.withColumn("shard", F.pmod(F.xxhash64("fp"), F.lit(shards)))
         .select("shard", "id", "tag", "start", "words")
         .groupBy("shard")
-        .applyInPandas(lambda p: _through_automaton(window)(p), "id long, tag int, lo int, hi int")
+        .applyInPandas(lambda p: _through_automaton(window)(p), "id long, tag long, lo int, hi int")
     )
     heavy = _by_window_hash(passages.where("heavy"), window)
     spans = copies.unionByName(matched).unionByName(heavy)
     span = F.shiftleft(F.col("lo").cast("long"), 32) + F.col("hi")
     per_text = spans.groupBy("id", "tag").agg(F.collect_list(span).alias("spans"))
-    merged = checkpointed(per_text.mapInArrow(_merge_spans, "id long, tag int, spans array<int>"))
+    merged = checkpointed(per_text.mapInArrow(_merge_spans, "id long, tag long, spans array<int>"))
     release_shuffles(texts.sparkSession)
     return merged
 
@@ -301,18 +312,23 @@ def remove_repeats(
 
     NULL or empty text: no words, ``kept_text`` empty. Texts shorter than the
     window lose nothing. Rows that share an id are one document: of equal
-    windows at equal places in them none is the earlier one. NULL ids come
-    after all others. Columns of ``docs`` with the made names are replaced.
+    windows at equal places in them none is the earlier one. Rows with a NULL
+    id are documents of their own, in no stated order, after all others: of
+    copies of a passage in them one stays. Columns of ``docs`` with the made names are replaced.
     An empty table gives no rows.
     """
     require_columns(docs, id_col, text_col)
     made = ("n_words", "n_removed", "kept_text")
     kept = [c for c in docs.columns if c not in made or c in (id_col, text_col)]
-    key = [F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), F.hash(F.col(text_col))]
-    texts = docs.select(key[0].alias("id"), key[1].alias("tag"), F.col(text_col).alias("text"))
+    docs = docs.select(*[F.col(f"`{c}`") for c in kept])
+    named = docs.withColumns({"__id": F.col(id_col).cast("long"), "__tag": F.hash(F.col(text_col)).cast("long")})
+    # their turns are numbers of rows, fixed by a checkpoint of those rows
+    turn = F.monotonically_increasing_id() + F.lit(FIRST_TURN + 1)
+    unnamed = checkpointed(docs.where(F.col(id_col).isNull()).withColumns({"__id": F.lit(LAST_ID), "__tag": turn}))
+    docs = named.where(F.col(id_col).isNotNull()).unionByName(unnamed)
+    texts = docs.select(F.col("__id").alias("id"), F.col("__tag").alias("tag"), F.col(text_col).alias("text"))
     spans = repeated_spans(texts, window, gram, shard_passages)
-    own = docs.select(*[F.col(f"`{c}`") for c in kept], key[0].alias("__id"), key[1].alias("__tag"))
-    joined = own.join(
+    joined = docs.join(
         spans.select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), F.col("spans").alias("__spans")), ["__id", "__tag"], "left"
     ).select(*[F.col(f"`{c}`") for c in kept], "__spans")
     fields = [f for f in joined.schema.fields if f.name != "__spans"]

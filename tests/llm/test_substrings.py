@@ -90,6 +90,17 @@ def test_anchors_of_texts_longer_than_places_can_be_told_apart(monkeypatch, bits
         assert places.tolist() == sorted(want) and found.tolist() == grams[places].tolist()
 
 
+@pytest.mark.parametrize("heavy", [1000, 1])
+def test_one_copy_stays_in_rows_without_an_id(spark, make_docs, heavy):
+    head = prose(1, 25)
+    texts = [prose(2, 40)] * 3 + [f"{head} {prose(k, 30)}" for k in (3, 4, 5)] + ["of " + head, prose(6, 19), prose(6, 19)]
+    cleaned = remove_repeats(make_docs([(None, t) for t in texts] + [(7, prose(7, 30))]).repartition(4), shard_passages=heavy)
+    rows = [(r.text, r.n_removed) for r in cleaned.collect()]
+    assert sorted(n for t, n in rows if t == texts[0]) == [0, 40, 40]
+    assert sorted(n for t, n in rows if head in t) == [0, 25, 25, 25]
+    assert sorted(n for t, n in rows if head not in t and t != texts[0]) == [0, 0, 0]
+
+
 def test_clashing_columns(spark, make_docs):
     docs = make_docs([(1, prose(1, 25)), (2, prose(1, 25))]).selectExpr("*", "'a' as id", "2 as tag", "'s' as spans", "9 as n_words")
     rows = remove_repeats(docs)
