@@ -13,7 +13,7 @@ that inflects are known by its stem. Each fit chooses its own words, from its tr
 documents carry the category far more or less often than chance allows.
 
 Fitting uses at most ``sample_docs`` labelled documents, those with the
-smallest hashes (a stated bound: a few tens of thousands fix the weights of
+most labels and among them those with the smallest hashes (a stated bound: a few tens of thousands fix the weights of
 words frequent enough to be chosen). Their word counts are made by Spark; the
 chain is fitted on them in one task, whose memory the bound limits. A model
 is a few thousand weights.
@@ -172,13 +172,17 @@ def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _sample(docs: DataFrame, labels: DataFrame, categories: list[Category], id_col: str, text_col: str, sample_docs: int) -> DataFrame:
-    """Word counts and labels (``y0``, ``y1``, ...) of the sampled documents."""
-    cols = [c.label_col for c in categories]
-    complete = labels.where(" and ".join(f"`{c}` is not null" for c in dict.fromkeys(cols)))
-    known = complete.groupBy(F.col(id_col).alias("id")).agg(
+    """Word counts and labels (``y0``, ``y1``, ..., NULL where there is none) of
+    the sampled documents: labelled ones that ``docs`` holds, those with the
+    most labels first."""
+    cols = list(dict.fromkeys(c.label_col for c in categories))
+    some = labels.where(" or ".join(f"`{c}` is not null" for c in cols))
+    known = some.groupBy(F.col(id_col).alias("id")).agg(
         *[F.max((F.col(c.label_col) == c.yes).cast("int")).alias(f"y{i}") for i, c in enumerate(categories)]
     )
-    chosen = known.orderBy(F.xxhash64(F.lit("sample"), "id"), "id").limit(sample_docs)  # the documented bound
+    present = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
+    held = sum((F.col(f"y{i}").isNotNull().cast("int") for i in range(len(categories))), F.lit(0))
+    chosen = present.orderBy(held.desc(), F.xxhash64(F.lit("sample"), "id"), "id").limit(sample_docs)  # the documented bound
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     picked = texts.join(F.broadcast(chosen), "id")
     names = [f"y{i}" for i in range(len(categories))]
@@ -211,14 +215,17 @@ def _fit_categories(count: int):
         earlier = np.zeros((len(rows), 0))  # out-of-fold probabilities of the categories so far
         out = []
         for i in range(count):
-            yes, odds, unseen = rows[f"y{i}"].to_numpy().astype(float), _log_odds(earlier), np.zeros(len(rows))
+            # a link learns from the rows that have its own label and predicts for all
+            has = rows[f"y{i}"].notna().to_numpy()
+            yes = rows[f"y{i}"].fillna(0).to_numpy().astype(float)
+            odds, unseen = _log_odds(earlier), np.zeros(len(rows))
             for k in range(FOLDS):
                 left_out = fold == k
-                model = fit_linear(counts, odds, yes, ~left_out)
+                model = fit_linear(counts, odds, yes, has & ~left_out)
                 unseen[left_out] = predict_linear(model, counts, odds)[left_out]
-            model = fit_linear(counts, odds, yes, np.ones(len(rows), dtype=bool))
+            model = fit_linear(counts, odds, yes, has)
             arrays = (x.tobytes() for x in (model.words, model.weights, model.earlier))
-            out.append((i, *arrays, model.bias, best_threshold(unseen, yes > 0)))
+            out.append((i, *arrays, model.bias, best_threshold(unseen[has], yes[has] > 0)))
             earlier = np.column_stack([earlier, unseen])
         return pd.DataFrame(out, columns=["category", "words", "weights", "earlier", "bias", "threshold"])
 
@@ -234,8 +241,9 @@ def fit_chain(
     sample_docs: int = SAMPLE_DOCS,
 ) -> list[ChainLink]:
     """The chain's models, in order, with a threshold each (best F1 of the
-    out-of-fold predictions). Rows without a label of every category are
-    skipped; with no labelled document the chain is empty."""
+    out-of-fold predictions). Each is fitted on the rows that have its own
+    label; rows without any are skipped, and with no labelled document the
+    chain is empty."""
     require_columns(docs, id_col, text_col)
     require_columns(labels, id_col, *[c.label_col for c in categories])
     sample = _sample(docs, labels, categories, id_col, text_col, sample_docs)

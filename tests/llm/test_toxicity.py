@@ -51,6 +51,15 @@ def test_edge_cases(spark, make_docs):
     assert judge_toxicity(make_docs([]), none_toxic).count() == 0
 
 
+def test_links_learn_from_rows_with_their_own_label(spark, make_docs):
+    rows = [(i, ("bad stuff " if i % 2 else "nice things ") + prose(i, 30)) for i in range(200)]
+    # toxic ones have no quality; most labelled ids are not in docs
+    labels = [(i, None if i % 2 else 1, i % 2) for i in range(200)] + [(i, 1, 0) for i in range(200, 5000)]
+    labels = spark.createDataFrame(labels, LABELS)
+    judged = judge_toxicity(make_docs(rows), fit_chain(make_docs(rows), labels, registry.CATEGORIES, sample_docs=200)).collect()
+    assert all(r.toxic == bool(r.doc_id % 2) for r in judged) and not any(r.low_quality for r in judged)
+
+
 def test_threshold_does_not_cut_ties():
     assert best_threshold(np.array([0.9, 0.9, 0.1]), np.array([True, False, False])) == 0.5
     assert best_threshold(np.array([0.2, 0.1]), np.array([False, False])) > 1
