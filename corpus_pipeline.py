@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revmart.llm.mixing import mix_sources
-from revmart.llm.neardup import near_duplicates
+from revmart.llm.neardup import distinct_documents
 from revmart.llm.packing import pack_documents
 from revmart.llm.quality import fit_quality, judge_quality
 from revmart.llm.substrings import remove_repeats
@@ -34,13 +34,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles,
     similarity of 0.8 or more): the one with the smallest id.
 
-    Rows are matched to their group by id; of rows that share the id that
-    stays, one stays.
+    Every row goes by the verdict on its own text; of rows that share id and
+    shingles one stays. Rows without an id: one of each set of shingles stays.
     """
-    groups = near_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id").distinct()
-    # a NULL id names no group
-    named = docs.where("doc_id is not null").join(groups.where("doc_id is not null"), "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    return distinct_documents(docs).select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

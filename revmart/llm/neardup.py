@@ -39,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revmart.llm.common import checkpointed, keyed_table, require_columns
@@ -57,7 +57,7 @@ BLOCK = 512
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL = np.uint64(48)  # a value is its level and 48 random bits
 _UNSET = np.uint64((1 << 64) - 1)
-SIGNED = "id long, n long, f1 long, f2 long, bands array<long>"
+SIGNED = "id long, print long, n long, f1 long, f2 long, bands array<long>"
 
 
 def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +137,7 @@ def _fingerprints(shingles: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
 def _sign(size: int, bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id")
+            ids, prints_of_texts = batch.column("id"), batch.column("print")
             for words in words_of(batch.column("text"), lower=True):
                 shingles, first = shingle_sets(words, size)
                 counts = np.diff(first)
@@ -147,12 +147,13 @@ def _sign(size: int, bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(words.rows.start, len(words.rows)),
+                        prints_of_texts.slice(words.rows.start, len(words.rows)),
                         pa.array(counts.astype(np.int64)),
                         pa.array(prints[0]),
                         pa.array(prints[1]),
                         pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1))),
                     ],
-                    names=["id", "n", "f1", "f2", "bands"],
+                    names=["id", "print", "n", "f1", "f2", "bands"],
                 )
 
     return sign
@@ -306,8 +307,48 @@ def near_duplicates(
     ``component_id`` and are kept. An empty table gives no rows. Other columns
     are not read.
     """
+    found = _verdicts(docs, id_col, text_col, shingle_words, threshold, bands, rows)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "class_id", "component_id", "kept")
+
+
+def distinct_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    threshold: int = THRESHOLD,
+) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, each by its own
+    verdict: of rows that share the id and the set one stays, those with other
+    sets stay beside it.
+
+    A NULL id names no group: of rows without an id that share a set one
+    stays, and so do all without words.
+    """
+    found = _verdicts(docs, id_col, text_col, shingle_words, threshold, BANDS, ROWS)
+    # of the texts with a set, the one with the smallest hash
+    chosen = found.where("kept and id is not null").groupBy("id", "f1", "f2", "n").agg(F.min("print").alias("print"))
+    named = docs.where(F.col(id_col).isNotNull()).withColumns({"__id": F.col(id_col).cast("long"), "__print": _print(text_col)})
+    named = named.join(chosen.select(F.col("id").alias("__id"), F.col("print").alias("__print")), ["__id", "__print"], "left_semi")
+    named = named.dropDuplicates(["__id", "__print"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    nameless = found.where("id is null")
+    first = nameless.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("print").alias("__print")).select("__print")
+    empty = nameless.where("n = 0").select(F.col("print").alias("__print")).distinct()
+    unnamed = docs.where(F.col(id_col).isNull()).withColumn("__print", _print(text_col))
+    copies = unnamed.join(first, "__print", "left_semi").dropDuplicates(["__print"])
+    unnamed = copies.unionByName(unnamed.join(empty, "__print", "left_semi")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return named.unionByName(unnamed)
+
+
+def _print(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col))
+
+
+def _verdicts(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, threshold: int, bands: int, rows: int) -> DataFrame:
+    """Per row ``id``, its text's hash ``print``, its set (``n``, ``f1``,
+    ``f2``), ``class_id``, ``component_id`` and ``kept``."""
     require_columns(docs, id_col, text_col)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), _print(text_col).alias("print"))
     signed = checkpointed(texts.mapInArrow(_sign(shingle_words, bands, rows), SIGNED))
     classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
     classes = checkpointed(classes)
@@ -315,16 +356,15 @@ def near_duplicates(
     banded = classes.where("id is not null").select(F.explode("bands").alias("key"), "id", "f1", "n")
     shared = keyed_table(banded.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key"))
     members = checkpointed(banded.join(shared, "key"))
-    components = _components(texts, members, shingle_words, threshold)
+    components = _components(texts.select("id", "text"), members, shingle_words, threshold)
 
     placed = classes.select("f1", "f2", "n", F.col("id").alias("class_id")).join(
         components.select(F.col("node").alias("class_id"), "component"), "class_id", "left"
     )
-    found = signed.select("id", "n", "f1", "f2").join(placed, ["f1", "f2", "n"], "left")
+    found = signed.select("id", "print", "n", "f1", "f2").join(placed, ["f1", "f2", "n"], "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component", "class_id"))
     return found.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
+        "id", "print", "n", "f1", "f2",
         F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         component.alias("component_id"),
         (component.isNull() | F.coalesce(F.col("id") == component, F.lit(False))).alias("kept"),

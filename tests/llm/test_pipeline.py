@@ -84,3 +84,12 @@ def test_edge_cases(spark, make_docs, sf001):
         stage(spark, docs, sf001).count()
     stayed = pipeline.near_dedup(spark, docs, sf001).collect()
     assert sorted((r.doc_id or 0) for r in stayed) == [0, 1, 2, 4, 5, 6, 7]
+
+
+def test_near_dedup_goes_by_each_rows_own_text(spark, make_docs, sf001):
+    a, b, c, d = (prose(k, 60) for k in (21, 22, 23, 24))
+    # id 5: a copy of id 1's text and one of its own; id 6: two texts of its own, one twice
+    rows = [(1, a), (5, a), (5, b), (6, c), (6, d), (6, d), *[(None, prose(25, 60))] * 4, (None, ""), (None, None)]
+    stayed = texts(pipeline.near_dedup(spark, make_docs(rows).repartition(3), sf001))
+    want = [(1, a), (5, b), (6, c), (6, d), (None, prose(25, 60)), (None, ""), (None, None)]
+    assert sorted(map(str, stayed)) == sorted(map(str, want))
