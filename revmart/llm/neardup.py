@@ -7,25 +7,27 @@
    places by one permutation, which lowers the variance against plain
    MinHash, and a document stops at the level where no place can improve:
    long documents after the first or second.
-2. *Classes.* Documents with equal sets fall together by a 128-bit
-   fingerprint, map-side first, so thousands of copies are one row from here.
-3. *Banding.* The smallest document of each class goes into one bucket per
-   band of its signature. Two sets of the threshold's similarity or more share
+2. *Classes.* Documents with equal word sequences fall together by a 128-bit
+   BLAKE2 hash of their words' bytes, map-side first, so thousands of copies
+   are one row from here. Classes are the nodes; ids are labels that they
+   carry, so rows that share an id but not the text are apart.
+3. *Banding.* Each class goes into one bucket per band of its signature. Two sets of the threshold's similarity or more share
    none of the buckets with probability ``(1 - s**rows)**bands`` at most
    (2e-8 for 0.85, 3e-6 for 0.8, with the defaults).
-4. *Verification.* Links are confirmed on full sets, and pairs of a bucket
-   are never all emitted. Every document is first compared with the smallest
-   document it meets; buckets whose documents are then in one component are
+4. *Verification.* Links are confirmed on full sets of the words' own bytes,
+   not of their hashes, and pairs of a bucket are never all emitted. Every class
+   is first compared with the smallest class it meets; buckets whose documents are then in one component are
    done, which settles groups of close copies at one comparison each. In any
    other bucket the documents outside its largest component are compared
    with all of other components: pair by pair in small buckets, and in larger
    ones by blocks of sets inside a task, which returns links only. That
    decides every candidate pair, by comparison or because both ends are
    connected already.
-5. *Grouping.* Confirmed links are grouped by union-find.
+5. *Grouping.* Confirmed links are grouped by union-find; a component's name
+   is the smallest id of its classes.
 
-Scale. Buckets shuffle 32 bytes per class and band. Texts move once, to make
-the sets of classes that met another one; sets move with their pairs and
+Scale. Buckets shuffle 24 bytes per class and band. Texts move once, to pick
+one of each class that met another one; these move with their pairs and
 blocks. A bucket that holds a third of all rows costs one comparison per row
 as far as its documents are alike; documents in it that resemble none have to
 be compared with all (nothing short of that proves that no link is lost), by
@@ -35,6 +37,7 @@ tasks of two blocks each.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -44,7 +47,7 @@ from pyspark.sql import functions as F
 
 from revmart.llm.common import checkpointed, keyed_table, require_columns
 from revmart.llm.components import connected_components
-from revmart.llm.words import Words, gram_hashes, mix64, words_of
+from revmart.llm.words import Words, gram_hashes, joined_bytes, mix64, words_of
 
 SHINGLE_WORDS = 5
 THRESHOLD = 80
@@ -125,13 +128,13 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _fingerprints(shingles: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """Two 64-bit fingerprints of each set: sums of its shingles, scrambled in two ways."""
-    prints = []
-    for scrambled in (mix64(shingles ^ _GOLD), mix64(shingles + _GOLD)):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(scrambled, dtype=np.uint64)])
-        prints.append(mix64(sums[first[1:]] - sums[first[:-1]]).view(np.int64))
-    return prints
+def _fingerprints(words: Words) -> list[np.ndarray]:
+    """A 128-bit hash of each text's words, as two longs."""
+    joined, at = joined_bytes(words, lower=True)
+    ends = at[words.first].tolist()
+    digests = b"".join(blake2b(joined[a:b], digest_size=16).digest() for a, b in zip(ends[:-1], ends[1:], strict=True))
+    halves = np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)
+    return [halves[:, 0].copy(), halves[:, 1].copy()]
 
 
 def _sign(size: int, bands: int, rows: int):
@@ -141,7 +144,7 @@ def _sign(size: int, bands: int, rows: int):
             for words in words_of(batch.column("text"), lower=True):
                 shingles, first = shingle_sets(words, size)
                 counts = np.diff(first)
-                prints = _fingerprints(shingles, first)
+                prints = _fingerprints(words)
                 keys = band_keys(superminhash(shingles, first, bands * rows), bands, rows)
                 offsets = pa.array(np.arange(len(counts) + 1) * bands, pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -159,30 +162,29 @@ def _sign(size: int, bands: int, rows: int):
     return sign
 
 
-def _sets(size: int):
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for words in words_of(batch.column("text"), lower=True):
-                shingles, first = shingle_sets(words, size)
-                own = [shingles[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-                ids = batch.column("id").slice(words.rows.start, len(words.rows))
-                print1 = pa.array(_fingerprints(shingles, first)[0])
-                yield pa.RecordBatch.from_arrays([ids, print1, pa.array(own, pa.binary())], names=["id", "f1", "shingles"])
+def _shingles(text: bytes, size: int) -> set[tuple[bytes, ...]]:
+    """The set of a text's shingles, byte by byte."""
+    words = text.lower().split()  # of bytes: A-Z, and on the same six ASCII blanks
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return set(zip(*[words[i:] for i in range(size)], strict=False))
+
 
-    return sets
+def _similar(a: set, b: set, threshold: int) -> bool:
+    shared = len(a & b)
+    return 100 * shared >= threshold * (len(a) + len(b) - shared)
 
 
-def _linked(threshold: int):
+def _linked(size: int, threshold: int):
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, own = None, set()  # many pairs in a row have the same right side
         for batch in batches:
-            left, right = batch.column("a_set"), batch.column("b_set")
+            left, right, nodes = batch.column("a_text"), batch.column("b_text"), batch.column("b").to_pylist()
             keep = np.zeros(len(batch), dtype=bool)
-            for i in range(len(batch)):
-                a = np.frombuffer(left[i].as_buffer(), np.uint64)
-                b = np.frombuffer(right[i].as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([a, b]), kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                keep[i] = 100 * shared >= threshold * (len(a) + len(b) - shared)
+            for i, node in enumerate(nodes):
+                if node != held:
+                    held, own = node, _shingles(right[i].as_buffer().to_pybytes(), size)
+                keep[i] = _similar(_shingles(left[i].as_buffer().to_pybytes(), size), own, threshold)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return linked
@@ -193,22 +195,19 @@ def _alike(a: str, b: str, threshold: int):
     return F.lit(100) * F.least(a, b) >= F.lit(threshold) * F.greatest(a, b)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The links (``u``, ``v``) among ``pairs`` (``a``, ``a_f``, ``b``, ``b_f``)."""
-    left = sets.select(F.col("id").alias("a"), F.col("f1").alias("a_f"), F.col("shingles").alias("a_set"))
-    right = sets.select(F.col("id").alias("b"), F.col("f1").alias("b_f"), F.col("shingles").alias("b_set"))
-    full = pairs.join(left, ["a", "a_f"]).join(right, ["b", "b_f"]).select("a", "b", "a_set", "b_set")
-    return checkpointed(full.mapInArrow(_linked(threshold), "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v")))
+def _verified(pairs: DataFrame, held: DataFrame, size: int, threshold: int) -> DataFrame:
+    """The links (``u``, ``v``) among ``pairs`` (``a``, ``b``)."""
+    left = held.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
+    right = held.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
+    full = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
+    return checkpointed(full.mapInArrow(_linked(size, threshold), "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
 def _first_pairs(members: DataFrame, threshold: int) -> DataFrame:
-    """Every document with the smallest one that it shares a bucket with."""
-    smallest = keyed_table(members.groupBy("key").agg(F.min(F.struct("id", "f1", "n")).alias("c")))
-    met = members.join(smallest, "key").groupBy("id", "f1", "n").agg(F.min("c").alias("c"))
-    return (
-        met.where((F.col("id") != F.col("c.id")) & _alike("n", "c.n", threshold))
-        .select(F.col("id").alias("a"), F.col("f1").alias("a_f"), F.col("c.id").alias("b"), F.col("c.f1").alias("b_f"))
-    )
+    """Every class with the smallest one that it shares a bucket with."""
+    smallest = keyed_table(members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("c")))
+    met = members.join(smallest, "key").groupBy("node", "n").agg(F.min("c").alias("c"))
+    return met.where((F.col("node") != F.col("c.node")) & _alike("n", "c.n", threshold)).select(F.col("node").alias("a"), F.col("c.node").alias("b"))
 
 
 def _unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
@@ -216,9 +215,9 @@ def _unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
     ``odd`` (not of the bucket's largest component), the bucket's size
     ``held`` and how many of it are ``odd_held``."""
     labelled = checkpointed(
-        members.select("key", "id", "f1", "n")
-        .join(components.select(F.col("node").alias("id"), "component"), "id", "left")
-        .withColumn("label", F.coalesce("component", "id"))
+        members.select("key", "node", "n")
+        .join(components, "node", "left")
+        .withColumn("label", F.coalesce("component", "node"))
         .drop("component")
     )
     sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("c"))
@@ -229,60 +228,64 @@ def _unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
     return checkpointed(marked)
 
 
-def _small_links(small: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+def _small_links(small: DataFrame, held: DataFrame, size: int, threshold: int) -> DataFrame:
     """Links between components in small buckets, pair by pair."""
-    o = small.where("odd").select(
-        "key", F.col("id").alias("o_id"), F.col("f1").alias("o_f"), F.col("n").alias("o_n"), F.col("label").alias("o_label")
-    )
+    o = small.where("odd").select("key", F.col("node").alias("o_node"), F.col("n").alias("o_n"), F.col("label").alias("o_label"))
     met = small.join(o, "key").where((F.col("label") != F.col("o_label")) & _alike("n", "o_n", threshold))
-    x, y = F.struct(F.col("id").alias("i"), F.col("f1").alias("f")), F.struct(F.col("o_id").alias("i"), F.col("o_f").alias("f"))
-    pairs = met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()
-    pairs = pairs.select(F.col("x.i").alias("a"), F.col("x.f").alias("a_f"), F.col("y.i").alias("b"), F.col("y.f").alias("b_f"))
-    return _verified(pairs, sets, threshold)
+    pairs = met.select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")).distinct()
+    return _verified(pairs, held, size, threshold)
 
 
-def _block_links(threshold: int):
-    """Links between components among the sets of one or two blocks."""
+def _block_links(size: int, threshold: int):
+    """Links between components among the texts of one or two blocks."""
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
+        texts = [t.encode() for t in rows["text"]]
+        parts = []
+        for words in words_of(pa.array(rows["text"], pa.string()), lower=True):
+            own, first = shingle_sets(words, size)
+            parts += [own[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
         sizes = np.array([len(p) for p in parts])
         vocabulary, shingles = np.unique(np.concatenate(parts), return_inverse=True)
         first = np.concatenate([[0], np.cumsum(sizes)])
-        label, ids, mark = rows["label"].to_numpy(), rows["id"].to_numpy(), np.zeros(len(vocabulary), dtype=np.int64)
+        label, nodes, mark = rows["label"].to_numpy(), rows["node"].to_numpy(), np.zeros(len(vocabulary), dtype=np.int64)
         found = []
         for i in np.flatnonzero(rows["odd"].to_numpy()):
             own = shingles[first[i] : first[i + 1]]
             mark[own] = 1
             shared = np.add.reduceat(mark[shingles], first[:-1])
             mark[own] = 0
-            alike = (100 * shared >= threshold * (sizes + sizes[i] - shared)) & (label != label[i])
-            # one link to each component is enough
-            _, at = np.unique(label[alike], return_index=True)
-            found += [(int(ids[i]), int(v)) for v in ids[alike][at]]
+            alike = np.flatnonzero((100 * shared >= threshold * (sizes + sizes[i] - shared)) & (label != label[i]))
+            exact = _shingles(texts[i], size) if len(alike) else set()
+            linked = set()
+            for j in alike:
+                # one link to each component is enough, if the bytes confirm it
+                if label[j] not in linked and _similar(exact, _shingles(texts[j], size), threshold):
+                    linked.add(label[j])
+                    found.append((int(nodes[i]), int(nodes[j])))
         return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
 
     return links
 
 
-def _large_links(large: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+def _large_links(large: DataFrame, held: DataFrame, size: int, threshold: int) -> DataFrame:
     """Links between components in large buckets: every block that holds odd
-    documents with every other block. A bucket's odd documents are dealt by
+    classes with every other block. A bucket's odd classes are dealt by
     hash to its first blocks, the others to the rest, ``BLOCK`` to a block."""
     odd_blocks = F.ceil(F.col("odd_held") / F.lit(BLOCK))
     other_blocks = F.ceil((F.col("held") - F.col("odd_held")) / F.lit(BLOCK))
-    place = F.xxhash64(F.lit("block"), "id", "f1")
+    place = F.xxhash64(F.lit("block"), "node")
     block = F.when(F.col("odd"), F.pmod(place, odd_blocks)).otherwise(odd_blocks + F.pmod(place, other_blocks))
     placed = large.select(
-        "key", "id", "f1", "label", "odd", block.cast("int").alias("block"),
+        "key", "node", "label", "odd", block.cast("int").alias("block"),
         (odd_blocks + other_blocks).cast("int").alias("blocks"), odd_blocks.cast("int").alias("odd_blocks"),
     )
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     pairs = F.transform(others, lambda k: F.struct(F.least(k, "block").alias("p"), F.greatest(k, "block").alias("q")))
     useful = F.filter(pairs, lambda x: x["p"] < F.col("odd_blocks"))
-    sent = placed.select("key", "id", "f1", "label", "odd", F.explode(useful).alias("pair"))
-    full = sent.join(sets, ["id", "f1"]).select("key", "pair", "id", "label", "odd", "shingles")
-    return checkpointed(full.groupBy("key", "pair").applyInPandas(lambda r: _block_links(threshold)(r), "u long, v long").distinct())
+    sent = placed.select("key", "node", "label", "odd", F.explode(useful).alias("pair"))
+    full = sent.join(held, "node").select("key", "pair", "node", "label", "odd", "text")
+    return checkpointed(full.groupBy("key", "pair").applyInPandas(lambda r: _block_links(size, threshold)(r), "u long, v long").distinct())
 
 
 def near_duplicates(
@@ -295,15 +298,15 @@ def near_duplicates(
     rows: int = ROWS,
 ) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_shingles``, ``class_id`` (the
-    smallest id with an equal set), ``component_id`` (the smallest id
-    reachable over links, its own included) and ``kept`` (it is that id).
+    smallest id with the same words in the same order), ``component_id`` (the
+    smallest id reachable over links, its own included) and ``kept`` (it is that id).
 
     A link is ``100 * intersection >= threshold * union`` of the sets of
     distinct shingles of ``shingle_words`` words, ASCII letters lower-cased.
 
     NULL or empty text, or one of blanks: the empty set, linked with nothing.
-    Rows that share an id are one node. A NULL id never stands for a
-    component; rows of a class without any id have NULL ``class_id`` and
+    Rows that share an id go each by its own text. Ids are numbers (anything
+    else is refused by the cast). A NULL id never stands for a component; rows of a class without any id have NULL ``class_id`` and
     ``component_id`` and are kept. An empty table gives no rows. Other columns
     are not read.
     """
@@ -319,20 +322,20 @@ def distinct_documents(
     threshold: int = THRESHOLD,
 ) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, each by its own
-    verdict: of rows that share the id and the set one stays, those with other
-    sets stay beside it.
+    verdict, and of rows that share the id and the component one: of rows with
+    one id and texts that resemble nothing each other all stay.
 
-    A NULL id names no group: of rows without an id that share a set one
+    A NULL id names no group: of rows without an id that have the same words one
     stays, and so do all without words.
     """
     found = _verdicts(docs, id_col, text_col, shingle_words, threshold, BANDS, ROWS)
-    # of the texts with a set, the one with the smallest hash
-    chosen = found.where("kept and id is not null").groupBy("id", "f1", "f2", "n").agg(F.min("print").alias("print"))
+    # of the texts of a component, the one with the smallest hash
+    chosen = found.where("kept and id is not null").groupBy("id", "node").agg(F.min("print").alias("print"))
     named = docs.where(F.col(id_col).isNotNull()).withColumns({"__id": F.col(id_col).cast("long"), "__print": _print(text_col)})
     named = named.join(chosen.select(F.col("id").alias("__id"), F.col("print").alias("__print")), ["__id", "__print"], "left_semi")
     named = named.dropDuplicates(["__id", "__print"]).select(*[F.col(f"`{c}`") for c in docs.columns])
     nameless = found.where("id is null")
-    first = nameless.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("print").alias("__print")).select("__print")
+    first = nameless.where("n > 0").groupBy("f1", "f2").agg(F.min("print").alias("__print")).select("__print")
     empty = nameless.where("n = 0").select(F.col("print").alias("__print")).distinct()
     unnamed = docs.where(F.col(id_col).isNull()).withColumn("__print", _print(text_col))
     copies = unnamed.join(first, "__print", "left_semi").dropDuplicates(["__print"])
@@ -345,41 +348,48 @@ def _print(text_col: str) -> Column:
 
 
 def _verdicts(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, threshold: int, bands: int, rows: int) -> DataFrame:
-    """Per row ``id``, its text's hash ``print``, its set (``n``, ``f1``,
-    ``f2``), ``class_id``, ``component_id`` and ``kept``."""
+    """Per row ``id``, its text's hash ``print``, its class (``n``, ``f1``,
+    ``f2``), the component's ``node`` (NULL without words), ``class_id``,
+    ``component_id`` and ``kept``."""
     require_columns(docs, id_col, text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), _print(text_col).alias("print"))
     signed = checkpointed(texts.mapInArrow(_sign(shingle_words, bands, rows), SIGNED))
-    classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
-    classes = checkpointed(classes)
+    row = F.when(F.col("id").isNotNull(), F.struct("id", "print"))
+    classes = signed.where("n > 0").groupBy("f1", "f2").agg(F.min("n").alias("n"), F.min(row).alias("row"), F.first("bands").alias("bands"))
+    # numbers of classes, fixed by the checkpoint
+    classes = checkpointed(classes.withColumn("node", F.monotonically_increasing_id()))
 
-    banded = classes.where("id is not null").select(F.explode("bands").alias("key"), "id", "f1", "n")
+    banded = classes.where("row is not null").select(F.explode("bands").alias("key"), "node", "n")
     shared = keyed_table(banded.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key"))
     members = checkpointed(banded.join(shared, "key"))
-    components = _components(texts.select("id", "text"), members, shingle_words, threshold)
-
-    placed = classes.select("f1", "f2", "n", F.col("id").alias("class_id")).join(
-        components.select(F.col("node").alias("class_id"), "component"), "class_id", "left"
+    components = _components(texts, classes, members, shingle_words, threshold)
+
+    named = classes.select("node", "f1", "f2", F.col("row.id").alias("class_id"))
+    linked = named.select("node", "class_id").join(components, "node")
+    labels = keyed_table(linked.groupBy("component").agg(F.min("class_id").alias("label")))
+    labelled = linked.join(labels, "component").select("node", "component", "label")
+    placed = named.join(labelled, "node", "left").select(
+        "f1", "f2", "class_id", F.coalesce("component", "node").alias("node"), F.coalesce("label", "class_id").alias("label")
     )
-    found = signed.select("id", "print", "n", "f1", "f2").join(placed, ["f1", "f2", "n"], "left")
-    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component", "class_id"))
+    found = signed.select("id", "print", "n", "f1", "f2").join(placed, ["f1", "f2"], "left")
+    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("label"))
     return found.select(
-        "id", "print", "n", "f1", "f2",
+        "id", "print", "n", "f1", "f2", "node",
         F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         component.alias("component_id"),
         (component.isNull() | F.coalesce(F.col("id") == component, F.lit(False))).alias("kept"),
     )
 
 
-def _components(texts: DataFrame, members: DataFrame, shingle_words: int, threshold: int) -> DataFrame:
-    """Components of the links among ``members`` of the buckets."""
-    chosen = texts.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "text"])
-    sets = checkpointed(chosen.mapInArrow(_sets(shingle_words), "id long, f1 long, shingles binary"))
-    links = _verified(_first_pairs(members, threshold), sets, threshold)
+def _components(texts: DataFrame, classes: DataFrame, members: DataFrame, size: int, threshold: int) -> DataFrame:
+    """Components (``node``, ``component``) of the links among ``members`` of the buckets."""
+    rows = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("row.id").alias("id"), F.col("row.print").alias("print"))
+    held = checkpointed(texts.join(rows, ["id", "print"]).select("node", "text").dropDuplicates(["node"]))
+    links = _verified(_first_pairs(members, threshold), held, size, threshold)
     components = checkpointed(connected_components(links))
     unsettled = _unsettled(members, components)
     links = (
-        links.unionByName(_small_links(unsettled.where(F.col("held") <= SMALL_BUCKET), sets, threshold))
-        .unionByName(_large_links(unsettled.where(F.col("held") > SMALL_BUCKET), sets, threshold))
+        links.unionByName(_small_links(unsettled.where(F.col("held") <= SMALL_BUCKET), held, size, threshold))
+        .unionByName(_large_links(unsettled.where(F.col("held") > SMALL_BUCKET), held, size, threshold))
     )
     return checkpointed(connected_components(links))

@@ -10,19 +10,20 @@ after all that have one.
    that occur twice can belong to a repeated window. Neighbouring windows
    mostly share their anchor: about one word in nine is one.
 2. *Contexts.* An anchor's context is all words that a window around it can
-   reach. Occurrences with equal contexts are copies of each other: all but
-   the first are repeated in full, and only the first goes on.
+   reach. Occurrences whose contexts have equal bytes (a 128-bit BLAKE2 hash of
+   them) are copies of each other: all but the first are repeated in full, and
+   only the first goes on.
 3. *Automata.* First occurrences of anchors with several contexts are the
    reference passages. They are cut into shards by anchor; a shard's suffix
    automaton meets exactly the passages that share an anchor with it, which
-   are streamed through it. Where their matching statistic reaches the window
+   are streamed through it, word for word. Where their matching statistic reaches the window
    and the automaton knows an earlier place, the window is repeated.
    An anchor with more than ``shard_passages`` contexts would make a shard of
-   its own grow with the corpus; its windows are compared by hash instead
-   (grouped with map-side pre-aggregation), which decides the same.
+   its own grow with the corpus; its windows are compared by a SHA-256 of their
+   bytes instead (grouped with map-side pre-aggregation), which decides the same.
 4. *Removal.* Repeated spans are merged per document and cut out.
 
-Scale. What is shuffled: anchors twice (8 and 36 bytes each), then only
+Scale. What is shuffled: anchors twice (8 and 44 bytes each), then only
 repeated ones, and the texts twice, to their wanted places and to their
 spans. Every phase ends in a checkpoint and gives its shuffle files back, so
 the disk in use is that of one phase.
@@ -31,6 +32,7 @@ the disk in use is that of one phase.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -41,7 +43,7 @@ from pyspark.sql import types as T
 
 from revmart.llm.automaton import SuffixAutomaton
 from revmart.llm.common import buckets_for, checkpointed, keyed_table, release_shuffles, require_columns
-from revmart.llm.words import Words, gram_hashes, mix64, words_of
+from revmart.llm.words import Words, gram_hashes, joined_bytes, words_of
 
 WINDOW = 20
 GRAM = 5
@@ -80,18 +82,6 @@ def _anchor_places(words: Words, window: int, gram: int) -> tuple[np.ndarray, np
     return grams[places], places
 
 
-def _span_hashes(words: Words, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Hash of the words from ``lo`` up to ``hi``."""
-    n = len(words.hashes)
-    up = np.full(n + 1, _GOLD, np.uint64)
-    down = np.full(n + 1, pow(_GOLD, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(words.hashes * up[:n], out=sums[1:])
-    return (sums[hi] - sums[lo]) * down[lo]
-
-
 def _owner(words: Words, places: np.ndarray) -> np.ndarray:
     return np.searchsorted(words.first, places, side="right") - 1
 
@@ -102,6 +92,26 @@ def _reach(words: Words, places: np.ndarray, text: np.ndarray, window: int, gram
     return lo, hi
 
 
+def _fingerprints_only(window: int, gram: int):
+    def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words in words_of(batch.column("text")):
+                prints, _ = _anchor_places(words, window, gram)
+                if len(prints):
+                    yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64))], names=["fp"])
+
+    return fingerprints
+
+
+def _contexts(words: Words, places: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """A 128-bit hash, as two longs, of the words from ``lo`` up to ``hi`` and of where between them the place is."""
+    joined, at = joined_bytes(words)
+    spans = zip(at[lo].tolist(), at[hi].tolist(), strict=True)
+    halves = np.frombuffer(b"".join(blake2b(joined[a:b], digest_size=16).digest() for a, b in spans), dtype=np.uint64).reshape(-1, 2).copy()
+    halves[:, 0] += (places - lo).astype(np.uint64) * np.uint64(_GOLD)
+    return halves.view(np.int64)
+
+
 def _anchors(window: int, gram: int):
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,18 +121,18 @@ def _anchors(window: int, gram: int):
                 if not len(places):
                     continue
                 text = _owner(words, places)
-                lo, hi = _reach(words, places, text, window, gram)
-                context = mix64(_span_hashes(words, lo, hi) + (places - lo).astype(np.uint64) * np.uint64(_GOLD) + (hi - lo).astype(np.uint64))
+                contexts = _contexts(words, places, *_reach(words, places, text, window, gram))
                 row = words.rows.start + text
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(prints.view(np.int64)),
-                        pa.array(context.view(np.int64)),
+                        pa.array(contexts[:, 0]),
+                        pa.array(contexts[:, 1]),
                         pa.array(ids[row]),
                         pa.array(tags[row]),
                         pa.array((places - words.first[text]).astype(np.int32)),
                     ],
-                    names=["fp", "context", "id", "tag", "pos"],
+                    names=["fp", "c1", "c2", "id", "tag", "pos"],
                 )
 
     return anchors
@@ -147,8 +157,8 @@ def _passages(window: int, gram: int):
                 text = np.repeat(np.arange(len(rows)), np.diff(ends[rows.start : rows.stop + 1]))
                 at = (own >> 1) + words.first[text]
                 lo, hi = _reach(words, at, text, window, gram)
-                first = np.concatenate([[0], np.cumsum(hi - lo)])
-                index = np.repeat(lo - first[:-1], hi - lo) + np.arange(first[-1])
+                joined, byte = joined_bytes(words)
+                own_words = [joined[a:b] for a, b in zip(byte[lo].tolist(), (byte[hi] - 1).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(gram_hashes(words.hashes, gram)[at].view(np.int64)),
@@ -156,7 +166,7 @@ def _passages(window: int, gram: int):
                         pa.array(ids[rows.start + text]),
                         pa.array(tags[rows.start + text]),
                         pa.array((lo - words.first[text]).astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(words.hashes[index].view(np.int64))),
+                        pa.array(own_words, pa.binary()),
                     ],
                     names=["fp", "heavy", "id", "tag", "start", "words"],
                 )
@@ -173,7 +183,8 @@ def _through_automaton(window: int):
         own = [(i, t if t >= FIRST_TURN else 0) for i, t in zip(passages["id"], passages["tag"], strict=True)]
         order = {x: i for i, x in enumerate(sorted(set(own)))}
         places = [(order[x] << 40) + s for x, s in zip(own, passages["start"], strict=True)]
-        texts = [w.tolist() for w in passages["words"]]
+        numbers: dict[bytes, int] = {}  # the automaton's letters: the words themselves, numbered
+        texts = [[numbers.setdefault(w, len(numbers)) for w in p.split(b" ")] for p in passages["words"]]
         for words, place in zip(texts, places, strict=True):
             automaton.add(words, place)
         automaton.close()
@@ -199,10 +210,12 @@ def _place(at: str) -> Column:
 
 
 def _by_window_hash(passages: DataFrame, window: int) -> DataFrame:
-    """Repeated windows of the passages around heavy anchors, by hash."""
+    """Repeated windows of the passages around heavy anchors, by a hash of their bytes."""
+    split = passages.select("fp", "id", "tag", "start", F.split(F.col("words").cast("string"), " ").alias("words"))
     at = F.explode(F.sequence(F.lit(0), F.size("words") - window)).alias("at")
-    windows = passages.select("fp", "id", "tag", "start", "words", at).select(
-        "fp", F.xxhash64(F.slice("words", F.col("at") + 1, window)).alias("window"), "id", "tag", (F.col("start") + F.col("at")).alias("lo")
+    own = F.unhex(F.sha2(F.concat_ws(" ", F.slice("words", F.col("at") + 1, window)), 256))
+    windows = split.select("fp", "id", "tag", "start", "words", at).select(
+        "fp", own.alias("window"), "id", "tag", (F.col("start") + F.col("at")).alias("lo")
     )
     first = windows.groupBy("fp", "window").agg(F.min(_place("lo")).alias("first"), F.count("*").alias("n"))
     first = keyed_table(first.where("n > 1"))
@@ -236,25 +249,26 @@ def repeated_spans(
 ) -> DataFrame:
     """``texts`` (``id``, ``tag``, ``text``) to merged word spans that are
     repeated: ``id``, ``tag``, ``spans`` (starts and ends in turn)."""
-    schema = "fp long, context long, id long, tag long, pos int"
+    schema = "fp long, c1 long, c2 long, id long, tag long, pos int"
     anchors = texts.mapInArrow(_anchors(window, gram), schema)
-    twice = keyed_table(anchors.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
+    prints = texts.select("text").mapInArrow(_fingerprints_only(window, gram), "fp long")
+    twice = keyed_table(prints.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
     repeated = checkpointed(anchors.join(twice, "fp"))
     release_shuffles(texts.sparkSession)
 
     contexts = checkpointed(
-        repeated.groupBy("fp", "context").agg(F.min(_place("pos")).alias("first"), F.count("*").alias("n"))
+        repeated.groupBy("fp", "c1", "c2").agg(F.min(_place("pos")).alias("first"), F.count("*").alias("n"))
     )
     reach = F.struct(
         F.greatest(F.col("pos") - (window - gram), F.lit(0)).alias("lo"), (F.col("pos") + window).alias("hi")
     )
-    copies = repeated.join(contexts.where("n > 1").select("fp", "context", "first"), ["fp", "context"]).where(
+    copies = repeated.join(contexts.where("n > 1").select("fp", "c1", "c2", "first"), ["fp", "c1", "c2"]).where(
         _place("pos") > F.col("first")
     ).select("id", "tag", reach.alias("s")).select("id", "tag", "s.lo", "s.hi")
 
     several = contexts.groupBy("fp").agg(F.count("*").alias("held")).where("held > 1")
     wanted = (
-        repeated.join(contexts.select("fp", "context", "first").join(several, "fp"), ["fp", "context"])
+        repeated.join(contexts.select("fp", "c1", "c2", "first").join(several, "fp"), ["fp", "c1", "c2"])
         .where(_place("pos") == F.col("first"))
         .groupBy("id", "tag")
         # an anchor's place, and in the last bit whether it is a heavy one
@@ -265,7 +279,7 @@ def repeated_spans(
     passages = checkpointed(
         texts.join(wanted, ["id", "tag"])
         .select("id", "tag", "text", "wanted")
-        .mapInArrow(_passages(window, gram), "fp long, heavy boolean, id long, tag long, start int, words array<long>")
+        .mapInArrow(_passages(window, gram), "fp long, heavy boolean, id long, tag long, start int, words binary")
     )
     release_shuffles(texts.sparkSession)
     light = passages.where("not heavy")

@@ -20,7 +20,14 @@ BLANKS = b" \t\n\x0b\x0c\r"
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-_BASE = 0xD1342543DE82EF95  # odd: every power has an inverse modulo 2^64
+
+#: A word's id folds three polynomial hashes of its bytes, each over a prime field.
+#: Modulo a prime no word has a twin by its shape alone, as words of the
+#: Thue-Morse kind have modulo a power of two.
+PRIMES = (2147483647, 2147483629, 2147483587)
+_BASES = (1481765933, 823564440, 1791095845)
+#: Up to so many bytes a sum of (byte + 1) * power cannot overflow.
+_PLAIN_SUM = 1 << 23
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -31,8 +38,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def _byte_values(lower: bool) -> np.ndarray:
-    """A random 64-bit value per byte; upper-case ASCII as its lower case if asked."""
-    values = mix64((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _GOLD)
+    """1 to 256 per byte; upper-case ASCII as its lower case if asked."""
+    values = np.arange(1, 257, dtype=np.uint64)
     if lower:
         values[65:91] = values[97:123]
     return values
@@ -48,27 +55,58 @@ def _is_blank(letters: bool) -> np.ndarray:
     return table
 
 
-def _make_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(_BASE, -1, 1 << 64)
-    up, down = np.full(n, _BASE, dtype=np.uint64), np.full(n, inverse, dtype=np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+def _geometric(base: int, prime: int, n: int) -> np.ndarray:
+    """The base's first ``n`` powers modulo the prime, by doubling."""
+    out = np.ones(n, dtype=np.uint64)
+    done = 1
+    while done < n:
+        step = min(done, n - done)
+        out[done : done + step] = out[:step] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        done += step
+    return out
+
 
+def _make_powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(_geometric(b, p, n), _geometric(pow(b, -1, p), p, n)) for b, p in zip(_BASES, PRIMES, strict=True)]
 
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The base's powers and their inverses modulo 2^64, for ``size`` bytes at least."""
+
+def _powers(size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each prime the base's powers and their inverses, for ``size`` bytes at least."""
     if size <= 1 << 19:
         return once("powers", lambda: _make_powers((1 << 19) + 1))
     return _make_powers(size + 1)  # a very long text: for this chunk alone
 
 
+def _running_sums(data: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
+    """For each prime the running sums of value times power."""
+    own = values[data]
+    sums = []
+    for (up, _), prime in zip(_powers(len(data)), PRIMES, strict=True):
+        terms = own * up[: len(data)]
+        if len(data) > _PLAIN_SUM:
+            terms %= np.uint64(prime)
+        total = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(terms, out=total[1:])
+        sums.append(total)
+    return sums
+
+
+def _span_ids(sums: list[np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit id for the bytes of each span."""
+    out = (ends - starts).astype(np.uint64)
+    for (_, down), total, prime in zip(_powers(len(sums[0]) - 1), sums, PRIMES, strict=True):
+        p = np.uint64(prime)
+        out = mix64(out * _GOLD + (total[ends] - total[starts]) % p * down[starts] % p)
+    return out
+
+
 class Words(NamedTuple):
     """Words of consecutive texts.
 
     ``hashes``: one per word. ``starts``, ``ends``: byte spans in ``data``.
     ``first``: index of each text's first word, and the end of the last's.
     ``offsets``: byte spans of the texts. ``rows``: their places in the batch.
-    ``sums``: running sums of the bytes' hash terms, for hashes of parts.
+    ``sums``: running sums of the bytes' hash terms, for ids of parts.
     """
 
     data: np.ndarray
@@ -78,10 +116,10 @@ class Words(NamedTuple):
     first: np.ndarray
     offsets: np.ndarray
     rows: range
-    sums: np.ndarray
+    sums: list[np.ndarray]
 
 
-def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets (one more than texts, NULL as empty) and bytes."""
     texts = texts.cast(pa.large_string()).fill_null("")
     _, offsets, data = texts.buffers()
@@ -93,7 +131,7 @@ def _words(data: np.ndarray, offsets: np.ndarray, rows: range, lower: bool, lett
     size = len(data)
     if not size:
         none = np.zeros(0, np.int64)
-        return Words(data, none, none, none.astype(np.uint64), np.zeros(len(rows) + 1, np.int64), offsets, rows, np.zeros(1, np.uint64))
+        return Words(data, none, none, none.astype(np.uint64), np.zeros(len(rows) + 1, np.int64), offsets, rows, [np.zeros(1, np.uint64)] * len(PRIMES))
     inside = ~_is_blank(letters)[data]
     begins, finishes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -103,10 +141,8 @@ def _words(data: np.ndarray, offsets: np.ndarray, rows: range, lower: bool, lett
     begins[edges] = inside[edges]
     finishes[edges - 1] = inside[edges - 1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
-    up, down = _powers(size)
-    sums = np.zeros(size + 1, dtype=np.uint64)
-    np.cumsum(_byte_values(lower)[data] * up[:size], out=sums[1:])
-    hashes = mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    sums = _running_sums(data, _byte_values(lower))
+    hashes = _span_ids(sums, starts, ends)
     return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets), offsets, rows, sums)
 
 
@@ -117,7 +153,7 @@ def words_of(texts: pa.Array, lower: bool = False, letters: bool = False, chunk_
     letters (ASCII ones and all bytes above) instead of non-blanks."""
     if len(texts) == 0:
         return
-    offsets, data = _buffers(texts)
+    offsets, data = buffers(texts)
     at = 0
     while at < len(texts):
         stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + chunk_bytes, side="right")) - 1)
@@ -131,8 +167,21 @@ def stem_hashes(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
     first ``length`` bytes (other than those of whole words)."""
     at = np.flatnonzero(words.ends - words.starts > length)
     starts = words.starts[at]
-    _, down = _powers(len(words.data))
-    return at, mix64((words.sums[starts + length] - words.sums[starts]) * down[starts] + _GOLD + np.uint64(length))
+    return at, mix64(_span_ids(words.sums, starts, starts + length) + _GOLD)
+
+
+def joined_bytes(words: Words, lower: bool = False) -> tuple[bytes, np.ndarray]:
+    """The words' own bytes, each followed by one blank, and where each word
+    begins there (one more than words: the end)."""
+    sizes = words.ends - words.starts
+    first = np.concatenate([[0], np.cumsum(sizes + 1)])
+    out = np.full(first[-1], 32, dtype=np.uint8)
+    if len(sizes):
+        shift = np.repeat(words.starts - first[:-1], sizes)
+        to = np.arange(len(shift)) + np.repeat(np.arange(len(sizes)), sizes)  # a blank behind each word before
+        out[to] = words.data[to + shift]
+    joined = out.tobytes()
+    return (joined.lower() if lower else joined), first
 
 
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -5,10 +5,10 @@ import re
 
 import pytest
 
-from conftest_llm import prose
+from conftest_llm import prose, thue_morse
 from revmart.llm import neardup, registry
 from revmart.llm.components import connected_components
-from revmart.llm.neardup import near_duplicates
+from revmart.llm.neardup import distinct_documents, near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -101,3 +101,34 @@ def test_components(spark):
     found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long").repartition(5)).collect()}
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys((100, 101, 150, 200), 100)}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_rows_that_share_an_id_go_by_their_own_text(spark, make_docs):
+    base, other = prose(1, 60), prose(2, 60)
+    rows = [(3, base), (5, base + " more"), (5, other), (7, other + " more"), (9, prose(4, 60)), (9, prose(4, 60) + " end")]
+    found = near_duplicates(make_docs(rows), shingle_words=3, threshold=85).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in found) == [
+        (3, 3, True), (5, 3, False), (5, 5, True), (7, 5, False), (9, 9, True), (9, 9, True),
+    ]
+    kept = distinct_documents(make_docs(rows), shingle_words=3, threshold=85).collect()
+    texts = [(r.doc_id, r.text) for r in kept]
+    assert len(texts) == 3 and {(3, base), (5, other)} <= set(texts) and sum(i == 9 for i, _ in texts) == 1
+
+
+@pytest.mark.parametrize("order", [10, 11])
+def test_words_that_confuse_polynomial_hashes_do_not_link(spark, make_docs, order):
+    a, b = thue_morse(order)
+    rows = [(i, " ".join([w] * 20 + [w + "x"])) for i, w in enumerate((a, b))]
+    found = {r.doc_id: (r.component_id, r.n_shingles) for r in near_duplicates(make_docs(rows), shingle_words=3, threshold=85).collect()}
+    assert found == {0: (0, 2), 1: (1, 2)}
+
+
+def test_links_are_confirmed_on_bytes(spark, make_docs, monkeypatch):
+    # words whose ids are all alike: only the bytes tell them apart
+    one = lambda hashes, n: neardup.np.ones(max(0, len(hashes) - n + 1), neardup.np.uint64)
+    monkeypatch.setattr(neardup, "gram_hashes", one)
+    rows = [(i, prose(i, 30)) for i in range(40)] + [(50, prose(3, 30) + " "), (51, prose(3, 30).upper())]
+    for small in (2, 64):
+        monkeypatch.setattr(neardup, "SMALL_BUCKET", small)
+        found = {r.doc_id: r.component_id for r in near_duplicates(make_docs(rows), shingle_words=3, threshold=85).collect()}
+        assert found == {**{i: i for i in range(40)}, 50: 3, 51: 3}

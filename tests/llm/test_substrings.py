@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest_llm import prose
+from conftest_llm import prose, thue_morse
 from revmart.llm import registry, substrings
 from revmart.llm.automaton import SuffixAutomaton
 from revmart.llm.substrings import remove_repeats
@@ -122,3 +122,13 @@ def test_automaton_knows_first_places(texts, window):
     for i, words in enumerate(texts):
         want = [e for e in range(window - 1, len(words)) if first[tuple(words[e - window + 1 : e + 1])] < i * 100 + e]
         assert automaton.earlier(words, i * 100, window) == want
+
+
+@pytest.mark.parametrize("order", [10, 11])
+@pytest.mark.parametrize("shard", [1000, 1])
+def test_words_that_confuse_polynomial_hashes_are_no_repeats(spark, make_docs, order, shard):
+    a, b = thue_morse(order)
+    tail = prose(7, 40)
+    rows = [(0, " ".join([*[a] * 10, *tail.split()[:19]])), (1, " ".join([*[b] * 10, *tail.split()[:19]])), (2, " ".join(f"{a[:500 + i]}" for i in range(20)))]
+    cleaned = remove_repeats(make_docs(rows), shard_passages=shard)
+    assert [r.n_removed for r in cleaned.orderBy("doc_id").collect()] == [0, 0, 0]

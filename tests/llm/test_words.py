@@ -7,8 +7,9 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from conftest_llm import thue_morse
 from revmart.llm.neardup import superminhash
-from revmart.llm.words import gram_hashes, words_of
+from revmart.llm.words import gram_hashes, joined_bytes, words_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab \t\n\x0b\x0c\r\x1c\x85\xa0é漢😀Z.", max_size=20)), max_size=8)
@@ -76,3 +77,23 @@ def test_share_of_equal_places_estimates_similarity():
         sig = superminhash(np.concatenate(pair), np.array([0, 250, 500]), 128)
         errors.append((sig[0] == sig[1]).mean() - 200 / 300)
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.05
+
+
+def test_words_of_the_thue_morse_kind_differ():
+    for order in (10, 11, 12):
+        a, b = thue_morse(order)
+        words = next(words_of(pa.array([f"x {a} {b} x{a} x{b}"])))
+        assert len(set(words.hashes.tolist())) == 5
+
+
+def test_long_chunks_hash_alike():
+    long = "ab " * 3_000_000  # more bytes than a plain sum can hold
+    words = next(words_of(pa.array([long + "cd"])))
+    assert len(set(words.hashes[:-1].tolist())) == 1
+    assert words.hashes[-1] == next(words_of(pa.array(["cd"]))).hashes[0] and words.hashes[0] == next(words_of(pa.array(["ab"]))).hashes[0]
+
+
+def test_joined_bytes():
+    words = next(words_of(pa.array(["  É b\n\nC", None, "d", ""])))
+    joined, first = joined_bytes(words, lower=True)
+    assert joined == "É b c d ".encode() and first.tolist() == [0, 3, 5, 7, 9]
