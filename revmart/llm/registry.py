@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revmart.llm.common import read_table
+from revmart.llm.fill_middle import fill_in_middle, restored_digests
 from revmart.llm.formatting import conversation_digests, expand_conversations
 from revmart.llm.mixing import mix_sources
 from revmart.llm.neardup import near_duplicates
 from revmart.llm.neighbours import nearest_neighbours
 from revmart.llm.packing import pack_documents
+from revmart.llm.personal_data import BASE_KINDS, THRESHOLD, find_personal_data, kind_count, spans_text
 from revmart.llm.quality import COUNTS, fit_quality, judge_quality
+from revmart.llm.repair import repair_conversations, repair_digests
 from revmart.llm.sharding import shard_documents
 from revmart.llm.substrings import remove_repeats
 from revmart.llm.token_counts import count_documents, edit_documents
@@ -146,6 +149,54 @@ def op10_suffix_automata_substrings(spark: SparkSession, sf_dir: str) -> DataFra
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_checked_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the personal data found in them."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["rank"] < len(BASE_KINDS))
+    return find_personal_data(docs).select(
+        "doc_id",
+        *[kind_count(spans, k).alias(f"n_{k}") for k in BASE_KINDS],
+        F.sha2(spans_text(base), 256).alias("base_sha256"),
+        spans_text(spans).alias("spans"),
+    )
+
+
+def op12_piece_table_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents arranged for filling in the middle, read back and restored."""
+    formed = fill_in_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return restored_digests(formed).withColumnRenamed("n_lines", "n")
+
+
+def damage_conversations(turns: DataFrame) -> DataFrame:
+    """Turns dropped, emptied, cut of their sentence ends, repeated or given to
+    the user, as a checksum of conversation and number says; NULLs as one blank."""
+    said = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fate = F.crc32(F.concat(said("conv_id"), F.lit(":"), said("turn")).cast("binary")) % 20
+    text = said("text")
+    return turns.select(
+        "conv_id", "turn",
+        F.when(fate == 4, "user").otherwise(said("role")).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(fate == 0, 0).when(fate == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+def op13_run_length_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired at least cost."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repair = repair_conversations(damage_conversations(turns))
+    all_ids, faults, digests = turns.select("conv_id").distinct().alias("a"), repair.faults.alias("f"), repair_digests(repair).alias("d")
+    found = all_ids.join(faults, F.col("a.conv_id").eqNullSafe(F.col("f.conv")), "left").join(digests, F.col("a.conv_id").eqNullSafe(F.col("d.conv")), "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    return found.select(
+        "conv_id", *[zero(f"f.{c}").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal")],
+        zero("d.cost").alias("cost"),
+        F.coalesce("d.audit", F.lit("")).alias("audit"),
+        F.coalesce("d.repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 #: Words of a text, as a list.
 SQL_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 
@@ -195,6 +246,90 @@ FROM words LEFT JOIN kept USING (doc_id)
 """
 
 
+ORACLE_OP12 = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), units AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS u,
+    ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[25:32])::BIGINT AS h4
+  FROM docs
+), cuts AS (
+  SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+    text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') AS plain
+  FROM units
+), parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM cuts
+)
+SELECT doc_id, n::BIGINT AS n, CASE WHEN plain THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+  CASE WHEN NOT plain THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN NOT plain THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE WHEN plain THEN text WHEN h4 % 100 < 50 THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+#: Patterns, own scores and context words of the kinds, in the order of the report.
+SQL_KINDS = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", 0.9, None, False),
+    ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", 0.6, None, False),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+", 0.6, None, False),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.6, None, False),
+    ("iban", r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)", 0.9, None, True),
+    ("social", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.3, r"(?i)ssn|social.security|tax.id", True),
+    ("local_phone", r"(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}", 0.3, r"(?i)tel|phone|call|mobile|fax", True),
+    ("key", r"(?:AKIA|ASIA)[0-9A-Z]{16}", 0.9, None, True),
+    ("secret", r"[0-9a-f]{16,}", 0.2, r"(?i)password|passwd|secret|token|api.?key", True),
+]
+SQL_PROPOSED = " UNION ALL ".join(
+    f"SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {score} AS score, {'NULL' if context is None else repr(context)} AS context, {alone} AS alone, "
+    f"regexp_extract_all(text, '{pattern}') AS ms, regexp_split_to_array(text, '{pattern}') AS gs FROM docs"
+    for rank, (kind, pattern, score, context, alone) in enumerate(SQL_KINDS)
+)
+SQL_MOD97 = (
+    "list_reduce(list_prepend(0::BIGINT, list_transform(string_split(substr({c}, 5) || substr({c}, 1, 4), ''), "
+    "lambda x: (CASE WHEN x BETWEEN '0' AND '9' THEN ascii(x) - 48 ELSE ascii(x) - 55 END)::BIGINT)), lambda a, b: (a * (CASE WHEN b > 9 THEN 100 ELSE 10 END) + b) % 97)"
+)
+ORACLE_OP11 = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), proposed AS (
+  {SQL_PROPOSED}
+), matches AS (
+  SELECT doc_id, rank, kind, score, context, alone, len(ms) AS held, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS l, unnest(gs[2:len(ms) + 1]) AS r,
+    unnest(range(1, len(ms) + 1)) AS i
+  FROM proposed WHERE len(ms) > 0
+), placed AS (
+  SELECT *, sum(length(l) + length(m)) OVER (PARTITION BY doc_id, rank ORDER BY i) - length(m) AS start,
+    regexp_replace(m, ' [A-Z0-9]{{1,4}}$', '') AS shorter,
+    string_split(translate(m, ' -', ''), '') AS digits
+  FROM matches
+), judged AS (
+  SELECT *, CASE kind
+      WHEN 'ip' THEN CASE WHEN regexp_full_match(m, '(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){{3}}0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])') THEN length(m) ELSE 0 END
+      WHEN 'card' THEN CASE WHEN len(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(list_reverse(digits), lambda x, k:
+          CASE WHEN k % 2 = 1 THEN x::BIGINT WHEN x::BIGINT > 4 THEN 2 * x::BIGINT - 9 ELSE 2 * x::BIGINT END)) % 10 = 0 THEN length(m) ELSE 0 END
+      WHEN 'phone' THEN CASE WHEN length(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 9 AND 15 THEN length(m) ELSE 0 END
+      WHEN 'iban' THEN CASE WHEN {SQL_MOD97.format(c="replace(m, ' ', '')")} = 1 THEN length(m)
+          WHEN {SQL_MOD97.format(c="replace(shorter, ' ', '')")} = 1 THEN length(shorter) ELSE 0 END
+      WHEN 'social' THEN CASE WHEN regexp_matches(m, '^(?:000|666|9[0-9][0-9])|-00-|-0000$') THEN 0 ELSE length(m) END
+      ELSE length(m) END AS size,
+    score + CASE WHEN context IS NOT NULL AND regexp_matches(right(CASE WHEN alone AND l = '' AND i > 1 THEN 'x' ELSE l END, 40) || ' '
+      || left(CASE WHEN alone AND r = '' AND i < held THEN 'x' ELSE r END, 20), coalesce(context, 'x')) THEN 0.4 ELSE 0 END AS total,
+    alone AND (regexp_matches(right(l, 1), '[A-Za-z0-9]') OR regexp_matches(left(r, 1), '[A-Za-z0-9]') OR (l = '' AND i > 1) OR (r = '' AND i < held)) AS joined
+  FROM placed
+), spans AS (
+  SELECT doc_id, rank, kind, start, kind || ':' || start || ':' || (start + size) AS span FROM judged WHERE size > 0 AND NOT joined AND total >= {THRESHOLD}
+), summed AS (
+  SELECT doc_id, string_agg(span, ',' ORDER BY start, rank) AS spans, string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 4) AS base,
+    count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+    count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip, coalesce(n_card, 0)::BIGINT AS n_card,
+  coalesce(n_phone, 0)::BIGINT AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN summed USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_prefix_target_chat": op1_prefix_target_chat,
     "op2_weighted_fair_mix": op2_weighted_fair_mix,
@@ -206,10 +341,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pruned_graph_neighbours": op8_pruned_graph_neighbours,
     "op9_superminhash_near_duplicates": op9_superminhash_near_duplicates,
     "op10_suffix_automata_substrings": op10_suffix_automata_substrings,
+    "op11_checked_personal_data": op11_checked_personal_data,
+    "op12_piece_table_fill_middle": op12_piece_table_fill_middle,
+    "op13_run_length_repair": op13_run_length_repair,
 }
 
 ORACLE: dict[str, str] = {
     "op1_prefix_target_chat": ORACLE_OP1,
     "op9_superminhash_near_duplicates": ORACLE_OP9,
     "op10_suffix_automata_substrings": ORACLE_OP10,
+    "op11_checked_personal_data": ORACLE_OP11,
+    "op12_piece_table_fill_middle": ORACLE_OP12,
 }

@@ -18,6 +18,6 @@ def test_query_equals_sql(spark, name):
 
 def test_all_operators_are_registered():
     numbers = {n.split("_")[0] for n in registry.QUERIES}
-    assert numbers == {f"op{k}" for k in range(1, 11)}
+    assert numbers == {f"op{k}" for k in range(1, 14)}
     assert set(registry.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(registry.ORACLE) <= set(entry.oracle_sql())
