@@ -6,7 +6,8 @@
     python -m revmart.cli gold   --in /lake/silver --out /lake/gold
     python -m revmart.cli report --in /lake/silver [--landing /lake/landing] --out /lake/report
 
-Paths are whatever the cluster's file system accepts. ``report`` writes every
+Paths are whatever the cluster's file system accepts. An option that a stage does
+not use is refused. ``report`` writes every
 validation result whole, as Parquet under its name, and prints where and how
 many rows.
 """
@@ -30,6 +31,27 @@ from revmart.session import get_session
 from revmart.sources.feed import read_pages, unknown_tags
 
 
+#: What each stage uses besides ``--master``; landing by its page format.
+LANDING = {"pages", "pages_format", "out", "files", "quarantine", "mode"}
+USES = {
+    "landing": LANDING | {"log_unknown_tags"},
+    "landing xml-entries": LANDING,
+    "bronze": {"src", "out", "months", "files"},
+    "silver": {"src", "out", "months", "files"},
+    "gold": {"src", "out", "files"},
+    "report": {"src", "out", "landing"},
+}
+
+
+def refuse_unused(ap: argparse.ArgumentParser, args: argparse.Namespace) -> None:
+    stage = f"{args.stage} {args.pages_format}" if f"{args.stage} {args.pages_format}" in USES else args.stage
+    names = {a.dest: a.option_strings[0] for a in ap._actions if a.option_strings}
+    given = {d for d in names if d not in ("help", "master") and getattr(args, d) != ap.get_default(d)}
+    unused = sorted(names[d] for d in given - USES[stage])
+    if unused:
+        ap.error(f"{stage} does not use {', '.join(unused)}")
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="revmart")
     ap.add_argument("stage", choices=["landing", "bronze", "silver", "gold", "report"])
@@ -39,22 +61,23 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", help="output zone or report folder")
     ap.add_argument("--landing", default=None, help="report: landing zone, for its two checks")
     ap.add_argument("--log-unknown-tags", action="store_true", help="landing: count feed tags that are not kept (one more pass)")
-    ap.add_argument("--files", default=None, help="bronze/silver/gold: keep, rebalance, compact or a number of files")
+    ap.add_argument("--files", default=None, help="landing/bronze/silver/gold: keep, rebalance, compact or a number of files")
     ap.add_argument("--quarantine", default=None, help="landing, PERMISSIVE: zone for malformed pages")
     ap.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
     ap.add_argument("--months", default=None, help="bronze/silver: comma list of yyyy-MM to rebuild")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
+    refuse_unused(ap, args)
     logging.basicConfig(level=logging.INFO, format="%(message)s")
 
     spark = get_session(master=args.master)
     months = [m.strip() for m in args.months.split(",")] if args.months else None
     files = {} if args.files is None else {"files": int(args.files) if args.files.isdigit() else args.files}
     if args.stage == "landing" and args.pages_format == "xml-entries":
-        landing_job_from_xml_files(spark, args.pages, args.out)
+        landing_job_from_xml_files(spark, args.pages, args.out, args.mode, quarantine_path=args.quarantine, **files)
     elif args.stage == "landing":
         pages = read_pages(spark, args.pages, args.pages_format)
-        landing_job(spark, pages, args.out, args.mode, quarantine_path=args.quarantine)
+        landing_job(spark, pages, args.out, args.mode, quarantine_path=args.quarantine, **files)
         if args.log_unknown_tags:
             for tag, count in sorted(unknown_tags(pages).collect()):  # one row per tag name
                 logging.info("feed tag not kept: %s (%d times)", tag, count)

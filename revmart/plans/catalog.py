@@ -10,7 +10,9 @@ Bindings (the test tables carry no review feed):
 * counts, duplicates, sorts and month filters on ``orders``.
 
 Every query reads whole tables. Queries that end in a zone write their rows
-under the shared checkpoint folder and return the zone read back.
+under the shared checkpoint folder and return the zone read back. Counts and
+previews read a bronze and a silver zone of RV, written once for each session and
+table folder, as the checks of the original read the written silver zone.
 """
 
 from __future__ import annotations
@@ -59,6 +61,7 @@ from revmart.plans.sql import (
 )
 from revmart.schemas import (
     BRONZE_COLUMNS,
+    BRONZE_FILE_ORDER,
     BRONZE_PARTITIONS,
     BRONZE_PRE_DEDUP,
     BRONZE_SCHEMA,
@@ -69,7 +72,7 @@ from revmart.schemas import (
     SILVER_SCHEMA,
     SILVER_STAMP,
 )
-from revmart.session import scratch_path
+from revmart.session import scratch_path, shared_scratch
 from revmart.sources.feed import feed_content_text, feed_entries, feed_last_page, feed_links, union_pages
 from revmart.sources.fixtures import ENTRIES_PER_PAGE, feed_pages_from_documents, reviews_from_documents
 from revmart.sources.zones import read_landing, read_zone, write_zone
@@ -99,8 +102,23 @@ def rv_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform_bronze(rv_landing(spark, sf_dir))
 
 
-def rv_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stamp_load_time(rv_bronze(spark, sf_dir), LOAD_TS)
+def bronze_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RV's bronze zone, written at the first call."""
+
+    def write(path: str) -> None:
+        write_zone(rv_bronze(spark, sf_dir), path, BRONZE_PARTITIONS, BRONZE_FILE_ORDER, files="keep")
+
+    return read_zone(spark, shared_scratch(spark, f"bronze:{sf_dir}", write), BRONZE_SCHEMA)
+
+
+def silver_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RV's silver zone, written from the bronze one at the first call."""
+
+    def write(path: str) -> None:
+        silver = stamp_load_time(bronze_zone(spark, sf_dir), LOAD_TS)
+        write_zone(silver, path, BRONZE_PARTITIONS, BRONZE_FILE_ORDER, files="keep")
+
+    return read_zone(spark, shared_scratch(spark, f"silver:{sf_dir}", write), SILVER_SCHEMA)
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,27 +180,27 @@ def q_distinct_count_by_month_sql(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def q_count_by_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_by_votes(rv_silver(spark, sf_dir))
+    return count_by_votes(silver_zone(spark, sf_dir))
 
 
 def q_count_by_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_by_rating(rv_silver(spark, sf_dir))
+    return count_by_rating(silver_zone(spark, sf_dir))
 
 
 def q_count_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_by_version(rv_silver(spark, sf_dir))
+    return count_by_version(silver_zone(spark, sf_dir))
 
 
 def q_count_by_votes_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_on(spark, COUNT_BY_VOTES_SQL, rv_silver(spark, sf_dir))
+    return run_on(spark, COUNT_BY_VOTES_SQL, silver_zone(spark, sf_dir))
 
 
 def q_count_by_rating_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_on(spark, COUNT_BY_RATING_SQL, rv_silver(spark, sf_dir))
+    return run_on(spark, COUNT_BY_RATING_SQL, silver_zone(spark, sf_dir))
 
 
 def q_count_by_version_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_on(spark, COUNT_BY_VERSION_SQL, rv_silver(spark, sf_dir))
+    return run_on(spark, COUNT_BY_VERSION_SQL, silver_zone(spark, sf_dir))
 
 
 def q_distinct_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,24 +255,24 @@ def q_url_strip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_silver_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = stamp_load_time(rv_bronze(spark, sf_dir))
+    silver = stamp_load_time(bronze_zone(spark, sf_dir))
     return _stamped(silver).select("nu_id", "pt_ano", "pt_mes", SILVER_STAMP)
 
 
 def q_preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview_rows(rv_bronze(spark, sf_dir), 5, ["nu_id"])
+    return preview_rows(bronze_zone(spark, sf_dir), 5, ["nu_id"])
 
 
 def q_preview_rows_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_on(spark, PREVIEW_ROWS_SQL, rv_bronze(spark, sf_dir))
+    return run_on(spark, PREVIEW_ROWS_SQL, bronze_zone(spark, sf_dir))
 
 
 def q_preview_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview_months(rv_bronze(spark, sf_dir))
+    return preview_months(bronze_zone(spark, sf_dir))
 
 
 def q_preview_months_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_on(spark, PREVIEW_MONTHS_SQL, rv_bronze(spark, sf_dir))
+    return run_on(spark, PREVIEW_MONTHS_SQL, bronze_zone(spark, sf_dir))
 
 
 def q_filter_month_range(spark: SparkSession, sf_dir: str) -> DataFrame:

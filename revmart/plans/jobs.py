@@ -39,7 +39,7 @@ from revmart.schemas import (
     LANDING_PARTITIONS,
     SILVER_SCHEMA,
 )
-from revmart.sources.feed import CORRUPT, bad_pages, entries_from_xml_files, entries_of_parsed, feed_entries, parse_pages
+from revmart.sources.feed import CORRUPT, bad_pages, entries_of_parsed, entries_of_records, feed_entries, parse_pages, xml_entry_records
 from revmart.sources.zones import read_landing, read_zone, write_zone
 
 SILVER_VIEW = "vw_reviews_silver"
@@ -73,10 +73,10 @@ def landing_job(
     page. With ``mode="PERMISSIVE"`` and a ``quarantine_path`` the good pages
     land and the malformed ones are written, raw, to the quarantine zone:
     their count is observed during the landing write, and only when it is
-    non-zero is a second pass made to pick them out.
+    non-zero is a second pass made to pick them out. The quarantine is this
+    run's: a run without malformed pages leaves an earlier one empty.
     """
-    if mode != "FAILFAST" and not quarantine_path:
-        raise ValueError("PERMISSIVE landing needs a quarantine_path: malformed pages are never dropped")
+    _require_quarantine(mode, quarantine_path)
     parsed = parse_pages(pages, mode, T.StructType([FEED_PAGE_XML_SCHEMA["entry"]]))
     observation = None
     if mode == "PERMISSIVE":
@@ -84,20 +84,59 @@ def landing_job(
         bad = F.sum(F.col(f"feed.{CORRUPT}").isNotNull().cast("long"))
         parsed = parsed.observe(observation, F.coalesce(bad, F.lit(0)).alias("bad"))
     write_zone(landing_rows(entries_of_parsed(parsed)), out_path, LANDING_PARTITIONS, files=files)
-    if observation is not None and observation.get["bad"]:
-        log.warning("%d malformed feed pages quarantined at %s", observation.get["bad"], quarantine_path)
-        bad_pages(pages).write.mode("overwrite").parquet(quarantine_path)
+    if observation is not None:
+        _write_quarantine(spark, bad_pages(pages), int(observation.get["bad"]), quarantine_path)
     return read_landing(spark, out_path)
 
 
-def landing_job_from_xml_files(spark: SparkSession, path: str, out_path: str) -> DataFrame:
+def _require_quarantine(mode: str, quarantine_path: str | None) -> None:
+    if mode != "FAILFAST" and not quarantine_path:
+        raise ValueError("PERMISSIVE landing needs a quarantine_path: malformed pages are never dropped")
+
+
+def _write_quarantine(spark: SparkSession, bad: DataFrame, count: int, path: str) -> None:
+    """``bad`` (``count`` rows) as this run's quarantine; what an earlier run left there goes."""
+    if count:
+        log.warning("%d malformed feed pages quarantined at %s", count, path)
+        bad.write.mode("overwrite").parquet(path)
+        return
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        spark.createDataFrame([], bad.schema).write.mode("overwrite").parquet(path)
+
+
+def landing_job_from_xml_files(
+    spark: SparkSession,
+    path: str,
+    out_path: str,
+    mode: str = "FAILFAST",
+    files: str | int = "rebalance",
+    quarantine_path: str | None = None,
+) -> DataFrame:
     """J-1 variant: landed raw XML files read by the XML data source (entries
     streamed record by record) -> landing zone. [J-1]
 
-    Parses FAILFAST: a malformed record fails the run rather than landing as
-    an empty row.
+    ``files``, ``mode`` and ``quarantine_path`` as in ``landing_job``, entry by
+    entry: entries that parse land, and a file with one that does not is
+    quarantined whole (``page_url``, its path, and ``xml``), since the source
+    cannot always tell where the next entry begins. Landing the file again
+    once it is mended repeats rows, which bronze removes. FAILFAST, a
+    malformed entry fails the run rather than landing as an empty row.
     """
-    write_zone(landing_rows(entries_from_xml_files(spark, path, "FAILFAST")), out_path, LANDING_PARTITIONS)
+    _require_quarantine(mode, quarantine_path)
+    records = xml_entry_records(spark, path, mode)
+    observation = None
+    if mode == "PERMISSIVE":
+        observation = Observation("bad_entries")
+        bad = F.sum(F.col(CORRUPT).isNotNull().cast("long"))
+        records = records.observe(observation, F.coalesce(bad, F.lit(0)).alias("bad"))
+    write_zone(landing_rows(entries_of_records(records)), out_path, LANDING_PARTITIONS, files=files)
+    if observation is not None:
+        corrupt = xml_entry_records(spark, path, mode).where(F.col(CORRUPT).isNotNull())
+        # the source refuses to read its corrupt records alone: a field goes along
+        one = corrupt.groupBy("page_url").agg(F.min(CORRUPT).alias("xml"), F.count("e.id").alias("parsed"))
+        corrupt = one.select("page_url", F.when(F.col("parsed") >= 0, F.col("xml")).alias("xml"))
+        _write_quarantine(spark, corrupt, int(observation.get["bad"]), quarantine_path)
     return read_landing(spark, out_path)
 
 

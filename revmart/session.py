@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -79,6 +80,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 #: Names the folder that a run's scratch zones go to; whoever sets it owns it.
 SCRATCH_CONF = "spark.revmart.scratch.dir"
 _scratch_made: dict[int, list[str]] = {}  # by Spark context
+_shared_made: dict[tuple[int, str], str] = {}  # by Spark context and key
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -91,9 +93,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def shared_scratch(spark: SparkSession, key: str, write: Callable[[str], object]) -> str:
+    """A scratch folder that ``write`` fills at the first call for this Spark
+    context and ``key``, and that later calls share."""
+    own = (id(spark.sparkContext), key)
+    if own not in _shared_made:
+        path = scratch_path(spark, "shared")
+        write(path)
+        _shared_made[own] = path
+    return _shared_made[own]
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Delete the scratch folders made in this process for this Spark context,
     on whatever file system they are."""
+    for own in [k for k in _shared_made if k[0] == id(spark.sparkContext)]:
+        del _shared_made[own]
     for made in _scratch_made.pop(id(spark.sparkContext), []):
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(made)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

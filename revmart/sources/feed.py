@@ -113,27 +113,43 @@ def entries_of_parsed(parsed: DataFrame, keep_page_url: bool = False) -> DataFra
     return exploded.selectExpr(*keep, *ENTRY_FIELDS_SQL)
 
 
-def entries_from_xml_files(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
-    """Entries straight from landed XML files via the XML data source. [O-01]
+def xml_entry_records(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """``e`` (one entry) per ``entry`` element of landed XML files, and in
+    ``PERMISSIVE`` mode ``_corrupt_record`` (the file's text, if the entry does
+    not parse) and ``page_url`` (the file). [O-01]
 
     ``rowTag=entry`` streams each file record by record, so a large file is
     never materialised as one giant string row (as ``read_pages(fmt="xml")``
     does with a page). The source does not split an XML file (one task per
     file; its ``multiLine=false`` mode means one record per line, which feed
     texts with newlines break), so land feeds as many page-sized files for
-    parallelism. Same field semantics as ``feed_entries``; page-level links
-    are not read (use ``read_pages`` + ``feed_links`` for those).
+    parallelism.
+    """
+    fields = list(FEED_PAGE_XML_SCHEMA["entry"].dataType.elementType.fields)
+    names = [f.name for f in fields]
+    kept = ["struct({}) AS e".format(", ".join(f"`{n}`" for n in names))]
+    if mode == "PERMISSIVE":
+        fields.append(T.StructField(CORRUPT, T.StringType()))
+        kept += [CORRUPT, "_metadata.file_path AS page_url"]
+    reader = spark.read.format("xml").option("rowTag", "entry").options(**_xml_options(mode))
+    return reader.schema(T.StructType(fields)).load(path).selectExpr(*kept)
+
+
+def entries_of_records(records: DataFrame) -> DataFrame:
+    """Landing-zone columns of the records that parsed."""
+    if CORRUPT in records.columns:
+        records = records.where(F.col(CORRUPT).isNull())
+    return records.selectExpr(*ENTRY_FIELDS_SQL)
+
+
+def entries_from_xml_files(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """Entries straight from landed XML files via the XML data source. [O-01]
+
+    Same field semantics as ``feed_entries``; page-level links are not read
+    (use ``read_pages`` + ``feed_links`` for those).
     """
     _refuse_permissive(mode)
-    entry_schema = FEED_PAGE_XML_SCHEMA["entry"].dataType.elementType
-    records = (
-        spark.read.format("xml")
-        .option("rowTag", "entry")
-        .options(**_xml_options(mode))
-        .schema(entry_schema)
-        .load(path)
-    )
-    return records.selectExpr("struct(*) AS e").selectExpr(*ENTRY_FIELDS_SQL)
+    return entries_of_records(xml_entry_records(spark, path, mode))
 
 
 def feed_content_text(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:

@@ -54,3 +54,16 @@ def test_cli_landing_from_raw_xml_files(spark, sf001, tmp_path):
     out = scratch_path(spark, "t-cli-xml")
     main(["landing", "--pages", str(tmp_path), "--pages-format", "xml-entries", "--out", out])
     assert read_landing(spark, out).count() == 100  # two pages of 50 entries
+
+
+@pytest.mark.parametrize("argv", [
+    ["landing", "--pages", "p", "--out", "o", "--months", "2022-07"],
+    ["landing", "--pages", "p", "--pages-format", "xml-entries", "--out", "o", "--log-unknown-tags"],
+    ["bronze", "--in", "l", "--out", "o", "--quarantine", "q"],
+    ["gold", "--in", "s", "--out", "o", "--mode", "PERMISSIVE"],
+    ["report", "--in", "s", "--out", "o", "--files", "compact"],
+])
+def test_cli_refuses_options_that_a_stage_does_not_use(argv, capsys):
+    with pytest.raises(SystemExit):
+        main(argv)
+    assert "does not use" in capsys.readouterr().err

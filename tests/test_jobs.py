@@ -316,3 +316,44 @@ def test_scratch_is_removed_by_its_owner(spark, tmp_path):
         assert not os.path.exists(path)
     finally:
         spark.conf.unset(SCRATCH_CONF)
+
+
+def test_quarantine_is_this_runs_own(spark, sf001):
+    from revmart.plans.jobs import landing_job
+
+    root = scratch_path(spark, "t-quarantine-again")
+    landing, quarantine = os.path.join(root, "landing"), os.path.join(root, "quarantine")
+    good = catalog.pages(spark, sf001)
+    bad = spark.createDataFrame([("u", "<feed><entry><id>1</entry></feed>")], "page_url string, xml string")
+    landing_job(spark, good.unionByName(bad), landing, mode="PERMISSIVE", quarantine_path=quarantine)
+    assert [r.page_url for r in spark.read.parquet(quarantine).collect()] == ["u"]
+    landing_job(spark, good, landing, mode="PERMISSIVE", quarantine_path=quarantine)
+    assert spark.read.parquet(quarantine).count() == 0
+
+
+def test_xml_files_land_with_layout_and_quarantine(spark, sf001, tmp_path):
+    import pytest
+
+    from revmart.plans.jobs import landing_job_from_xml_files
+
+    root = scratch_path(spark, "t-xml-quarantine")
+    landing, quarantine = os.path.join(root, "landing"), os.path.join(root, "quarantine")
+    for i, r in enumerate(catalog.pages(spark, sf001).limit(2).collect()):
+        (tmp_path / f"p{i}.xml").write_text(r.xml, encoding="utf-8")
+    (tmp_path / "bad.xml").write_text("<feed>\n<entry><id>6</id></entry>\n<entry><id>7</id><title>x</entry><entry><id>8</id></entry></feed>", encoding="utf-8")
+    with pytest.raises(ValueError, match="quarantine"):
+        landing_job_from_xml_files(spark, str(tmp_path), landing, mode="PERMISSIVE")
+    landed = landing_job_from_xml_files(spark, str(tmp_path), landing, mode="PERMISSIVE", files="compact", quarantine_path=quarantine)
+    assert landed.count() == 101  # two pages of 50 entries, and the good one before the malformed one
+    assert {len(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{landing}/*/*")} == {1}
+    held = spark.read.parquet(quarantine).collect()
+    assert len(held) == 1 and held[0].page_url.endswith("bad.xml") and "<id>8</id>" in held[0].xml
+    (tmp_path / "bad.xml").unlink()
+    landing_job_from_xml_files(spark, str(tmp_path), landing, mode="PERMISSIVE", quarantine_path=quarantine)
+    assert spark.read.parquet(quarantine).count() == 0
+
+
+def test_counts_and_previews_read_a_written_zone(spark, sf001):
+    for name in ("count_by_votes", "count_by_rating_sql", "count_by_version", "preview_months", "preview_rows", "silver_stamp"):
+        plan = catalog.QUERIES[name](spark, sf001)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "shared-" in plan, name
