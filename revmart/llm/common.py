@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revmart.session import checkpoint_root
@@ -36,6 +36,24 @@ def keyed_table(df: DataFrame) -> DataFrame:
     return checkpointed(df)
 
 
+def numbered_copies(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``rows`` with the column ``name``: each row's number, from 0, among
+    those with the same non-NULL ``keys``, however many there are.
+
+    For rows that are interchangeable (copies): which of them gets which
+    number is left open. A checkpoint fixes the rows' partitions; numbers
+    follow from the copies in each partition and a sum over the partitions
+    before it, so no task meets more copies than a partition holds.
+    """
+    fixed = checkpointed(rows.withColumn("__part", F.spark_partition_id()))
+    counts = fixed.groupBy("__part", *keys).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__part")) - F.col("__n")
+    offsets = counts.select("__part", *keys, before.alias("__before"))
+    here = F.row_number().over(Window.partitionBy("__part", *keys).orderBy(F.lit(0)))
+    numbered = fixed.withColumn("__here", here).join(offsets, ["__part", *keys])
+    return numbered.select(*[F.col(f"`{c}`") for c in rows.columns], (F.col("__before") + F.col("__here") - 1).cast("long").alias(name))
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Free the disk of finished phases.
 

@@ -12,12 +12,13 @@ keys and the documents are exchanged once.
 Equal texts have equal first keys and are neighbours. A splitter is put
 between two texts where that comes near enough; a text whose copies weigh too
 much for that is cut inside by the second key, so copies that hold a third of
-all bytes still spread evenly.
+all bytes still spread evenly. Rows that repeat id and text have equal keys; where
+they weigh too much, a third key, their number among each other, cuts them.
 
 Scale. A pass shuffles one partial count per probe and task; the driver keeps
 at most 2^12 counts per open splitter. Passes after the first read only the
 documents in open cells. A shard's slots are numbered per (shard, range of
-the second key), so numbering never gathers a shard in one task.
+the second key, range of the third), so numbering never gathers a shard in one task.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revmart.llm.common import buckets_for, checkpointed, require_columns, utf8_size
+from revmart.llm.common import buckets_for, checkpointed, numbered_copies, require_columns, utf8_size
 
 KEY_BITS = 63
 PROBE_BITS = 12
@@ -98,34 +99,42 @@ def _refine(rows: DataFrame, key: str, wanted: dict[int, int], tolerance: float,
     return {i: x._replace(key=min(x.key, (1 << KEY_BITS) - 1)) for i, x in found.items()}
 
 
-def find_splitters(thin: DataFrame, shards: int, tolerance: float = 0.001, together: float = 0.01) -> list[tuple[int, int]]:
+def find_splitters(thin: DataFrame, shards: int, tolerance: float = 0.001, together: float = 0.01) -> list[tuple[int, int, int]]:
     """The ``shards - 1`` splitters of ``thin`` (``__key1``, ``__key2``, ``__size``).
 
-    A splitter ``(k1, k2)`` has before it the documents with a smaller first
-    key, and those with first key ``k1`` and a second key below ``k2``.
-    ``tolerance`` and ``together`` are shares of a shard: how near a splitter
-    must come to its bytes, and how far it may stay from them to leave the
-    copies of a text in one shard (half the largest document if that is more,
-    since no document is cut).
+    A splitter ``(k1, k2, m)`` has before it the documents with a smaller first
+    key, those with first key ``k1`` and a second key below ``k2``, and ``m``
+    of the rows with both keys. ``tolerance`` and ``together`` are shares of a
+    shard: how near a splitter must come to its bytes, and how far it may stay
+    from them to leave the copies of a text in one shard (half the largest
+    document if that is more, since no document is cut).
     """
     total, largest = thin.agg(F.coalesce(F.sum("__size"), F.lit(0)), F.coalesce(F.max("__size"), F.lit(0))).first()
     near = tolerance * total / shards
     apart = max(together * total / shards, largest / 2)
     wanted = {i: round(total * i / shards) for i in range(1, shards)}
     first = _refine(thin, "__key1", wanted, near, apart)
-    splitters = {i: (x.key, 0) for i, x in first.items() if x.closed}
+    splitters = {i: (x.key, 0, 0) for i, x in first.items() if x.closed}
     heavy: dict[int, dict[int, int]] = {}  # a text too heavy to stay together: splitters inside it
     for i, x in first.items():
         if not x.closed:
             heavy.setdefault(x.key, {})[i] = wanted[i] - x.below
     for key, inside in heavy.items():
-        second = _refine(thin.where(F.col("__key1") == key), "__key2", inside, near, apart)
-        splitters.update({i: (key, x.key) for i, x in second.items()})
+        own = thin.where(F.col("__key1") == key)
+        second = _refine(own, "__key2", inside, near, apart)
+        splitters.update({i: (key, x.key, 0) for i, x in second.items() if x.closed})
+        for key2 in {x.key for x in second.values() if not x.closed}:
+            size = own.where(F.col("__key2") == key2).agg(F.max("__size")).first()[0]  # of one of the equal rows
+            splitters.update({
+                i: (key, key2, round((inside[i] - x.below) / size)) for i, x in second.items() if not x.closed and x.key == key2
+            })
     return [splitters[i] for i in sorted(splitters)]
 
 
-def _shard(key1: Column, key2: Column, splitters: list[tuple[int, int]]) -> Column:
-    after = [((key1 > k1) | ((key1 == k1) & (key2 >= k2))).cast("int") for k1, k2 in splitters]
+def _shard(key1: Column, key2: Column, number: Column, splitters: list[tuple[int, int, int]]) -> Column:
+    after = [
+        ((key1 > k1) | ((key1 == k1) & ((key2 > k2) | ((key2 == k2) & (number >= m))))).cast("int") for k1, k2, m in splitters
+    ]
     return reduce(lambda a, b: a + b, after, F.lit(0))
 
 
@@ -148,7 +157,7 @@ def shard_documents(
 
     NULL or empty text: size ``row_overhead``. Equal texts share a shard
     unless their copies are too heavy for it. Repeated rows are rows of their
-    own and take slots of their own. An empty table gives no rows. With fewer
+    own and take slots of their own, in several shards if they are too heavy for one. An empty table gives no rows. With fewer
     documents than shards some shards stay empty. Keys are hashes of the
     values, so reruns agree.
     """
@@ -163,19 +172,28 @@ def shard_documents(
     thin = checkpointed(keyed.select("__key1", "__key2", "__size"))
     splitters = find_splitters(thin, shards, tolerance, together)
     ranges = buckets_for(thin.count(), rows_per_slot_range)
+    # rows with the keys of a splitter that lies among them (fewer pairs than shards) get numbers
+    cut_keys = sorted({(k1, k2) for k1, k2, m in splitters if m > 0})
+    is_cut = reduce(lambda a, b: a | b, [(F.col("__key1") == k1) & (F.col("__key2") == k2) for k1, k2 in cut_keys], F.lit(False))
+    whole, whole_thin = (x.where(~is_cut).withColumn("__number", F.lit(0).cast("long")) for x in (keyed, thin))
+    if cut_keys:
+        cut = checkpointed(numbered_copies(keyed.where(is_cut), ["__key1", "__key2"], "__number"))
+        whole, whole_thin = whole.unionByName(cut), whole_thin.unionByName(cut.select(*whole_thin.columns))
 
     def placed(df: DataFrame) -> DataFrame:
         part = F.floor(_cell(F.col("__key2"), KEY_BITS - 31) / float(1 << 31) * ranges).cast("int")
-        return df.withColumn("__shard", _shard(F.col("__key1"), F.col("__key2"), splitters)).withColumn("__range", part)
-
-    counts = placed(thin).groupBy("__shard", "__range").agg(F.count("*").alias("__rows"))
-    before = F.sum("__rows").over(Window.partitionBy("__shard").orderBy("__range")) - F.col("__rows")
-    offsets = counts.select("__shard", "__range", before.alias("__before"))
-    order = Window.partitionBy("__shard", "__range").orderBy("__key2", F.col(id_col), "__key1")
-    numbered = placed(keyed).withColumn("__number", F.row_number().over(order))  # the one exchange of the documents
-    return numbered.join(offsets, ["__shard", "__range"]).select(
+        shard = _shard(F.col("__key1"), F.col("__key2"), F.col("__number"), splitters)
+        return df.withColumns({"__shard": shard, "__range": part, "__third": F.floor(F.col("__number") / rows_per_slot_range)})
+
+    spot = ["__shard", "__range", "__third"]
+    counts = placed(whole_thin).groupBy(*spot).agg(F.count("*").alias("__rows"))
+    before = F.sum("__rows").over(Window.partitionBy("__shard").orderBy("__range", "__third")) - F.col("__rows")
+    offsets = counts.select(*spot, before.alias("__before"))
+    order = Window.partitionBy(*spot).orderBy("__key2", F.col(id_col), "__key1", "__number")
+    numbered = placed(whole).withColumn("__place", F.row_number().over(order))  # the one exchange of the documents
+    return numbered.join(offsets, spot).select(
         *[F.col(f"`{c}`") for c in kept],
         F.col("__size").alias("size"),
         F.col("__shard").alias("shard"),
-        (F.col("__before") + F.col("__number") - 1).cast("long").alias("slot"),
+        (F.col("__before") + F.col("__place") - 1).cast("long").alias("slot"),
     )

@@ -3,6 +3,8 @@
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from revmart.llm import registry
 from revmart.llm.sharding import shard_documents
 
@@ -62,3 +64,29 @@ def test_edge_cases(spark, make_docs):
     found = shard_documents(clash, shards=2)
     assert len(found.columns) == len(set(found.columns)) and "keep" in found.columns
     _check(found.collect(), 2)
+
+
+def test_repeated_rows_are_cut_by_number(spark, make_docs):
+    docs = make_docs([(1, "one row " * 12)] * 2000 + [(10 + i, f"text {i:04} " * 10) for i in range(2000)])
+    rows = shard_documents(docs, shards=24, rows_per_slot_range=50).collect()
+    assert len(rows) == 4000
+    sizes = _check(rows, 24)
+    mean = sum(sizes.values()) / 24
+    assert all(abs(s - mean) <= max(0.01 * mean, max(r.size for r in rows)) for s in sizes.values())
+    again = shard_documents(docs.repartition(7), shards=24, rows_per_slot_range=50).collect()
+    assert Counter((r.doc_id, r.shard, r.slot) for r in rows) == Counter((r.doc_id, r.shard, r.slot) for r in again)
+
+
+def test_splitters_equal_a_sort(spark, make_docs):
+    docs = make_docs([(i, f"t{i % 400} " * (1 + i % 13)) for i in range(900)])
+    rows = shard_documents(docs, shards=8, tolerance=0.0, together=0.0).select(
+        "size", "shard", F.shiftrightunsigned(F.xxhash64("text"), 1).alias("k1"), F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("slot")), 1).alias("k2")
+    ).collect()
+    rows.sort(key=lambda r: (r.k1, r.k2))
+    total, below, largest = sum(r.size for r in rows), 0, max(r.size for r in rows)
+    assert [r.shard for r in rows] == sorted(r.shard for r in rows)
+    for before, r in zip([None, *rows], rows, strict=False):
+        if before is not None and before.shard != r.shard:
+            # the boundary is the place nearest to the shard's share of all bytes
+            assert abs(below - total * r.shard / 8) <= largest / 2 + 1
+        below += r.size
