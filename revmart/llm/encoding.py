@@ -6,11 +6,16 @@ another library turns into the same ids several times faster. The two split
 texts by the same pattern with different regular-expression engines, so the
 fast one is used only where those cannot differ: on texts of ASCII, Latin and
 common punctuation characters and of moderate length.
+
+Control strings of the vocabulary (such as its end-of-text mark) inside a text
+are ordinary text, unless ``control_ids`` asks for what a plain ``encode`` of the
+``tokenizers`` file does: it turns them into their own ids.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 
 import numpy as np
@@ -23,8 +28,12 @@ _FAST_CHARS = 400_000
 
 
 class ByteEncoder:
-    def __init__(self, tokenizer_path: str, ranks_path: str | None, pattern: str | None) -> None:
+    def __init__(self, tokenizer_path: str, ranks_path: str | None, pattern: str | None, control_ids: bool = False) -> None:
         self._tokenizer_path, self._tokenizer = tokenizer_path, None
+        self._control_ids, self._control = control_ids, ()
+        if control_ids:
+            with open(tokenizer_path, encoding="utf-8") as file:
+                self._control = tuple(t["content"] for t in json.load(file).get("added_tokens") or [])
         self._fast = None
         if ranks_path and pattern:
             import tiktoken
@@ -40,11 +49,11 @@ class ByteEncoder:
             from tokenizers import Tokenizer
 
             self._tokenizer = Tokenizer.from_file(self._tokenizer_path)
-            self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+            self._tokenizer.encode_special_tokens = not self._control_ids
         return self._tokenizer
 
     def _encode(self, text: str) -> list[int]:
-        if self._fast is not None and len(text) <= _FAST_CHARS and not _PLAIN.search(text):
+        if self._fast is not None and len(text) <= _FAST_CHARS and not _PLAIN.search(text) and not any(c in text for c in self._control):
             return self._fast.encode_ordinary(text)
         return self._slow.encode(text, add_special_tokens=False).ids
 
@@ -55,7 +64,7 @@ class ByteEncoder:
         return len(self._encode(text))
 
 
-def byte_encoder(tokenizer_path: str | None = None, ranks_path: str | None = None) -> ByteEncoder:
+def byte_encoder(tokenizer_path: str | None = None, ranks_path: str | None = None, control_ids: bool = False) -> ByteEncoder:
     """The encoder of a vocabulary, loaded once per worker; by default the
     installed public 50k byte-level BPE."""
     import public_tokenizers
@@ -64,5 +73,6 @@ def byte_encoder(tokenizer_path: str | None = None, ranks_path: str | None = Non
         tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
         ranks_path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return once(
-        ("encoder", tokenizer_path, ranks_path), lambda: ByteEncoder(tokenizer_path, ranks_path, public_tokenizers.PATTERN)
+        ("encoder", tokenizer_path, ranks_path, control_ids),
+        lambda: ByteEncoder(tokenizer_path, ranks_path, public_tokenizers.PATTERN, control_ids),
     )

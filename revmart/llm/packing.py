@@ -9,10 +9,13 @@ remains, so gaps that many sequences share are used up and rare ones kept for
 the documents that fit them. A sequence is opened only for a piece that fits
 no open one.
 
-Scale. Pieces are dealt by hash into groups of about ``docs_per_group``
-documents, each packed on its own: a group's open sequences are a table of
-counts by gap, so a task holds a few columns of its group and nothing that
-grows with the corpus. What a group leaves unfilled is about one sequence.
+Scale. A document has one piece at most that is shorter than a sequence. These
+are dealt by hash into groups of about ``docs_per_group``, each packed on its
+own: a group's open sequences are a table of counts by gap, so a task holds a
+few columns of its group and nothing that grows with the corpus. What a group
+leaves unfilled is about one sequence. Full pieces need no packing; they are
+dealt to groups of their own, whose number follows from the bytes of all texts (a
+token has one at least), and numbered there.
 Ids need not be shuffled: only what the caller keeps of a piece is.
 """
 
@@ -33,6 +36,7 @@ from revmart.llm.encoding import byte_encoder
 SEQUENCE = 2048
 END_ID = 0
 DOCS_PER_GROUP = 8192
+FULL_PER_GROUP = 1 << 17
 #: Ids sent to the JVM at a time.
 BATCH_IDS = 1 << 20
 
@@ -55,8 +59,9 @@ def token_pieces(
     """One row per piece: the document's id, ``piece`` (from 0), ``start``
     (ids before it), ``length`` and ``ids`` (binary, little-endian 32-bit).
 
-    NULL text is empty: a document of the end id alone. Repeated rows are
-    documents of their own.
+    Ids are those of a plain ``encode`` without special tokens added. NULL text
+    is empty: a document of the end id alone. Repeated rows are documents of
+    their own.
     """
     require_columns(docs, id_col, text_col)
     id_type = docs.schema[id_col].dataType
@@ -69,7 +74,7 @@ def token_pieces(
     ])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_encoder(tokenizer_path, ranks_path)
+        encoder = byte_encoder(tokenizer_path, ranks_path, control_ids=True)
 
         def rows_of(rows: list[tuple], own: pa.Array) -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True))
@@ -123,12 +128,15 @@ def pack_lengths(lengths: np.ndarray, sequence: int) -> tuple[np.ndarray, np.nda
     return where, offset
 
 
-def pack_pieces(pieces: DataFrame, groups: int, sequence: int = SEQUENCE, key_cols: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
+def pack_pieces(
+    pieces: DataFrame, groups: int, sequence: int = SEQUENCE, key_cols: tuple[str, ...] = ("doc_id", "piece"), full_groups: int = 1
+) -> DataFrame:
     """Every row of ``pieces`` (any columns, with ``length``) plus
     ``sequence_id`` and ``offset`` (its place in that sequence).
 
-    ``key_cols`` deal the pieces to ``groups`` groups; sequences of different
-    groups differ in id. Ties go by the key columns, so reruns agree.
+    ``key_cols`` deal the pieces to ``groups`` groups, full ones to
+    ``full_groups`` more; sequences of different groups differ in id. Ties go
+    by the key columns, so reruns agree.
     """
     require_columns(pieces, "length", *key_cols)
     columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
@@ -138,10 +146,14 @@ def pack_pieces(pieces: DataFrame, groups: int, sequence: int = SEQUENCE, key_co
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(list(key_cols), kind="stable", ignore_index=True)
-        where, offset = pack_lengths(rows["length"].to_numpy(), sequence)
+        if key[0] >= groups:
+            where, offset = np.arange(len(rows)), np.zeros(len(rows), np.int64)
+        else:
+            where, offset = pack_lengths(rows["length"].to_numpy(), sequence)
         return rows[columns].assign(sequence_id=(int(key[0]) << 32) + where, offset=offset)
 
-    group = F.pmod(F.xxhash64(F.lit("pack"), *key_cols), F.lit(groups))
+    place = F.xxhash64(F.lit("pack"), *key_cols)
+    group = F.when(F.col("length") < sequence, F.pmod(place, F.lit(groups))).otherwise(F.pmod(place, F.lit(full_groups)) + groups)
     return pieces.select(*columns).withColumn("__group", group).groupBy("__group").applyInPandas(lambda k, r: pack(k, r), schema)
 
 
@@ -164,5 +176,6 @@ def pack_documents(
     pieces = token_pieces(docs, id_col, text_col, sequence, **tokenizer)
     kept = [id_col, "piece", "start", "length", F.crc32("ids").alias("ids_crc32")]
     pieces = pieces.select(*kept, *(["ids"] if with_ids else []))
-    groups = buckets_for(docs.count(), docs_per_group)
-    return pack_pieces(pieces, groups, sequence, (id_col, "piece", "ids_crc32"))
+    rows, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0))).first()
+    full_groups = buckets_for(size // sequence, FULL_PER_GROUP)
+    return pack_pieces(pieces, buckets_for(rows, docs_per_group), sequence, (id_col, "piece", "ids_crc32"), full_groups)

@@ -1,6 +1,7 @@
 """Packing: ids, pieces, capacity, density and edge cases."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -56,11 +57,9 @@ def test_query_is_exact_and_dense(spark, sf01, tokenizer):
 
 
 def test_edge_cases(spark, make_docs, tokenizer):
-    rows = [(1, None), (2, ""), (2, ""), (None, "é漢😀 ​\x00 ~"), (4, "x" * 3000), (5, "ab " * 6000), (6, " " * 5000), (7, "<|endoftext|>x")]
+    rows = [(1, None), (2, ""), (2, ""), (None, "é漢😀 ​\x00 ~"), (4, "x" * 3000), (5, "ab " * 6000), (6, " " * 5000), (7, "<|endoftext|>x"), (8, "x <|endoftext|> y " * 3000)]
     found = pack_documents(make_docs(rows)).collect()
-    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
-    assert pieces_of(found) == expected(rows, own)
+    assert pieces_of(found) == expected(rows, tokenizer)
     check_layout(found)
     assert pack_documents(make_docs([])).count() == 0
 
@@ -95,3 +94,32 @@ def test_lengths_fit(lengths):
 def test_fast_ids_equal_the_tokenizer(text):
     encoder = byte_encoder()
     assert encoder.ids(text).tolist() == encoder._slow.encode(text, add_special_tokens=False).ids
+
+
+def naive(lengths, sequence):
+    """Every piece, largest first, where the sum of squared gap counts becomes least; the fullest of equals."""
+    gaps, placed = [], []
+    for size in sorted(lengths, reverse=True):
+        best = None
+        for at in {g for g in gaps if g >= size}:
+            after = [g for g in gaps if g]
+            after.remove(at)
+            after += [at - size] if at > size else []
+            cost = (sum(c * c for c in Counter(after).values()), at)
+            best = min(best, cost) if best else cost
+        at = best[1] if best else sequence
+        if best:
+            gaps.remove(at)
+        gaps.append(at - size)
+        placed.append((size, sequence - at))
+    return placed, len(gaps)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=40))
+def test_placement_equals_a_naive_loop(lengths):
+    where, offset = pack_lengths(np.array(lengths, dtype=np.int64), 30)
+    order = np.argsort(-np.array(lengths, dtype=np.int64), kind="stable")
+    placed, sequences = naive(lengths, 30)
+    assert [(lengths[i], int(offset[i])) for i in order] == placed
+    assert len(set(where.tolist())) == sequences
