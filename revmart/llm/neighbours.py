@@ -5,7 +5,7 @@ a graph of its own (``neighbour_graph``), and every query searches every
 shard by a beam. The shards' best are merged to the query's best.
 
 Copies of a vector are one point of the graph, which keeps as many of their
-ids as a query can need, the smallest ones: no copy is lost to a full edge
+distinct ids as a query can need, the smallest ones, and how often each occurs: no copy is lost to a full edge
 list, and ties between copies go by id exactly.
 
 Scale. Building is linear: a task holds one shard. Searching sends every
@@ -32,7 +32,7 @@ SEARCH_BEAM = 160
 ALPHA = 1.2
 SEED = 7
 SEARCH_ROWS = 256  # queries that step through a graph together
-INDEX = "dim int, shard int, entry boolean, vector array<double>, ids array<long>, edges array<int>"
+INDEX = "dim int, shard int, entry boolean, vector array<double>, ids array<long>, times array<long>, edges array<int>"
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -43,10 +43,13 @@ def _sound(vector: Column) -> Column:
 
 
 def distinct_vectors(vectors: DataFrame, copies: int) -> DataFrame:
-    """One row per distinct vector with its ``copies`` smallest ids."""
+    """One row per distinct vector with its ``copies`` smallest ids (``ids``)
+    and how often each occurs (``times``, cut at ``copies``)."""
+    counted = vectors.groupBy("vector", "id").agg(F.least(F.count("*"), F.lit(copies)).alias("times"))
     place = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
-    few = vectors.withColumn("place", place).where(F.col("place") <= copies)
-    return few.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    few = counted.withColumn("place", place).where(F.col("place") <= copies)
+    held = few.groupBy("vector").agg(F.array_sort(F.collect_list(F.struct("id", "times"))).alias("held"))
+    return held.select("vector", F.col("held.id").alias("ids"), F.col("held.times").alias("times"))
 
 
 def build_index(
@@ -57,7 +60,7 @@ def build_index(
     alpha: float = ALPHA,
     seed: int = SEED,
 ) -> tuple[DataFrame, int]:
-    """``points`` (``vector``, ``ids``) to the rows of all shards' graphs, and the number of shards.
+    """``points`` (``vector``, ``ids``, ``times``) to the rows of all shards' graphs, and the number of shards.
 
     Vectors of different lengths are never compared; each length has shards
     of its own. A row has its out-edges as places in the shard, rows in order.
@@ -70,7 +73,7 @@ def build_index(
         edges, entry = build_graph(lifted(vectors), degree, beam, alpha, seed)
         return pd.DataFrame({
             "dim": rows["dim"], "shard": rows["shard"], "entry": np.arange(len(rows)) == entry,
-            "vector": list(vectors), "ids": rows["ids"], "edges": list(edges.astype(np.int32)),
+            "vector": list(vectors), "ids": rows["ids"], "times": rows["times"], "edges": list(edges.astype(np.int32)),
         })
 
     dealt = points.select(
@@ -78,6 +81,7 @@ def build_index(
         F.pmod(F.xxhash64(F.lit("shard"), "vector"), F.lit(shards)).cast("int").alias("shard"),
         F.col("vector").cast("array<double>").alias("vector"),
         "ids",
+        "times",
         F.col("ids")[0].alias("first"),
     )
     dealt = dealt.repartition(4 * shards, "dim", "shard")  # few heavy groups: AQE would gather them in fewer tasks
@@ -94,7 +98,7 @@ def _search(beam: int, k: int):
         entry = int(index["entry"].to_numpy().argmax())
         points = lifted(vectors)
         norms = np.einsum("ij,ij->i", points, points)
-        copies = index["ids"].tolist()
+        copies = [np.repeat(i, t) for i, t in zip(index["ids"], index["times"], strict=True)]
         out: list[tuple[int, int, float]] = []
         wanted = np.array(queries["vector"].tolist(), dtype=np.float64)
         own = queries["id"].to_numpy()
@@ -131,7 +135,8 @@ def nearest_neighbours(
     ``vec_id``, ``score`` (in double precision). Ties go to the smaller id.
 
     Vectors that are NULL, empty, zero, or hold a NULL, NaN or infinity take
-    no part, nor do rows without an id. Repeated rows are found as often as
+    no part, nor do rows without an id. Ids are numbers. Rows that share an id ask
+    with the least of their vectors. Repeated rows are found as often as
     they occur, but a query finds no row with its own id. With fewer than ``k`` other rows a
     query finds all. An empty table gives no rows.
     """
@@ -141,9 +146,8 @@ def nearest_neighbours(
     points = checkpointed(distinct_vectors(vectors, k + 1))
     index, shards = build_index(points, shard_rows, degree, build_beam, alpha)
 
-    queries = sound.where(is_query).select(
-        F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.size(vector_col).alias("dim")
-    ).dropDuplicates(["id"])
+    asking = sound.where(is_query).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    queries = asking.groupBy("id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector"))
     blocks = buckets_for(queries.count(), query_block)
     block = F.pmod(F.xxhash64(F.lit("block"), "id"), F.lit(blocks)).cast("int")
     parts, keys = 4 * shards * blocks, ["dim", "shard", "block"]

@@ -68,3 +68,10 @@ def test_edge_cases(spark):
     assert {q: [i for i, _ in hits] for q, hits in found.items()} == {0: [20, 20, 9], 20: [9, 0], 80: [11]}
     assert nearest_neighbours(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 20 == 0).count() == 0
     assert nearest_neighbours(spark.createDataFrame([(0, [1.0], 1)], SCHEMA), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_an_id_stored_often_hides_no_other(spark):
+    rows = [(20, [1.0, 0.0], 0)] * 25 + [(i, [1.0, 0.0], 0) for i in range(1000, 1005)] + [(i, [0.5, 0.1], 0) for i in range(2001, 2031)]
+    found = found_of(nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0))
+    assert found == brute(rows)
+    assert [i for i, _ in found[20][:5]] == [1000, 1001, 1002, 1003, 1004]
