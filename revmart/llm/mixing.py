@@ -22,19 +22,23 @@ over as many tasks as its rows need, and only per-bucket totals are
 summed up per source. The global order needs no sampling: equal stretches of
 virtual time hold equal numbers of tokens, so a stretch is a range
 partition; totals per stretch give the one stretch where the budget runs
-out, and only that stretch is sorted to find the exact cut. Texts are read
-twice (once for totals, once for the result) and never moved unless the
-caller asks for them.
+out, and only that stretch is sorted to find the exact cut. Along a source's
+shuffle order times only rise, so the cut is one threshold a source and epoch.
+``mix_counts`` reads texts once and returns no text; ``taken_documents`` reads
+them twice (for sizes, for the result) and filters whole rows by the
+thresholds where they are, without an exchange of texts. ``mix_sources`` also
+tells every copy's virtual time, for which rows meet their running sums.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revmart.llm.common import buckets_for, checkpointed, require_columns, word_count
+from revmart.llm.common import buckets_for, checkpointed, numbered_copies, require_columns, word_count
 
 SEED = 20260202
 ROWS_PER_BUCKET = 5_000
@@ -116,11 +120,31 @@ def mix_sources(
     their own. An empty table gives no rows. The place is a hash of the id
     and the text, so reruns agree whatever the partitioning.
     """
-    require_columns(docs, id_col, text_col, source_col)
     made = ["size", "source_size", "target", "copies", "taken", "virtual_times"]
     kept = [c for c in docs.columns if c not in made or c in (id_col, text_col, source_col)]
+    mix = _planned(docs, kept, id_col, text_col, source_col, weights, max_epochs, budget_share, seed, rows_per_bucket)
+    return _taken(_clocked(mix.sized, mix.offsets, id_col), mix.cut, id_col, max_epochs, kept)
+
+
+class _Mix(NamedTuple):
+    """``sized``: the documents with size, source and place; ``clocked``: the
+    same without texts, with the running sums of their source (the id as
+    ``__id``); ``offsets``: sums before each bucket; ``cut``: see ``_cut``."""
+
+    sized: DataFrame
+    clocked: DataFrame
+    offsets: DataFrame
+    cut: tuple | None
+
+
+def _planned(
+    docs: DataFrame, kept: list[str], id_col: str, text_col: str, source_col: str,
+    weights: tuple[int, ...], max_epochs: int, budget_share: float, seed: int, rows_per_bucket: int,
+) -> _Mix:
+    require_columns(docs, id_col, text_col, source_col)
     buckets = buckets_for(docs.count(), rows_per_bucket)
-    sized = _shuffled(docs.select(*kept), word_count(F.col(text_col)), source_col, [id_col, text_col], buckets, seed)
+    docs = docs.select(*[F.col(f"`{c}`") for c in kept])
+    sized = _shuffled(docs, word_count(F.col(text_col)), source_col, [id_col, text_col], buckets, seed)
 
     thin = checkpointed(sized.select("__source", "__bucket", "__place", "__size", F.col(id_col).alias("__id")))
     per_bucket = thin.groupBy("__source", "__bucket").agg(F.sum("__size").alias("__bucket_size"))
@@ -133,10 +157,93 @@ def mix_sources(
         .join(targets.alias("t"), F.col("b.__source").eqNullSafe(F.col("t.__source")))
         .select("b.__source", "__bucket", "__before", "source_size", "target")
     )
+    clocked = _clocked(thin, offsets, "__id")
+    return _Mix(sized, clocked, offsets, _cut(clocked, budget_share, max_epochs, buckets))
 
-    clocked_thin = _clocked(thin, offsets, "__id")
-    cut = _cut(clocked_thin, budget_share, max_epochs, buckets)
-    return _taken(_clocked(sized, offsets, id_col), cut, id_col, max_epochs, kept)
+
+def mix_counts(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = (1, 2, 3),
+    max_epochs: int = 3,
+    budget_share: float = 1.0,
+    seed: int = SEED,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """The id, ``source`` and columns that ``mix_sources`` adds for every row of
+    ``docs``, made without its other columns (see there for nulls and ties)."""
+    mix = _planned(docs, [id_col, text_col, source_col], id_col, text_col, source_col, weights, max_epochs, budget_share, seed, rows_per_bucket)
+    found = _taken(mix.clocked, mix.cut, "__id", max_epochs, ["__id", "__source"])
+    return found.withColumnsRenamed({"__id": id_col, "__source": "source"})
+
+
+#: Up to so many sources, thresholds are broadcast: a few hundred bytes each.
+BROADCAST_SOURCES = 50_000
+
+
+def taken_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = (1, 2, 3),
+    max_epochs: int = 3,
+    budget_share: float = 1.0,
+    seed: int = SEED,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with their columns.
+
+    Of each source and epoch all rows up to one (place, id) are taken. Rows
+    that repeat id and text are told apart only where the cut falls among
+    them; there as many are taken as ``mix_sources`` takes. See there for
+    nulls; a row whose words are none is never taken.
+    """
+    mix = _planned(docs, list(docs.columns), id_col, text_col, source_col, weights, max_epochs, budget_share, seed, rows_per_bucket)
+    last = _thresholds(mix, max_epochs)
+    small = last.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    rows = mix.sized.where("__size > 0").alias("r").join(
+        (F.broadcast(last) if small else last).alias("t"), F.col("r.__source").eqNullSafe(F.col("t.__s"))
+    )
+    spot = F.struct(F.col("__place").alias("place"), F.col(id_col).alias("id"))
+    epochs = [(F.col(f"__last{e}"), F.col(f"__held{e}")) for e in range(max_epochs)]
+    total = lambda flags: reduce(lambda a, b: a + b, [F.coalesce(f.cast("int"), F.lit(0)) for f in flags])
+    sure = total((spot < at) | ((spot == at) & held.isNull()) for at, held in epochs)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    taken = rows.select("r.*", "t.*", sure.alias("__copies"))
+    if last.where(" or ".join(f"__held{e} is not null" for e in range(max_epochs))).limit(1).count():
+        # the cut falls among copies of one text: the first ones by number
+        on_edge = total((spot == at) & held.isNotNull() for at, held in epochs) > 0
+        told = lambda c: F.when(c.isNull(), "").otherwise(F.concat(F.lit("="), c.cast("string")))
+        keyed = taken.where(on_edge).withColumns({"__a": told(F.col("__source")), "__b": told(F.col(id_col))})
+        edge = numbered_copies(keyed, ["__a", "__place", "__b"], "__number")
+        first = total((spot == at) & (F.col("__number") < held) for at, held in epochs)
+        edge = edge.select(*own, (F.col("__copies") + first).alias("__copies"))
+        taken = taken.where(~on_edge).select(*own, "__copies").unionByName(edge)
+    taken = taken.where("__copies > 0").select(*own, "__copies")
+    return taken.select(*own, F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*own)
+
+
+def _thresholds(mix: _Mix, max_epochs: int) -> DataFrame:
+    """Per source ``__s`` and epoch e the last (place, id) taken, ``__last<e>``
+    (NULL if none), and where not all rows with it are taken, how many are
+    (``__held<e>``)."""
+    clocked, times = mix.clocked.where("__size > 0"), _times(max_epochs)
+    wanted = [t.isNotNull() if mix.cut is None else _before_cut(t, mix.cut, "__id") for t in times]
+    spot = F.struct(F.col("__place").alias("place"), F.col("__id").alias("id"))
+    flags = clocked.select("__source", spot.alias("__spot"), *[w.cast("int").alias(f"__w{e}") for e, w in enumerate(wanted)])
+    # equal rows first, then the last of them in each source: both with map-side sums
+    copies = flags.groupBy("__source", "__spot").agg(F.count("*").alias("__c"), *[F.sum(f"__w{e}").alias(f"__w{e}") for e in range(max_epochs)])
+    last = []
+    for e in range(max_epochs):
+        n = F.col(f"__w{e}")
+        held = F.when(n < F.col("__c"), n)
+        last.append(F.max(F.when(n > 0, F.struct(F.col("__spot").alias("spot"), held.alias("held")))).alias(f"__l{e}"))
+    found = copies.groupBy(F.col("__source").alias("__s")).agg(*last)
+    fields = [F.col(f"__l{e}.{f}").alias(f"__{to}{e}") for e in range(max_epochs) for f, to in (("spot", "last"), ("held", "held"))]
+    return checkpointed(found.select("__s", *fields))
 
 
 def _clocked(rows: DataFrame, offsets: DataFrame, id_col: str) -> DataFrame:

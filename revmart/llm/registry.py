@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from revmart.llm.common import read_table
 from revmart.llm.fill_middle import fill_in_middle, restored_digests
 from revmart.llm.formatting import conversation_digests, expand_conversations
-from revmart.llm.mixing import mix_sources
+from revmart.llm.mixing import mix_counts
 from revmart.llm.neardup import near_duplicates
 from revmart.llm.neighbours import nearest_neighbours
 from revmart.llm.packing import pack_documents
@@ -81,7 +81,7 @@ def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, with the words that a 1:2:3 mix of the sources takes of each."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix_counts(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

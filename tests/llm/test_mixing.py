@@ -1,10 +1,12 @@
 """Mixing: targets, cut and edge cases."""
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
 
 from revmart.llm import registry
-from revmart.llm.mixing import mix_sources, mixture
+from revmart.llm.mixing import SEED, mix_counts, mix_sources, mixture, taken_documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,3 +88,55 @@ def test_mixture_is_sorted_and_repeats_small_sources(spark, make_docs):
 def test_plan_is_native(spark, sf001):
     plan = registry.QUERIES["op2_weighted_fair_mix"](spark, sf001)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def sorted_mix(docs):
+    """Brute force: all copies of all documents in one list, sorted by virtual time and cut at the budget."""
+    rows = docs.withColumn("place", F.xxhash64(F.lit(SEED), "doc_id", "text")).collect()
+    by_source, sizes = defaultdict(list), defaultdict(int)
+    for r in rows:
+        n = len(WORD.findall(r.text or ""))
+        by_source[r.source].append((r.place, r.doc_id is not None, r.doc_id or 0, n))
+        sizes[r.source] += n
+    targets, clock = _targets(sizes), []
+    for s, own in by_source.items():
+        end = 0
+        for place, named, i, n in sorted(own):
+            end += n
+            if n and targets[s]:
+                clock += [((sizes[s] * e + (end - n / 2)) / targets[s], s is None, (s or "").encode(), place, named, i, n, end) for e in range(3)]
+    left, taken = sum(sizes.values()), Counter()
+    for _, nameless, s, _, named, i, n, _ in sorted(clock):
+        left -= n
+        if left < 0:
+            break
+        taken[None if nameless else s.decode(), i if named else None, n] += n
+    return taken
+
+
+def test_taken_words_equal_a_global_sort(spark, sf01, make_docs):
+    heavy = [(7, "same words here", "a")] * 300 + [(i, f"t{i} " * (i % 9), "ba"[i % 2]) for i in range(10, 200)] + [(None, "no id at all", None)] * 50
+    for docs in (spark.read.parquet(f"{sf01}/documents.parquet"), make_docs(heavy)):
+        want = sorted_mix(docs)
+        for mixed in (mix_counts(docs), mix_sources(docs)):
+            found = Counter()
+            for r in mixed.where("taken > 0").collect():
+                found[r.source, r.doc_id, r.size] += r.taken
+            assert found == want
+        taken = Counter()
+        for r in taken_documents(docs).collect():
+            n = len(WORD.findall(r.text))
+            taken[r.source, r.doc_id, n] += n
+        assert taken == want
+
+
+def test_taken_documents_move_no_text(spark, sf01, make_docs):
+    taken = taken_documents(spark.read.parquet(f"{sf01}/documents.parquet"))
+    plan = taken._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert "text#" in plan and "Python" not in plan
+    assert all("BroadcastExchange" in line for line in exchanges), exchanges
+    clash = make_docs([(1, "a b", "s"), (2, "c", "s"), (2, None, "t")]).selectExpr("*", "'x' as size", "7 as taken", "0 as __keep")
+    rows = taken_documents(clash).collect()
+    assert sorted((r.doc_id, r.size, r.taken) for r in rows) == [(1, "x", 7), (2, "x", 7)]
+    assert taken_documents(make_docs([])).count() == 0
