@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmart.llm.mixing import mix_sources
+from revmart.llm.mixing import taken_documents
 from revmart.llm.neardup import distinct_documents
 from revmart.llm.packing import pack_documents
 from revmart.llm.quality import fit_quality, judge_quality
@@ -55,8 +55,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of the sources takes them (0 to 3 times)."""
-    mixed = mix_sources(docs).where("copies > 0")
-    return mixed.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")).select(*COLUMNS)
+    return taken_documents(docs).select(*COLUMNS)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
