@@ -89,10 +89,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     stays until its owner calls ``remove_scratch``."""
     root = spark.conf.get(SCRATCH_CONF, None) or os.path.join(checkpoint_root(spark), "revmart")
     path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
-    _scratch_made.setdefault(id(spark.sparkContext), []).append(path)
+    own_scratch(spark, path)
     return path
 
 
+def own_scratch(spark: SparkSession, path: str) -> None:
+    """Have ``remove_scratch`` delete ``path`` as well."""
+    _scratch_made.setdefault(id(spark.sparkContext), []).append(path)
+
+
 def shared_scratch(spark: SparkSession, key: str, write: Callable[[str], object]) -> str:
     """A scratch folder that ``write`` fills at the first call for this Spark
     context and ``key``, and that later calls share."""
