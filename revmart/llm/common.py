@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from revmart.session import checkpoint_root
+from revmart.session import checkpoint_root, own_scratch
 
 #: A word is a run of characters outside blank and the five control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,13 +15,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's setting that ends a query's shuffle files with the query.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` cut from its lineage by a reliable checkpoint in the folder that
-    the cluster shares (``spark.checkpoint.dir``)."""
-    context = df.sparkSession.sparkContext
+    the cluster shares (``spark.checkpoint.dir``).
+
+    The shuffle files behind it go once it is written, so a job of several
+    phases holds the disk of one. The checkpoint's own files stay until their
+    owner calls ``remove_scratch``."""
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+        context.setCheckpointDir(checkpoint_root(spark))
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        made = df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    own_scratch(spark, made._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get())
+    return made
 
 
 def keyed_table(df: DataFrame) -> DataFrame:
@@ -54,17 +68,6 @@ def numbered_copies(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     return numbered.select(*[F.col(f"`{c}`") for c in rows.columns], (F.col("__before") + F.col("__here") - 1).cast("long").alias(name))
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Free the disk of finished phases.
-
-    Spark deletes a job's shuffle files once the driver has collected what
-    refers to them, which can be long after the job. A job of several large
-    phases asks for it in between, behind a checkpoint.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def word_count(text: Column) -> Column:
     """Words of a text as a long; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

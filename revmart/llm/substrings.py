@@ -25,7 +25,7 @@ after all that have one.
 
 Scale. What is shuffled: anchors twice (8 and 44 bytes each), then only
 repeated ones, and the texts twice, to their wanted places and to their
-spans. Every phase ends in a checkpoint and gives its shuffle files back, so
+spans. Every phase ends in a checkpoint, with which its shuffle files go, so
 the disk in use is that of one phase.
 """
 
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.llm.automaton import SuffixAutomaton
-from revmart.llm.common import buckets_for, checkpointed, keyed_table, release_shuffles, require_columns
+from revmart.llm.common import buckets_for, checkpointed, keyed_table, require_columns
 from revmart.llm.words import Words, gram_hashes, joined_bytes, words_of
 
 WINDOW = 20
@@ -254,7 +254,6 @@ def repeated_spans(
     prints = texts.select("text").mapInArrow(_fingerprints_only(window, gram), "fp long")
     twice = keyed_table(prints.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
     repeated = checkpointed(anchors.join(twice, "fp"))
-    release_shuffles(texts.sparkSession)
 
     contexts = checkpointed(
         repeated.groupBy("fp", "c1", "c2").agg(F.min(_place("pos")).alias("first"), F.count("*").alias("n"))
@@ -275,13 +274,11 @@ def repeated_spans(
         .agg(F.collect_list(F.col("pos") * 2 + (F.col("held") > shard_passages).cast("int")).alias("wanted"))
     )
     wanted = checkpointed(wanted)
-    release_shuffles(texts.sparkSession)
     passages = checkpointed(
         texts.join(wanted, ["id", "tag"])
         .select("id", "tag", "text", "wanted")
         .mapInArrow(_passages(window, gram), "fp long, heavy boolean, id long, tag long, start int, words binary")
     )
-    release_shuffles(texts.sparkSession)
     light = passages.where("not heavy")
     shards = buckets_for(light.count(), shard_passages)
     matched = (
@@ -295,7 +292,6 @@ def repeated_spans(
     span = F.shiftleft(F.col("lo").cast("long"), 32) + F.col("hi")
     per_text = spans.groupBy("id", "tag").agg(F.collect_list(span).alias("spans"))
     merged = checkpointed(per_text.mapInArrow(_merge_spans, "id long, tag long, spans array<int>"))
-    release_shuffles(texts.sparkSession)
     return merged
 
 

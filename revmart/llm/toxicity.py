@@ -12,11 +12,13 @@ first four and five bytes count as words too, so that the forms of a word
 that inflects are known by its stem. Each fit chooses its own words, from its training rows alone: those whose
 documents carry the category far more or less often than chance allows.
 
-Fitting uses at most ``sample_docs`` labelled documents, those with the
-most labels and among them those with the smallest hashes (a stated bound: a few tens of thousands fix the weights of
-words frequent enough to be chosen). Their word counts are made by Spark; the
-chain is fitted on them in one task, whose memory the bound limits. A model
-is a few thousand weights.
+Fitting uses at most ``sample_docs`` labelled documents, those with the most
+labels and among them those with the smallest hashes, and of these as many as
+hold ``sample_words`` distinct words in all (two stated bounds: a few tens of
+thousands of documents fix the weights of words frequent enough to be chosen).
+Their word counts are made by Spark; the chain is fitted on them in one task,
+whose memory the second bound limits however long the texts are (16 bytes a
+word, several times over). A model is a few thousand weights.
 
 Scale. Scoring is one pass over the texts without a shuffle. Fitting reads
 the texts once more and moves word counts of the sample alone.
@@ -30,14 +32,15 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.llm.common import require_columns
+from revmart.llm.common import checkpointed, require_columns
 from revmart.llm.words import Words, stem_hashes, words_of
 
 SAMPLE_DOCS = 16_000
+SAMPLE_WORDS = 20_000_000
 FOLDS = 3
 STEMS = (4, 5)
 MIN_DOCS = 3
@@ -171,7 +174,9 @@ def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def _sample(docs: DataFrame, labels: DataFrame, categories: list[Category], id_col: str, text_col: str, sample_docs: int) -> DataFrame:
+def _sample(
+    docs: DataFrame, labels: DataFrame, categories: list[Category], id_col: str, text_col: str, sample_docs: int, sample_words: int
+) -> DataFrame:
     """Word counts and labels (``y0``, ``y1``, ..., NULL where there is none) of
     the sampled documents: labelled ones that ``docs`` holds, those with the
     most labels first."""
@@ -182,14 +187,21 @@ def _sample(docs: DataFrame, labels: DataFrame, categories: list[Category], id_c
     )
     present = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
     held = sum((F.col(f"y{i}").isNotNull().cast("int") for i in range(len(categories))), F.lit(0))
-    chosen = present.orderBy(held.desc(), F.xxhash64(F.lit("sample"), "id"), "id").limit(sample_docs)  # the documented bound
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    picked = texts.join(F.broadcast(chosen), "id")
+    order = [held.desc(), F.xxhash64(F.lit("sample"), "id"), F.col("id")]
+    chosen = present.orderBy(*order).limit(sample_docs)  # the documented bound
     names = [f"y{i}" for i in range(len(categories))]
+    text = F.col(text_col)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.struct(F.xxhash64(text).alias("print"), text.alias("text")).alias("t"))
+    # of rows that share an id the text with the smallest hash, map-side first
+    picked = texts.join(F.broadcast(chosen), "id").groupBy("id", *names).agg(F.min("t").alias("t")).select("id", *names, "t.text")
     schema = "id long, " + ", ".join(f"{n} int" for n in names) + ", total int, words array<long>, times array<int>"
-    counted = picked.select(F.col("id").cast("long").alias("id"), *names, "text").mapInArrow(_counted_words, schema)
-    # repeated ids must not exceed the bound: one document of each
-    return counted.dropDuplicates(["id"]).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)).cast("int"))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)).cast("int")
+    counted = checkpointed(picked.mapInArrow(_counted_words, schema).withColumn("fold", fold))
+    # one number for each of the sampled documents
+    upto = F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    sizes = counted.select("id", *names, F.size("words").cast("long").alias("size"))
+    within = sizes.withColumn("upto", upto).where(F.col("upto") <= sample_words).select("id")
+    return counted.join(F.broadcast(within), "id", "left_semi")
 
 
 def _matrix(rows: pd.DataFrame) -> WordCounts:
@@ -239,14 +251,17 @@ def fit_chain(
     id_col: str = "doc_id",
     text_col: str = "text",
     sample_docs: int = SAMPLE_DOCS,
+    sample_words: int = SAMPLE_WORDS,
 ) -> list[ChainLink]:
     """The chain's models, in order, with a threshold each (best F1 of the
     out-of-fold predictions). Each is fitted on the rows that have its own
     label; rows without any are skipped, and with no labelled document the
-    chain is empty."""
+    chain is empty. Ids are numbers. Of rows that share an id one is sampled, by
+    the hash of its text; of its labels the largest counts. Documents are
+    sampled in order as long as their distinct words stay within ``sample_words``."""
     require_columns(docs, id_col, text_col)
     require_columns(labels, id_col, *[c.label_col for c in categories])
-    sample = _sample(docs, labels, categories, id_col, text_col, sample_docs)
+    sample = _sample(docs, labels, categories, id_col, text_col, sample_docs, sample_words)
     fitted = sample.groupBy().applyInPandas(_fit_categories(len(categories)), _FITTED)  # one group: the bounded sample
     chain = []
     for row in sorted(fitted.collect()):  # one row per category
