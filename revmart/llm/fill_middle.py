@@ -16,8 +16,8 @@ A document is cut at two line ends. ``psm`` is ``<P>`` prefix ``<S>`` suffix
 text that is empty, that holds a sentinel or that the draw leaves out stays
 ``plain``. All draws follow from a SHA-256 of the document's id.
 
-Scale. A narrow transformation on Arrow batches, nothing is shuffled. Memory
-is the batch's bytes and, while one document is written, its copy.
+Scale. A narrow transformation on Arrow batches, nothing is shuffled. A batch
+is worked on in stretches of a few megabytes (or one longer document).
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.llm.common import require_columns
-from revmart.llm.words import buffers
+from revmart.llm.words import chunks_of
 
 SEED = 7
 #: Percent of the documents that are arranged, and of these as ``spm``.
@@ -147,10 +147,9 @@ class _Places(NamedTuple):
 
 def _formed(id_col: str, text_col: str, seed: int, rate: int, spm_rate: int, schema: T.StructType):
     def formed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets, data = buffers(batch.column(text_col))
-            whole = memoryview(data)
-            raw = whole.tobytes() if len(data) else b""
+        for batch, offsets, data in (c for b in batches for c in chunks_of(b, text_col)):
+            raw = data.tobytes()
+            whole = memoryview(raw)
             places = _Places.of(data)
             ids = batch.column(id_col).to_pylist()
             columns: list[list] = [[] for _ in MADE]
@@ -216,10 +215,9 @@ def restored_digests(formed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     schema = T.StructType([*fields, T.StructField("output_sha256", T.StringType()), T.StructField("restored_sha256", T.StringType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets, data = buffers(batch.column("formed_text"))
-            whole = memoryview(data)
-            raw = whole.tobytes() if len(data) else b""
+        for batch, offsets, data in (c for b in batches for c in chunks_of(b, "formed_text")):
+            raw = data.tobytes()
+            whole = memoryview(raw)
             out, back = [], []
             for form, start, end in zip(batch.column("form").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 out.append(digest([Piece(TEXT_BUFFER, start, end - start)], whole))

@@ -127,6 +127,19 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
 
 
+def chunks_of(batch: pa.RecordBatch, text_col: str, chunk_bytes: int = 1 << 22) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """The batch in stretches of rows with about ``chunk_bytes`` of text (or one
+    longer text): the rows, their texts' offsets and bytes."""
+    if len(batch) == 0:
+        return
+    offsets, data = buffers(batch.column(text_col))
+    at = 0
+    while at < len(batch):
+        stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + chunk_bytes, side="right")) - 1)
+        yield batch.slice(at, stop - at), offsets[at : stop + 1] - offsets[at], data[offsets[at] : offsets[stop]]
+        at = stop
+
+
 def _words(data: np.ndarray, offsets: np.ndarray, rows: range, lower: bool, letters: bool) -> Words:
     size = len(data)
     if not size:
