@@ -20,8 +20,8 @@
    done, which settles groups of close copies at one comparison each. In any
    other bucket the documents outside its largest component are compared
    with all of other components: pair by pair in small buckets, and in larger
-   ones by blocks of sets inside a task, which returns links only. That
-   decides every candidate pair, by comparison or because both ends are
+   ones by blocks of sets inside a task, which returns links only, one fewer
+   than it has components at most. That decides every candidate pair, by comparison or because both ends are
    connected already.
 5. *Grouping.* Confirmed links are grouped by union-find; a component's name
    is the smallest id of its classes.
@@ -204,8 +204,8 @@ def _verified(pairs: DataFrame, held: DataFrame, size: int, threshold: int) -> D
 
 
 def _first_pairs(members: DataFrame, threshold: int) -> DataFrame:
-    """Every class with the smallest one that it shares a bucket with."""
-    smallest = keyed_table(members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("c")))
+    """Every class with the one of smallest id that it shares a bucket with."""
+    smallest = keyed_table(members.groupBy("key").agg(F.min(F.struct("id", "node", "n")).alias("c")))
     met = members.join(smallest, "key").groupBy("node", "n").agg(F.min("c").alias("c"))
     return met.where((F.col("node") != F.col("c.node")) & _alike("n", "c.n", threshold)).select(F.col("node").alias("a"), F.col("c.node").alias("b"))
 
@@ -250,18 +250,21 @@ def _block_links(size: int, threshold: int):
         first = np.concatenate([[0], np.cumsum(sizes)])
         label, nodes, mark = rows["label"].to_numpy(), rows["node"].to_numpy(), np.zeros(len(vocabulary), dtype=np.int64)
         found = []
+        labels, place = np.unique(label, return_inverse=True)
+        joined = np.arange(len(labels))  # each label's group over the links found here: a link joins two, so labels bound their number
         for i in np.flatnonzero(rows["odd"].to_numpy()):
             own = shingles[first[i] : first[i + 1]]
             mark[own] = 1
             shared = np.add.reduceat(mark[shingles], first[:-1])
             mark[own] = 0
             alike = np.flatnonzero((100 * shared >= threshold * (sizes + sizes[i] - shared)) & (label != label[i]))
+            # those that earlier links join already need none
+            alike = alike[joined[place[alike]] != joined[place[i]]]
             exact = _shingles(texts[i], size) if len(alike) else set()
-            linked = set()
             for j in alike:
-                # one link to each component is enough, if the bytes confirm it
-                if label[j] not in linked and _similar(exact, _shingles(texts[j], size), threshold):
-                    linked.add(label[j])
+                mine, other = joined[place[i]], joined[place[j]]
+                if mine != other and _similar(exact, _shingles(texts[j], size), threshold):
+                    joined[joined == max(mine, other)] = min(mine, other)
                     found.append((int(nodes[i]), int(nodes[j])))
         return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
 
@@ -359,7 +362,7 @@ def _verdicts(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, t
     # numbers of classes, fixed by the checkpoint
     classes = checkpointed(classes.withColumn("node", F.monotonically_increasing_id()))
 
-    banded = classes.where("row is not null").select(F.explode("bands").alias("key"), "node", "n")
+    banded = classes.where("row is not null").select(F.explode("bands").alias("key"), F.col("row.id").alias("id"), "node", "n")
     shared = keyed_table(banded.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key"))
     members = checkpointed(banded.join(shared, "key"))
     components = _components(texts, classes, members, shingle_words, threshold)
