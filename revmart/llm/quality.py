@@ -139,8 +139,8 @@ def text_statistics(texts: pa.Array) -> Statistics:
     return Statistics(np.vstack([x.counts for x in found]), np.vstack([x.rates for x in found]))
 
 
-def base_failed(counts: np.ndarray) -> np.ndarray:
-    return (counts[:, 0] < MIN_WORDS) | (100 * counts[:, 4] > MAX_REPEAT_PERCENT * counts[:, 0])
+def base_failed(counts: np.ndarray, min_words: int = MIN_WORDS) -> np.ndarray:
+    return (counts[:, 0] < min_words) | (100 * counts[:, 4] > MAX_REPEAT_PERCENT * counts[:, 0])
 
 
 class Forest(NamedTuple):
@@ -208,21 +208,25 @@ def forest_scores(forest: Forest, rates: np.ndarray) -> np.ndarray:
 class QualityModel(NamedTuple):
     """A forest over ``WORD_RATES`` and one over ``REPEAT_RATES``, and the
     lowest score that each rejects. ``forest`` None: nothing was labelled,
-    only the base rules hold."""
+    only the base rules hold. ``min_words``: documents with fewer fail them."""
 
     forest: Forest | None
     threshold: float
     repeat_forest: Forest | None = None
     repeat_threshold: float = 1.0
+    min_words: int = MIN_WORDS
 
 
-def _rate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = text_statistics(batch.column("__text"))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("__id"), pa.array(base_failed(found.counts)), *[pa.array(x) for x in found.rates.T]],
-            names=["__id", "__failed", *RATES],
-        )
+def _rate_rows(min_words: int):
+    def rate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = text_statistics(batch.column("__text"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("__id"), pa.array(base_failed(found.counts, min_words)), *[pa.array(x) for x in found.rates.T]],
+                names=["__id", "__failed", *RATES],
+            )
+
+    return rate_rows
 
 
 def fit_quality(
@@ -234,6 +238,7 @@ def fit_quality(
     trees: int = TREES,
     sample: int = TREE_SAMPLE,
     keep_good: float = KEEP_GOOD,
+    min_words: int = MIN_WORDS,
 ) -> QualityModel:
     """Grow the forests on, and calibrate their thresholds with, labelled documents.
 
@@ -242,7 +247,8 @@ def fit_quality(
     among those that keep at least ``keep_good`` of the good documents which
     the base rules pass. That of the repeats is set on what the first forest
     keeps, and both together keep that share. No labelled document: base
-    rules only. No bad one: nothing is rejected beyond the base rules.
+    rules only. No bad one: nothing is rejected beyond the base rules. The
+    model holds ``min_words`` of the base rules.
     """
     require_columns(docs, id_col, text_col)
     require_columns(labels, id_col, label_col)
@@ -255,7 +261,7 @@ def fit_quality(
     )
     # statistics first: the join then moves a few numbers per document, and no text
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    passed = texts.mapInArrow(_rate_rows, schema).where(~F.col("__failed"))
+    passed = texts.mapInArrow(_rate_rows(min_words), schema).where(~F.col("__failed"))
     rated = checkpointed(passed.join(known, "__id").select("__label", *RATES))
     # a row is offered to one tree by its hash (to several where there are few
     # rows), and a tree takes the rows with the smallest hashes
@@ -278,7 +284,7 @@ def fit_quality(
     )
     nodes = sorted(tuple(r) for r in grown.collect())  # 2 * trees * (2 * sample - 1) rows at most
     if not nodes:
-        return QualityModel(None, 1.0)
+        return QualityModel(None, 1.0, min_words=min_words)
     words, repeats = (_assemble([x[1:] for x in nodes if x[0] == part], sample) for part in range(len(parts)))
 
     def counted(model: QualityModel, scored: Forest, names: list[str]) -> dict[tuple[int, int], int]:
@@ -296,7 +302,7 @@ def fit_quality(
         return {(r["label"], r["bin"]): r["count"] for r in found}
 
     every = counted(QualityModel(None, 1.0), words, WORD_RATES)
-    model = QualityModel(words, _threshold(every, keep_good))
+    model = QualityModel(words, _threshold(every, keep_good), min_words=min_words)
     left = counted(model, repeats, REPEAT_RATES)
     good, good_left = (sum(n for (label, _), n in c.items() if label == 1) for c in (every, left))
     # of what is left, so that of all good documents keep_good stay
@@ -359,7 +365,7 @@ def judge_quality(docs: DataFrame, model: QualityModel, text_col: str = "text")
     def judge(batches):
         for batch in batches:
             found = text_statistics(batch.column(text_col))
-            failed = base_failed(found.counts)
+            failed = base_failed(found.counts, model.min_words)
             scores = _scores(model, found.rates)
             kept = ~failed & _accepted(scores, model)
             made_cols = [*[pa.array(c) for c in found.counts.T], pa.array(failed), *[pa.array(c) for c in scores.T], pa.array(kept)]

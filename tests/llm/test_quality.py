@@ -102,3 +102,10 @@ def test_every_statistic_singles_out_its_junk(spark, sf01):
     assert {k: len(v) for k, v in kept.items()} == dict.fromkeys(kinds, 30)
     assert all(np.mean(v) <= 0.1 for v in kept.values()), {k: np.mean(v) for k, v in kept.items()}
     assert np.mean([r.kept for r in rows if r.quality == 1]) >= 0.98
+
+
+def test_minimum_of_words_is_the_models(make_docs):
+    docs = make_docs([(1, None), (2, "one"), (3, " ".join(f"w{i}" for i in range(49))), (4, " ".join(f"w{i}" for i in range(50)))])
+    for least, passed in ((50, {4}), (1, {2, 3, 4}), (49, {3, 4})):
+        judged = judge_quality(docs, QualityModel(None, 1.0, min_words=least)).collect()
+        assert {r.doc_id for r in judged if r.kept} == passed == {r.doc_id for r in judged if not r.base_failed}
