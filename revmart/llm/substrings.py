@@ -15,8 +15,8 @@ after all that have one.
    only the first goes on.
 3. *Automata.* First occurrences of anchors with several contexts are the
    reference passages. They are cut into shards by anchor; a shard's suffix
-   automaton meets exactly the passages that share an anchor with it, which
-   are streamed through it, word for word. Where their matching statistic reaches the window
+   automaton (arrays, built and walked for a shard's passages together) meets exactly the
+   passages that share an anchor with it, which are streamed through it, word for word. Where their matching statistic reaches the window
    and the automaton knows an earlier place, the window is repeated.
    An anchor with more than ``shard_passages`` contexts would make a shard of
    its own grow with the corpus; its windows are compared by a SHA-256 of their
@@ -178,27 +178,31 @@ def _through_automaton(window: int):
     """One shard: its automaton, and its passages streamed through it."""
 
     def match(passages: pd.DataFrame) -> pd.DataFrame:
-        automaton = SuffixAutomaton()
+        split = [p.split(b" ") for p in passages["words"]]
+        first = np.concatenate([[0], np.cumsum([len(p) for p in split])])
+        # the automaton's letters: the words themselves, numbered
+        letters = pd.factorize(np.array([w for p in split for w in p], dtype=object))[0].astype(np.int64)
         # rows that share an id are one document, those without an id are not
-        own = [(i, t if t >= FIRST_TURN else 0) for i, t in zip(passages["id"], passages["tag"], strict=True)]
-        order = {x: i for i, x in enumerate(sorted(set(own)))}
-        places = [(order[x] << 40) + s for x, s in zip(own, passages["start"], strict=True)]
-        numbers: dict[bytes, int] = {}  # the automaton's letters: the words themselves, numbered
-        texts = [[numbers.setdefault(w, len(numbers)) for w in p.split(b" ")] for p in passages["words"]]
-        for words, place in zip(texts, places, strict=True):
-            automaton.add(words, place)
-        automaton.close()
-        spans = []
-        for i, tag, start, words, place in zip(passages["id"], passages["tag"], passages["start"], texts, places, strict=True):
-            open_span = None
-            for end in automaton.earlier(words, place, window):
-                if open_span and end - window + 1 <= open_span[1]:
-                    open_span[1] = end + 1
-                else:
-                    open_span = [end - window + 1, end + 1]
-                    spans.append((i, tag, start, open_span))
-        rows = [(i, tag, start + lo, start + hi) for i, tag, start, (lo, hi) in spans]
-        return pd.DataFrame(rows, columns=["id", "tag", "lo", "hi"]).astype({"id": "int64", "tag": "int64", "lo": "int32", "hi": "int32"})
+        turn = passages["tag"].where(passages["tag"] >= FIRST_TURN, 0)
+        document = pd.DataFrame({"id": passages["id"], "turn": turn}).groupby(["id", "turn"]).ngroup().to_numpy().astype(np.int64)
+        start = passages["start"].to_numpy().astype(np.int64)
+        begins = np.repeat(first[:-1], np.diff(first))
+        places = np.repeat((document << 40) + start, np.diff(first)) + np.arange(len(letters)) - begins
+        ends = SuffixAutomaton(letters, first, places).earlier(letters, first, places, window)
+        text = np.searchsorted(first, ends, side="right") - 1
+        # windows that overlap or touch are one span
+        opens = np.ones(len(ends), dtype=bool)
+        opens[1:] = (text[1:] != text[:-1]) | (np.diff(ends) > window)
+        lo = np.flatnonzero(opens)
+        hi = np.append(lo[1:], len(ends))[: len(lo)] - 1
+        own = text[lo]
+        shift = start[own] - first[own]
+        return pd.DataFrame({
+            "id": passages["id"].to_numpy()[own],
+            "tag": passages["tag"].to_numpy()[own],
+            "lo": (ends[lo] - window + 1 + shift).astype(np.int32),
+            "hi": (ends[hi] + 1 + shift).astype(np.int32),
+        })
 
     return match
 

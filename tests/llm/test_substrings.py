@@ -108,20 +108,65 @@ def test_clashing_columns(spark, make_docs):
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.id, r.tag, r.spans) for r in rows.collect()) == [(1, 25, 0, "a", 2, "s"), (2, 25, 25, "a", 2, "s")]
 
 
+def arrays(texts):
+    """Letters, where each text begins, and places: text i's words from 100 i on."""
+    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    letters = np.array([w for t in texts for w in t], dtype=np.int64)
+    return letters, first, np.array([100 * i + e for i, t in enumerate(texts) for e in range(len(t))], dtype=np.int64)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2), max_size=25), min_size=1, max_size=6), st.integers(1, 6))
 def test_automaton_knows_first_places(texts, window):
-    automaton = SuffixAutomaton()
+    letters, starts, places = arrays(texts)
+    first = {}
     for i, words in enumerate(texts):
-        automaton.add(words, i * 100)
-    automaton.close()
+        for e in range(window - 1, len(words)):
+            first.setdefault(tuple(words[e - window + 1 : e + 1]), i * 100 + e)
+    want = [
+        starts[i] + e
+        for i, words in enumerate(texts)
+        for e in range(window - 1, len(words))
+        if first[tuple(words[e - window + 1 : e + 1])] < i * 100 + e
+    ]
+    assert SuffixAutomaton(letters, starts, places).earlier(letters, starts, places, window).tolist() == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.lists(st.integers(0, 2), max_size=15), min_size=1, max_size=5),
+    st.lists(st.lists(st.integers(0, 3), max_size=25), min_size=1, max_size=4),
+    st.integers(1, 5),
+)
+def test_automaton_streams_other_sequences(texts, others, window):
     first = {}
     for i, words in enumerate(texts):
         for e in range(window - 1, len(words)):
             first.setdefault(tuple(words[e - window + 1 : e + 1]), i * 100 + e)
+    letters, starts, places = arrays(others)
+    places = places + 150
+    want = [
+        starts[i] + e
+        for i, words in enumerate(others)
+        for e in range(window - 1, len(words))
+        if first.get(tuple(words[e - window + 1 : e + 1]), 10**6) < i * 100 + e + 150
+    ]
+    assert SuffixAutomaton(*arrays(texts)).earlier(letters, starts, places, window).tolist() == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=15), min_size=1, max_size=5))
+def test_states_are_classes_of_equal_ends(texts):
+    ends = {}
     for i, words in enumerate(texts):
-        want = [e for e in range(window - 1, len(words)) if first[tuple(words[e - window + 1 : e + 1])] < i * 100 + e]
-        assert automaton.earlier(words, i * 100, window) == want
+        for a in range(len(words)):
+            for b in range(a + 1, len(words) + 1):
+                ends.setdefault(tuple(words[a:b]), set()).add((i, b))
+    automaton = SuffixAutomaton(*arrays(texts))
+    assert len(automaton.length) == 1 + len({frozenset(x) for x in ends.values()})
+    assert sorted(automaton.length[1:].tolist()) == sorted(
+        max(len(w) for w, x in ends.items() if x == group) for group in {frozenset(x) for x in ends.values()}
+    )
 
 
 @pytest.mark.parametrize("order", [10, 11])
