@@ -42,6 +42,14 @@ def test_quality_keeps_documents_as_they_are(spark, sf001, results):
     assert sum(i in kept for i in long_good) >= 0.95 * len(long_good)
 
 
+def test_quality_keeps_short_good_documents(spark, sf01):
+    docs = spark.read.parquet(f"{sf01}/documents.parquet")
+    kept = {i for i, _ in texts(pipeline.quality_rules(spark, docs, sf01))}
+    good = {r.doc_id for r in spark.read.parquet(f"{sf01}/labels.parquet").where("quality = 1").collect()}
+    short_good = [i for i, t in texts(docs) if i in good and 0 < len((t or "").split()) < 50]
+    assert len(short_good) > 10 and sum(i in kept for i in short_good) >= 0.8 * len(short_good)
+
+
 def test_one_document_of_each_group_stays(results):
     before, after = results["near_dedup"]
     want = brute_groups(texts(before), 5, 80)
