@@ -25,8 +25,13 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and the isolation forest keep."""
-    model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents that the rules and the isolation forest keep.
+
+    Short documents are not rejected for being short: the labels call most of
+    them good, so the forests, calibrated on those labels, decide on them.
+    Documents without a word, or that mostly repeat themselves, go.
+    """
+    model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), min_words=1)
     return judge_quality(docs, model).where("kept").select(*COLUMNS)
 
 
