@@ -115,5 +115,11 @@ def remove_scratch(spark: SparkSession) -> None:
     for own in [k for k in _shared_made if k[0] == id(spark.sparkContext)]:
         del _shared_made[own]
     for made in _scratch_made.pop(id(spark.sparkContext), []):
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(made)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        drop_scratch(spark, made)
+
+
+def drop_scratch(spark: SparkSession, made: str) -> None:
+    """Delete one scratch folder that no result reads any more, on whatever
+    file system it is; an absent one is left at that."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(made)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
