@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def _shuffles_end(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` cut from its lineage by a reliable checkpoint in the folder that
     the cluster shares (``spark.checkpoint.dir``).
@@ -30,16 +43,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_root(spark))
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _shuffles_end(spark):
         made = df.checkpoint(eager=True)
-    finally:
-        spark.conf.set(_CLEANUP, before)
     own_scratch(spark, made._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get())
     return made
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` cut from its lineage by a Parquet table at ``path``, a folder under
+    ``scratch_path``: compressed columns, so less disk than ``checkpointed``
+    takes for many narrow rows, and phases that are over can be dropped."""
+    spark = df.sparkSession
+    with _shuffles_end(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def keyed_table(df: DataFrame) -> DataFrame:
     """An aggregate that is to be joined back by its own key, materialised.
 

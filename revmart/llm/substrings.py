@@ -25,8 +25,9 @@ after all that have one.
 
 Scale. What is shuffled: anchors twice (8 and 44 bytes each), then only
 repeated ones, and the texts twice, to their wanted places and to their
-spans. Every phase ends in a checkpoint, with which its shuffle files go, so
-the disk in use is that of one phase.
+spans. Every phase ends in a written table, with which its shuffle files go,
+and a table is deleted when the phases that read it are over, so the disk in
+use is that of one phase and what it reads.
 """
 
 from __future__ import annotations
@@ -42,8 +43,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.llm.automaton import SuffixAutomaton
-from revmart.llm.common import buckets_for, checkpointed, keyed_table, require_columns
+from revmart.llm.common import buckets_for, checkpointed, keyed_table, require_columns, written
 from revmart.llm.words import Words, gram_hashes, joined_bytes, words_of
+from revmart.session import drop_scratch, scratch_path
 
 WINDOW = 20
 GRAM = 5
@@ -253,14 +255,17 @@ def repeated_spans(
 ) -> DataFrame:
     """``texts`` (``id``, ``tag``, ``text``) to merged word spans that are
     repeated: ``id``, ``tag``, ``spans`` (starts and ends in turn)."""
+    spark = texts.sparkSession
+    folder = scratch_path(spark, "substrings")
     schema = "fp long, c1 long, c2 long, id long, tag long, pos int"
     anchors = texts.mapInArrow(_anchors(window, gram), schema)
     prints = texts.select("text").mapInArrow(_fingerprints_only(window, gram), "fp long")
-    twice = keyed_table(prints.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
-    repeated = checkpointed(anchors.join(twice, "fp"))
+    twice = written(prints.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), f"{folder}/twice")
+    repeated = written(anchors.join(twice, "fp"), f"{folder}/repeated")
 
-    contexts = checkpointed(
-        repeated.groupBy("fp", "c1", "c2").agg(F.min(_place("pos")).alias("first"), F.count("*").alias("n"))
+    contexts = written(
+        repeated.groupBy("fp", "c1", "c2").agg(F.min(_place("pos")).alias("first"), F.count("*").alias("n")),
+        f"{folder}/contexts",
     )
     reach = F.struct(
         F.greatest(F.col("pos") - (window - gram), F.lit(0)).alias("lo"), (F.col("pos") + window).alias("hi")
@@ -268,6 +273,7 @@ def repeated_spans(
     copies = repeated.join(contexts.where("n > 1").select("fp", "c1", "c2", "first"), ["fp", "c1", "c2"]).where(
         _place("pos") > F.col("first")
     ).select("id", "tag", reach.alias("s")).select("id", "tag", "s.lo", "s.hi")
+    copies = written(copies, f"{folder}/copies")
 
     several = contexts.groupBy("fp").agg(F.count("*").alias("held")).where("held > 1")
     wanted = (
@@ -277,11 +283,14 @@ def repeated_spans(
         # an anchor's place, and in the last bit whether it is a heavy one
         .agg(F.collect_list(F.col("pos") * 2 + (F.col("held") > shard_passages).cast("int")).alias("wanted"))
     )
-    wanted = checkpointed(wanted)
-    passages = checkpointed(
+    wanted = written(wanted, f"{folder}/wanted")
+    for over in ("twice", "repeated", "contexts"):
+        drop_scratch(spark, f"{folder}/{over}")
+    passages = written(
         texts.join(wanted, ["id", "tag"])
         .select("id", "tag", "text", "wanted")
-        .mapInArrow(_passages(window, gram), "fp long, heavy boolean, id long, tag long, start int, words binary")
+        .mapInArrow(_passages(window, gram), "fp long, heavy boolean, id long, tag long, start int, words binary"),
+        f"{folder}/passages",
     )
     light = passages.where("not heavy")
     shards = buckets_for(light.count(), shard_passages)
@@ -296,6 +305,7 @@ def repeated_spans(
     span = F.shiftleft(F.col("lo").cast("long"), 32) + F.col("hi")
     per_text = spans.groupBy("id", "tag").agg(F.collect_list(span).alias("spans"))
     merged = checkpointed(per_text.mapInArrow(_merge_spans, "id long, tag long, spans array<int>"))
+    drop_scratch(spark, folder)
     return merged
 
 
