@@ -44,7 +44,7 @@ from pyspark.sql import types as T
 
 from revmart.llm.automaton import SuffixAutomaton
 from revmart.llm.common import buckets_for, checkpointed, keyed_table, require_columns, written
-from revmart.llm.words import Words, gram_hashes, joined_bytes, words_of
+from revmart.llm.words import Words, chunks_of, gram_hashes, joined_bytes, words_of
 from revmart.session import drop_scratch, scratch_path
 
 WINDOW = 20
@@ -309,9 +309,9 @@ def repeated_spans(
     return merged
 
 
-def _cut_text(raw: bytes, words: Words, i: int, spans: list[int] | None) -> tuple[int, int, str]:
-    """Words of the i-th text, how many of them go, and the others."""
-    own = raw[words.offsets[i] : words.offsets[i + 1]].split()  # on the same six ASCII blanks
+def _cut_text(raw: bytes, spans: list[int] | None) -> tuple[int, int, str]:
+    """Words of a text, how many of them go, and the others."""
+    own = raw.split()  # on the same six ASCII blanks
     if not spans:
         return len(own), 0, b" ".join(own).decode()
     kept = []
@@ -362,15 +362,13 @@ def remove_repeats(
 
     def cut(batches):
         for batch in batches:
-            table = batch.drop_columns(["__spans"])
-            spans = batch.column("__spans").to_pylist()
-            for words in words_of(batch.column(text_col)):
-                rows = words.rows
-                raw = words.data.tobytes()
-                found = [_cut_text(raw, words, i, spans[row]) for i, row in enumerate(rows)]
+            for rows, offsets, data in chunks_of(batch, text_col):
+                raw, at = data.tobytes(), offsets.tolist()
+                spans = rows.column("__spans").to_pylist()
+                found = [_cut_text(raw[lo:hi], s) for lo, hi, s in zip(at[:-1], at[1:], spans, strict=True)]
                 n, removed, texts_kept = (list(x) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [*table.slice(rows.start, len(rows)).columns, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts_kept, pa.string())],
+                    [*rows.drop_columns(["__spans"]).columns, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts_kept, pa.string())],
                     names=schema.names,
                 )
 
