@@ -21,6 +21,8 @@ after all that have one.
    An anchor with more than ``shard_passages`` contexts would make a shard of
    its own grow with the corpus; its windows are compared by a SHA-256 of their
    bytes instead (grouped with map-side pre-aggregation), which decides the same.
+   Of the words around the anchor a window takes at least half before it or half
+   behind it, so windows are made only where those words occur twice with it.
 4. *Removal.* Repeated spans are merged per document and cut out.
 
 Scale. What is shuffled: anchors twice (8 and 44 bytes each), then only
@@ -168,9 +170,10 @@ def _passages(window: int, gram: int):
                         pa.array(ids[rows.start + text]),
                         pa.array(tags[rows.start + text]),
                         pa.array((lo - words.first[text]).astype(np.int32)),
+                        pa.array((at - lo).astype(np.int32)),
                         pa.array(own_words, pa.binary()),
                     ],
-                    names=["fp", "heavy", "id", "tag", "start", "words"],
+                    names=["fp", "heavy", "id", "tag", "start", "anchor", "words"],
                 )
 
     return passages
@@ -215,14 +218,42 @@ def _place(at: str) -> Column:
     return F.struct(F.col("id").alias("id"), turn.alias("turn"), F.col(at).alias("at"))
 
 
-def _by_window_hash(passages: DataFrame, window: int) -> DataFrame:
-    """Repeated windows of the passages around heavy anchors, by a hash of their bytes."""
-    split = passages.select("fp", "id", "tag", "start", F.split(F.col("words").cast("string"), " ").alias("words"))
-    at = F.explode(F.sequence(F.lit(0), F.size("words") - window)).alias("at")
+def _halves(passages: DataFrame, window: int, gram: int) -> DataFrame:
+    """The passages around heavy anchors with the places (``lo`` to ``hi``) of
+    the windows that take at least half of their other words from before the
+    anchor, and again with those of all other windows, which take the rest or
+    more from behind it. ``half``: a hash of the words these have in common."""
+    before = (window - gram + 1) // 2
+    behind = window - gram + 1 - before
+    own, anchor = F.split(F.col("words").cast("string"), " "), F.col("anchor")
+    last = F.size(own) - window
+
+    def half(side: int, begin: Column, size: int, lo: Column, hi: Column) -> DataFrame:
+        common = F.xxhash64(F.lit(side), F.slice(own, begin + 1, size)).alias("half")
+        return passages.where(lo <= hi).select("fp", common, "id", "tag", "start", "words", lo.alias("lo"), hi.alias("hi"))
+
+    left = half(0, anchor - before, before + gram, F.lit(0), F.least(anchor - before, last))
+    right = half(1, anchor, gram + behind, F.greatest(anchor - before + 1, F.lit(0)), last)
+    return left.unionByName(right)
+
+
+def _windows(passages: DataFrame, window: int, gram: int) -> DataFrame:
+    """The windows of the passages around heavy anchors that may be repeated, by a
+    hash of their bytes. Equal windows have equal halves: where a half occurs
+    once, none is made."""
+    halves = _halves(passages, window, gram)
+    often = keyed_table(halves.groupBy("fp", "half").agg(F.count("*").alias("n")).where("n > 1").select("fp", "half"))
+    split = halves.join(often, ["fp", "half"]).withColumn("words", F.split(F.col("words").cast("string"), " "))
+    at = F.explode(F.sequence(F.col("lo"), F.col("hi"))).alias("at")
     own = F.unhex(F.sha2(F.concat_ws(" ", F.slice("words", F.col("at") + 1, window)), 256))
-    windows = split.select("fp", "id", "tag", "start", "words", at).select(
+    return split.select("fp", "id", "tag", "start", "words", at).select(
         "fp", own.alias("window"), "id", "tag", (F.col("start") + F.col("at")).alias("lo")
     )
+
+
+def _by_window_hash(passages: DataFrame, window: int, gram: int) -> DataFrame:
+    """Repeated windows of the passages around heavy anchors."""
+    windows = _windows(passages, window, gram)
     first = windows.groupBy("fp", "window").agg(F.min(_place("lo")).alias("first"), F.count("*").alias("n"))
     first = keyed_table(first.where("n > 1"))
     repeated = windows.join(first, ["fp", "window"]).where(_place("lo") > F.col("first"))
@@ -289,7 +320,7 @@ def repeated_spans(
     passages = written(
         texts.join(wanted, ["id", "tag"])
         .select("id", "tag", "text", "wanted")
-        .mapInArrow(_passages(window, gram), "fp long, heavy boolean, id long, tag long, start int, words binary"),
+        .mapInArrow(_passages(window, gram), "fp long, heavy boolean, id long, tag long, start int, anchor int, words binary"),
         f"{folder}/passages",
     )
     light = passages.where("not heavy")
@@ -300,7 +331,7 @@ def repeated_spans(
         .groupBy("shard")
         .applyInPandas(lambda p: _through_automaton(window)(p), "id long, tag long, lo int, hi int")
     )
-    heavy = _by_window_hash(passages.where("heavy"), window)
+    heavy = _by_window_hash(passages.where("heavy"), window, gram)
     spans = copies.unionByName(matched).unionByName(heavy)
     span = F.shiftleft(F.col("lo").cast("long"), 32) + F.col("hi")
     per_text = spans.groupBy("id", "tag").agg(F.collect_list(span).alias("spans"))

@@ -67,6 +67,25 @@ def test_overlapping_passages_equal_brute_force(spark, make_docs, heavy):
     assert found_of(remove_repeats(make_docs(rows), shard_passages=heavy)) == brute(rows)
 
 
+@pytest.mark.parametrize(("window", "gram"), [(20, 5), (7, 3), (6, 3), (6, 5), (5, 5)])
+def test_windows_around_heavy_anchors_equal_brute_force(spark, make_docs, window, gram):
+    rng = random.Random(window)
+    rows = [(i, " ".join(rng.choice("abc") if rng.random() < 0.9 else str(rng.random()) for _ in range(rng.randint(0, 60)))) for i in range(60)]
+    rows += [(100 + i, f"{prose(i, 30)} the very common line {prose(7, 17)} {prose(500 + i, 20)}") for i in range(20)]
+    assert found_of(remove_repeats(make_docs(rows), window=window, gram=gram, shard_passages=1)) == brute(rows, window)
+
+
+def test_windows_are_made_only_where_half_of_one_recurs(spark):
+    line = prose(1, 8).split()
+    own = [prose(10 + k, 15).split() + line + prose(50 + k, 12).split() for k in range(6)]
+    own.append(own[0][:10] + own[1][10:])  # passage 1 but for its first ten words: the eight before its line are others
+    passages = [(1, k, 0, 0, 15, " ".join(w).encode()) for k, w in enumerate(own)]
+    schema = "fp long, id long, tag long, start int, anchor int, words binary"
+    assert substrings._windows(spark.createDataFrame(passages[:6], schema), 20, 5).count() == 0
+    made = substrings._windows(spark.createDataFrame(passages, schema), 20, 5).groupBy("id").count().collect()
+    assert {r.id: r["count"] for r in made} == {1: 8, 6: 8}
+
+
 def test_edge_cases(spark, make_docs):
     long = prose(1, 40_000)
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, prose(4, 19)), (5, prose(4, 19)), (6, prose(6, 20)), (7, "\t" + prose(6, 20) + "\n"),
