@@ -8,7 +8,9 @@ pyarrow kernels (no per-row Python); everything else stays JVM-side.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
@@ -26,6 +28,26 @@ NON_ASCII_PATTERN = r"[^\x00-\x7F]"
 URL_QUERY_PATTERN = r"\?.*"
 
 
+# Fixed value: the kernels' working copies are those of a piece this long (or of one text).
+PIECE_BYTES = 1 << 20
+
+
+def _pieces(text: pa.Array) -> Iterator[pa.Array]:
+    """The batch in slices of at most ``PIECE_BYTES`` of text, or of one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(text):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + PIECE_BYTES, side="right")))
+        yield text.slice(at, stop - at)
+        at = stop
+
+
+def _fold(text: pa.Array) -> pa.Array:
+    decomposed = pc.utf8_normalize(text, form="NFKD")
+    return pc.replace_substring_regex(decomposed, pattern=NON_ASCII_PATTERN, replacement="")
+
+
 @F.arrow_udf(T.StringType())
 def strip_accents(text: pa.Array) -> pa.Array:
     """NFKD-decompose, then drop every non-ASCII code point (NULL stays NULL). [O-49]
@@ -33,8 +55,12 @@ def strip_accents(text: pa.Array) -> pa.Array:
     Accents fold to their base letter, compatibility forms expand
     (``½`` -> ``12``, ``ﬁ`` -> ``fi``) and emoji vanish.
     """
-    decomposed = pc.utf8_normalize(text, form="NFKD")
-    return pc.replace_substring_regex(decomposed, pattern=NON_ASCII_PATTERN, replacement="")
+    if len(text) == 0:
+        return text
+    whole = pa.concat_arrays([_fold(piece) for piece in _pieces(text)])
+    # what the allocator keeps of the pieces and of earlier batches goes back to the system
+    pa.default_memory_pool().release_unused()
+    return whole
 
 
 def normalise_text(col: Column | str) -> Column:

@@ -2,8 +2,10 @@
 
 import unicodedata
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from revmart.functions import text
 from revmart.functions.text import normalise_text, strip_accents, url_strip_query, xml_escape
 
 CASES = [
@@ -46,6 +48,19 @@ def test_whole_texts_match_python(spark, sf001):
     assert all(r.o == _nfkd_ascii(r.text) for r in rows)
 
 
+def test_batches_are_folded_in_pieces(monkeypatch):
+    texts = ["é" * 300, None, "", "½" * 700, "à" * 90, None] * 20
+    folded = []
+    fold = text._fold
+    monkeypatch.setattr(text, "PIECE_BYTES", 1000)
+    monkeypatch.setattr(text, "_fold", lambda piece: folded.append(piece.to_pylist()) or fold(piece))
+    batch = pa.array([*texts, "x"]).slice(1)
+    assert strip_accents.func(batch).to_pylist() == [_nfkd_ascii(s) for s in batch.to_pylist()]
+    sizes = [[len((s or "").encode()) for s in piece] for piece in folded]
+    assert len(folded) > 20 and all(sum(p) <= 1000 or len(p) == 1 for p in sizes)
+    assert strip_accents.func(pa.array([], pa.string())).to_pylist() == []
+
+
 def test_url_strip_query(spark):
     df = spark.createDataFrame([("https://a/b?x=1&y=2",), ("https://a/b",), ("https://a/b?",), (None,)], "u string")
     got = [r[0] for r in df.select(url_strip_query("u")).collect()]
