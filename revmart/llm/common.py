@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -20,16 +21,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Spark's setting that ends a query's shuffle files with the query.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's bound on the bytes of a batch on its way to Python.
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: A task holds a batch several times (its vectors while they grow, the stream,
+#: the worker's copy and the one before), and an executor runs a task a core.
+BATCH_BYTES = 4 << 20
 
 
 @contextmanager
-def _shuffles_end(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_CLEANUP, "false")
+def _phase(spark: SparkSession) -> Iterator[None]:
+    """Settings of a phase that is materialised: its shuffle files end with it,
+    and its Arrow batches hold ``BATCH_BYTES`` (or one longer row) at most. A
+    session's own smaller bound stays."""
+    own = spark.conf.get(_BATCH)
+    before = {_CLEANUP: spark.conf.get(_CLEANUP, "false"), _BATCH: own}
     spark.conf.set(_CLEANUP, "true")
+    spark.conf.set(_BATCH, str(_smaller_batch(own)))
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _smaller_batch(own: str) -> int:
+    """The smaller one of a session's bound (``64MB``, ``1048576``; -1: none) and ``BATCH_BYTES``."""
+    number, unit = re.fullmatch(r"\s*(-?[0-9]+)\s*([a-z]*)\s*", own.lower()).groups()
+    size = int(number) << {"k": 10, "m": 20, "g": 30, "t": 40, "p": 50}.get(unit[:1], 0)
+    return min(size, BATCH_BYTES) if size > 0 else BATCH_BYTES
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -43,7 +62,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_root(spark))
-    with _shuffles_end(spark):
+    with _phase(spark):
         made = df.checkpoint(eager=True)
     own_scratch(spark, made._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get())
     return made
@@ -54,7 +73,7 @@ def written(df: DataFrame, path: str) -> DataFrame:
     ``scratch_path``: compressed columns, so less disk than ``checkpointed``
     takes for many narrow rows, and phases that are over can be dropped."""
     spark = df.sparkSession
-    with _shuffles_end(spark):
+    with _phase(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

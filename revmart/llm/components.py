@@ -1,7 +1,8 @@
 """Connected components of a graph given as edges, by union-find and stars.
 
-Every round first shrinks each partition's edges to a star per local tree by
-union-find (never more rows than the partition has nodes), then points every
+The first round shrinks each partition's edges to a star per local tree by
+union-find (trees of at most ``TREE_NODES`` nodes at a time, so a task's memory
+does not follow its rows); every round then points every
 node's neighbours at the smallest one it sees (large star, small star). The
 rounds end when nothing moves; each round's edges are cut from their lineage
 by a reliable checkpoint.
@@ -18,10 +19,13 @@ from pyspark.sql import functions as F
 from revmart.llm.common import checkpointed, keyed_table
 
 EDGE = "u long, v long"
+#: Nodes that a task's trees hold before they are written as stars and begun anew (some 20 MB).
+TREE_NODES = 1 << 17
 
 
 def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Union-find over one partition's edges; each node with its smallest peer."""
+    """Union-find over one partition's edges; each node with its smallest peer
+    among the edges since the trees were last begun."""
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -32,16 +36,22 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parent[x], x = root, parent[x]
         return root
 
+    def stars() -> Iterator[pa.RecordBatch]:
+        nodes = list(parent)
+        for at in range(0, len(nodes), 10_000):
+            pairs = [(x, find(x)) for x in nodes[at : at + 10_000]]
+            pairs = [(u, v) for u, v in pairs if u != v]
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["u", "v"])
+        parent.clear()
+
     for batch in batches:
         for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
             a, b = find(u), find(v)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    pairs = [(x, find(x)) for x in list(parent)]
-    pairs = [(u, v) for u, v in pairs if u != v]
-    for at in range(0, len(pairs), 10_000):
-        part = pairs[at : at + 10_000]
-        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in part], pa.int64()) for k in (0, 1)], names=["u", "v"])
+        if len(parent) >= TREE_NODES:
+            yield from stars()
+    yield from stars()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from revmart.llm.common import checkpointed, keyed_table, require_columns
 from revmart.llm.components import connected_components
 from revmart.llm.words import Words, gram_hashes, joined_bytes, mix64, words_of
+from revmart.llm.workers import release_memory
 
 SHINGLE_WORDS = 5
 THRESHOLD = 80
@@ -186,6 +187,7 @@ def _linked(size: int, threshold: int):
                     held, own = node, _shingles(right[i].as_buffer().to_pybytes(), size)
                 keep[i] = _similar(_shingles(left[i].as_buffer().to_pybytes(), size), own, threshold)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
+            release_memory()
 
     return linked
 

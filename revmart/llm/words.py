@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-from revmart.llm.workers import once
+from revmart.llm.workers import once, release_memory
 
 CHUNK_BYTES = 1 << 18
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -56,14 +56,15 @@ def _is_blank(letters: bool) -> np.ndarray:
 
 
 def _geometric(base: int, prime: int, n: int) -> np.ndarray:
-    """The base's first ``n`` powers modulo the prime, by doubling."""
+    """The base's first ``n`` powers modulo the prime, by doubling. They are
+    kept as 32 bits, which the primes fit; what they meet has 64."""
     out = np.ones(n, dtype=np.uint64)
     done = 1
     while done < n:
         step = min(done, n - done)
         out[done : done + step] = out[:step] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
         done += step
-    return out
+    return out.astype(np.uint32)
 
 
 def _make_powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -173,6 +174,7 @@ def words_of(texts: pa.Array, lower: bool = False, letters: bool = False, chunk_
         lo, hi = int(offsets[at]), int(offsets[stop])
         yield _words(data[lo:hi], offsets[at : stop + 1] - lo, range(at, stop), lower, letters)
         at = stop
+    release_memory()
 
 
 def stem_hashes(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:

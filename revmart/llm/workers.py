@@ -6,6 +6,8 @@ import sys
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import pyarrow as pa
+
 
 def once(key: Hashable, make: Callable[[], Any]) -> Any:
     """``make()``, called once per process and key.
@@ -18,3 +20,9 @@ def once(key: Hashable, make: Callable[[], Any]) -> Any:
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def release_memory() -> None:
+    """Give back to the system what Arrow's allocator keeps of earlier batches;
+    a worker outlives its task and would hold it through later stages."""
+    pa.default_memory_pool().release_unused()

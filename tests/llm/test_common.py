@@ -3,12 +3,14 @@
 import os
 from urllib.parse import urlparse
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from conftest_llm import prose
-from revmart.llm.common import checkpointed, numbered_copies
+from revmart.llm.common import BATCH_BYTES, checkpointed, numbered_copies, written
 from revmart.llm.neardup import near_duplicates
-from revmart.session import remove_scratch
+from revmart.session import remove_scratch, scratch_path
 
 
 def files_under(folder):
@@ -38,3 +40,25 @@ def test_copies_are_numbered(spark):
     found = numbered_copies(rows, ["k"], "n").collect()
     for k in range(3):
         assert sorted(r.n for r in found if r.k == k) == list(range(334 if k == 0 else 333))
+
+
+@pytest.mark.parametrize(("own", "bound"), [("64MB", BATCH_BYTES), ("1m", 1 << 20), (str(1 << 18), 1 << 18)])
+def test_phases_bound_the_bytes_of_their_batches(spark, own, bound):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)]), pa.array([batch.nbytes])], names=["rows", "bytes"])
+
+    texts = spark.range(0, 2400, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))  # 24 MB in one task
+    keys = {"spark.sql.execution.arrow.maxBytesPerBatch": own, "spark.sql.execution.arrow.maxRecordsPerBatch": "10000"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        counted = texts.mapInArrow(sizes, "rows long, bytes long")
+        for made in (checkpointed(counted), written(counted, scratch_path(spark, "batches"))):
+            found = made.agg(F.sum("rows").alias("rows"), F.max("bytes").alias("bytes")).first()
+            assert found.rows == 2400 and found.bytes <= bound + 20_000  # the bound and a row
+        assert {k: spark.conf.get(k) for k in keys} == keys
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

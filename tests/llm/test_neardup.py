@@ -3,10 +3,11 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from conftest_llm import prose, thue_morse
-from revmart.llm import neardup, registry
+from revmart.llm import components, neardup, registry
 from revmart.llm.components import connected_components
 from revmart.llm.neardup import distinct_documents, near_duplicates
 
@@ -103,6 +104,16 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_trees_are_begun_anew_when_they_are_full(spark, monkeypatch):
+    edges = [(i, i + 5) for i in range(60)] + [(200 + i, 201 + i) for i in range(30)]
+    batches = [pa.table({"u": [e[0] for e in edges[k : k + 4]], "v": [e[1] for e in edges[k : k + 4]]}).to_batches()[0] for k in range(0, len(edges), 4)]
+    monkeypatch.setattr(components, "TREE_NODES", 8)
+    held = [b.to_pylist() for b in components._local_stars(iter(batches))]
+    assert len(held) > 5 and max(len(x) for x in held) < 16
+    found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long").coalesce(1)).collect()}
+    assert found == {**{i: i % 5 for i in range(65)}, **dict.fromkeys(range(200, 231), 200)}
+
+
 def test_rows_that_share_an_id_go_by_their_own_text(spark, make_docs):
     base, other = prose(1, 60), prose(2, 60)
     rows = [(3, base), (5, base + " more"), (5, other), (7, other + " more"), (9, prose(4, 60)), (9, prose(4, 60) + " end")]
